@@ -373,12 +373,18 @@ SELECT id AS trade_id, '{fv}' AS feature_version, '{pv}' AS pipeline_version,
 FROM with_macro"""
 
 
-def feature_store_sql(trades_cte: str = fx.TRADES_EVENTS_SQL, macro_cte: str | None = None) -> str:
+def feature_store_ctes(trades_cte: str = fx.TRADES_EVENTS_SQL, macro_cte: str | None = None) -> list[str]:
+    """CTEs ending in ``fs`` (the feature store)."""
     macro_cte = macro_cte or fx.macro_sql()
-    return _with(trades_cte, macro_cte, rolling_sql(), stream_sql(), releases_sql(),
-                 asof_sql("rolling")) + FEATURE_SELECT.format(
+    body = FEATURE_SELECT.format(
         fv=P.feature_version, pv=P.pipeline_version, stamp=RUN_STAMP.isoformat(sep=" "),
         time_cols=time_sql(), picks=_PICKS)
+    return [trades_cte, macro_cte, rolling_sql(), stream_sql(), releases_sql(), asof_sql("rolling"),
+            f"fs AS ({body})"]
+
+
+def feature_store_sql(trades_cte: str = fx.TRADES_EVENTS_SQL, macro_cte: str | None = None) -> str:
+    return _with(*feature_store_ctes(trades_cte, macro_cte)) + "SELECT * FROM fs"
 
 
 def _feature_store(spark, sf, **kw):
@@ -427,3 +433,6 @@ def _g5(spark, sf):
     t = fx.trades_from_events(spark, sf)
     rel = features.release_table(features.macro_stream(_macro(spark, sf)))
     return features.audit_leakage(features.add_macro(t, rel))
+
+
+from quantspark import catalog_eval  # noqa: E402,F401  (registers the evaluation queries)

@@ -136,3 +136,64 @@ macro_series AS (
                avg(o_totalprice) AS value
         FROM orders GROUP BY 1, 2) g
 )"""
+
+
+# Walk-forward windows that fit the 30-day events table (train 14 d, test 3 d).
+FIXTURE_FOLD_DAYS = (14, 3)
+FIXTURE_EXPERIMENT = "exp_fixture"
+
+
+def fixture_params():
+    from quantspark.config import Params
+    return Params(train_days=FIXTURE_FOLD_DAYS[0], test_days=FIXTURE_FOLD_DAYS[1])
+
+
+def predictions_from_trades(trades: DataFrame, block_rows: int = 1 << 16) -> DataFrame:
+    """Deterministic predictions: the previous pnl of the same (account,
+    permutation) group (0 for the first), for the test rows of each fold."""
+    from quantspark.operators.ordered import halo_window
+    from quantspark.plans.folds import assign_folds
+    p = halo_window(trades.select("id", "timestamp", "account", "permutation_id", "pnl"), 1,
+                    lambda w: {"predicted_pnl": F.coalesce(F.lag("pnl", 1).over(w), F.lit(0.0))},
+                    order=["timestamp", "id"], group=["account", "permutation_id"], block_rows=block_rows)
+    p = assign_folds(p, "timestamp", fixture_params(), splits=("test",))
+    return p.select(F.col("id").alias("trade_id"), "timestamp", "permutation_id", "predicted_pnl",
+                    F.col("pnl").alias("actual_pnl"), "walk_forward_fold",
+                    F.lit(FIXTURE_EXPERIMENT).alias("experiment_id"))
+
+
+def folds_sql(src: str = "trades", train_days: int = FIXTURE_FOLD_DAYS[0], test_days: int = FIXTURE_FOLD_DAYS[1],
+              min_train: int = 10, min_test: int = 1) -> str:
+    """CTEs fold_cand (k, s) / fold_member (row x k x split) / folds (kept, numbered)."""
+    tr, te = train_days * 86400 * 10**6, test_days * 86400 * 10**6
+    return f"""
+fold_b AS (SELECT min(epoch_us("timestamp")) AS t0, max(epoch_us("timestamp")) AS t1 FROM {src}),
+fold_n AS (SELECT t0, CASE WHEN t1 + 1000000 - t0 - {tr} - {te} >= 0
+                           THEN CAST(floor((t1 + 1000000 - t0 - {tr} - {te}) / {te}) AS BIGINT) + 1
+                           ELSE 0 END AS n FROM fold_b),
+fold_cand AS (SELECT k, t0 + k * {te} AS s FROM fold_n, range(0, (SELECT n FROM fold_n)) r(k)),
+fold_member AS (
+  SELECT x.*, c.k, CASE WHEN epoch_us(x."timestamp") >= c.s + {tr} THEN 'test' ELSE 'train' END AS split
+  FROM {src} x JOIN fold_cand c
+    ON epoch_us(x."timestamp") >= c.s AND epoch_us(x."timestamp") < c.s + {tr} + {te}),
+fold_counts AS (SELECT k, count_if(split = 'train') AS train_size, count_if(split = 'test') AS test_size
+                FROM fold_member GROUP BY k),
+folds AS (
+  SELECT CAST(row_number() OVER (ORDER BY f.k) - 1 AS INTEGER) AS walk_forward_fold, f.k,
+         make_timestamp(c.s) AS train_start, make_timestamp(c.s + {tr}) AS train_end,
+         make_timestamp(c.s + {tr}) AS test_start, make_timestamp(c.s + {tr} + {te}) AS test_end,
+         f.train_size, f.test_size
+  FROM fold_counts f JOIN fold_cand c USING (k)
+  WHERE f.train_size >= {min_train} AND f.test_size >= {min_test})"""
+
+
+PREDICTIONS_SQL = """
+pred_src AS (
+  SELECT *, coalesce(lag(pnl) OVER (PARTITION BY account, permutation_id ORDER BY "timestamp", id), 0.0)
+              AS predicted_pnl
+  FROM trades),""" + folds_sql("pred_src").rstrip() + """,
+predictions AS (
+  SELECT m.id AS trade_id, m."timestamp", m.permutation_id, m.predicted_pnl, m.pnl AS actual_pnl,
+         f.walk_forward_fold, 'exp_fixture' AS experiment_id
+  FROM fold_member m JOIN folds f USING (k)
+  WHERE m.split = 'test')"""
