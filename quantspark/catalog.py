@@ -436,3 +436,4 @@ def _g5(spark, sf):
 
 
 from quantspark import catalog_eval  # noqa: E402,F401  (registers the evaluation queries)
+from quantspark import catalog_model  # noqa: E402,F401  (registers the model queries)
