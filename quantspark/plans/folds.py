@@ -127,3 +127,20 @@ def fold_windows(assigned: DataFrame, ts: str = "timestamp") -> DataFrame:
         F.count_if(tr).alias("train_size"), F.count_if(~tr).alias("test_size"),
         F.min(F.when(tr, F.col(ts))).alias("train_start"), F.max(F.when(tr, F.col(ts))).alias("train_end"),
         F.min(F.when(~tr, F.col(ts))).alias("test_start"), F.max(F.when(~tr, F.col(ts))).alias("test_end"))
+
+
+def cv_blocks(train: DataFrame, n_splits: int = 3, order=("timestamp", "trade_id"),
+              fold_col: str = "walk_forward_fold") -> DataFrame:
+    """I4 as one column: ``cv_block`` 0 = rows before the first validation block,
+    i = validation block of split i-1.  Split i fits on blocks <= i and
+    validates on block i+1 (no row duplication)."""
+    from quantspark.operators.ordered import POS, with_position
+    pos = with_position(train, [fold_col, *order])
+    first = pos.groupBy(fold_col).agg(F.min(POS).alias("_p0"), F.count(F.lit(1)).alias("_n"))
+    x = pos.join(F.broadcast(first), fold_col)  # one row per fold
+    p = F.col(POS) - F.col("_p0")
+    k = F.floor(F.col("_n") / F.lit(n_splits + 1))
+    start = F.col("_n") - n_splits * k
+    blk = F.when((k == 0) | (p < start), F.lit(0)).otherwise(
+        F.least(F.floor((p - start) / k) + 1, F.lit(n_splits)))
+    return x.withColumn("cv_block", blk.cast("int")).drop("_p0", "_n", POS)

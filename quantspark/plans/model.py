@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from quantspark.config import Params
 from quantspark.plans.evaluate import regression_metrics
-from quantspark.plans.folds import assign_folds, fold_windows, time_series_splits
+from quantspark.plans.folds import assign_folds, cv_blocks, fold_windows
 
 META_COLUMNS = frozenset({"trade_id", "feature_version", "pipeline_version", "feature_timestamp",
                           "trade_timestamp", "market_session", "risk_parameters", "permutation_id",
@@ -202,21 +202,123 @@ def _mae(pred: DataFrame, label: str) -> float:
     return pred.agg(F.avg(F.abs(F.col("prediction") - F.col(label)))).first()[0]
 
 
-def search(name: str, configs: list[dict], cv: DataFrame, feature_cols: list[str], label: str,
-           seed: int) -> tuple[dict, float]:
-    """Mean validation MAE over the time-ordered splits; best config (first on ties)."""
-    best, best_mae = None, math.inf
-    splits = sorted(r[0] for r in cv.select("cv_split").distinct().collect())
-    for cfg in configs:
-        maes = []
-        for s in splits:
-            part = cv.filter(F.col("cv_split") == s)
-            m = fit(name, cfg, part.filter(F.col("cv_role") == "fit"), feature_cols, label, seed)
-            maes.append(_mae(m.transform(part.filter(F.col("cv_role") == "val")), label))
-        v = sum(maes) / len(maes) if maes else math.inf
-        if v < best_mae:
-            best, best_mae = cfg, v
-    return best or {}, best_mae
+class LinearFitted(FittedModel):
+    """A linear model solved from moment sums; scoring is one native expression."""
+
+    def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+        return df.withColumn(out, self.model.expr(self.feature_cols))
+
+    def coefficients(self) -> dict:
+        return dict(zip(self.feature_cols, [float(x) for x in self.model.beta]))
+
+    def native_importance(self) -> dict:
+        v = [abs(float(x)) for x in self.model.beta]
+        s = sum(v)
+        return {c: (x / s if s > 0 else 0.0) for c, x in zip(self.feature_cols, v)}
+
+
+def _shift(df: DataFrame, cols: list[str], label: str) -> dict:
+    """Per-column means used to centre the moment sums (p + 1 numbers)."""
+    r = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
+               F.avg(F.col(label).cast("double")).alias("my")).first()
+    d = {c: (r[f"m{i}"] or 0.0) for i, c in enumerate(cols)}
+    d[label] = r["my"] or 0.0
+    return d
+
+
+def fit_linear(name: str, cfg: dict, df: DataFrame, feature_cols: list[str], label: str = "pnl") -> LinearFitted:
+    from quantspark.functions.linalg import block_moments, solve
+    import numpy as np
+    sh = _shift(df, feature_cols, label)
+    m = block_moments(df, feature_cols, label, None, sh)[None]
+    sol = solve(m, name, cfg, np.array([sh[c] for c in feature_cols]), sh[label])
+    return LinearFitted(name, dict(cfg), list(feature_cols), None, None, sol, label)
+
+
+def search(models, grids: dict, train: DataFrame, feature_cols: list[str], label: str, params: Params,
+           n_splits: int = 3, threads: int = 4) -> list[tuple[str, dict, float]]:
+    """Per model the configuration with the lowest mean validation MAE over the
+    time-ordered splits (first on ties).  ``train`` carries ``cv_block``.
+
+    Linear models: one grouped moment aggregation (per cv block), every split
+    and configuration solved on the driver, and all validation MAEs in one
+    more aggregation.  Tree models: MLlib fits on cached assembled splits,
+    overlapped from a small driver thread pool.
+    """
+    import numpy as np
+    from concurrent.futures import ThreadPoolExecutor
+    from quantspark.functions.linalg import Moments, block_moments, solve
+    best = {}
+    lin = [m for m in models if m in LINEAR_MODELS]
+    if lin:
+        sh = _shift(train, feature_cols, label)
+        blocks = block_moments(train, feature_cols, label, "cv_block", sh)
+        sx = np.array([sh[c] for c in feature_cols])
+        jobs, exprs = [], []
+        for name in lin:
+            for cfg in grid(name, grids, params.tuner, params.sampled_trials, params.seed):
+                for s in range(n_splits):
+                    parts = [blocks[b] for b in range(s + 1) if b in blocks]
+                    if not parts or (s + 1) not in blocks:
+                        continue
+                    mom = parts[0]
+                    for q in parts[1:]:
+                        mom = mom + q
+                    sol = solve(mom, name, cfg, sx, sh[label])
+                    e = F.avg(F.when(F.col("cv_block") == s + 1,
+                                     F.abs(F.col(label) - sol.expr(feature_cols))))
+                    jobs.append((name, json.dumps(cfg, sort_keys=True), cfg))
+                    exprs.append(e.alias(f"e{len(exprs)}"))
+        if exprs:
+            r = train.agg(*exprs).first()
+            acc = {}
+            for i, (name, key, cfg) in enumerate(jobs):
+                acc.setdefault((name, key), [cfg, []])[1].append(r[f"e{i}"])
+            for (name, _), (cfg, maes) in acc.items():
+                v = sum(maes) / len(maes)
+                if name not in best or v < best[name][1]:
+                    best[name] = (cfg, v)
+    trees = [m for m in models if m not in LINEAR_MODELS]
+    if trees:
+        inputs = {}
+        for s in range(n_splits):
+            fit_rows = train.filter(F.col("cv_block") <= s)
+            val_rows = train.filter(F.col("cv_block") == s + 1)
+            st = fit_rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(label).alias("sy")).first()
+            for scaled in {m in SCALED_MODELS for m in trees}:
+                means, stds = _scaling(fit_rows, feature_cols) if scaled else (None, None)
+                tmpl = FittedModel("", {}, list(feature_cols), means, stds, None, label)
+                inputs[(s, scaled)] = (tmpl._assemble(fit_rows).select("_features", label).cache(),
+                                       tmpl._assemble(val_rows).select("_features", label).cache(),
+                                       int(st["n"]), float(st["sy"] or 1.0))
+        jobs = [(name, cfg) for name in trees
+                for cfg in grid(name, grids, params.tuner, params.sampled_trials, params.seed)]
+
+        def run(job):
+            name, cfg = job
+            maes = []
+            for s in range(n_splits):
+                fdf, vdf, n, s_y = inputs[(s, name in SCALED_MODELS)]
+                m = make_estimator(name, cfg, n, s_y, params.seed, label).fit(fdf)
+                maes.append(_mae(m.transform(vdf), label))
+            return sum(maes) / len(maes)
+
+        with ThreadPoolExecutor(max_workers=threads) as pool:
+            results = list(pool.map(run, jobs))
+        for v in inputs.values():
+            v[0].unpersist()
+            v[1].unpersist()
+        for (name, cfg), mae in zip(jobs, results):
+            if name not in best or mae < best[name][1]:
+                best[name] = (cfg, mae)
+    return [(name, best[name][0], best[name][1]) for name in models if name in best]
+
+
+def fit_any(name: str, cfg: dict, df: DataFrame, feature_cols: list[str], label: str = "pnl",
+            seed: int = 42) -> FittedModel:
+    if name in LINEAR_MODELS:
+        return fit_linear(name, cfg, df, feature_cols, label)
+    return fit(name, cfg, df, feature_cols, label, seed)
 
 
 @dataclass
@@ -242,15 +344,13 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
         fold = assigned.filter(F.col("walk_forward_fold") == k)
         train = fold.filter(F.col("split") == "train").persist()
         test = fold.filter(F.col("split") == "test")
-        cv = time_series_splits(train.drop("split"), 3, ("trade_timestamp", "trade_id")).persist()
+        cv = cv_blocks(train.drop("split"), 3, ("trade_timestamp", "trade_id")).persist()
         best_name, best_cfg, best_mae = None, None, math.inf
-        for order, name in enumerate(models):
-            cfg, mae = search(name, grid(name, grids, params.tuner, params.sampled_trials, params.seed), cv, feats,
-                              label, params.seed)
+        for order, (name, cfg, mae) in enumerate(search(models, grids, cv, feats, label, params)):
             score_rows.append((k, name, order, float(mae), json.dumps(cfg)))
             if mae < best_mae:  # J11: first model wins ties
                 best_name, best_cfg, best_mae = name, cfg, mae
-        model = fit(best_name, best_cfg, train, feats, label, params.seed)
+        model = fit_any(best_name, best_cfg, train, feats, label, params.seed)
         fitted.append((k, model))
         p = model.transform(test, "predicted_pnl").select(
             "trade_id", F.col("trade_timestamp").alias("timestamp"), "permutation_id", "predicted_pnl",
