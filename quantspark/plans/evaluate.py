@@ -79,7 +79,7 @@ def trading_metrics(df: DataFrame, value: str, order: Sequence, params: Params =
     ann, rf = float(params.annualization), float(params.risk_free_rate)
     sq = math.sqrt(ann)
     mdd = F.abs(F.col("max_drawdown"))
-    wr = F.col("_nw") / F.col("n")
+    wr = safe_div(F.col("_nw"), F.col("n"))
     gl = F.abs(F.coalesce(F.col("_gl"), F.lit(0.0)))
     gp = F.coalesce(F.col("_gp"), F.lit(0.0))
     pf = F.when(gl > 0, gp / gl).otherwise(F.lit(INF))
