@@ -318,7 +318,7 @@ SELECT feature, avg(v) FILTER (WHERE first_half) AS first_half_mean,
                  AND stddev_samp(v) FILTER (WHERE first_half) > 0
             THEN abs(avg(v) FILTER (WHERE first_half) - avg(v) FILTER (WHERE NOT first_half))
                  / (stddev_samp(v) FILTER (WHERE first_half) + 1e-9) ELSE 0.0 END AS drift_score
-FROM long GROUP BY feature""".replace("UNPIVOT (", "UNPIVOT INCLUDE NULLS ("))
+FROM long GROUP BY feature""")
 def _l10(spark, sf):
     f = _feature_store(spark, sf, block_rows=2048)
     return ev.feature_drift(f, _trades(spark, sf))
