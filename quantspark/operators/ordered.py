@@ -179,3 +179,16 @@ def halo_window(df: DataFrame, halo: int, build: Callable[[WindowSpec], dict[str
     w = Window.partitionBy("_hb", *group).orderBy(POS)
     out = x.withColumns(build(w)).filter(~F.col("_ctx")).drop("_hb0", "_hb", "_ctx")
     return out if had_pos else out.drop(POS)
+
+
+def exact_median(df: DataFrame, col, num_blocks: int | None = None) -> DataFrame:
+    """Exact median of a numeric column (average of the two middle values for an even count)
+    as a one-row DataFrame ``median``.  Distributed: the values are range-partitioned and
+    positioned; only the (at most two) middle rows are kept -- no single buffer of all values."""
+    c = F.col(col) if isinstance(col, str) else col
+    vals = df.select(c.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    pos = with_position(vals, ["_v"], num_blocks, keep_blocks=True)
+    n = block_offsets(pos).agg(F.sum("_n").alias("_cnt"))
+    mid = (pos.join(F.broadcast(n), how="inner", on=F.lit(True))  # one-row frame
+              .filter((F.col(POS) == F.floor((F.col("_cnt") - 1) / 2)) | (F.col(POS) == F.floor(F.col("_cnt") / 2))))
+    return mid.agg(F.avg("_v").alias("median"))

@@ -265,15 +265,16 @@ def adf(df: DataFrame, value: str = "pnl", order=("timestamp", "trade_id"), max_
     h = halo_window(d.select(*order, value), L + 1, build, order=list(order), block_rows=block_rows)
     h = h.withColumns({f"_dy{k}": F.col(f"_yl{k}") - F.col(f"_yl{k + 1}") for k in range(0, L + 1)})
     h = h.withColumn("_row", F.lit(1.0))
-    regs = ["_y1"] + [f"_dy{k}" for k in range(1, L + 1)]
 
-    def fit(sub: DataFrame, lag: int):
-        cols = ["_row", "_y1"] + [f"_dy{k}" for k in range(1, lag + 1)]
-        m = block_moments(sub, cols, "_dy0", None, {}).get(None)
-        X, Xy, yy, nn = m.sxx, m.sxy, m.syy, m.n
+    all_cols = ["_row", "_y1"] + [f"_dy{k}" for k in range(1, L + 1)]
+
+    def fit(sub: DataFrame, lag: int, m=None):
+        # Candidate lag = leading sub-block of the Gramian of all regressors.
+        m = m or block_moments(sub, all_cols[:2 + lag], "_dy0", None, {}).get(None)
+        k = 2 + lag
+        X, Xy, yy, nn = m.sxx[:k, :k], m.sxy[:k], m.syy, m.n
         beta = np.linalg.lstsq(X, Xy, rcond=None)[0]
         ssr = float(yy - 2 * beta @ Xy + beta @ X @ beta)
-        k = len(cols)
         sigma2 = ssr / (nn - k)
         cov = sigma2 * np.linalg.pinv(X)
         tstat = beta[1] / math.sqrt(cov[1, 1]) if cov[1, 1] > 0 else float("nan")
@@ -281,14 +282,14 @@ def adf(df: DataFrame, value: str = "pnl", order=("timestamp", "trade_id"), max_
         return tstat, -2 * llf + 2 * k, nn
 
     full = h.filter(F.col(f"_yl{L + 1}").isNotNull())
+    m_full = block_moments(full, all_cols, "_dy0", None, {}).get(None)  # one pass for every candidate
     best_lag, best_aic = 0, float("inf")
     for lag in range(L + 1):
-        _, aic, _ = fit(full, lag)
+        _, aic, _ = fit(full, lag, m_full)
         if aic < best_aic:
             best_lag, best_aic = lag, aic
     sub = h.filter(F.col(f"_yl{best_lag + 1}").isNotNull())
     tstat, _, nobs = fit(sub, best_lag)
-    del regs
     return {"adf_statistic": float(tstat), "adf_p_value": adf_pvalue(tstat), "used_lag": best_lag,
             "nobs": int(nobs)}
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quantspark.config import Params
 from quantspark.functions.stats import corrected_kurt, corrected_skew, safe_div
-from quantspark.operators.ordered import POS, halo_window, running_sum_max
+from quantspark.operators.ordered import exact_median, halo_window, running_sum_max
 
 INF = float("inf")
 
@@ -174,8 +174,8 @@ def baseline_predictions(predictions: DataFrame, order=("timestamp", "trade_id")
     rows are causal, and the first row predicts itself.
     """
     y = "actual_pnl"
-    stats = predictions.agg(F.avg(y).alias("_m"), F.percentile(F.col(y), F.lit(0.5)).alias("_med"),
-                            F.stddev_pop(y).alias("_sd"))
+    stats = (predictions.agg(F.avg(y).alias("_m"), F.stddev_pop(y).alias("_sd"))
+             .join(exact_median(predictions, y).withColumnRenamed("median", "_med"), how="inner", on=F.lit(True)))
     x = halo_window(predictions.select(*order, y), 10,
                     lambda w: {"previous_trade": F.lag(y, 1).over(w),
                                "rolling_mean": F.avg(y).over(w.rowsBetween(-10, -1))},
@@ -343,7 +343,7 @@ def feature_drift(features: DataFrame, trades: DataFrame, columns: list[str] | N
     j = features.join(trades.select(F.col("id").alias("trade_id"), F.col("timestamp").alias("trade_timestamp")),
                       "trade_id")
     us = F.unix_micros("trade_timestamp")
-    mid = j.agg(F.percentile(us, F.lit(0.5)).alias("_mid"))
+    mid = exact_median(j, us).withColumnRenamed("median", "_mid")
     x = j.join(F.broadcast(mid), how="inner", on=F.lit(True))  # one-row frame
     first = us < F.col("_mid")
     aggs = []
