@@ -78,6 +78,15 @@ def _b1(spark, sf):
     return macro.drop_null_values(macro.filter_dates(s, "2018-01-01", "2022-12-31"))
 
 
+@register("b5_b6_union_series", _with(fx.macro_sql(daily=True)) + "SELECT * FROM macro_series")
+def _b5(spark, sf):
+    """B5 + B6: one frame per series, stacked by name, ordered (series_id, date) for writing."""
+    prepare_session(spark)
+    s = fx.macro_from_orders(spark, sf, daily=True)
+    per_series = [s.filter(F.col("series_id") == sid) for sid in fx.PRIORITY_SERIES.values()]
+    return macro.sort_series(macro.union_series(per_series))
+
+
 @register("b7_derive_events", _with(fx.macro_sql()) + """
 SELECT release_date AS timestamp_utc, series_id AS event_name, 'US' AS country, 'high' AS importance,
        value AS actual, CAST(NULL AS DOUBLE) AS forecast,

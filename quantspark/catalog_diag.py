@@ -176,3 +176,11 @@ def _l22(spark, sf):
 
 register("j16_l21_top_features")(_l21)
 register("j18_l22_linear_attribution")(_l22)
+
+
+def _j17(spark, sf):
+    m, model = _ols(spark, sf)
+    return mdl.permutation_importance(model, m, "pnl", repeats=5, seed=42)
+
+
+register("j17_permutation_importance")(_j17)

@@ -98,14 +98,14 @@ class LinearSolution:
         return e
 
 
-def _standardise(m: Moments, shift_x: np.ndarray, shift_y: float):
+def _standardise(m: Moments, shift_x: np.ndarray, shift_y: float, standardize: bool = True):
     n = m.n
     mu = m.sx / n
     ybar = m.sy / n
     cxx = m.sxx - n * np.outer(mu, mu)
     cxy = m.sxy - n * mu * ybar
     var = np.clip(np.diag(cxx) / n, 0.0, None)
-    std = np.sqrt(var)
+    std = np.sqrt(var) if standardize else np.ones_like(var)
     std[std == 0] = 1.0
     zz = cxx / np.outer(std, std)
     zy = cxy / std
@@ -113,8 +113,8 @@ def _standardise(m: Moments, shift_x: np.ndarray, shift_y: float):
 
 
 def solve(m: Moments, model: str, cfg: dict, shift_x: np.ndarray, shift_y: float,
-          tol: float = 1e-12, max_iter: int = 100_000) -> LinearSolution:
-    zz, zy, mean, ybar, std = _standardise(m, shift_x, shift_y)
+          tol: float = 1e-12, max_iter: int = 100_000, standardize: bool = True) -> LinearSolution:
+    zz, zy, mean, ybar, std = _standardise(m, shift_x, shift_y, standardize)
     n, p = m.n, len(zy)
     if model == "linear_regression":
         beta = np.linalg.lstsq(zz, zy, rcond=None)[0]
@@ -141,3 +141,11 @@ def solve(m: Moments, model: str, cfg: dict, shift_x: np.ndarray, shift_y: float
         raise ValueError(model)
     w = beta / std
     return LinearSolution(float(ybar - w @ mean), w, beta, mean, std)
+
+
+def total(blocks: dict, keys) -> "Moments | None":
+    out = None
+    for k in keys:
+        if k in blocks:
+            out = blocks[k] if out is None else out + blocks[k]
+    return out

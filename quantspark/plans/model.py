@@ -321,6 +321,56 @@ def fit_any(name: str, cfg: dict, df: DataFrame, feature_cols: list[str], label:
     return fit(name, cfg, df, feature_cols, label, seed)
 
 
+def stack_linear(cv: DataFrame, feature_cols: list[str], label: str, base: list[tuple[str, dict]],
+                 alpha: float = 1.0, n_splits: int = 3) -> tuple[float, "LinearFitted"]:
+    """Ridge (unscaled, ``alpha``) on out-of-fold predictions of linear base models.
+
+    Out-of-fold predictions of validation block b come from base models fitted on
+    blocks < b (time-ordered, a stated deviation from unordered K-fold).  The
+    stacker's validation MAE trains it on OOF blocks 1..s and scores block s+1.
+    Base models and stacker are linear, so the final stack is one linear model
+    (refitted bases combined with the stacker weights).
+    """
+    import numpy as np
+    from quantspark.functions.linalg import LinearSolution, block_moments, solve, total
+    sh = _shift(cv, feature_cols, label)
+    sx = np.array([sh[c] for c in feature_cols])
+    blocks = block_moments(cv, feature_cols, label, "cv_block", sh)
+    oof = {}
+    for name, cfg in base:
+        e = None
+        for s in range(n_splits):
+            mom = total(blocks, range(s + 1))
+            if mom is None:
+                continue
+            sol = solve(mom, name, cfg, sx, sh[label])
+            cond = F.col("cv_block") == s + 1
+            e = F.when(cond, sol.expr(feature_cols)) if e is None else e.when(cond, sol.expr(feature_cols))
+        oof[f"_oof_{name}"] = e
+    x = cv.filter(F.col("cv_block") >= 1).withColumns(oof)
+    ocols = list(oof)
+    ob = block_moments(x, ocols, label, "cv_block", {})
+    zero = np.zeros(len(ocols))
+    exprs = []
+    for s in range(1, n_splits):
+        mom = total(ob, range(1, s + 1))
+        if mom is None or (s + 1) not in ob:
+            continue
+        st = solve(mom, "ridge", {"alpha": alpha}, zero, 0.0, standardize=False)
+        exprs.append(F.avg(F.when(F.col("cv_block") == s + 1, F.abs(F.col(label) - st.expr(ocols)))))
+    maes = [v for v in x.agg(*exprs).first()] if exprs else []
+    val_mae = float(sum(maes) / len(maes)) if maes else math.inf
+    st = solve(total(ob, range(1, n_splits + 1)), "ridge", {"alpha": alpha}, zero, 0.0, standardize=False)
+    full = total(blocks, range(n_splits + 1))
+    sols = [solve(full, name, cfg, sx, sh[label]) for name, cfg in base]
+    w = sum(a * s_.w for a, s_ in zip(st.w, sols))
+    beta = sum(a * s_.beta for a, s_ in zip(st.w, sols))
+    b0 = st.intercept + sum(a * s_.intercept for a, s_ in zip(st.w, sols))
+    combined = LinearSolution(float(b0), np.asarray(w), np.asarray(beta), sols[0].mean, sols[0].std)
+    return val_mae, LinearFitted("stacking", {"base": [n for n, _ in base], "alpha": alpha},
+                                 list(feature_cols), None, None, combined, label)
+
+
 @dataclass
 class TrainResult:
     predictions: DataFrame
@@ -346,11 +396,22 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
         test = fold.filter(F.col("split") == "test")
         cv = cv_blocks(train.drop("split"), 3, ("trade_timestamp", "trade_id")).persist()
         best_name, best_cfg, best_mae = None, None, math.inf
-        for order, (name, cfg, mae) in enumerate(search(models, grids, cv, feats, label, params)):
+        searched = search(models, grids, cv, feats, label, params)
+        for order, (name, cfg, mae) in enumerate(searched):
             score_rows.append((k, name, order, float(mae), json.dumps(cfg)))
             if mae < best_mae:  # J11: first model wins ties
                 best_name, best_cfg, best_mae = name, cfg, mae
-        model = fit_any(best_name, best_cfg, train, feats, label, params.seed)
+        stacked = None
+        lin = [(n, c) for n, c, _ in searched if n in LINEAR_MODELS]
+        if params.enable_stacking and len(lin) > 1:
+            s_mae, stacked = stack_linear(cv, feats, label, lin)
+            score_rows.append((k, "stacking", len(searched), float(s_mae), json.dumps(stacked.config)))
+            if s_mae < best_mae:
+                best_name, best_cfg, best_mae = "stacking", stacked.config, s_mae
+        if best_name == "stacking":
+            model = stacked
+        else:
+            model = fit_any(best_name, best_cfg, train, feats, label, params.seed)
         fitted.append((k, model))
         p = model.transform(test, "predicted_pnl").select(
             "trade_id", F.col("trade_timestamp").alias("timestamp"), "permutation_id", "predicted_pnl",
@@ -395,25 +456,43 @@ def experiment_record(spark, experiment_id: str, models, feature_cols, params: P
 
 def permutation_importance(model: FittedModel, test: DataFrame, label: str = "pnl", repeats: int = 5,
                            seed: int = 42) -> DataFrame:
-    """Mean drop of R^2 when one feature's values are shuffled across rows.
+    """Mean drop of R^2 when one feature's values are permuted across rows.
 
-    The shuffle is a join of each row to the value of a row at a seeded random
-    rank (rank by rand(seed) vs rank by position): distributed, no collect.
+    Each repeat draws one seeded random permutation of the rows (position by
+    ``rand(seed)`` joined to position in the original order), so every row
+    receives the feature values of its partner row.  A linear model scores all
+    p permuted features in one aggregation (its prediction changes by
+    w_j * (x'_j - x_j)); other models are re-scored once per feature.
     """
     from quantspark.operators.ordered import POS, with_position
-    base = regression_metrics(model.transform(test), label, "prediction").first()["r2"]
-    pos = with_position(test.withColumn("_k", F.monotonically_increasing_id()), ["_k"]).persist()
-    rows = []
-    for j, c in enumerate(model.feature_cols):
-        drops = []
-        for r in range(repeats):
-            perm = with_position(pos.select(F.col(c).alias("_v")).withColumn("_r", F.rand(seed + 1000 * j + r)),
-                                 ["_r"]).select(F.col(POS), "_v")
-            shuffled = pos.join(perm, POS).drop(c).withColumnRenamed("_v", c)
-            r2 = regression_metrics(model.transform(shuffled), label, "prediction").first()["r2"]
-            drops.append(base - r2)
-        rows.append((c, float(sum(drops) / len(drops))))
-    pos.unpersist()
+    cols = model.feature_cols
+    base_pred = model.transform(test, "_pred")
+    r2_base = regression_metrics(base_pred, label, "_pred").first()["r2"]
+    keyed = base_pred.withColumn("_k", F.monotonically_increasing_id())
+    orig = with_position(keyed, ["_k"])
+    drops = {c: [] for c in cols}
+    for r in range(repeats):
+        perm = with_position(keyed.select(*[F.col(c).alias(f"_p_{c}") for c in cols])
+                             .withColumn("_r", F.rand(seed + r)), ["_r"]).drop("_r")
+        pair = orig.join(perm, POS)
+        ybar = pair.agg(F.avg(label)).first()[0]
+        if isinstance(model, LinearFitted):
+            w = dict(zip(cols, model.model.w))
+            sst = F.sum((F.col(label) - F.lit(ybar)) ** 2).alias("sst")
+            aggs = [sst]
+            for i, c in enumerate(cols):
+                pred = F.col("_pred") + F.lit(float(w[c])) * (F.col(f"_p_{c}") - F.col(c).cast("double"))
+                aggs.append(F.sum((F.col(label) - pred) ** 2).alias(f"e{i}"))
+            row = pair.agg(*aggs).first()
+            for i, c in enumerate(cols):
+                r2 = 1.0 - row[f"e{i}"] / row["sst"] if row["sst"] else 0.0
+                drops[c].append(r2_base - r2)
+        else:
+            for c in cols:
+                shuffled = pair.drop(c).withColumnRenamed(f"_p_{c}", c)
+                r2 = regression_metrics(model.transform(shuffled), label, "prediction").first()["r2"]
+                drops[c].append(r2_base - r2)
+    rows = [(c, float(sum(v) / len(v))) for c, v in drops.items()]
     return test.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
