@@ -36,25 +36,29 @@ def asof_join(left: DataFrame, left_ts: str, events: DataFrame, event_ts: str, n
     ``_asof_prev`` (matched event time, NULL if none) and ``_asof_next``
     (first event time >= left_ts, NULL if none) plus the payload columns.
     """
-    bounds = events.agg(F.min(event_ts).alias("lo"), F.max(event_ts).alias("hi")).first()
+    # Epoch microseconds: no driver-side time-zone conversion of the bounds.
+    bounds = events.agg(F.unix_micros(F.min(event_ts)).alias("lo"), F.unix_micros(F.max(event_ts)).alias("hi"),
+                        F.count(F.lit(1)).alias("n")).first()
     if bounds is None or bounds["lo"] is None:
         nulls = {c: F.lit(None).cast(events.schema[c].dataType) for c in payload}
         nulls["_asof_prev"] = F.lit(None).cast("timestamp")
         nulls["_asof_next"] = F.lit(None).cast("timestamp")
         return left.withColumns(nulls)
-    b_lo = _bucket(F.lit(bounds["lo"]).cast("timestamp"), bucket_seconds)
-    b_hi = _bucket(F.lit(bounds["hi"]).cast("timestamp"), bucket_seconds)
+    lo_b, hi_b = bounds["lo"] // 10**6 // bucket_seconds, bounds["hi"] // 10**6 // bucket_seconds
+    b_lo, b_hi = F.lit(lo_b).cast("long"), F.lit(hi_b).cast("long")
     regular = events.select(F.col(event_ts).alias("_asof_prev"), F.col(next_ts).alias("_asof_next"),
                             *payload)
     sentinel = events.sparkSession.range(1).select(
         F.lit(None).cast("timestamp").alias("_asof_prev"),
-        F.lit(bounds["lo"]).cast("timestamp").alias("_asof_next"),
+        F.timestamp_micros(F.lit(bounds["lo"])).alias("_asof_next"),
         *[F.lit(None).cast(events.schema[c].dataType).alias(c) for c in payload])
     intervals = regular.unionByName(sentinel)
     first_b = F.coalesce(_bucket(F.col("_asof_prev"), bucket_seconds), b_lo)
     last_b = F.coalesce(_bucket(F.col("_asof_next"), bucket_seconds), b_hi)
     exploded = intervals.withColumn("_asof_b", F.explode(F.sequence(first_b, F.greatest(first_b, last_b))))
-    n = exploded.count()  # size check of the small side before broadcasting it
+    # Size check of the small side before broadcasting it.  The intervals are
+    # contiguous, so their bucket spans telescope: rows = (b_hi - b_lo) + intervals + 1.
+    n = (hi_b - lo_b) + bounds["n"] + 1
     right = F.broadcast(exploded) if n <= broadcast_row_limit else exploded
     t = F.col(left_ts)
     lb = F.least(F.greatest(_bucket(t, bucket_seconds), b_lo), b_hi)
