@@ -123,8 +123,10 @@ def integrity_report(trades: DataFrame, predictions: DataFrame, others: dict[str
                    F.count_if(F.col("trade_id").isNull()).alias("null_trade_id"),
                    F.count_if(F.col("actual_pnl").isNull()).alias("null_actual_pnl"),
                    F.count_if(F.col("predicted_pnl").isNull()).alias("null_predicted_pnl")),
-             p.join(t_ids, "trade_id").agg(F.count(one).alias("joined_rows")),
-             p.join(t_ids, "trade_id", "left_anti").agg(F.count(one).alias("orphan_predictions"))]
+             # one left join gives both the joined rows and the orphans
+             p.join(t_ids.withColumn("_hit", F.lit(True)), "trade_id", "left").agg(
+                 F.count_if(F.col("_hit").isNotNull()).alias("joined_rows"),
+                 F.count_if(F.col("_hit").isNull()).alias("orphan_predictions"))]
     for name, df in (others or {}).items():
         parts.append(df.agg(F.count(one).alias(f"rows_{name}")))
     out = parts[0].withColumn("_k", one)

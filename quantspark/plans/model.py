@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from quantspark.config import Params
 from quantspark.plans.evaluate import regression_metrics
-from quantspark.plans.folds import assign_folds, cv_blocks, fold_windows
+from quantspark.plans.folds import cv_blocks, fold_bounds, valid_folds
 
 META_COLUMNS = frozenset({"trade_id", "feature_version", "pipeline_version", "feature_timestamp",
                           "trade_timestamp", "market_session", "risk_parameters", "permutation_id",
@@ -236,7 +236,8 @@ def fit_linear(name: str, cfg: dict, df: DataFrame, feature_cols: list[str], lab
 
 
 def search(models, grids: dict, train: DataFrame, feature_cols: list[str], label: str, params: Params,
-           n_splits: int = 3, threads: int = 4) -> list[tuple[str, dict, float]]:
+           n_splits: int = 3, threads: int = 4, shift: dict | None = None,
+           ctx: dict | None = None) -> list[tuple[str, dict, float]]:
     """Per model the configuration with the lowest mean validation MAE over the
     time-ordered splits (first on ties).  ``train`` carries ``cv_block``.
 
@@ -251,10 +252,12 @@ def search(models, grids: dict, train: DataFrame, feature_cols: list[str], label
     best = {}
     lin = [m for m in models if m in LINEAR_MODELS]
     if lin:
-        sh = _shift(train, feature_cols, label)
+        sh = shift or _shift(train, feature_cols, label)
         blocks = block_moments(train, feature_cols, label, "cv_block", sh)
         sx = np.array([sh[c] for c in feature_cols])
-        jobs, exprs = [], []
+        if ctx is not None:  # the caller refits the winner from the same block moments
+            ctx.update(blocks=blocks, shift=sh, sx=sx)
+        jobs, sols = [], []
         for name in lin:
             for cfg in grid(name, grids, params.tuner, params.sampled_trials, params.seed):
                 for s in range(n_splits):
@@ -264,16 +267,18 @@ def search(models, grids: dict, train: DataFrame, feature_cols: list[str], label
                     mom = parts[0]
                     for q in parts[1:]:
                         mom = mom + q
-                    sol = solve(mom, name, cfg, sx, sh[label])
-                    e = F.avg(F.when(F.col("cv_block") == s + 1,
-                                     F.abs(F.col(label) - sol.expr(feature_cols))))
-                    jobs.append((name, json.dumps(cfg, sort_keys=True), cfg))
-                    exprs.append(e.alias(f"e{len(exprs)}"))
-        if exprs:
-            r = train.agg(*exprs).first()
+                    jobs.append((name, json.dumps(cfg, sort_keys=True), cfg, s + 1))
+                    sols.append(solve(mom, name, cfg, sx, sh[label]))
+        if sols:
+            from quantspark.functions.linalg import block_abs_errors
+            W = np.column_stack([so.w for so in sols])
+            b0 = np.array([so.intercept for so in sols])
+            errs = block_abs_errors(train, feature_cols, label, "cv_block", W, b0)  # one pass for all
             acc = {}
-            for i, (name, key, cfg) in enumerate(jobs):
-                acc.setdefault((name, key), [cfg, []])[1].append(r[f"e{i}"])
+            for i, (name, key, cfg, vb) in enumerate(jobs):
+                n_v, sums = errs.get(vb, (0.0, None))
+                mae = sums[i] / n_v if n_v else math.inf
+                acc.setdefault((name, key), [cfg, []])[1].append(mae)
             for (name, _), (cfg, maes) in acc.items():
                 v = sum(maes) / len(maes)
                 if name not in best or v < best[name][1]:
@@ -387,16 +392,30 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
     spark = data.sparkSession
     grids = DEFAULT_GRIDS if grids is None else grids
     feats = feature_columns(data)
-    assigned = assign_folds(data, "trade_timestamp", params).persist()
-    folds = [r[0] for r in assigned.select("walk_forward_fold").distinct().orderBy("walk_forward_fold").collect()]
-    preds, score_rows, imp_rows, fitted = [], [], [], []
-    for k in folds:
-        fold = assigned.filter(F.col("walk_forward_fold") == k)
-        train = fold.filter(F.col("split") == "train").persist()
-        test = fold.filter(F.col("split") == "test")
-        cv = cv_blocks(train.drop("split"), 3, ("trade_timestamp", "trade_id")).persist()
+    # Folds are time ranges: each fold reads its train / test rows with a range
+    # filter (pushed to the scan), so the fold membership is never materialised.
+    ts, us = F.col("trade_timestamp"), F.unix_micros(F.col("trade_timestamp"))
+    data = data.persist()  # one copy of the model matrix, read by every fold's range filter
+    shift = _shift(data, feats, label)  # one centring constant for every fold's moment sums
+    fb = fold_bounds(data, "trade_timestamp", params)
+    folds = valid_folds(data, "trade_timestamp", params, fb).orderBy("walk_forward_fold").collect()  # one row per fold
+    preds, score_rows, imp_rows, fitted, windows = [], [], [], [], []
+    for f in folds:
+        k = f["walk_forward_fold"]
+        s0 = fb["t0"] + f["k"] * fb["test"]
+        tr0, tr1, te1 = (fb["t0"] if params.expanding else s0), s0 + fb["train"], s0 + fb["train"] + fb["test"]
+        train = data.filter((us >= F.lit(tr0)) & (us < F.lit(tr1))).persist()
+        test = data.filter((us >= F.lit(tr1)) & (us < F.lit(te1)))
+        windows.append(train.agg(F.count(F.lit(1)).alias("train_size"), F.min(ts).alias("train_start"),
+                                 F.max(ts).alias("train_end")).join(
+            test.agg(F.count(F.lit(1)).alias("test_size"), F.min(ts).alias("test_start"),
+                     F.max(ts).alias("test_end")), how="inner", on=F.lit(True))  # one-row frames
+            .withColumn("walk_forward_fold", F.lit(k).cast("int")))
+        cv = cv_blocks(train.withColumn("walk_forward_fold", F.lit(k)), 3,
+                       ("trade_timestamp", "trade_id")).persist()
         best_name, best_cfg, best_mae = None, None, math.inf
-        searched = search(models, grids, cv, feats, label, params)
+        ctx = {}
+        searched = search(models, grids, cv, feats, label, params, shift=shift, ctx=ctx)
         for order, (name, cfg, mae) in enumerate(searched):
             score_rows.append((k, name, order, float(mae), json.dumps(cfg)))
             if mae < best_mae:  # J11: first model wins ties
@@ -410,6 +429,10 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
                 best_name, best_cfg, best_mae = "stacking", stacked.config, s_mae
         if best_name == "stacking":
             model = stacked
+        elif best_name in LINEAR_MODELS and ctx:
+            from quantspark.functions.linalg import solve, total
+            sol = solve(total(ctx["blocks"], range(4)), best_name, best_cfg, ctx["sx"], ctx["shift"][label])
+            model = LinearFitted(best_name, dict(best_cfg), list(feats), None, None, sol, label)
         else:
             model = fit_any(best_name, best_cfg, train, feats, label, params.seed)
         fitted.append((k, model))
@@ -435,7 +458,13 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
     best = scores.groupBy("walk_forward_fold").agg(F.min_by("model", F.struct("validation_mae", "model_order"))
                                                    .alias("best_model"))
     from quantspark.plans.selection import fold_metrics
-    fold_results = fold_metrics(predictions, fold_windows(assigned, "trade_timestamp"), best, experiment_id)
+    win = windows[0]
+    for w in windows[1:]:
+        win = win.unionByName(w)
+    if not windows:
+        win = spark.createDataFrame([], "walk_forward_fold int, train_size long, train_start timestamp, "
+                                        "train_end timestamp, test_size long, test_start timestamp, test_end timestamp")
+    fold_results = fold_metrics(predictions, win, best, experiment_id)
     importances = spark.createDataFrame(imp_rows, "fold int, model string, feature string, importance double")
     return TrainResult(predictions, fold_results, importances, scores, fitted)
 
