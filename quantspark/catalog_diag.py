@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quantspark.catalog import _feature_store, _trades, _with, feature_store_ctes, register
+from quantspark.catalog import ORACLE, _feature_store, _trades, _with, feature_store_ctes, register
 from quantspark.catalog_eval import PRED, T, _DRIFT_COLS, _preds
 from quantspark.catalog_model import MATRIX_SQL, _matrix
 from quantspark.plans import diagnose as dg
@@ -184,3 +184,23 @@ def _j17(spark, sf):
 
 
 register("j17_permutation_importance")(_j17)
+
+
+_CC = " AND ".join(f"{c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE)) AND NOT isinf(CAST({c} AS DOUBLE))"
+                   for c in _DRIFT_COLS)
+_CORR_SQL = [_FS_TS, f"""
+cc AS (SELECT row_number() OVER () AS rid, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _DRIFT_COLS)}
+       FROM ft WHERE {_CC})""", f"""
+clg AS (FROM cc UNPIVOT (v FOR feature IN ({", ".join(_DRIFT_COLS)})))""", """
+cstat AS (SELECT feature, min(v) < max(v) AS varying FROM clg GROUP BY feature)""", """
+cpairs AS (SELECT a.feature AS feature_a, b.feature AS feature_b,
+                  CASE WHEN sa.varying AND sb.varying THEN corr(a.v, b.v) END AS corr
+           FROM clg a JOIN clg b USING (rid) JOIN cstat sa ON sa.feature = a.feature
+           JOIN cstat sb ON sb.feature = b.feature GROUP BY a.feature, b.feature, sa.varying, sb.varying)""",
+             "forder AS (SELECT * FROM (VALUES " + ", ".join(f"('{c}', {i})" for i, c in enumerate(_DRIFT_COLS))
+             + ") t(feature, idx))"]
+
+ORACLE["m6_correlation_matrix"] = _with(*feature_store_ctes(), *_CORR_SQL) + "SELECT * FROM cpairs"
+ORACLE["m7_high_correlation_pairs"] = _with(*feature_store_ctes(), *_CORR_SQL) + """
+SELECT p.feature_a, p.feature_b, p.corr FROM cpairs p JOIN forder fa ON fa.feature = p.feature_a
+JOIN forder fb ON fb.feature = p.feature_b WHERE fa.idx > fb.idx AND abs(p.corr) > 0.9"""

@@ -90,8 +90,10 @@ def collinearity(features: DataFrame, cols: list[str] | None = None, vif_max_fea
     spark = features.sparkSession
     cols = cols or numeric_columns(features)
     cc = _complete_cases(features, cols).withColumn("_one", F.lit(0.0))
-    shift_row = cc.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
+    shift_row = cc.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols],
+                       *[(F.min(c) == F.max(c)).alias(f"_const_{i}") for i, c in enumerate(cols)]).first()
     shift = {c: (shift_row[c] or 0.0) if shift_row else 0.0 for c in cols}
+    constant = np.array([bool(shift_row[f"_const_{i}"]) if shift_row else True for i in range(len(cols))])
     mom = block_moments(cc, cols, "_one", None, shift).get(None)
     p = len(cols)
     if mom is None or mom.n < 2:
@@ -102,6 +104,8 @@ def collinearity(features: DataFrame, cols: list[str] | None = None, vif_max_fea
     n = mom.n
     mu = mom.sx / n
     C = mom.sxx - n * np.outer(mu, mu)  # centred Gramian
+    C[constant, :] = 0.0  # exactly constant columns (min == max): no round-off variance
+    C[:, constant] = 0.0
     var_s = np.clip(np.diag(C) / (n - 1), 0.0, None)
     sd = np.sqrt(var_s)
     Zs = C / np.outer(sd + 1e-8, sd + 1e-8)  # M3: (x - mean) / (std + 1e-8)
