@@ -279,36 +279,54 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
 def series_correlation(series: DataFrame, threshold: float | None = None) -> DataFrame:
     """Pairwise-complete Pearson correlation between series, aligned on date.
 
-    The date x series pivot is aggregated into per-pair moment sums in one
-    pass (a Gramian), so no per-date pair rows are produced.  The series list
-    (the pivot columns) is the small, distinct set of series ids.
+    The date x series pivot is folded into pairwise moment matrices (counts,
+    sums, sums of squares and cross products over the dates where both series
+    are present: four s x s matrix products per Arrow batch), summed by Spark;
+    no per-date pair rows are produced and the aggregate width does not grow
+    with the number of series.
     """
+    import numpy as np
+    import pandas as pd
     ids = [r[0] for r in series.select("series_id").distinct().orderBy("series_id").collect()]
+    spark = series.sparkSession
+    schema = "series_a string, series_b string, n long, corr double"
+    if len(ids) < 2:
+        return spark.createDataFrame([], schema)
     wide = series.groupBy("date").pivot("series_id", ids).agg(F.first("value"))
-    aggs, pairs = [], []
-    for i, a in enumerate(ids):
-        for b in ids[i + 1:]:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            xa, xb = F.when(both, F.col(a)), F.when(both, F.col(b))
-            t = f"{i}_{ids.index(b)}"
-            aggs += [F.count(xa).alias(f"n_{t}"), F.sum(xa).alias(f"sa_{t}"), F.sum(xb).alias(f"sb_{t}"),
-                     F.sum(xa * xa).alias(f"aa_{t}"), F.sum(xb * xb).alias(f"bb_{t}"),
-                     F.sum(xa * xb).alias(f"ab_{t}")]
-            pairs.append((a, b, t))
-    if not pairs:
-        return series.sparkSession.createDataFrame([], "series_a string, series_b string, n long, corr double")
-    m = wide.agg(*aggs)
+    cols = [f"s{i}" for i in range(len(ids))]
+    wide = wide.select(*[F.col(f"`{sid}`").cast("double").alias(c) for sid, c in zip(ids, cols)])
+    k = len(ids)
+
+    def partial(batches):
+        acc = None
+        for pdf in batches:
+            X = pdf[cols].to_numpy(dtype=float)
+            M = (~np.isnan(X)).astype(float)
+            Z = np.nan_to_num(X)
+            v = np.concatenate([(M.T @ M).ravel(), (Z.T @ M).ravel(), ((Z * Z).T @ M).ravel(), (Z.T @ Z).ravel()])
+            acc = v if acc is None else acc + v
+        if acc is not None:
+            yield pd.DataFrame({"v": [acc.tolist()]})
+
+    tot = (wide.mapInPandas(partial, "v array<double>").select(F.posexplode("v").alias("i", "x"))
+               .groupBy("i").agg(F.sum("x").alias("x")).collect())
+    v = np.zeros(4 * k * k)
+    for r in tot:
+        v[r["i"]] = r["x"]
+    N, SX, SXX, SXY = (v[j * k * k:(j + 1) * k * k].reshape(k, k) for j in range(4))
     rows = []
-    for a, b, t in pairs:
-        n = F.col(f"n_{t}").cast("double")
-        cov = F.col(f"ab_{t}") - F.col(f"sa_{t}") * F.col(f"sb_{t}") / n
-        va = F.col(f"aa_{t}") - F.col(f"sa_{t}") ** 2 / n
-        vb = F.col(f"bb_{t}") - F.col(f"sb_{t}") ** 2 / n
-        r = F.when((n > 1) & (va > 0) & (vb > 0), cov / F.sqrt(va * vb))
-        for x, y in ((a, b), (b, a)):
-            rows.append(F.struct(F.lit(x).alias("series_a"), F.lit(y).alias("series_b"),
-                                 F.col(f"n_{t}").alias("n"), r.alias("corr")))
-    out = m.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+    for a in range(k):
+        for b in range(k):
+            if a == b:
+                continue
+            n = N[a, b]
+            sa, sb = SX[a, b], SX[b, a]  # sum of a where b present, sum of b where a present
+            cov = SXY[a, b] - sa * sb / n if n else 0.0
+            va = SXX[a, b] - sa * sa / n if n else 0.0
+            vb = SXX[b, a] - sb * sb / n if n else 0.0
+            r_ab = float(cov / np.sqrt(va * vb)) if n > 1 and va > 0 and vb > 0 else None
+            rows.append((ids[a], ids[b], int(n), r_ab))
+    out = spark.createDataFrame(rows, schema)
     if threshold is not None:
         out = out.filter(F.abs(F.col("corr")) > threshold)
     return out
