@@ -198,7 +198,10 @@ def exact_median(df: DataFrame, col, num_blocks: int | None = None) -> DataFrame
     positioned; only the (at most two) middle rows are kept -- no single buffer of all values."""
     c = F.col(col) if isinstance(col, str) else col
     vals = df.select(c.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    pos = with_position(vals, ["_v"], num_blocks, keep_blocks=True)
+    # A row id breaks ties, so a value shared by a large share of the rows is still
+    # split over several range blocks (the ranged frame is checkpointed).
+    vals = vals.withColumn("_t", F.monotonically_increasing_id())
+    pos = with_position(vals, ["_v", "_t"], num_blocks, keep_blocks=True)
     n = block_offsets(pos).agg(F.sum("_n").alias("_cnt"))
     mid = (pos.join(F.broadcast(n), how="inner", on=F.lit(True))  # one-row frame
               .filter((F.col(POS) == F.floor((F.col("_cnt") - 1) / 2)) | (F.col(POS) == F.floor(F.col("_cnt") / 2))))
