@@ -37,6 +37,7 @@ def get_spark(master: str | None = None, app: str = "quantspark",
     builder = (
         builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("QS_DRIVER_MEMORY", "8g"))
