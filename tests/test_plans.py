@@ -25,3 +25,18 @@ def test_scan_prunes_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,value:double>" in plan
     assert "PushedFilters" in plan
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data missing")
+def test_single_partition_exchanges_only_carry_block_rows(spark):
+    """Every SinglePartition exchange of the flagship plan sits on a per-block aggregate
+    (one row per range block), never on trade-sized data."""
+    import __spark_entry__ as e
+    df = e.entry(spark)
+    df.collect()
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    hits = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
+    assert hits
+    for i in hits:
+        nxt = lines[i + 1]
+        assert "Aggregate(key" in nxt and "_blk" in nxt, nxt
