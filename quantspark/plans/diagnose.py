@@ -339,3 +339,9 @@ def audit_tables(tables: dict[str, DataFrame]) -> DataFrame:
         nulls = [c for i, c in enumerate(df.columns) if r["_rows"] > 0 and r[f"c{i}"] == 0]
         rows.append((name, len(df.columns), int(r["_rows"]), ",".join(nulls), r["_rows"] == 0))
     return spark.createDataFrame(rows, "table string, columns int, rows long, orphaned_columns string, empty boolean")
+
+
+def check_metrics(fold_results: DataFrame) -> DataFrame:
+    """Folds whose MAE or R2 is NULL / NaN."""
+    bad = (F.col("mae").isNull() | F.isnan("mae") | F.col("r2").isNull() | F.isnan("r2"))
+    return fold_results.select("fold", "mae", "r2").filter(bad)

@@ -562,3 +562,42 @@ def load_model(path: str) -> FittedModel:
            "GBTRegressionModel": GBTRegressionModel}[meta["cls"]]
     return FittedModel(meta["name"], meta["config"], meta["feature_cols"], meta["means"], meta["stds"],
                        cls.load(f"{path}/mllib"), meta["label"])
+
+
+def save_fold_models(result: TrainResult, root: str, experiment_id: str) -> list[str]:
+    """Every fold's winner under ``root/experiment_id/fold_<k>`` plus ``latest`` (the last fold)."""
+    paths = []
+    for k, m in result.models:
+        if isinstance(m, LinearFitted):
+            continue  # linear winners are stored through their coefficients below
+        p = f"{root.rstrip('/')}/{experiment_id}/fold_{k}"
+        save_model(m, p)
+        paths.append(p)
+    spark = result.predictions.sparkSession
+    rows = [(int(k), m.name, json.dumps(m.config), json.dumps(m.feature_cols),
+             float(m.model.intercept) if isinstance(m, LinearFitted) else None,
+             json.dumps([float(x) for x in m.model.w]) if isinstance(m, LinearFitted) else None)
+            for k, m in result.models]
+    spark.createDataFrame(rows, "fold int, model string, config string, features string, intercept double, "
+                                "weights string").coalesce(1).write.mode("overwrite").parquet(
+        f"{root.rstrip('/')}/{experiment_id}/winners")
+    if result.models:
+        k, m = result.models[-1]
+        if not isinstance(m, LinearFitted):
+            save_model(m, f"{root.rstrip('/')}/{experiment_id}/latest")
+    return paths
+
+
+def load_latest_linear(root: str, experiment_id: str) -> LinearFitted | None:
+    """J19 load path for linear winners: the last fold's coefficients (fallback of 'latest')."""
+    import numpy as np
+    from pyspark.sql import SparkSession
+    from quantspark.functions.linalg import LinearSolution
+    ss = SparkSession.getActiveSession()
+    w = ss.read.parquet(f"{root.rstrip('/')}/{experiment_id}/winners").filter(F.col("weights").isNotNull())
+    r = w.orderBy(F.col("fold").desc()).first()
+    if r is None:
+        return None
+    weights = np.array(json.loads(r["weights"]))
+    sol = LinearSolution(r["intercept"], weights, weights, np.zeros_like(weights), np.ones_like(weights))
+    return LinearFitted(r["model"], json.loads(r["config"]), json.loads(r["features"]), None, None, sol)

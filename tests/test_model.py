@@ -66,3 +66,15 @@ def test_pacf_durbin_levinson_ar1():
     r = [phi ** k for k in range(6)]
     p = pacf_from_acf(r)
     assert abs(p[1] - phi) < 1e-12 and all(abs(x) < 1e-12 for x in p[2:])
+
+
+def test_fold_winners_saved_and_reloaded(spark):
+    df, _, _ = _data(spark, n=600)
+    res = mdl.train_walk_forward(df, Params(train_days=10, test_days=2), models=("linear_regression",))
+    root = tempfile.mkdtemp(prefix="qs-store-", dir="/tmp")
+    mdl.save_fold_models(res, root, "e1")
+    m = mdl.load_latest_linear(root, "e1")
+    last = res.models[-1][1]
+    a = [r["prediction"] for r in last.transform(df).orderBy("trade_id").limit(5).collect()]
+    b = [r["prediction"] for r in m.transform(df).orderBy("trade_id").limit(5).collect()]
+    assert np.allclose(a, b)
