@@ -38,7 +38,7 @@ def main() -> None:
     def equity_and_metrics():
         t = fx.trades_from_events(spark, sf_dir)
         p = fx.predictions_from_trades(t)
-        return [ev.equity_curve(p, t, BASELINE_PERM), ev.portfolio_comparison(p, t, BASELINE_PERM)]
+        return list(ev.equity_report(p, t, BASELINE_PERM))
 
     def recommendation():
         t = fx.trades_from_events(spark, sf_dir)

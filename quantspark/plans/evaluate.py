@@ -67,7 +67,13 @@ def drawdown_rows(df: DataFrame, value: str, order: Sequence, num_blocks: int |
 def trading_metrics(df: DataFrame, value: str, order: Sequence, params: Params = Params(),
                     num_blocks: int | None = None) -> DataFrame:
     """L2a-L2h over a return series ordered by ``order``: one row (plus ``n``)."""
-    x = drawdown_rows(df, value, order, num_blocks)
+    return metrics_from_curve(drawdown_rows(df, value, order, num_blocks), value, "cum", "runmax", params)
+
+
+def metrics_from_curve(x: DataFrame, value: str, cum: str, runmax: str, params: Params = Params()) -> DataFrame:
+    """L2 from per-row returns with their cumulative sum and its running maximum."""
+    x = x.withColumn("drawdown", F.col(cum) - F.col(runmax)).withColumn(
+        "pct_drawdown", F.when(F.col(runmax) != 0, (F.col(cum) - F.col(runmax)) / F.col(runmax)).otherwise(0.0))
     r = F.col(value)
     a = x.agg(
         F.count(F.lit(1)).alias("n"), F.avg(r).alias("_mean"), F.stddev_samp(r).alias("_std"),
@@ -75,7 +81,7 @@ def trading_metrics(df: DataFrame, value: str, order: Sequence, params: Params =
         F.sum(F.when(r > 0, r)).alias("_gp"), F.sum(F.when(r < 0, r)).alias("_gl"),
         F.count_if(r > 0).alias("_nw"), F.avg(F.when(r > 0, r)).alias("_aw"),
         F.avg(F.when(r < 0, r)).alias("_al"), F.sum(r).alias("_tot"),
-        F.max("cum").alias("_final_runmax"), F.avg(F.col("pct_drawdown") ** 2).alias("_msq"))
+        F.max(cum).alias("_final_runmax"), F.avg(F.col("pct_drawdown") ** 2).alias("_msq"))
     ann, rf = float(params.annualization), float(params.risk_free_rate)
     sq = math.sqrt(ann)
     mdd = F.abs(F.col("max_drawdown"))
@@ -461,32 +467,45 @@ def model_portfolio(predictions: DataFrame, trades: DataFrame) -> DataFrame:
     return best.join(t, "trade_id")
 
 
-def equity_curve(predictions: DataFrame, trades: DataFrame, baseline_permutation: str,
-                 num_blocks: int | None = None) -> DataFrame:
-    """L14 + L15: per model timestamp, realised pnl and its cumulative sum, and the
-    baseline permutation's pnl at the same timestamps (0 when absent) and its sum."""
+def _curve(predictions: DataFrame, trades: DataFrame, baseline_permutation: str,
+           num_blocks: int | None = None) -> DataFrame:
     mp = model_portfolio(predictions, trades)
     base = (trades.filter(F.col("permutation_id") == baseline_permutation)
                   .groupBy("timestamp").agg(F.sum("pnl").alias("baseline_pnl")))
     x = mp.join(base, "timestamp", "left").withColumn("baseline_pnl", F.coalesce("baseline_pnl", F.lit(0.0)))
-    x = running_sum_max(x, F.col("realized_pnl"), ["timestamp"], "cumulative_pnl", "_rm1", num_blocks,
+    x = running_sum_max(x, F.col("realized_pnl"), ["timestamp"], "cumulative_pnl", "model_runmax", num_blocks,
                         keep_blocks=True)
-    x = running_sum_max(x, F.col("baseline_pnl"), None, "baseline_cumulative_pnl", "_rm2")
-    return x.select("timestamp", "trade_id", "predicted_pnl", "realized_pnl", "cumulative_pnl",
-                    "baseline_pnl", "baseline_cumulative_pnl")
+    return running_sum_max(x, F.col("baseline_pnl"), None, "baseline_cumulative_pnl", "baseline_runmax")
+
+
+def equity_curve(predictions: DataFrame, trades: DataFrame, baseline_permutation: str,
+                 num_blocks: int | None = None) -> DataFrame:
+    """L14 + L15: per model timestamp, realised pnl and its cumulative sum, and the
+    baseline permutation's pnl at the same timestamps (0 when absent) and its sum."""
+    return _curve(predictions, trades, baseline_permutation, num_blocks).select(
+        "timestamp", "trade_id", "predicted_pnl", "realized_pnl", "cumulative_pnl", "baseline_pnl",
+        "baseline_cumulative_pnl")
 
 
 def portfolio_comparison(predictions: DataFrame, trades: DataFrame, baseline_permutation: str,
-                         params: Params = Params()) -> DataFrame:
-    """Trading metrics of the model portfolio and of the baseline, one row each."""
-    mp = model_portfolio(predictions, trades)
-    base = (trades.filter(F.col("permutation_id") == baseline_permutation)
-                  .groupBy("timestamp").agg(F.sum("pnl").alias("baseline_pnl")))
-    bp = mp.select("timestamp").join(base, "timestamp", "left").withColumn(
-        "baseline_pnl", F.coalesce("baseline_pnl", F.lit(0.0)))
-    m = trading_metrics(mp, "realized_pnl", ["timestamp"], params).withColumn("portfolio", F.lit("model"))
-    b = trading_metrics(bp, "baseline_pnl", ["timestamp"], params).withColumn("portfolio", F.lit("baseline"))
-    return m.unionByName(b).select("portfolio", "n", *TRADING_COLUMNS)
+                         params: Params = Params(), curve: DataFrame | None = None) -> DataFrame:
+    """Trading metrics of the model portfolio and of the baseline, one row each.
+
+    Both come from one equity curve (one ordered pass for the two prefix sums)."""
+    c = curve if curve is not None else _curve(predictions, trades, baseline_permutation)
+    m = metrics_from_curve(c, "realized_pnl", "cumulative_pnl", "model_runmax", params)
+    b = metrics_from_curve(c, "baseline_pnl", "baseline_cumulative_pnl", "baseline_runmax", params)
+    return (m.withColumn("portfolio", F.lit("model")).unionByName(b.withColumn("portfolio", F.lit("baseline")))
+             .select("portfolio", "n", *TRADING_COLUMNS))
+
+
+def equity_report(predictions: DataFrame, trades: DataFrame, baseline_permutation: str,
+                  params: Params = Params()) -> tuple[DataFrame, DataFrame]:
+    """L14-L16 together: the curve and the comparison share one ordered pass."""
+    c = _curve(predictions, trades, baseline_permutation)
+    return (c.select("timestamp", "trade_id", "predicted_pnl", "realized_pnl", "cumulative_pnl", "baseline_pnl",
+                     "baseline_cumulative_pnl"),
+            portfolio_comparison(predictions, trades, baseline_permutation, params, curve=c))
 
 
 # ---------------------------------------------------------------------------
