@@ -91,3 +91,30 @@ def _best_slots(spark, sf):
 
 
 register("k6_best_permutation_per_slot")(_best_slots)
+
+
+# K6 / K7 with a transparent scorer (the slot profile's rolling_pnl_20), so the
+# best-per-slot and matrix logic is checkable in SQL without a fitted model.
+def _score_by_rolling_pnl(prof):
+    return prof.withColumn("prediction", F.col("rolling_pnl_20"))
+
+
+def _k6_transparent(spark, sf):
+    m = _matrix(spark, sf)
+    return rec.best_per_slot(rec.score_grid(rec.profiles(m, mdl.feature_columns(m)), _score_by_rolling_pnl))
+
+
+_K6_SQL = _with(*feature_store_ctes(), MATRIX_SQL, *_PROFILE_SQL, """
+best AS (SELECT day_of_week, hour_of_day, permutation_id AS best_permutation, rolling_pnl_20 AS predicted_pnl
+         FROM profiles WHERE rolling_pnl_20 IS NOT NULL AND NOT isnan(rolling_pnl_20)
+         QUALIFY row_number() OVER (PARTITION BY day_of_week, hour_of_day
+                                    ORDER BY rolling_pnl_20 DESC, perm_order) = 1)""")
+register("k6_best_slot_transparent_scorer", _K6_SQL + "SELECT * FROM best")(_k6_transparent)
+
+_DAYS = ", ".join(f"({i}, '{d}')" for i, d in enumerate(rec.DAYS))
+register("k7_matrix_transparent_scorer", _K6_SQL.rstrip() + f""",
+days AS (SELECT * FROM (VALUES {_DAYS}) t(day_of_week, day))
+SELECT d.day, CAST(d.day_of_week AS INTEGER) AS day_of_week,
+       {", ".join(f'max(CASE WHEN b.hour_of_day = {h} THEN b.best_permutation END) AS "{h:02d}:00"' for h in range(24))}
+FROM days d LEFT JOIN best b ON b.day_of_week = d.day_of_week GROUP BY d.day, d.day_of_week""")(
+    lambda spark, sf: rec.recommendation_matrix(_k6_transparent(spark, sf)))
