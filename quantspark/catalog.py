@@ -61,6 +61,17 @@ register("a2_trades_from_events", _with(fx.TRADES_EVENTS_SQL) + "SELECT * FROM t
 register("a2_trades_from_lineitem", _with(fx.TRADES_LINEITEM_SQL) + "SELECT * FROM trades")(
     lambda spark, sf: (prepare_session(spark), fx.trades_from_lineitem(spark, sf))[1])
 
+@register("a3_parameterised_sql", _with(fx.TRADES_EVENTS_SQL) + """
+SELECT permutation_id, count(*) AS n, sum(pnl) AS pnl, min("timestamp") AS first_trade
+FROM trades WHERE permutation_id = 'P_click' GROUP BY permutation_id""")
+def _a3(spark, sf):
+    """A3: a parameterised SELECT over a temp view (named parameter :perm)."""
+    from quantspark.sources.tables import sql
+    return sql(spark, "SELECT permutation_id, count(*) AS n, sum(pnl) AS pnl, min(`timestamp`) AS first_trade "
+                      "FROM trades WHERE permutation_id = :perm GROUP BY permutation_id",
+               {"trades": _trades(spark, sf)}, perm="P_click")
+
+
 # ---------------------------------------------------------------------------
 # B: macro ingestion
 # ---------------------------------------------------------------------------
