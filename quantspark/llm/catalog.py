@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quantspark.llm.common import table
+from quantspark.llm.common import crc_mod, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -93,3 +93,54 @@ def op6_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quantspark.llm.packing import pack_documents
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quantspark.llm.neardup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op9_near_duplicates"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS s FROM w),
+n AS (SELECT doc_id, len(s)::BIGINT AS n_shingles FROM g),
+u AS (SELECT doc_id, unnest(s) AS s FROM g),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM u x JOIN u y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+      WHERE 100 * shared >= 75 * (p.n_shingles + q.n_shingles - shared)),
+r AS (SELECT doc_id, doc_id AS m FROM n UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.m)
+SELECT n.doc_id, n.n_shingles, k.m AS component_id, n.doc_id = k.m AS kept
+FROM n JOIN (SELECT doc_id, min(m) AS m FROM r GROUP BY 1) k USING (doc_id)
+"""
+
+
+@query
+def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quantspark.llm.class_lm import class_lm_scores
+    return class_lm_scores(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) == 2)
+
+
+@query
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quantspark.llm.imatch import fingerprints
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quantspark.llm.toxicity import score_documents, train_toxicity
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    model = train_toxicity(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quantspark.llm.wrapper import main_texts
+    return main_texts(table(spark, sf_dir, "pages"))

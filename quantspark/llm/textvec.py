@@ -17,7 +17,7 @@ U64 = np.uint64
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """Finalising bijection on 64-bit values (multiply, xor-shift)."""
-    x = np.asarray(x, dtype=U64) + U64(seed * 0xD1B54A32D192ED03 + 0x9E3779B97F4A7C15 & (2**64 - 1))
+    x = np.atleast_1d(np.asarray(x, dtype=U64)) + U64(seed * 0xD1B54A32D192ED03 + 0x9E3779B97F4A7C15 & (2**64 - 1))
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> U64(27))) * U64(0x94D049BB133111EB)
     return x ^ (x >> U64(31))
