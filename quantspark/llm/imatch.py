@@ -120,9 +120,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                       .unionByName(docs.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("h"),
                                                                      F.lit(0).cast("bigint").alias("mask"))))
     order = Window.partitionBy("blk").orderBy("ctx", F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"))
-    n, nxt = F.length("text"), F.lead("text").over(order)
+    n = F.length("text")
     rows = (_blocks(docs, id_col, text_col)
-            .withColumn("nxt", F.coalesce(nxt, F.lit(""))).withColumn("pos", F.row_number().over(order))
+            .select("blk", "ctx", "doc_id", "text", F.lead("text", 1, "").over(order).alias("nxt"),
+                    F.row_number().over(order).alias("pos"))
             .withColumn("n_chars", n.cast("bigint")).withColumn("half", F.floor(n / 2).cast("int"))
             .withColumn("edited", F.concat(F.expr("substring(text, 1, n_chars - half)"), F.expr("substring(nxt, 1, half)")))
             .withColumn("sha", F.sha2(F.col("edited").cast("binary"), 256)))
@@ -131,15 +132,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                              F.struct(F.lit(1).alias("side"), F.col("edited").alias("t"))))
     sides = rows.select("blk", "pos", "ctx", "doc_id", "n_chars", "sha", side.alias("s")).select(
         "blk", "pos", "ctx", "doc_id", "n_chars", "sha", "s.side", terms(F.col("s.t")).alias("w"))
-    whole = F.hex(F.xxhash64(F.array_sort("w")))
-    words = sides.select("blk", "pos", "ctx", "doc_id", "n_chars", "sha", "side", whole.alias("whole"),
+    sides = sides.withColumn("whole", F.hex(F.xxhash64(F.sort_array("w"))))     # once per text, below the explode
+    words = sides.select("blk", "pos", "ctx", "doc_id", "n_chars", "sha", "side", "whole",
                          F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("w"))).alias("w"))
     h = F.when(F.col("w").isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64("w"))
     marked = words.withColumn("h", h).join(lex, "h")
     prints = (marked.groupBy("blk", "pos", "side").agg(
         F.first("ctx").alias("ctx"), F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"),
         F.first("sha").alias("sha"), F.first("whole").alias("whole"),
-        F.array_sort(F.collect_list(F.struct("h", "mask"))).alias("found"))
+        F.sort_array(F.collect_list(F.struct("h", "mask"))).alias("found"))
         .withColumn("fp", F.array_join(F.concat(_signatures(F.col("found")), F.array("whole")), ",")))
     per_doc = prints.groupBy("blk", "pos").agg(
         F.first("ctx").alias("ctx"), F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"),
