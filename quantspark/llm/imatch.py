@@ -25,9 +25,11 @@ from quantspark.llm.common import input_bytes, stored
 
 LOW, HIGH = 2.0 ** -11, 2.0 ** -3
 MIN_DOCUMENTS = 2
-# Share of the lexicon in each subset, 2^-r: four subsets of each size.
-RATES = tuple(r for r in range(1, 9) for _ in range(4))
-SUBSETS = len(RATES)
+# Share of the lexicon in the subsets of each level, 2^-r; every level has PER_LEVEL subsets.
+LEVELS, PER_LEVEL = (2, 4, 6, 7, 8, 9, 10, 12), 8
+RATES = tuple(r for r in LEVELS for _ in range(PER_LEVEL))
+SUBSETS = len(RATES)                  # one bit each in a 64-bit mask
+DENSE = 6                             # a level with more subsets in use is too dense to show overlap
 BLOCK_BYTES, MAX_BLOCKS = 4 << 20, 1 << 16
 SPLIT = r"[\x20\x09-\x0D\p{Punct}]+"
 
@@ -43,7 +45,7 @@ def lexicon(docs: DataFrame, text_col: str = "text") -> DataFrame:
     counts = stored(docs.select(F.explode(terms(text)).alias("w")).groupBy(F.xxhash64("w").alias("h"))
                     .agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= MIN_DOCUMENTS))
     n = docs.count()
-    bits = [F.when(F.pmod(F.xxhash64("h", F.lit(i)), F.lit(1 << r)) == 0, F.lit(1 << i).cast("bigint"))
+    bits = [F.when(F.pmod(F.xxhash64("h", F.lit(i)), F.lit(1 << r)) == 0, F.lit((1 << i) - (1 << 64) * (i == 63)).cast("bigint"))
             .otherwise(F.lit(0).cast("bigint")) for i, r in enumerate(RATES)]
     mask = bits[0]
     for b in bits[1:]:
@@ -62,14 +64,27 @@ def _signatures(found: Column) -> Column:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal signatures among the subsets that hold a term of either text.  Two texts without
-    any lexicon term are alike if the hashes of all their terms (the last element) are equal."""
+    """Share of equal signatures among the subsets that hold a term of either text, over the levels of
+    which at most ``DENSE`` subsets do (the sparsest level, where all are denser).  With few terms per
+    subset this follows the overlap of the term sets; equal fingerprints give 1.  Two texts without a
+    term in any subset are alike if the hashes of all their terms (the last element) are equal."""
     x, y = F.split(a, ","), F.split(b, ",")
-    pairs = F.slice(F.arrays_zip(x.alias("x"), y.alias("y")), 1, SUBSETS)
-    used = F.filter(pairs, lambda p: (p["x"] != "") | (p["y"] != ""))
-    same = F.filter(pairs, lambda p: (p["x"] != "") & (p["x"] == p["y"]))
+    pairs = F.arrays_zip(x.alias("x"), y.alias("y"))
+
+    def level(i: Column) -> Column:
+        own = F.slice(pairs, i * PER_LEVEL + 1, F.lit(PER_LEVEL))
+        used = F.size(F.filter(own, lambda p: (p["x"] != "") | (p["y"] != "")))
+        same = F.size(F.filter(own, lambda p: (p["x"] != "") & (p["x"] == p["y"])))
+        return F.struct(used.alias("used"), same.alias("same"))
+
+    levels = F.transform(F.sequence(F.lit(0), F.lit(len(LEVELS) - 1)), level)
+    some = F.filter(levels, lambda p: p["used"] > 0)
+    sparse = F.filter(some, lambda p: p["used"] <= DENSE)
+    chosen = F.when(F.size(sparse) > 0, sparse).otherwise(F.slice(some, -1, 1))
+    used = F.aggregate(chosen, F.lit(0), lambda t, p: t + p["used"])
+    same = F.aggregate(chosen, F.lit(0), lambda t, p: t + p["same"])
     whole = (F.element_at(x, -1) == F.element_at(y, -1)).cast("double")
-    return F.when(F.size(used) > 0, F.size(same) / F.size(used)).otherwise(whole).cast("double")
+    return (F.when(a == b, F.lit(1.0)).when(F.size(some) > 0, same / used).otherwise(whole).cast("double"))
 
 
 def _block_of(key: Column, bounds: list) -> Column:
