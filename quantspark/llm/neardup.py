@@ -309,9 +309,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``docs`` with one row of each near-duplicate group: the one of the smallest id.  Rows with a null id
     and rows without words stay; of rows that repeat an id and its text, one stays."""
     found = stored(near_duplicates(docs, id_col, text_col))
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col(f"`{id_col}`") == F.col("_gone"), "left_anti")
-    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+    ids = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    gone = ids.filter(~F.col("kept")).select("doc_id").alias("gone")
+    left = docs.alias("docs").join(gone, F.col(f"docs.`{id_col}`") == F.col("gone.doc_id"), "left_anti")
+    if ids.filter("doc_id is not null and rows > 1").isEmpty():
         return left
     nulls = left.filter(F.col(f"`{id_col}`").isNull())
     return left.filter(F.col(f"`{id_col}`").isNotNull()).dropDuplicates([id_col, text_col]).unionByName(nulls)
