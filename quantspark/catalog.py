@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantspark.config import DEFAULT_BLOCKED_ACCOUNTS, Params
-from quantspark.functions.stats import ewma_rows
 from quantspark.plans import cleaning, features, macro
 from quantspark.session import prepare_session
 from quantspark.sources import fixtures as fx
@@ -107,7 +106,7 @@ SELECT release_date AS timestamp_utc, series_id AS event_name, 'US' AS country,
 FROM macro_series""")
 def _b7(spark, sf):
     prepare_session(spark)
-    return macro.derive_events(_macro(spark, sf), block_rows=64)
+    return macro.derive_events(_macro(spark, sf))
 
 
 @register("f1_pct_change", _with(fx.macro_sql(daily=True)) + """
@@ -117,7 +116,7 @@ SELECT series_id, date, value, release_date, frequency, source,
 FROM macro_series""")
 def _f1(spark, sf):
     prepare_session(spark)
-    return macro.pct_change(fx.macro_from_orders(spark, sf, daily=True), block_rows=4096)
+    return macro.pct_change(fx.macro_from_orders(spark, sf, daily=True))
 
 
 # ---------------------------------------------------------------------------
@@ -277,7 +276,7 @@ register("e_rolling_features", _with(fx.TRADES_EVENTS_SQL, rolling_sql()) + """
 SELECT id AS trade_id, account, permutation_id, rolling_pnl_5, rolling_pnl_20, rolling_win_rate,
        rolling_avg_quantity, rolling_trade_frequency, rolling_volatility, rolling_drawdown
 FROM rolling""")(
-    lambda spark, sf: features.add_rolling(_trades(spark, sf), block_rows=1024).select(
+    lambda spark, sf: features.add_rolling(_trades(spark, sf)).select(
         F.col("id").alias("trade_id"), "account", "permutation_id", *features.ROLLING_COLUMNS))
 
 register("e_rolling_features_lineitem", _with(fx.TRADES_LINEITEM_SQL, rolling_sql()) + """
@@ -296,7 +295,6 @@ FROM rolling""")(
 def stream_sql() -> str:
     """macro_series -> stream (x, stream statistics, per-series last values)."""
     w = P.macro_window
-    H = max(ewma_rows(P.ewma_span), w, 12)
     b = 1.0 - 2.0 / (P.ewma_span + 1.0)
     O = "ORDER BY pos"
     M = f"({O} ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW)"
@@ -315,7 +313,7 @@ st0 AS (
     quantile_cont(x, 0.5) OVER {M} AS rolling_median,
     skewness(x) OVER {M} AS rolling_skewness, kurtosis(x) OVER {M} AS rolling_kurtosis,
     list(x) OVER {M} AS arr12,
-    list(x) OVER ({O} ROWS BETWEEN {H - 1} PRECEDING AND CURRENT ROW) AS arr_e,
+    list(x) OVER {U} AS arr_e,
     lag(x, 1) OVER ({O}) AS lag_1, lag(x, 2) OVER ({O}) AS lag_2, lag(x, 3) OVER ({O}) AS lag_3,
     lag(x, 6) OVER ({O}) AS lag_6, lag(x, 12) OVER ({O}) AS lag_12,
     lag(release_date, 1) OVER ({O}) AS prev_release,
@@ -412,7 +410,7 @@ def _feature_store(spark, sf, **kw):
 
 
 register("g7_feature_store", feature_store_sql())(
-    lambda spark, sf: _feature_store(spark, sf, block_rows=2048))
+    lambda spark, sf: _feature_store(spark, sf))
 
 
 @register("f_macro_stream", _with(fx.macro_sql(), stream_sql()) + """
@@ -423,7 +421,7 @@ SELECT series_id, date, release_date, x, rolling_mean, rolling_std, rolling_min,
 FROM stream""")
 def _f_stream(spark, sf):
     prepare_session(spark)
-    s = features.macro_stream(fx.macro_from_orders(spark, sf, daily=True), block_rows=512)
+    s = features.macro_stream(fx.macro_from_orders(spark, sf, daily=True))
     return s.select("series_id", "date", "release_date", "x", "rolling_mean", "rolling_std", "rolling_min",
                     "rolling_max", "rolling_median", "rolling_zscore", "macro_rolling_variance",
                     "macro_rolling_percentile", "macro_ewma", "rolling_skewness", "rolling_kurtosis",

@@ -14,7 +14,7 @@ from quantspark.sources import fixtures as fx
 
 
 def _fs_with_ts(spark, sf):
-    return _feature_store(spark, sf, block_rows=2048)
+    return _feature_store(spark, sf)
 
 
 _FS_TS = """
@@ -121,19 +121,18 @@ SELECT CAST(k AS INTEGER) AS lag, s / (SELECT sum(e * e) FROM l) AS acf FROM (
   SELECT 0 AS k, sum(e * e) AS s FROM l UNION ALL """ + " UNION ALL ".join(
     f"SELECT {k}, sum(e * l{k}) FROM l" for k in range(1, _LAGS + 1)) + ")"
 
-register("m14_acf", _ACF_SQL)(lambda spark, sf: dg.acf(_trades(spark, sf), "pnl", ("timestamp", "id"), _LAGS,
-                                                       block_rows=2048))
-register("m15_pacf")(lambda spark, sf: dg.pacf(_trades(spark, sf), "pnl", ("timestamp", "id"), _LAGS, block_rows=2048))
+register("m14_acf", _ACF_SQL)(lambda spark, sf: dg.acf(_trades(spark, sf), "pnl", ("timestamp", "id"), _LAGS))
+register("m15_pacf")(lambda spark, sf: dg.pacf(_trades(spark, sf), "pnl", ("timestamp", "id"), _LAGS))
 
 
 def _m12(spark, sf):
-    r = dg.adf(_trades(spark, sf), "pnl", ("timestamp", "id"), block_rows=2048)
+    r = dg.adf(_trades(spark, sf), "pnl", ("timestamp", "id"))
     return spark.createDataFrame([(r["adf_statistic"], r["adf_p_value"], r["used_lag"], r["nobs"])],
                                  "adf_statistic double, adf_p_value double, used_lag int, nobs long")
 
 
 def _m13(spark, sf):
-    r = dg.kpss(_trades(spark, sf), "pnl", ("timestamp", "id"), block_rows=2048)
+    r = dg.kpss(_trades(spark, sf), "pnl", ("timestamp", "id"))
     return spark.createDataFrame([(r["kpss_statistic"], r["kpss_p_value"], r["lags"])],
                                  "kpss_statistic double, kpss_p_value double, lags int")
 
@@ -145,7 +144,7 @@ register("m13_kpss")(_m13)
 def _m16(spark, sf):
     t = _trades(spark, sf)
     return dg.audit_tables({"trades": t, "macro_series": fx.macro_from_orders(spark, sf),
-                            "predictions": fx.predictions_from_trades(t, block_rows=2048)})
+                            "predictions": fx.predictions_from_trades(t)})
 
 
 register("m16_table_audit", _with(T, PRED, fx.macro_sql()) + """

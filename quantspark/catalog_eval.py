@@ -26,7 +26,7 @@ PRED = fx.PREDICTIONS_SQL
 
 
 def _preds(spark, sf):
-    return fx.predictions_from_trades(_trades(spark, sf), block_rows=2048)
+    return fx.predictions_from_trades(_trades(spark, sf))
 
 
 # ---------------------------------------------------------------------------
@@ -84,7 +84,7 @@ CANDIDATES = [("previous_pnl", "predicted_pnl"), ("zero", "0.0"), ("half_previou
 
 def _fold_results(spark, sf):
     t = _trades(spark, sf)
-    preds = fx.predictions_from_trades(t, block_rows=2048)
+    preds = fx.predictions_from_trades(t)
     cands = preds.select("walk_forward_fold", "actual_pnl", F.explode(F.array(*[
         F.struct(F.lit(n).alias("model"), F.lit(i).alias("model_order"), F.expr(e).alias("predicted_pnl"))
         for i, (n, e) in enumerate(CANDIDATES)])).alias("_c")).select("walk_forward_fold", "actual_pnl", "_c.*")
@@ -125,10 +125,11 @@ fold_results AS (
 register("j13_fold_results", _with(T, PRED, *FOLD_RESULTS_SQL) + "SELECT * FROM fold_results")(_fold_results)
 
 register("j15_training_summary", _with(T, PRED, *FOLD_RESULTS_SQL, """
-w AS (SELECT best_model, count(*) AS c FROM fold_results GROUP BY 1)""") + """
+w AS (SELECT best_model, count(*) AS c, min(fold) AS f FROM fold_results GROUP BY 1)""") + """
 SELECT count(*) AS folds, avg(mae) AS mean_mae, stddev_pop(mae) AS std_mae, avg(rmse) AS mean_rmse,
        avg(r2) AS mean_r2,
-       (SELECT arg_max(best_model, (c, -length(best_model))) FROM w) AS most_selected_model
+       (SELECT best_model FROM w ORDER BY c DESC, f LIMIT 1) AS most_selected_model,
+       (SELECT '{' || string_agg('"' || best_model || '":' || c, ',' ORDER BY f) || '}' FROM w) AS model_selection_counts
 FROM fold_results""")(lambda spark, sf: training_summary(_fold_results(spark, sf)))
 
 register("l11_model_stability", _with(T, PRED, *FOLD_RESULTS_SQL) + """
@@ -207,15 +208,17 @@ register("l2_trading_metrics", _with(T, PRED, *trading_sql("predictions", "actua
     lambda spark, sf: ev.trading_metrics(_preds(spark, sf), "actual_pnl", ORDER))
 
 
-@register("l3_integrity_report", _with(T, PRED, fx.macro_sql()) + """
+@register("l3_integrity_report", _with(*feature_store_ctes(), PRED, *FOLD_RESULTS_SQL) + """
 SELECT (SELECT count(*) FROM trades) AS rows_trades, count(*) AS rows_predictions,
        count_if(trade_id IS NULL) AS null_trade_id, count_if(actual_pnl IS NULL) AS null_actual_pnl,
        count_if(predicted_pnl IS NULL) AS null_predicted_pnl,
        (SELECT count(*) FROM predictions p JOIN trades t ON p.trade_id = t.id) AS joined_rows,
        (SELECT count(*) FROM predictions p WHERE NOT EXISTS (SELECT 1 FROM trades t WHERE t.id = p.trade_id))
          AS orphan_predictions,
-       (SELECT count(*) FROM macro_series) AS rows_macro_events,
+       (SELECT count(*) FROM macro_series) AS rows_macro_events, (SELECT count(*) FROM fs) AS rows_feature_store,
+       (SELECT count(*) FROM fold_results) AS rows_walk_forward_results,
        (SELECT count(*) FROM trades) > 0 AND count(*) > 0 AND (SELECT count(*) FROM macro_series) > 0
+         AND (SELECT count(*) FROM fs) > 0 AND (SELECT count(*) FROM fold_results) > 0
          AND (SELECT count(*) FROM predictions p JOIN trades t ON p.trade_id = t.id) > 0
          AND count_if(trade_id IS NULL) = 0 AND count_if(actual_pnl IS NULL) = 0
          AND count_if(predicted_pnl IS NULL) = 0
@@ -225,7 +228,9 @@ FROM predictions""")
 def _l3(spark, sf):
     t = _trades(spark, sf)
     events = macro.derive_events(fx.macro_from_orders(spark, sf))
-    return ev.integrity_report(t, fx.predictions_from_trades(t, block_rows=2048), {"macro_events": events})
+    return ev.integrity_report(t, fx.predictions_from_trades(t), {
+        "macro_events": events, "feature_store": _feature_store(spark, sf),
+        "walk_forward_results": _fold_results(spark, sf)})
 
 
 register("l4_prediction_checks", _with(T, PRED) + """
@@ -251,10 +256,10 @@ long AS (SELECT y, 'predict_mean' AS baseline, predict_mean AS pred FROM b
          UNION ALL SELECT y, 'previous_trade', previous_trade FROM b
          UNION ALL SELECT y, 'rolling_mean', rolling_mean FROM b)""") + regression_sql(
     "long", "y", "pred", "baseline").replace("SELECT baseline, count(*) AS n, ", "SELECT baseline, "))(
-    lambda spark, sf: ev.baseline_report(_preds(spark, sf), block_rows=2048))
+    lambda spark, sf: ev.baseline_report(_preds(spark, sf)))
 
 register("l5_random_baseline")(
-    lambda spark, sf: ev.baseline_report(_preds(spark, sf), include_random=True, block_rows=2048)
+    lambda spark, sf: ev.baseline_report(_preds(spark, sf), include_random=True)
     .filter(F.col("baseline") == "random"))
 
 # ---------------------------------------------------------------------------
@@ -272,7 +277,7 @@ SELECT avg(pnl) AS mean, stddev_samp(pnl) AS std, var_samp(pnl) AS variance, ske
        CASE WHEN stddev_samp(pnl) > 0 THEN abs(avg(pnl)) / stddev_samp(pnl) ELSE 0.0 END < 0.05 AS advise_low_snr,
        abs(skewness(pnl)) > 2.0 AS advise_skewed,
        (SELECT r FROM ac) > 0.1 AS advise_autocorrelated
-FROM trades""")(lambda spark, sf: ev.target_audit(_trades(spark, sf), block_rows=2048))
+FROM trades""")(lambda spark, sf: ev.target_audit(_trades(spark, sf)))
 
 _PAIRS_SQL = """
 pairs AS (SELECT a.series_id AS series_a, b.series_id AS series_b, count(*) AS n,
@@ -320,7 +325,7 @@ SELECT feature, avg(v) FILTER (WHERE first_half) AS first_half_mean,
                  / (stddev_samp(v) FILTER (WHERE first_half) + 1e-9) ELSE 0.0 END AS drift_score
 FROM long GROUP BY feature""")
 def _l10(spark, sf):
-    f = _feature_store(spark, sf, block_rows=2048)
+    f = _feature_store(spark, sf)
     return ev.feature_drift(f, _trades(spark, sf))
 
 
@@ -339,6 +344,16 @@ codes AS (SELECT permutation_id, 'P' || CAST(dense_rank() OVER (ORDER BY permuta
 SELECT day_of_week, hour_of_day, permutation_id, predicted_pnl, code FROM best JOIN codes USING (permutation_id)""")(
     lambda spark, sf: ev.slot_heatmap(_preds(spark, sf)))
 
+_SLOT_PIVOT = ", ".join([f"max(CASE WHEN hour_of_day = {h} THEN permutation_id END) AS p{h:02d}" for h in range(24)]
+                         + [f"max(CASE WHEN hour_of_day = {h} THEN predicted_pnl END) AS v{h:02d}" for h in range(24)])
+register("l12_slot_pivots", _with(T, PRED, """
+g AS (SELECT CAST(isodow("timestamp") - 1 AS INTEGER) AS day_of_week, CAST(hour("timestamp") AS INTEGER) AS hour_of_day,
+             permutation_id, avg(predicted_pnl) AS predicted_pnl FROM predictions GROUP BY ALL)""", """
+best AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY day_of_week, hour_of_day
+                                                    ORDER BY predicted_pnl DESC NULLS LAST, permutation_id) = 1)""") + f"""
+SELECT day_of_week, {_SLOT_PIVOT} FROM best GROUP BY day_of_week""")(
+    lambda spark, sf: ev.slot_pivots(ev.slot_heatmap(_preds(spark, sf))))
+
 _BEST_TS = """
 best_ts AS (SELECT arg_max(trade_id, (predicted_pnl, -trade_id)) AS trade_id, "timestamp",
                    max(predicted_pnl) AS predicted_pnl
@@ -359,7 +374,7 @@ SELECT p."timestamp", p.trade_id, p.predicted_pnl, p.realized_pnl,
        sum(coalesce(b.baseline_pnl, 0.0)) OVER (ORDER BY p."timestamp" ROWS UNBOUNDED PRECEDING)
          AS baseline_cumulative_pnl
 FROM port p LEFT JOIN base b USING ("timestamp")""")(
-    lambda spark, sf: (lambda t: ev.equity_curve(fx.predictions_from_trades(t, block_rows=2048), t,
+    lambda spark, sf: (lambda t: ev.equity_curve(fx.predictions_from_trades(t), t,
                                                  BASELINE_PERM))(_trades(spark, sf)))
 
 
@@ -377,9 +392,19 @@ SELECT 'model' AS portfolio, * FROM mtm UNION ALL SELECT 'baseline' AS portfolio
 
 
 register("l16_portfolio_comparison", _l16_sql())(
-    lambda spark, sf: (lambda t: ev.portfolio_comparison(fx.predictions_from_trades(t, block_rows=2048), t,
+    lambda spark, sf: (lambda t: ev.portfolio_comparison(fx.predictions_from_trades(t), t,
                                                          BASELINE_PERM))(_trades(spark, sf)))
 
+register("l27_trading_findings", "WITH c AS (" + _l16_sql() + """)
+SELECT max(CASE WHEN portfolio = 'model' THEN sharpe_ratio END) AS model_sharpe,
+       max(CASE WHEN portfolio = 'baseline' THEN sharpe_ratio END) AS baseline_sharpe,
+       max(CASE WHEN portfolio = 'model' THEN profit_factor END) AS model_profit_factor,
+       max(CASE WHEN portfolio = 'model' THEN sharpe_ratio END)
+         > max(CASE WHEN portfolio = 'baseline' THEN sharpe_ratio END) AS adds_value,
+       max(CASE WHEN portfolio = 'model' THEN profit_factor END) > 1.0 AS profitable FROM c""")(
+    lambda spark, sf: (lambda t: ev.trading_findings(ev.portfolio_comparison(
+        fx.predictions_from_trades(t), t, BASELINE_PERM)))(_trades(spark, sf)))
+
 _RES = """
 res AS (SELECT p.trade_id, p."timestamp", p.permutation_id, p.predicted_pnl, p.walk_forward_fold, p.experiment_id,
                t.pnl AS actual_pnl, p.predicted_pnl - t.pnl AS residual, abs(p.predicted_pnl - t.pnl) AS abs_error
@@ -388,7 +413,7 @@ res AS (SELECT p.trade_id, p."timestamp", p.permutation_id, p.predicted_pnl, p.w
 
 def _res(spark, sf):
     t = _trades(spark, sf)
-    return ev.residuals(fx.predictions_from_trades(t, block_rows=2048), t)
+    return ev.residuals(fx.predictions_from_trades(t), t)
 
 
 register("l17_residuals", _with(T, PRED, _RES) + "SELECT * FROM res")(_res)
@@ -413,7 +438,7 @@ register("l23_durbin_watson", _with(T, PRED, _RES, """
 e AS (SELECT actual_pnl - predicted_pnl AS e,
              lag(actual_pnl - predicted_pnl) OVER (ORDER BY "timestamp", trade_id) AS pe FROM res)""") + """
 SELECT CASE WHEN sum(e * e) <> 0 THEN sum((e - pe) * (e - pe)) / sum(e * e) END AS durbin_watson FROM e""")(
-    lambda spark, sf: ev.durbin_watson(_res(spark, sf), block_rows=2048))
+    lambda spark, sf: ev.durbin_watson(_res(spark, sf)))
 
 register("l24_jarque_bera", _with(T, PRED, _RES, """
 m AS (SELECT count(*) AS n, avg(actual_pnl - predicted_pnl) AS mu FROM res)""", """
@@ -424,4 +449,4 @@ SELECT n, n / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2
 FROM m, mo""")(lambda spark, sf: ev.jarque_bera(_res(spark, sf).withColumn(
     "e", F.col("actual_pnl") - F.col("predicted_pnl")), "e"))
 
-register("l25_residual_tests")(lambda spark, sf: ev.residual_tests(_res(spark, sf), block_rows=2048))
+register("l25_residual_tests")(lambda spark, sf: ev.residual_tests(_res(spark, sf)))

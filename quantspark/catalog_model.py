@@ -24,7 +24,7 @@ m AS (SELECT fs.trade_id, fs.permutation_id, fs.market_session, t."timestamp" AS
 
 
 def _matrix(spark, sf):
-    return mdl.prepare(_feature_store(spark, sf, block_rows=2048), _trades(spark, sf))
+    return mdl.prepare(_feature_store(spark, sf), _trades(spark, sf))
 
 
 register("h_model_matrix", _with(*feature_store_ctes(), MATRIX_SQL) + f"""
@@ -34,19 +34,19 @@ SELECT trade_id, trade_timestamp, permutation_id, pnl, {", ".join(MATRIX_FEATURE
 
 _PROFILE_SQL = [f"""
 perms AS (SELECT permutation_id,
-                 CAST(row_number() OVER (ORDER BY min(trade_timestamp), permutation_id) - 1 AS INTEGER) AS perm_order
+                 min(trade_timestamp) AS first_seen
           FROM m WHERE permutation_id IS NOT NULL GROUP BY permutation_id)""", """
-slots AS (SELECT p.permutation_id, p.perm_order, CAST(s // 24 AS INTEGER) AS day_of_week,
+slots AS (SELECT p.permutation_id, p.first_seen, CAST(s // 24 AS INTEGER) AS day_of_week,
                  CAST(s % 24 AS INTEGER) AS hour_of_day FROM perms p, range(0, 168) r(s))""", f"""
 g AS (SELECT day_of_week, hour_of_day, true AS present, {", ".join(f"avg({c}) AS g_{c}" for c in PROFILE_VALUES)}
       FROM m GROUP BY 1, 2)""", f"""
 pp AS (SELECT permutation_id, day_of_week, hour_of_day, {", ".join(f"avg({c}) AS p_{c}" for c in PROFILE_VALUES)}
        FROM m WHERE permutation_id IS NOT NULL GROUP BY 1, 2, 3)""", f"""
-px AS (SELECT s.permutation_id, s.perm_order, s.day_of_week, s.hour_of_day,
+px AS (SELECT s.permutation_id, s.first_seen, s.day_of_week, s.hour_of_day,
               {", ".join(f"CASE WHEN g.present THEN coalesce(pp.p_{c}, g.g_{c}) END AS f_{c}" for c in PROFILE_VALUES)}
        FROM slots s LEFT JOIN g USING (day_of_week, hour_of_day)
        LEFT JOIN pp USING (permutation_id, day_of_week, hour_of_day))""", f"""
-profiles AS (SELECT permutation_id, perm_order, day_of_week, hour_of_day,
+profiles AS (SELECT permutation_id, first_seen, day_of_week, hour_of_day,
                     {", ".join(f"coalesce(f_{c}, avg(f_{c}) OVER (PARTITION BY permutation_id), 0.0) AS {c}"
                                for c in PROFILE_VALUES)}
              FROM px)"""]
@@ -108,7 +108,7 @@ _K6_SQL = _with(*feature_store_ctes(), MATRIX_SQL, *_PROFILE_SQL, """
 best AS (SELECT day_of_week, hour_of_day, permutation_id AS best_permutation, rolling_pnl_20 AS predicted_pnl
          FROM profiles WHERE rolling_pnl_20 IS NOT NULL AND NOT isnan(rolling_pnl_20)
          QUALIFY row_number() OVER (PARTITION BY day_of_week, hour_of_day
-                                    ORDER BY rolling_pnl_20 DESC, perm_order) = 1)""")
+                                    ORDER BY rolling_pnl_20 DESC, first_seen, permutation_id) = 1)""")
 register("k6_best_slot_transparent_scorer", _K6_SQL + "SELECT * FROM best")(_k6_transparent)
 
 _DAYS = ", ".join(f"({i}, '{d}')" for i, d in enumerate(rec.DAYS))

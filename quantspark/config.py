@@ -8,10 +8,10 @@ from dataclasses import dataclass, field
 # trading sessions (UTC, half-open [open, close)), matched in the order us, europe, asia;
 # blocked accounts; rolling windows; dedup window; walk-forward windows; annualisation.
 SESSION_ORDER = ("us", "europe", "asia")
-DEFAULT_SESSIONS = {
-    "asia": ("00:00", "09:00"),
-    "europe": ("07:00", "16:00"),
-    "us": ("13:30", "20:00"),
+DEFAULT_SESSIONS = {          # minutes of the day
+    "asia": (0, 9 * 60),
+    "europe": (7 * 60, 16 * 60),
+    "us": (13 * 60 + 30, 20 * 60),
 }
 DEFAULT_BLOCKED_ACCOUNTS = ("ACC_TEST", "ACC_INVALID", "ACC_DEMO", "ACC_PAPER")
 MACRO_SERIES = ("CPIAUCSL", "DGS10", "DGS2", "FEDFUNDS", "UNRATE")
@@ -53,10 +53,4 @@ class Params:
 
     def session_minutes(self):
         """[(name, open_minute, close_minute)] in match order."""
-        out = []
-        for name in SESSION_ORDER:
-            o, c = self.sessions[name]
-            oh, om = (int(p) for p in o.split(":"))
-            ch, cm = (int(p) for p in c.split(":"))
-            out.append((name, oh * 60 + om, ch * 60 + cm))
-        return out
+        return [(name, *self.sessions[name]) for name in SESSION_ORDER]

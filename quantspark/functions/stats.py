@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,26 +40,6 @@ def array_max_drawdown(arr: Column) -> Column:
     return F.aggregate(arr, init, step, lambda acc: acc["d"])
 
 
-def array_ewma(arr: Column, span: int) -> Column:
-    """Adjusted exponentially weighted mean of an ordered array (newest last).
-
-    num = x + b*num, den = 1 + b*den with b = 1 - 2/(span+1).
-    """
-    b = 1.0 - 2.0 / (span + 1.0)
-    init = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("d"))
-    return F.aggregate(
-        arr, init,
-        lambda acc, x: F.struct((x + F.lit(b) * acc["n"]).alias("n"), (F.lit(1.0) + F.lit(b) * acc["d"]).alias("d")),
-        lambda acc: F.when(acc["d"] > 0, acc["n"] / acc["d"]))
-
-
-def ewma_rows(span: int, eps: float = 1e-17) -> int:
-    """Look-back rows after which the EWMA tail weight b**k falls below ``eps``
-    relative to the head (below double precision)."""
-    b = 1.0 - 2.0 / (span + 1.0)
-    return int(math.ceil(math.log(eps) / math.log(b)))
-
-
 def array_pct_rank_last(arr: Column) -> Column:
     """Average-tie percentile rank of the last element in its array: (less + (equal+1)/2)/n."""
     last = F.element_at(arr, -1)

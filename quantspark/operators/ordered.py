@@ -38,20 +38,9 @@ def _cols(order: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-BLOCK_TARGET_BYTES = 256 << 20
-
-
 def default_blocks(df: DataFrame) -> int:
-    """Number of range blocks: the shuffle-partition setting, raised so that a block
-    holds about ``BLOCK_TARGET_BYTES`` of the optimizer's size estimate."""
-    spark = df.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-        n = max(n, -(-size // BLOCK_TARGET_BYTES))
-    except Exception:  # noqa: BLE001  (no estimate: keep the configured count)
-        pass
-    return min(n, 1 << 20)
+    """Number of range blocks: the shuffle-partition setting, which a job sizes to its input."""
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -81,8 +81,7 @@ def _complete_cases(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.filter(cond)
 
 
-def collinearity(features: DataFrame, cols: list[str] | None = None, vif_max_features: int = 50,
-                 corr_threshold: float = 0.9):
+def collinearity(features: DataFrame, cols: list[str] | None = None, corr_threshold: float = 0.9):
     """M3-M7 from one Gramian of the complete-case rows.
 
     Returns (summary dict, correlation DataFrame (long), VIF DataFrame, high-pair DataFrame).
@@ -124,14 +123,11 @@ def collinearity(features: DataFrame, cols: list[str] | None = None, vif_max_fea
     high = [(cols[i], cols[j], float(corr[i, j])) for i in range(p) for j in range(i)
             if not np.isnan(corr[i, j]) and abs(corr[i, j]) > corr_threshold]
     high_df = spark.createDataFrame(high, "feature_a string, feature_b string, corr double")
-    vif_rows = []
-    if p <= vif_max_features:
-        ok = np.diag(C) > 0
-        R = np.where(np.isnan(corr), 0.0, corr)
-        inv = np.linalg.pinv(R[np.ix_(ok, ok)])
-        d = iter(np.diag(inv))
-        for i, c in enumerate(cols):
-            vif_rows.append((c, float(next(d)) if ok[i] else float("inf")))
+    # VIF of every feature: the diagonal of one (pseudo-)inverse; constant features have none.
+    ok = np.diag(C) > 0
+    R = np.where(np.isnan(corr), 0.0, corr)
+    d = iter(np.diag(np.linalg.pinv(R[np.ix_(ok, ok)])))
+    vif_rows = [(c, float(next(d)) if ok[i] else float("inf")) for i, c in enumerate(cols)]
     vif_df = spark.createDataFrame(vif_rows, "feature string, vif double")
     summary = {"rows": int(n), "condition_number": cond, "rank": rank, "features": p,
                "rank_deficient": rank < p}
@@ -166,10 +162,10 @@ def check_importances(importances: DataFrame) -> DataFrame:
 def check_params(params: dict) -> None:
     """Empty or null parameter sets are errors."""
     if not params:
-        raise ValueError("Sanity Check Failed: empty parameters.")
-    for k, v in params.items():
-        if v is None or (isinstance(v, float) and math.isnan(v)):
-            raise ValueError(f"Sanity Check Failed: invalid parameter {k}={v}")
+        raise ValueError("a parameter set without entries cannot be trained")
+    unset = [k for k, v in params.items() if v is None or v != v]
+    if unset:
+        raise ValueError(f"parameters without a value: {', '.join(map(str, unset))}")
 
 
 def target_statistics(df: DataFrame, target: str = "pnl", min_rows: int = 10) -> DataFrame:

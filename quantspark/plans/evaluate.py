@@ -28,18 +28,11 @@ def regression_metrics(df: DataFrame, y: str = "actual_pnl", yhat: str = "predic
     ``r2_single`` replaces R2 when a group has one row (the fold table uses 0.0).
     """
     e = F.col(yhat) - F.col(y)
-    # Two passes: the target mean first, then SSE and SST = sum((y - mean)^2).
-    if by:
-        means = df.groupBy(*by).agg(F.avg(y).alias("_ybar"))
-        x = df.join(means, list(by))
-        g = x.groupBy(*by)
-    else:
-        x = df.join(F.broadcast(df.agg(F.avg(y).alias("_ybar"))), how="inner", on=F.lit(True))
-        g = x
-    d = F.col(y) - F.col("_ybar")
-    agg = g.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
-                F.sqrt(F.avg(e * e)).alias("rmse"), F.sum(e * e).alias("_sse"),
-                F.sum(d * d).alias("_sst"))
+    # One pass, partially aggregated: SST = n * var_pop(y) from centred moments, so no row is dealt by ``by``.
+    both = e.isNotNull()
+    agg = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
+                              F.sqrt(F.avg(e * e)).alias("rmse"), F.sum(e * e).alias("_sse"),
+                              (F.var_pop(F.when(both, F.col(y))) * F.count(e)).alias("_sst"))
     r2 = (F.when(F.col("_sst") > 0, 1.0 - F.col("_sse") / F.col("_sst"))
            .otherwise(F.when(F.col("_sse") == 0, 1.0).otherwise(0.0)))
     if r2_single is not None:
@@ -110,7 +103,7 @@ def trading_metrics_dict(df: DataFrame, value: str, order: Sequence, params: Par
     """L2i: the metrics as a dict; fewer than 2 rows raises ValueError."""
     row = trading_metrics(df, value, order, params).first()
     if row is None or row["n"] < 2:
-        raise ValueError("Insufficient data to compute trading metrics.")
+        raise ValueError("trading metrics need at least two returns")
     return row.asDict()
 
 
@@ -202,10 +195,18 @@ def baseline_report(predictions: DataFrame, include_random: bool = False, block_
     names = ["predict_mean", "predict_median", "previous_trade", "rolling_mean"] + (
         ["random"] if include_random else [])
     x = baseline_predictions(predictions, include_random=include_random, block_rows=block_rows)
-    long = x.select("actual_pnl", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("baseline"), F.col(n).alias("pred")) for n in names])).alias("_b"))
-    long = long.select("actual_pnl", "_b.baseline", "_b.pred")
-    return regression_metrics(long, "actual_pnl", "pred", by=["baseline"]).drop("n")
+    # One wide aggregate: every baseline's errors in one pass over the rows, one output row each.
+    y = F.col("actual_pnl")
+    stats = []
+    for n in names:
+        e = F.col(n) - y
+        stats += [F.avg(F.abs(e)).alias(f"{n}_mae"), F.avg(e * e).alias(f"{n}_mse"), F.sum(e * e).alias(f"{n}_sse"),
+                  F.sum(F.when(e.isNotNull(), (y - F.col("predict_mean")) ** 2)).alias(f"{n}_sst")]
+    rows = F.explode(F.array(*[F.struct(
+        F.lit(n).alias("baseline"), F.col(f"{n}_mae").alias("mae"), F.sqrt(f"{n}_mse").alias("rmse"),
+        F.when(F.col(f"{n}_sst") > 0, 1.0 - F.col(f"{n}_sse") / F.col(f"{n}_sst"))
+        .otherwise(F.when(F.col(f"{n}_sse") == 0, 1.0).otherwise(0.0)).alias("r2")) for n in names]))
+    return x.agg(*stats).select(rows.alias("_b")).select("_b.*")
 
 
 # ---------------------------------------------------------------------------
@@ -217,27 +218,18 @@ def lag_pairs(df: DataFrame, value: str, order: Sequence, lag: int = 1, block_ro
                        lambda w: {"_prev": F.lag(value, lag).over(w)}, order=list(order), block_rows=block_rows)
 
 
-def pearson(x: Column, y: Column) -> list[Column]:
-    """Aggregates for a pairwise-complete Pearson correlation -> use ``pearson_finish``."""
-    both = x.isNotNull() & y.isNotNull()
-    xx, yy = F.when(both, x), F.when(both, y)
-    return [F.count(xx).alias("_pn"), F.sum(xx).alias("_px"), F.sum(yy).alias("_py"),
-            F.sum(xx * xx).alias("_pxx"), F.sum(yy * yy).alias("_pyy"), F.sum(xx * yy).alias("_pxy")]
-
-
-def pearson_finish() -> Column:
-    n = F.col("_pn").cast("double")
-    cov = F.col("_pxy") - F.col("_px") * F.col("_py") / n
-    vx = F.col("_pxx") - F.col("_px") * F.col("_px") / n
-    vy = F.col("_pyy") - F.col("_py") * F.col("_py") / n
-    return F.when((n > 1) & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
+def pearson(x: Column, y: Column) -> Column:
+    """Pairwise-complete Pearson correlation from centred moments; NULL where a side does not vary."""
+    xx, yy = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    spread = F.stddev_samp(xx) * F.stddev_samp(yy)
+    return F.when(spread > 0, F.covar_samp(xx, yy) / spread)
 
 
 def target_audit(trades: DataFrame, value: str = "pnl", order=("timestamp", "id"),
                  block_rows: int = 1 << 16) -> DataFrame:
     """L6 + L7: one row of target statistics and recommendation flags."""
     lp = lag_pairs(trades, value, order, 1, block_rows)
-    ac = lp.agg(*pearson(F.col(value), F.col("_prev"))).select(pearson_finish().alias("autocorrelation_lag1"))
+    ac = lp.agg(pearson(F.col(value), F.col("_prev")).alias("autocorrelation_lag1"))
     m = trades.agg(F.count(value).alias("_n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
                    F.var_samp(value).alias("variance"), F.skewness(value).alias("_g1"),
                    F.kurtosis(value).alias("_g2"), (F.var_pop(value) * F.count(value)).alias("_sst"))
@@ -285,57 +277,21 @@ def histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
 def series_correlation(series: DataFrame, threshold: float | None = None) -> DataFrame:
     """Pairwise-complete Pearson correlation between series, aligned on date.
 
-    The date x series pivot is folded into pairwise moment matrices (counts,
-    sums, sums of squares and cross products over the dates where both series
-    are present: four s x s matrix products per Arrow batch), summed by Spark;
-    no per-date pair rows are produced and the aggregate width does not grow
-    with the number of series.
+    Values meet on their date; each unordered pair is aggregated once and
+    mirrored at the end, so nothing is sized by the number of series on the
+    driver.
     """
-    import numpy as np
-    import pandas as pd
-    ids = [r[0] for r in series.select("series_id").distinct().orderBy("series_id").collect()]
-    spark = series.sparkSession
-    schema = "series_a string, series_b string, n long, corr double"
-    if len(ids) < 2:
-        return spark.createDataFrame([], schema)
-    wide = series.groupBy("date").pivot("series_id", ids).agg(F.first("value"))
-    cols = [f"s{i}" for i in range(len(ids))]
-    wide = wide.select(*[F.col(f"`{sid}`").cast("double").alias(c) for sid, c in zip(ids, cols)])
-    k = len(ids)
-
-    def partial(batches):
-        acc = None
-        for pdf in batches:
-            X = pdf[cols].to_numpy(dtype=float)
-            M = (~np.isnan(X)).astype(float)
-            Z = np.nan_to_num(X)
-            v = np.concatenate([(M.T @ M).ravel(), (Z.T @ M).ravel(), ((Z * Z).T @ M).ravel(), (Z.T @ Z).ravel()])
-            acc = v if acc is None else acc + v
-        if acc is not None:
-            yield pd.DataFrame({"v": [acc.tolist()]})
-
-    tot = (wide.mapInPandas(partial, "v array<double>").select(F.posexplode("v").alias("i", "x"))
-               .groupBy("i").agg(F.sum("x").alias("x")).collect())
-    v = np.zeros(4 * k * k)
-    for r in tot:
-        v[r["i"]] = r["x"]
-    N, SX, SXX, SXY = (v[j * k * k:(j + 1) * k * k].reshape(k, k) for j in range(4))
-    rows = []
-    for a in range(k):
-        for b in range(k):
-            if a == b:
-                continue
-            n = N[a, b]
-            sa, sb = SX[a, b], SX[b, a]  # sum of a where b present, sum of b where a present
-            cov = SXY[a, b] - sa * sb / n if n else 0.0
-            va = SXX[a, b] - sa * sa / n if n else 0.0
-            vb = SXX[b, a] - sb * sb / n if n else 0.0
-            r_ab = float(cov / np.sqrt(va * vb)) if n > 1 and va > 0 and vb > 0 else None
-            rows.append((ids[a], ids[b], int(n), r_ab))
-    out = spark.createDataFrame(rows, schema)
+    x = series.filter(F.col("value").isNotNull()).groupBy("series_id", "date").agg(
+        F.first("value").cast("double").alias("value"))
+    a = x.select("date", F.col("series_id").alias("series_a"), F.col("value").alias("va"))
+    b = x.select("date", F.col("series_id").alias("series_b"), F.col("value").alias("vb"))
+    half = (a.join(b, "date").filter("series_a < series_b").groupBy("series_a", "series_b")
+            .agg(F.count(F.lit(1)).alias("n"), pearson(F.col("va"), F.col("vb")).alias("corr")))
     if threshold is not None:
-        out = out.filter(F.abs(F.col("corr")) > threshold)
-    return out
+        half = half.filter(F.abs(F.col("corr")) > threshold)
+    both = F.explode(F.array(F.struct("series_a", "series_b"), F.struct(F.col("series_b").alias("series_a"),
+                                                                        F.col("series_a").alias("series_b"))))
+    return half.select(both.alias("p"), "n", "corr").select("p.series_a", "p.series_b", "n", "corr")
 
 
 def macro_quality(series: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -418,6 +374,18 @@ def model_comparison(fold_results: DataFrame) -> DataFrame:
         .alias("r2_finding"))
 
 
+def trading_findings(comparison: DataFrame) -> DataFrame:
+    """Findings on the portfolio comparison (one row per portfolio, ``model`` and ``baseline``): whether
+    the model's Sharpe ratio is above the baseline's and whether its profits exceed its losses."""
+    def of(which, c):
+        return F.max(F.when(F.col("portfolio") == which, F.col(c)))
+    a = comparison.agg(of("model", "sharpe_ratio").alias("model_sharpe"),
+                       of("baseline", "sharpe_ratio").alias("baseline_sharpe"),
+                       of("model", "profit_factor").alias("model_profit_factor"))
+    return a.select("*", (F.col("model_sharpe") > F.col("baseline_sharpe")).alias("adds_value"),
+                    (F.col("model_profit_factor") > 1.0).alias("profitable"))
+
+
 def fold_summary(fold_results: DataFrame) -> DataFrame:
     """L26 aggregates row: averages over folds and mean sizes."""
     return fold_results.agg(F.count(F.lit(1)).alias("folds"), F.avg("mae").alias("avg_mae"),
@@ -452,6 +420,15 @@ def slot_heatmap(predictions: DataFrame) -> DataFrame:
         "day_of_week", "hour_of_day", "permutation_id", "predicted_pnl", "code")
 
 
+def slot_pivots(heat: DataFrame) -> DataFrame:
+    """The two weekday x hour matrices of a heat map as one frame: per weekday the best permutation
+    (``p00``..``p23``) and its mean prediction (``v00``..``v23``) of each hour; empty slots are NULL."""
+    hours = range(24)
+    return heat.groupBy("day_of_week").agg(
+        *[F.max(F.when(F.col("hour_of_day") == h, F.col("permutation_id"))).alias(f"p{h:02d}") for h in hours],
+        *[F.max(F.when(F.col("hour_of_day") == h, F.col("predicted_pnl"))).alias(f"v{h:02d}") for h in hours])
+
+
 def best_prediction_per_timestamp(predictions: DataFrame) -> DataFrame:
     """Per timestamp the prediction with the highest predicted_pnl (first = smallest trade_id)."""
     return predictions.filter(F.col("predicted_pnl").isNotNull()).groupBy("timestamp").agg(

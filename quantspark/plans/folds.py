@@ -77,9 +77,7 @@ def assign_folds(df: DataFrame, ts: str = "timestamp", params: Params = Params()
     fb = fold_bounds(df, ts, params)
     folds = valid_folds(df, ts, params, fb).select("k", "walk_forward_fold")
     m = _membership(df, ts, fb, params, splits)
-    # The fold table has one row per candidate window; its size is checked here.
-    small = fb["n"] <= 100_000
-    return m.join(F.broadcast(folds) if small else folds, "k").drop("k")
+    return m.join(folds, "k").drop("k")   # one row per candidate window: the optimizer knows its size
 
 
 def check_folds(assigned: DataFrame, ts: str = "timestamp", id_col: str = "trade_id") -> DataFrame:

@@ -47,6 +47,8 @@ DEFAULT_GRIDS = {
     "catboost": {"iterations": [50, 100, 200], "depth": [4, 6, 8], "learning_rate": [0.01, 0.05, 0.1],
                  "l2_leaf_reg": [1, 3, 5]},
 }
+# Parameters of the boosters' presets that MLlib's trees do not have.
+UNUSED_PARAMETERS = frozenset({"num_leaves", "l2_leaf_reg"})
 DEFAULT_MODELS = ("linear_regression", "ridge", "lasso", "elasticnet", "random_forest", "xgboost",
                   "lightgbm", "catboost")
 
@@ -118,6 +120,13 @@ class FittedModel:
             return dict(zip(self.feature_cols, [float(x) for x in self.model.coefficients.toArray()]))
         return None
 
+    def raw_coefficients(self) -> dict | None:
+        """Coefficients in the units of the unscaled features."""
+        coef = self.coefficients()
+        if coef is None or self.means is None:
+            return coef
+        return {c: v / s for (c, v), s in zip(coef.items(), self.stds)}
+
     def native_importance(self) -> dict:
         """Tree importances, or |coef| normalised to sum 1."""
         if hasattr(self.model, "featureImportances"):
@@ -139,6 +148,13 @@ def _scaling(df: DataFrame, cols: list[str]) -> tuple[list, list]:
     return means, stds
 
 
+def _tree_depth(depth) -> int:
+    """MLlib grows trees up to depth 30; a deeper request is an error, not a shallower tree."""
+    if int(depth) > 30:
+        raise ValueError(f"tree depth {depth} is above MLlib's limit of 30")
+    return int(depth)
+
+
 def make_estimator(name: str, cfg: dict, n: int, s_y: float, seed: int, label: str):
     """J2-J7 with the sklearn-equivalent penalty mappings."""
     common = dict(featuresCol="_features", labelCol=label)
@@ -160,14 +176,14 @@ def make_estimator(name: str, cfg: dict, n: int, s_y: float, seed: int, label: s
                                 solver="l-bfgs", maxIter=500, tol=1e-10, **common)
     if name == "random_forest":
         return RandomForestRegressor(numTrees=int(cfg.get("n_estimators", 100)),
-                                     maxDepth=min(int(cfg.get("max_depth", 10)), 30),
+                                     maxDepth=_tree_depth(cfg.get("max_depth", 10)),
                                      minInstancesPerNode=max(1, int(cfg.get("min_samples_split", 2)) // 2),
                                      seed=seed, **common)
     if name in ("xgboost", "lightgbm", "catboost"):
         it = int(cfg.get("n_estimators", cfg.get("iterations", 100)))
         depth = int(cfg.get("max_depth", cfg.get("depth", 6)))
         col = cfg.get("colsample_bytree")
-        return GBTRegressor(maxIter=it, maxDepth=min(depth, 30), stepSize=float(cfg.get("learning_rate", 0.1)),
+        return GBTRegressor(maxIter=it, maxDepth=_tree_depth(depth), stepSize=float(cfg.get("learning_rate", 0.1)),
                             subsamplingRate=float(cfg.get("subsample", 1.0)),
                             featureSubsetStrategy=str(col) if col else "all", seed=seed, **common)
     raise ValueError(f"unknown model {name}")
@@ -191,7 +207,7 @@ def grid(name: str, grids: dict, tuner: str = "gridsearch", trials: int = 20, se
     g = grids.get(name, {})
     if name == "linear_regression" or not g:
         return [{}]
-    keys = sorted(g)
+    keys = sorted(k for k in g if k not in UNUSED_PARAMETERS)   # else equal fits are repeated
     configs = [dict(zip(keys, vals)) for vals in itertools.product(*[g[k] for k in keys])]
     if tuner == "sampled" and name not in LINEAR_MODELS and len(configs) > trials:
         configs = random.Random(seed).sample(configs, trials)
@@ -211,6 +227,9 @@ class LinearFitted(FittedModel):
     def coefficients(self) -> dict:
         return dict(zip(self.feature_cols, [float(x) for x in self.model.beta]))
 
+    def raw_coefficients(self) -> dict:
+        return dict(zip(self.feature_cols, [float(x) for x in self.model.w]))
+
     def native_importance(self) -> dict:
         v = [abs(float(x)) for x in self.model.beta]
         s = sum(v)
@@ -526,15 +545,13 @@ def permutation_importance(model: FittedModel, test: DataFrame, label: str = "pn
 
 
 def linear_attribution(model: FittedModel, df: DataFrame) -> DataFrame:
-    """Exact attributions of a linear model, coef_j * (z_j - mean z_j) -> mean |value| per feature."""
-    coef = model.coefficients()
+    """Exact attributions of a linear model, coef_j * (x_j - mean x_j) in raw units -> mean |value|
+    per feature."""
+    coef = model.raw_coefficients()
     if coef is None:
         raise ValueError("linear attribution needs a linear model")
-    cols = {}
-    for i, c in enumerate(model.feature_cols):
-        zc = (F.col(c).cast("double") - model.means[i]) / model.stds[i] if model.means else F.col(c).cast("double")
-        cols[c] = zc
-    x = df.select(*[v.alias(k) for k, v in cols.items()])
+    cols = list(model.feature_cols)
+    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     means = x.agg(*[F.avg(k).alias(k) for k in cols]).first()
     out = x.agg(*[F.avg(F.abs(F.lit(coef[k]) * (F.col(k) - F.lit(means[k] or 0.0)))).alias(k) for k in cols])
     return out.select(F.explode(F.array(*[F.struct(F.lit(k).alias("feature"), F.col(k).alias("value"))

@@ -17,12 +17,9 @@ SLOT_KEYS = ["day_of_week", "hour_of_day"]
 
 
 def permutation_order(data: DataFrame, ts: str = "trade_timestamp") -> DataFrame:
-    """First-seen order of permutations: (first trade time, permutation_id) -> perm_order."""
-    first = data.filter(F.col("permutation_id").isNotNull()).groupBy("permutation_id").agg(
-        F.min(ts).alias("_first"))
-    # One row per permutation.
-    w = Window.orderBy("_first", "permutation_id")
-    return first.withColumn("perm_order", F.row_number().over(w) - 1).drop("_first")
+    """First-seen order of permutations: their first trade time (ties: the id)."""
+    return data.filter(F.col("permutation_id").isNotNull()).groupBy("permutation_id").agg(
+        F.min(ts).alias("first_seen"))
 
 
 def profiles(data: DataFrame, feature_cols: list[str]) -> DataFrame:
@@ -38,8 +35,8 @@ def profiles(data: DataFrame, feature_cols: list[str]) -> DataFrame:
     perm = data.filter(F.col("permutation_id").isNotNull()).groupBy("permutation_id", *SLOT_KEYS).agg(
         *[F.avg(c).alias(c) for c in vals])
     perms = permutation_order(data)
-    slots = perms.select("permutation_id", "perm_order", F.explode(F.sequence(F.lit(0), F.lit(167))).alias("_s"))
-    slots = slots.select("permutation_id", "perm_order", (F.col("_s") / 24).cast("int").alias("day_of_week"),
+    slots = perms.select("permutation_id", "first_seen", F.explode(F.sequence(F.lit(0), F.lit(167))).alias("_s"))
+    slots = slots.select("permutation_id", "first_seen", (F.col("_s") / 24).cast("int").alias("day_of_week"),
                          (F.col("_s") % 24).cast("int").alias("hour_of_day"))
     g = glob.select(*SLOT_KEYS, "_g", *[F.col(c).alias(f"g_{c}") for c in vals])
     p = perm.select("permutation_id", *SLOT_KEYS, *[F.col(c).alias(f"p_{c}") for c in vals])
@@ -47,7 +44,7 @@ def profiles(data: DataFrame, feature_cols: list[str]) -> DataFrame:
     x = x.withColumns({f"f_{c}": F.when(F.col("_g"), F.coalesce(F.col(f"p_{c}"), F.col(f"g_{c}"))) for c in vals})
     w = Window.partitionBy("permutation_id")  # one group = at most 168 slots of one permutation
     x = x.withColumns({c: F.coalesce(F.col(f"f_{c}"), F.avg(f"f_{c}").over(w), F.lit(0.0)) for c in vals})
-    out = x.select("permutation_id", "perm_order", *SLOT_KEYS, *vals)
+    out = x.select("permutation_id", "first_seen", *SLOT_KEYS, *vals)
     out = out.withColumns({"day_of_week": F.col("day_of_week"), "hour_of_day": F.col("hour_of_day")})
     return out
 
@@ -58,9 +55,11 @@ def score_grid(prof: DataFrame, scorer: Callable[[DataFrame], DataFrame]) -> Dat
 
 
 def best_per_slot(scored: DataFrame, pred: str = "prediction") -> DataFrame:
-    """K6: highest prediction per slot; ties -> first-seen permutation; NaN never wins."""
+    """K6: highest prediction per slot; ties -> first-seen permutation (by ``first_seen`` and id, or by a
+    given ``perm_order``); NaN never wins."""
     ok = scored.filter(F.col(pred).isNotNull() & ~F.isnan(F.col(pred)))
-    w = Window.partitionBy(*SLOT_KEYS).orderBy(F.col(pred).desc(), F.col("perm_order"))
+    order = ["perm_order"] if "perm_order" in scored.columns else ["first_seen", "permutation_id"]
+    w = Window.partitionBy(*SLOT_KEYS).orderBy(F.col(pred).desc(), *order)
     best = ok.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
     return best.select(*SLOT_KEYS, F.col("permutation_id").alias("best_permutation"),
                        F.col(pred).alias("predicted_pnl"))

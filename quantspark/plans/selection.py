@@ -32,9 +32,13 @@ def fold_metrics(test_predictions: DataFrame, windows: DataFrame, best: DataFram
 
 
 def training_summary(fold_results: DataFrame) -> DataFrame:
-    """Mean MAE/RMSE/R2, population std of MAE, folds, most frequent winner."""
-    wins = fold_results.groupBy("best_model").agg(F.count(F.lit(1)).alias("_w"))
-    top = wins.agg(F.max_by("best_model", F.struct("_w", F.lit(0) - F.length("best_model"))).alias("most_selected_model"))
+    """Mean MAE/RMSE/R2, population std of MAE, folds, how often each model won, and the most
+    frequent winner (ties: the one that won first)."""
+    wins = fold_results.groupBy("best_model").agg(F.count(F.lit(1)).alias("_w"), F.min("fold").alias("_f"))
+    top = wins.agg(F.min_by("best_model", F.struct(-F.col("_w"), "_f")).alias("most_selected_model"),
+                   F.to_json(F.map_from_entries(F.transform(
+                       F.array_sort(F.collect_list(F.struct("_f", "best_model", "_w"))),     # one entry per model
+                       lambda w: F.struct(w["best_model"], w["_w"])))).alias("model_selection_counts"))
     s = fold_results.agg(F.count(F.lit(1)).alias("folds"), F.avg("mae").alias("mean_mae"),
                          F.stddev_pop("mae").alias("std_mae"), F.avg("rmse").alias("mean_rmse"),
                          F.avg("r2").alias("mean_r2"))

@@ -15,12 +15,6 @@ TRADES = T.StructType([
     T.StructField("threshold", T.DoubleType()),
 ])
 
-# CSV landing schema: timestamps arrive as text in a few formats.
-TRADES_CSV = T.StructType([
-    f if f.name != "timestamp" else T.StructField("timestamp", T.StringType())
-    for f in TRADES.fields
-] + [T.StructField("_corrupt_record", T.StringType())])
-
 MACRO_SERIES = T.StructType([
     T.StructField("series_id", T.StringType()),
     T.StructField("date", T.DateType()),

@@ -14,8 +14,8 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     * ``spark.sql.session.timeZone=UTC``: trade and release times are UTC.
     * AQE on, with skew-join splitting (hot accounts / days).
     * A reliable checkpoint directory. The cluster names it in
-      ``spark.checkpoint.dir``; only when that is unset (local tests) a
-      fresh scratch folder is taken.
+      ``spark.checkpoint.dir``; only a local master may leave it unset (tests)
+      and gets a fresh scratch folder.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -24,6 +24,8 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     if sc.getCheckpointDir() is None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
         if not configured:
+            if not sc.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             configured = tempfile.mkdtemp(prefix="quantspark-ckpt-")
         sc.setCheckpointDir(configured)
     return spark

@@ -12,8 +12,10 @@ from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
-from quantspark.schemas import TABLES, TRADES, TRADES_CSV
+from quantspark.schemas import TABLES, TRADES
 
 # Accepted text layouts of trade timestamps (fixed values).
 TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd HH:mm:ss",
@@ -26,13 +28,46 @@ def parse_timestamp(col) -> "F.Column":
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in TIMESTAMP_FORMATS])
 
 
-def read_trades_csv(spark: SparkSession, path: str, keep_corrupt: bool = False) -> DataFrame:
-    """A1: trade-log CSV (header) with a fixed schema; unparsable lines land in _corrupt_record."""
-    raw = (spark.read.schema(TRADES_CSV).option("header", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
-    out = raw.withColumn("timestamp", parse_timestamp("timestamp"))
-    cols = [f.name for f in TRADES.fields] + (["_corrupt_record"] if keep_corrupt else [])
-    return out.select(*cols)
+def read_trades_csv(spark: SparkSession, path: str, rejects: bool = False) -> DataFrame:
+    """A1: trade-log CSV, columns bound by the names in its header.
+
+    A file without ``id`` numbers its rows in file order (by monotonic ids);
+    other missing columns are NULL; an unknown column is an error.  Rows with
+    a value that does not parse (numbers, timestamps) or with too few or many
+    fields raise an error when they are read, or with ``rejects=True`` are
+    returned instead of the trades: their line and the columns at fault.
+    """
+    # The header names the columns; no schema is inferred from the rows.
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    names = [c.strip() for c in raw.columns]
+    wanted = {f.name: f.dataType for f in TRADES.fields}
+    unknown = [c for c in names if c not in wanted]
+    if unknown or len(set(names)) != len(names):
+        raise ValueError(f"trade log columns not understood: {unknown or names}")
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "_corrupt_record"]])
+    rows = (spark.read.schema(texts).option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record").csv(path))
+
+    def value(c):
+        x = F.when(F.trim(c) != "", F.trim(c))
+        return parse_timestamp(x) if c == "timestamp" else x.try_cast(wanted[c])
+
+    parsed = rows.select("*", F.struct(*[value(c).alias(c) for c in names]).alias("_v"))
+    faults = F.array_compact(F.array(
+        F.when(F.col("_corrupt_record").isNotNull(), F.lit("line")),
+        *[F.when((F.trim(c) != "") & F.col(f"_v.{c}").isNull(), F.lit(c)) for c in names]))
+    parsed = parsed.withColumn("_faults", faults)
+    if rejects:
+        return parsed.filter(F.size("_faults") > 0).select(
+            F.coalesce("_corrupt_record", F.to_json(F.struct(*names))).alias("line"), F.col("_faults").alias("columns"))
+    # Checked inside the scan: a bad row fails the job that reads it.
+    checked = F.when(F.size("_faults") == 0, F.col("_v")).otherwise(F.raise_error(F.concat(
+        F.lit("unreadable trade ("), F.array_join("_faults", ","), F.lit("): "),
+        F.coalesce("_corrupt_record", F.to_json(F.struct(*names))))).cast(T.NullType()))
+    out = parsed.select(checked.alias("_v"))
+    number = F.monotonically_increasing_id() + 1
+    return out.select(*[(F.col(f"_v.{c}") if c in names else number if c == "id" else F.lit(None)).cast(t).alias(c)
+                        for c, t in wanted.items()])
 
 
 def read_macro_csv(spark: SparkSession, path: str, series_id: str | None = None, start: str | None = None,
@@ -55,8 +90,10 @@ def table_path(root: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A2: full-table scan (Catalyst prunes columns and pushes filters)."""
-    return spark.read.parquet(table_path(root, name))
+    """A2: full-table scan (Catalyst prunes columns and pushes filters).  Tables of the data model are read
+    with their schema, so an empty partitioned table is a table too."""
+    reader = spark.read.schema(TABLES[name]) if name in TABLES else spark.read
+    return reader.parquet(table_path(root, name))
 
 
 def write_table(df: DataFrame, root: str, name: str, mode: str = "append",
@@ -66,8 +103,7 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "append",
     parts = list(partition_by) if partition_by is not None else PARTITIONED.get(name, [])
     w = df.write.mode(mode)
     if parts:
-        df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        w = w.partitionBy(*parts)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
     w.parquet(table_path(root, name))
 
 
@@ -79,12 +115,14 @@ def sql(spark: SparkSession, text: str, views: dict[str, DataFrame] | None = Non
 
 
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
-    """A table exists when its folder holds a readable Parquet dataset."""
+    """Whether the table's folder exists.  Only "no such path" means absent; any other error is raised."""
     try:
-        spark.read.parquet(table_path(root, name)).schema  # noqa: B018
+        read_table(spark, root, name).schema  # noqa: B018
         return True
-    except Exception:  # noqa: BLE001
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def row_count(spark: SparkSession, root: str, name: str) -> int:
@@ -100,7 +138,7 @@ def initialize_schema(spark: SparkSession, root: str) -> None:
     """Create every table empty (if missing) with its schema."""
     for name, schema in TABLES.items():
         if not table_exists(spark, root, name):
-            write_table(spark.createDataFrame([], schema), root, name, "overwrite")
+            write_table(spark.createDataFrame([], schema), root, name, "errorifexists")
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
