@@ -456,3 +456,4 @@ def _g5(spark, sf):
 from quantspark import catalog_eval  # noqa: E402,F401  (registers the evaluation queries)
 from quantspark import catalog_model  # noqa: E402,F401  (registers the model queries)
 from quantspark import catalog_diag  # noqa: E402,F401  (registers the diagnostics queries)
+from quantspark import catalog_core  # noqa: E402,F401  (registers the core and store checks)

@@ -147,6 +147,18 @@ def sanity(df: DataFrame, feature_cols: list[str], ts: str = "timestamp", target
                           & ~(F.col("target_variance") == 0))
 
 
+def raise_if_unusable(df: DataFrame, feature_cols: list[str], target: str = "pnl") -> None:
+    """M9 as a guard before training: infinite feature values or a target that is missing or does not vary."""
+    inf = F.lit(0)
+    for c in feature_cols:
+        inf = inf + F.when(F.col(c).cast("double").isin(float("inf"), float("-inf")), 1).otherwise(0)
+    r = df.agg(F.sum(inf).alias("inf"), F.var_samp(target).alias("var"),
+               F.count_if(F.col(target).isNull() | F.isnan(target)).alias("missing")).first()
+    if r["inf"] or r["missing"] or (r["var"] is not None and r["var"] == 0):
+        raise ValueError(f"training data: {r['inf'] or 0} infinite feature values, {r['missing']} missing targets, "
+                         f"target variance {r['var']}")
+
+
 def prediction_sanity(predictions: DataFrame, pred: str = "predicted_pnl") -> DataFrame:
     """Collapsed predictions (all equal) and NaN metrics, one row."""
     return predictions.agg(F.min(pred).alias("_mn"), F.max(pred).alias("_mx"),

@@ -405,14 +405,21 @@ class TrainResult:
 
 
 def train_walk_forward(data: DataFrame, params: Params = Params(), models=("linear_regression", "ridge", "lasso"),
-                       grids: dict | None = None, experiment_id: str = "exp", label: str = "pnl") -> TrainResult:
+                       grids: dict | None = None, experiment_id: str = "exp", label: str = "pnl",
+                       strict: bool = False) -> TrainResult:
     """Per fold, search every model on the fold's train rows, pick the lowest
-    validation MAE, predict the test rows; returns predictions, fold table, importances."""
+    validation MAE, predict the test rows; returns predictions, fold table, importances.
+    ``strict`` also checks the finished run (M10) and raises on unusable folds."""
+    from quantspark.plans.diagnose import check_importances, check_metrics, check_params, raise_if_unusable
     spark = data.sparkSession
     grids = DEFAULT_GRIDS if grids is None else grids
     feats = feature_columns(data)
-    # Folds are time ranges: each fold reads its train / test rows with a range
-    # filter (pushed to the scan), so the fold membership is never materialised.
+    raise_if_unusable(data, feats, label)                  # M9
+    for name in models:                                    # M10
+        for values in grids.get(name, {}).values():
+            check_params(dict(enumerate(values)))
+    # Folds are time ranges: each fold reads its train / test rows with a range filter
+    # over the persisted matrix, so the fold membership is never materialised.
     ts, us = F.col("trade_timestamp"), F.unix_micros(F.col("trade_timestamp"))
     data = data.persist()  # one copy of the model matrix, read by every fold's range filter
     shift = _shift(data, feats, label)  # one centring constant for every fold's moment sums
@@ -485,6 +492,12 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
                                         "train_end timestamp, test_size long, test_start timestamp, test_end timestamp")
     fold_results = fold_metrics(predictions, win, best, experiment_id)
     importances = spark.createDataFrame(imp_rows, "fold int, model string, feature string, importance double")
+    if strict:                                             # M10 on the results: bounded by the fold count
+        bad = check_metrics(fold_results).count()
+        flat = check_importances(importances).filter("all_zero").count()
+        if bad or flat:
+            raise ValueError(f"{bad} folds without usable metrics, {flat} folds whose importances are all zero")
+    data.unpersist()
     return TrainResult(predictions, fold_results, importances, scores, fitted)
 
 
@@ -582,39 +595,76 @@ def load_model(path: str) -> FittedModel:
 
 
 def save_fold_models(result: TrainResult, root: str, experiment_id: str) -> list[str]:
-    """Every fold's winner under ``root/experiment_id/fold_<k>`` plus ``latest`` (the last fold)."""
-    paths = []
+    """Every fold's winner below ``root/experiment_id``.
+
+    ``winners`` has one row per fold for every kind of model: linear winners
+    with their weights in raw and standardised units, MLlib winners with the
+    folder they are saved in.  The latest model is the row of the last fold.
+    """
+    base = f"{root.rstrip('/')}/{experiment_id}"
+    paths, rows = [], []
     for k, m in result.models:
-        if isinstance(m, LinearFitted):
-            continue  # linear winners are stored through their coefficients below
-        p = f"{root.rstrip('/')}/{experiment_id}/fold_{k}"
-        save_model(m, p)
-        paths.append(p)
-    spark = result.predictions.sparkSession
-    rows = [(int(k), m.name, json.dumps(m.config), json.dumps(m.feature_cols),
-             float(m.model.intercept) if isinstance(m, LinearFitted) else None,
-             json.dumps([float(x) for x in m.model.w]) if isinstance(m, LinearFitted) else None)
-            for k, m in result.models]
-    spark.createDataFrame(rows, "fold int, model string, config string, features string, intercept double, "
-                                "weights string").coalesce(1).write.mode("overwrite").parquet(
-        f"{root.rstrip('/')}/{experiment_id}/winners")
-    if result.models:
-        k, m = result.models[-1]
-        if not isinstance(m, LinearFitted):
-            save_model(m, f"{root.rstrip('/')}/{experiment_id}/latest")
+        linear = isinstance(m, LinearFitted)
+        path = None if linear else f"{base}/fold_{k}"
+        if path:
+            save_model(m, path)
+            paths.append(path)
+        parts = [m.model.w, m.model.beta, m.model.mean, m.model.std] if linear else [None] * 4
+        rows.append((int(k), m.name, json.dumps(m.config), list(m.feature_cols), m.label, path,
+                     float(m.model.intercept) if linear else None,
+                     *[None if p is None else [float(x) for x in p] for p in parts]))
+    result.predictions.sparkSession.createDataFrame(
+        rows, "fold int, model string, config string, features array<string>, label string, path string, "
+              "intercept double, weights array<double>, beta array<double>, mean array<double>, std array<double>"
+    ).coalesce(1).write.mode("overwrite").parquet(f"{base}/winners")
     return paths
 
 
-def load_latest_linear(root: str, experiment_id: str) -> LinearFitted | None:
-    """J19 load path for linear winners: the last fold's coefficients (fallback of 'latest')."""
+def load_latest(root: str, experiment_id: str, fold: int | None = None) -> FittedModel:
+    """The winner of the last fold (or of ``fold``), linear or not; a fold whose saved files are gone
+    falls back to the fold before it.  Without any model FileNotFoundError is raised."""
     import numpy as np
+    from pyspark.errors import AnalysisException
     from pyspark.sql import SparkSession
+
     from quantspark.functions.linalg import LinearSolution
     ss = SparkSession.getActiveSession()
-    w = ss.read.parquet(f"{root.rstrip('/')}/{experiment_id}/winners").filter(F.col("weights").isNotNull())
-    r = w.orderBy(F.col("fold").desc()).first()
-    if r is None:
-        return None
-    weights = np.array(json.loads(r["weights"]))
-    sol = LinearSolution(r["intercept"], weights, weights, np.zeros_like(weights), np.ones_like(weights))
-    return LinearFitted(r["model"], json.loads(r["config"]), json.loads(r["features"]), None, None, sol)
+    found = ss.read.parquet(f"{root.rstrip('/')}/{experiment_id}/winners")
+    found = found if fold is None else found.filter(F.col("fold") <= fold)
+    for r in found.orderBy(F.col("fold").desc()).collect():       # one row per fold
+        if r["weights"] is None:
+            try:
+                return load_model(r["path"])
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                continue
+        w, beta, mean, std = (np.array(r[c]) for c in ("weights", "beta", "mean", "std"))
+        return LinearFitted(r["model"], json.loads(r["config"]), list(r["features"]), None, None,
+                            LinearSolution(r["intercept"], w, beta, mean, std), r["label"])
+    raise FileNotFoundError(f"no saved model of experiment {experiment_id} below {root}")
+
+
+def load_latest_linear(root: str, experiment_id: str) -> LinearFitted | None:
+    """The latest winner if it is linear, else None."""
+    m = load_latest(root, experiment_id)
+    return m if isinstance(m, LinearFitted) else None
+
+
+def persist_run(result: TrainResult, root: str, params: Params, feature_cols, experiment_id: str,
+                series_used=(), save_models: bool = True) -> None:
+    """Append a training run to the tables below ``root``: predictions and fold results
+    (one partition per experiment, rewritten if it is run again), the experiment's record, the
+    importances, and the fold winners."""
+    from quantspark.sources.tables import write_table
+    spark = result.predictions.sparkSession
+    folds = result.fold_results
+    write_table(result.predictions, root, "predictions", "overwrite")
+    write_table(folds, root, "walk_forward_results", "overwrite")
+    write_table(result.importances.withColumn("experiment_id", F.lit(experiment_id)), root, "importances",
+                "overwrite", ["experiment_id"])
+    models = sorted({name for name, in folds.select("best_model").distinct().collect()})   # one row per model
+    write_table(experiment_record(spark, experiment_id, models, feature_cols, params, series_used), root,
+                "experiments", "append")
+    if save_models:
+        save_fold_models(result, f"{root.rstrip('/')}/models", experiment_id)

@@ -97,8 +97,17 @@ FEATURE_COLUMNS = [
     "pnl",
 ]
 
+_FEATURE_TYPES = {
+    "trade_id": T.LongType(), "feature_timestamp": T.TimestampType(),
+    **{c: T.StringType() for c in ("feature_version", "pipeline_version", "market_session", "risk_parameters",
+                                   "permutation_id")},
+    **{c: T.IntegerType() for c in ("hour_of_day", "day_of_week", "week_of_month", "month", "quarter")},
+}
+FEATURE_STORE = T.StructType([T.StructField(c, _FEATURE_TYPES.get(c, T.DoubleType())) for c in FEATURE_COLUMNS])
+
 TABLES = {
     "trades": TRADES,
+    "feature_store": FEATURE_STORE,
     "macro_series": MACRO_SERIES,
     "macro_events": MACRO_EVENTS,
     "predictions": PREDICTIONS,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +32,13 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder (nothing is created)."""
+    prepare_session(spark)
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def get_spark(master: str | None = None, app: str = "quantspark",
               shuffle_partitions: int | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
