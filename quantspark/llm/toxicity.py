@@ -107,32 +107,44 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 def fit_noisy_or(texts, labels: np.ndarray, class_weights=(1.0, 1.0)) -> NoisyOrModel:
     """Full-batch Adam on the weighted negative log likelihood of the documents."""
     labels = np.asarray(labels)
-    buf, offs = tv.arrow_text(texts)
-    hashes, sents, docs, at = [], [], [], 0
-    for a, b in tv.slices(offs):
-        h, s, d, _, _ = sentence_features(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
-        hashes.append(h)
-        sents.append(s + at)
-        docs.append(d + a)
-        at += len(d)
     empty = NoisyOrModel(np.zeros(0, dtype=np.uint64), np.zeros(0), -6.0)
-    if not at or len(set(labels.tolist())) < 2:
+    if len(set(labels.tolist())) < 2:
         return empty
-    h, sent, doc = np.concatenate(hashes), np.concatenate(sents), np.concatenate(docs)
-    u, back = np.unique(h, return_inverse=True)
-    pair = np.unique(back * np.int64(len(labels)) + doc[sent])       # feature x document
-    present = np.bincount(pair // len(labels), minlength=len(u)).astype(float)
-    both = np.bincount(pair // len(labels), weights=labels[pair % len(labels)] > 0, minlength=len(u))
+    buf, offs = tv.arrow_text(texts)
+    parts = list(tv.slices(offs, 2 << 20))
+
+    def read(a, b):
+        return sentence_features(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
+
+    # First pass: in how many documents, and toxic documents, each feature occurs.
+    seen = np.zeros(0, dtype=np.uint64)
+    present = both = np.zeros(0)
+    for a, b in parts:
+        h, s, d, _, _ = read(a, b)
+        u, back = np.unique(h, return_inverse=True)
+        pair = np.unique(back * np.int64(b - a) + d[s])
+        word, toxic = pair // (b - a), labels[a + pair % (b - a)] > 0
+        all_, place = np.unique(np.concatenate([seen, u]), return_inverse=True)
+        present = np.bincount(place, np.concatenate([present, np.bincount(word, minlength=len(u))]))
+        both = np.bincount(place, np.concatenate([both, np.bincount(word, toxic, minlength=len(u))]))
+        seen = all_
     n, n1 = len(labels), int((labels > 0).sum())
     spread = present * (n - present) * n1 * (n - n1)
     chi2 = n * (both * n - present * n1) ** 2 / np.maximum(spread, 1.0)
-    keep = (present >= MIN_DOCUMENTS) & (chi2 >= MIN_CHI2)
-    place = np.cumsum(keep) - 1
-    use = keep[back]
-    f, s = place[back[use]], sent[use]
-    u = u[keep]
+    u = seen[(present >= MIN_DOCUMENTS) & (chi2 >= MIN_CHI2)]
     if not len(u):
         return empty
+    # Second pass: the sentences of the documents over the features that stay.
+    features, sents, docs, at = [], [], [], 0
+    for a, b in parts:
+        h, s, d, _, _ = read(a, b)
+        i = np.minimum(np.searchsorted(u, h), len(u) - 1)
+        hit = u[i] == h
+        features.append(i[hit].astype(np.int32))
+        sents.append((s[hit] + at).astype(np.int32))
+        docs.append((d + a).astype(np.int32))
+        at += len(d)
+    f, s, doc = np.concatenate(features), np.concatenate(sents), np.concatenate(docs)
     y = labels[doc] > 0
     weight = np.where(labels > 0, class_weights[1], class_weights[0]).astype(float)
     weight /= weight.sum()
