@@ -71,6 +71,32 @@ def valid_folds(df: DataFrame, ts: str = "timestamp", params: Params = Params(),
         "train_size", "test_size")
 
 
+def fold_table(df: DataFrame, ts: str, pos: str, params: Params, fb: dict) -> list:
+    """Kept folds in time order, one row each: k, sizes, trade-time ranges of both windows and the position
+    ``p0`` of the first train row, from one aggregation over (timestamp, position)."""
+    m = _membership(df.select(ts, pos), ts, fb, params)
+    tr = F.col("split") == "train"
+    t, u = F.when(tr, F.col(ts)), F.when(~tr, F.col(ts))
+    out = m.groupBy("k").agg(
+        F.count_if(tr).alias("train_size"), F.count_if(~tr).alias("test_size"), F.min(t).alias("train_start"),
+        F.max(t).alias("train_end"), F.min(u).alias("test_start"), F.max(u).alias("test_end"),
+        F.min(F.when(tr, F.col(pos))).alias("p0"))
+    return (out.filter((F.col("train_size") >= params.min_train_rows) & (F.col("test_size") >= params.min_test_rows))
+            .orderBy("k").collect())                       # one row per fold
+
+
+def cv_block_column(pos, p0: int, n: int, n_splits: int = 3):
+    """I4 as one expression for a window of ``n`` consecutive positions from ``p0``: 0 before the first
+    validation block, i for the validation block of split i - 1."""
+    k = n // (n_splits + 1)
+    if k == 0:
+        return F.lit(0)
+    start = n - n_splits * k
+    p = F.col(pos) - F.lit(p0)
+    return F.when(p < start, F.lit(0)).otherwise(
+        F.least(F.floor((p - start) / F.lit(k)) + 1, F.lit(n_splits))).cast("int")
+
+
 def assign_folds(df: DataFrame, ts: str = "timestamp", params: Params = Params(),
                  splits=("train", "test")) -> DataFrame:
     """Rows x kept folds they belong to, with ``walk_forward_fold`` and ``split``."""

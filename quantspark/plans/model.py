@@ -22,7 +22,8 @@ from pyspark.sql import types as T
 
 from quantspark.config import Params
 from quantspark.plans.evaluate import regression_metrics
-from quantspark.plans.folds import cv_blocks, fold_bounds, valid_folds
+from quantspark.operators.ordered import POS, with_position
+from quantspark.plans.folds import cv_block_column, fold_bounds, fold_table
 
 META_COLUMNS = frozenset({"trade_id", "feature_version", "pipeline_version", "feature_timestamp",
                           "trade_timestamp", "market_session", "risk_parameters", "permutation_id",
@@ -418,27 +419,24 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
     for name in models:                                    # M10
         for values in grids.get(name, {}).values():
             check_params(dict(enumerate(values)))
-    # Folds are time ranges: each fold reads its train / test rows with a range filter
-    # over the persisted matrix, so the fold membership is never materialised.
-    ts, us = F.col("trade_timestamp"), F.unix_micros(F.col("trade_timestamp"))
-    data = data.persist()  # one copy of the model matrix, read by every fold's range filter
+    # One position index of the whole matrix (the only range shuffle, however many folds).  A fold's
+    # windows are runs of positions, so its rows are a timestamp filter and its validation blocks
+    # arithmetic on (position, first position, rows).
+    data = with_position(data, ["trade_timestamp", "trade_id"])
     shift = _shift(data, feats, label)  # one centring constant for every fold's moment sums
     fb = fold_bounds(data, "trade_timestamp", params)
-    folds = valid_folds(data, "trade_timestamp", params, fb).orderBy("walk_forward_fold").collect()  # one row per fold
+    folds = fold_table(data, "trade_timestamp", POS, params, fb)
+    ts = F.col("trade_timestamp")
     preds, score_rows, imp_rows, fitted, windows = [], [], [], [], []
-    for f in folds:
-        k = f["walk_forward_fold"]
+    for k, f in enumerate(folds):
         s0 = fb["t0"] + f["k"] * fb["test"]
-        tr0, tr1, te1 = (fb["t0"] if params.expanding else s0), s0 + fb["train"], s0 + fb["train"] + fb["test"]
-        train = data.filter((us >= F.lit(tr0)) & (us < F.lit(tr1))).persist()
-        test = data.filter((us >= F.lit(tr1)) & (us < F.lit(te1)))
-        windows.append(train.agg(F.count(F.lit(1)).alias("train_size"), F.min(ts).alias("train_start"),
-                                 F.max(ts).alias("train_end")).join(
-            test.agg(F.count(F.lit(1)).alias("test_size"), F.min(ts).alias("test_start"),
-                     F.max(ts).alias("test_end")), how="inner", on=F.lit(True))  # one-row frames
-            .withColumn("walk_forward_fold", F.lit(k).cast("int")))
-        cv = cv_blocks(train.withColumn("walk_forward_fold", F.lit(k)), 3,
-                       ("trade_timestamp", "trade_id")).persist()
+        tr0, tr1, te1 = (F.timestamp_micros(F.lit(x)) for x in (
+            fb["t0"] if params.expanding else s0, s0 + fb["train"], s0 + fb["train"] + fb["test"]))
+        cv = data.filter((ts >= tr0) & (ts < tr1)).withColumn(
+            "cv_block", cv_block_column(POS, f["p0"], f["train_size"])).persist()
+        train, test = cv, data.filter((ts >= tr1) & (ts < te1))
+        windows.append((k, *(f[c] for c in ("train_size", "train_start", "train_end", "test_size", "test_start",
+                                            "test_end"))))
         best_name, best_cfg, best_mae = None, None, math.inf
         ctx = {}
         searched = search(models, grids, cv, feats, label, params, shift=shift, ctx=ctx)
@@ -470,7 +468,6 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
         for feat, v in model.native_importance().items():
             imp_rows.append((k, best_name, feat, float(v)))
         cv.unpersist()
-        train.unpersist()
     schema = "walk_forward_fold int, trade_id long, timestamp timestamp, permutation_id string, " \
              "predicted_pnl double, actual_pnl double, experiment_id string"
     if preds:
@@ -484,12 +481,8 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
     best = scores.groupBy("walk_forward_fold").agg(F.min_by("model", F.struct("validation_mae", "model_order"))
                                                    .alias("best_model"))
     from quantspark.plans.selection import fold_metrics
-    win = windows[0]
-    for w in windows[1:]:
-        win = win.unionByName(w)
-    if not windows:
-        win = spark.createDataFrame([], "walk_forward_fold int, train_size long, train_start timestamp, "
-                                        "train_end timestamp, test_size long, test_start timestamp, test_end timestamp")
+    win = spark.createDataFrame(windows, "walk_forward_fold int, train_size long, train_start timestamp, "
+                                         "train_end timestamp, test_size long, test_start timestamp, test_end timestamp")
     fold_results = fold_metrics(predictions, win, best, experiment_id)
     importances = spark.createDataFrame(imp_rows, "fold int, model string, feature string, importance double")
     if strict:                                             # M10 on the results: bounded by the fold count
@@ -497,7 +490,6 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
         flat = check_importances(importances).filter("all_zero").count()
         if bad or flat:
             raise ValueError(f"{bad} folds without usable metrics, {flat} folds whose importances are all zero")
-    data.unpersist()
     return TrainResult(predictions, fold_results, importances, scores, fitted)
 
 
@@ -525,7 +517,6 @@ def permutation_importance(model: FittedModel, test: DataFrame, label: str = "pn
     p permuted features in one aggregation (its prediction changes by
     w_j * (x'_j - x_j)); other models are re-scored once per feature.
     """
-    from quantspark.operators.ordered import POS, with_position
     cols = model.feature_cols
     base_pred = model.transform(test, "_pred")
     r2_base = regression_metrics(base_pred, label, "_pred").first()["r2"]
