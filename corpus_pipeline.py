@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quantspark.llm.catalog import tokenizer_path
-from quantspark.llm.common import crc_mod, shared_dir, table
+from quantspark.llm.common import crc_mod, shared_dir, table, tuned
 from quantspark.llm.mixing import mixed_documents
 from quantspark.llm.neardup import deduplicated
 from quantspark.llm.packing import pack_documents
@@ -38,6 +38,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets masked in the text or in the encoded run that holds them; n_chars follows."""
+    tuned(spark)
     out = redacted_documents(docs)
     return out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("bigint"))) \
         if "n_chars" in docs.columns else out

@@ -14,13 +14,24 @@ SPACE_CLASS = r"\x20\x09-\x0D"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+ARROW_ROWS = 1000
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """Session settings of the Arrow-batched operators: batches of at most ``ARROW_ROWS`` rows, so that a
+    worker holds a few megabytes of documents at a time."""
+    prepare_session(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: the session's checkpoint folder."""
-    prepare_session(spark)
+    tuned(spark)
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     return configured or spark.sparkContext.getCheckpointDir()
 
