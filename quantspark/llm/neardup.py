@@ -10,10 +10,10 @@ meet when at least two half-bands agree (probability 0.9993 at similarity
 
 Keys are hash-partitioned and sorted; a bucket is a run of rows, read as a
 stream.  A bucket up to ``SMALL_BUCKET`` classes gives all its pairs.  A larger
-one gives each member's pair with the first member and with its neighbour;
-links confirmed on the full sets merge classes into components, and only
-members of such a bucket that are still in different components are compared
-further, block against block on their minhashes.  So a group of thousands of
+one gives each member's pairs with its first ``LEADS`` members, mostly the same
+few classes in every table; links confirmed on the full sets merge classes into components, and only
+members of such a bucket that are still outside its main component are compared
+further, with all members, block against block.  So a group of thousands of
 near copies costs a row or two per member and table, and no candidate is dropped.
 """
 
@@ -31,7 +31,8 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 HALVES, DEPTH = 18, 3
 SMALL_BUCKET = 32
-BLOCK = 256
+LEADS = 4
+BLOCK, MINORS = 256, 64
 # Minhash agreement below which a pair inside a large bucket is not compared in full: at similarity
 # 0.75 the share of 54 minhashes is under 0.4 with probability 2e-8.
 SKETCH_SHARE = 0.4
@@ -134,12 +135,15 @@ def _bucket_pairs(keys: DataFrame) -> DataFrame:
     """(kind, a, b): candidate pairs (kind 0), and (key, member) of large buckets (kind 1).
 
     Reads each sorted partition as a stream of runs; what a batch leaves open
-    (at most the run's first member and its last SMALL_BUCKET ones) is carried on.
+    (at most the run's first members and its last SMALL_BUCKET ones) is carried on.
     """
     import pyarrow as pa
 
+    leads = min(LEADS, SMALL_BUCKET)
+
     def run(batches):
-        tail_key, tail_node, tail_place, tail_first = (np.zeros(0, dtype=np.int64) for _ in range(4))
+        tail_key, tail_node, tail_place = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        lead_open = np.zeros(0, dtype=np.int64)           # the first members of the run that is still open
         for batch in batches:
             key = np.concatenate([tail_key, batch.column(0).to_numpy()])
             node = np.concatenate([tail_node, batch.column(1).to_numpy()])
@@ -151,11 +155,8 @@ def _bucket_pairs(keys: DataFrame) -> DataFrame:
             begin = np.flatnonzero(head)
             group = np.cumsum(head) - 1
             place = np.arange(len(key)) - begin[group]
-            first = node[begin][group]
             if old:                                  # the carried rows know their place in their run
-                same = group == 0
-                place[same] += tail_place[0]
-                first[same] = tail_first[0]
+                place[group == 0] += tail_place[0]
             a, b, kind = [], [], []
 
             def put(k, x, y):
@@ -165,37 +166,38 @@ def _bucket_pairs(keys: DataFrame) -> DataFrame:
 
             new = np.arange(len(key)) >= old
             for d in range(1, min(SMALL_BUCKET, len(key))):
-                hit = np.flatnonzero((key[d:] == key[:-d]) & new[d:] & ((place[d:] < SMALL_BUCKET) | (d == 1)))
+                hit = np.flatnonzero((key[d:] == key[:-d]) & new[d:] & (place[d:] < SMALL_BUCKET))
                 if not len(hit):
                     break
                 put(0, node[hit], node[hit + d])
-            far = new & (place >= SMALL_BUCKET)
-            put(0, first[far], node[far])
-            edge = np.flatnonzero(new & (place == SMALL_BUCKET))
+            # A run has more rows than leads wherever its place reaches SMALL_BUCKET.
+            lead = node[np.minimum(begin[:, None] + np.arange(leads), len(node) - 1)]
+            if old:
+                fresh = node[old:][group[old:] == 0]
+                lead_open = np.concatenate([lead_open, fresh])[:leads]
+                lead[0, :len(lead_open)] = lead_open
+            far = np.flatnonzero(new & (place >= SMALL_BUCKET))
+            for j in range(leads):
+                put(0, lead[group[far], j], node[far])
             put(1, key[far], node[far])
-            for i in edge:                           # a bucket becomes large: so do its earlier members
+            for i in far[place[far] == SMALL_BUCKET]:  # a bucket becomes large: so do its earlier members
                 put(1, np.full(SMALL_BUCKET, key[i]), node[i - SMALL_BUCKET:i])
             if sum(map(len, a)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in (kind, a, b)],
                                                  names=["kind", "a", "b"])
+            if not old or len(begin) > 1:
+                lead_open = node[begin[-1]:][:leads]
             keep = np.flatnonzero(group == group[-1])[-SMALL_BUCKET:]
-            tail_key, tail_node, tail_place, tail_first = key[keep], node[keep], place[keep], first[keep]
+            tail_key, tail_node, tail_place = key[keep], node[keep], place[keep]
 
     return (keys.repartition("key").sortWithinPartitions("key", "node")
             .mapInArrow(run, "kind int, a bigint, b bigint"))
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets have enough in common."""
+def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, s): the full shingle set of each class in ``nodes``, read anew from its document."""
     import pyarrow as pa
 
-    size = classes.select("node", "n_shingles")
-    pairs = (pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
-             .filter(F.least("na", "nb") * DENOMINATOR >= F.greatest("na", "nb") * NUMERATOR).select("a", "b"))
-    pairs = stored(pairs.distinct())
-    wanted = (pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-              .join(classes.select("node", "doc_id", "h1", "h2"), "node"))
-
     def sets(batches):
         for batch in batches:
             buf, offs = tv.arrow_text(batch.column(3))
@@ -208,22 +210,34 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
                 out = pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), values], names=["node", "s"])
                 yield out.filter(pa.array(right))
 
+    wanted = nodes.distinct().join(classes.select("node", "doc_id", "h1", "h2"), "node")
     text = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    own = (wanted.join(text, "doc_id").select("node", "h1", "h2", "text")
-           .mapInArrow(sets, "node bigint, s array<bigint>"))
-    own = stored(own)
+    return stored(wanted.join(text, "doc_id").select("node", "h1", "h2", "text")
+                  .mapInArrow(sets, "node bigint, s array<bigint>"))
+
+
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    both = _common(x, y)
+    return both * DENOMINATOR >= (len(x) + len(y) - both) * NUMERATOR
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets have enough in common."""
+    import pyarrow as pa
+
+    size = classes.select("node", "n_shingles")
+    pairs = (pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
+             .filter(F.least("na", "nb") * DENOMINATOR >= F.greatest("na", "nb") * NUMERATOR).select("a", "b"))
+    pairs = stored(pairs.distinct())
+    own = _sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), classes, docs, id_col, text_col)
 
     def check(batches):
         for batch in batches:
             left, right = batch.column(2), batch.column(3)
-            ok = np.zeros(batch.num_rows, dtype=bool)
             lo, ro = left.offsets.to_numpy(), right.offsets.to_numpy()
             lv, rv = left.values.to_numpy(), right.values.to_numpy()
-            for i in range(batch.num_rows):
-                x, y = lv[lo[i]:lo[i + 1]], rv[ro[i]:ro[i + 1]]
-                both = len(x) + len(y) - len(np.union1d(x, y)) if len(x) + len(y) < 64 else _common(x, y)
-                ok[i] = both * DENOMINATOR >= (len(x) + len(y) - both) * NUMERATOR
-            yield batch.select([0, 1]).filter(pa.array(ok))
+            ok = [_linked(lv[lo[i]:lo[i + 1]], rv[ro[i]:ro[i + 1]]) for i in range(batch.num_rows)]
+            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     return (pairs.join(own.toDF("a", "sa"), "a").join(own.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
             .mapInArrow(check, "a bigint, b bigint").distinct())
@@ -236,38 +250,64 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int((z[1:] == z[:-1]).sum())
 
 
-def _rest_of_large(members: DataFrame, classes: DataFrame, label: DataFrame) -> DataFrame:
-    """Pairs (a, b) inside large buckets that are still in different components and whose minhashes agree
-    often enough; buckets that one component fills are done."""
+def _rest_of_large(members: DataFrame, classes: DataFrame, label: DataFrame, docs: DataFrame, id_col: str,
+                   text_col: str) -> DataFrame:
+    """Links (a, b) inside large buckets between classes that are still in different components.
+
+    A bucket that one component fills is done.  The others are gathered by
+    their most frequent component: the few classes outside it (minors) meet
+    every class of these buckets, ``MINORS`` against ``BLOCK`` at a time, and
+    only confirmed links leave a task.
+    """
     import pyarrow as pa
+
     rows = members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
-    order = Window.partitionBy("key").orderBy("node")
-    rows = (rows.join(mixed.select("key"), "key")
-            .withColumn("chunk", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int"))
-            .withColumn("chunks", F.max("chunk").over(Window.partitionBy("key")) + 1)
-            .join(classes.select("node", "sig"), "node"))
-    # chunk i meets chunk j: each row goes to every block pair of its chunk
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    rows = rows.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-                       "chunk", "node", "component", "sig")
-
-    def compare(table: pa.Table) -> pa.Table:
-        t = table.sort_by("node")
+    share = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = (share.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("cluster"),
+                                     F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", "cluster"))
+    rows = stored(rows.join(main, "key").select("cluster", "node", "component").distinct())
+    if rows.isEmpty():
+        return rows.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    rows = (rows.withColumn("minor", F.col("component") != F.col("cluster"))
+            .join(classes.select("node", "sig"), "node")
+            .join(_sets_of(rows.select("node"), classes, docs, id_col, text_col), "node"))
+    place = F.row_number().over(Window.partitionBy("cluster", "minor").orderBy("node")) - 1
+    slim = rows.select("cluster", "node", "minor").withColumn("place", place)
+    counts = slim.groupBy("cluster").agg(
+        F.max(F.when(F.col("minor"), F.floor(F.col("place") / MINORS))).cast("int").alias("last_minor"),
+        F.max(F.floor(F.col("place") / BLOCK)).cast("int").alias("last_block"))
+    rows = (rows.join(slim.select("cluster", "node", "place"), ["cluster", "node"]).join(counts, "cluster")
+            .withColumn("block", F.floor(F.col("place") / BLOCK).cast("int")))
+    # Blocks of main and of minor classes are numbered apart: 2 * block + (1 if minor).
+    block = F.col("block") * 2 + F.col("minor").cast("int")
+    columns = ["cluster", "node", "component", "sig", "s"]
+    asked = rows.filter("minor").select(*columns, F.floor(F.col("place") / MINORS).cast("int").alias("i"), F.explode(
+        F.sequence(F.lit(0), 2 * F.col("last_block") + 1)).alias("j"), F.lit(True).alias("asks"))
+    every = rows.select(*columns, F.explode(F.sequence(F.lit(0), F.col("last_minor"))).alias("i"), block.alias("j"),
+                        F.lit(False).alias("asks"))
+
+    def compare(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
         sig = np.frombuffer(b"".join(t["sig"].to_pylist()), dtype=np.uint32).reshape(t.num_rows, -1)
-        node, comp, chunk = (t[c].to_numpy() for c in ("node", "component", "chunk"))
-        x = np.flatnonzero(chunk == t["i"][0].as_py())
-        y = np.flatnonzero(chunk == t["j"][0].as_py())
+        node, comp = t["node"].to_numpy(), t["component"].to_numpy()
+        asks = t["asks"].to_numpy(zero_copy_only=False)
+        sets = t["s"].combine_chunks()
+        at, values = sets.offsets.to_numpy(), sets.values.to_numpy()
+        size = np.diff(at)
+        x, y = np.flatnonzero(asks), np.flatnonzero(~asks)
         a, b = [], []
         for i in x:
-            share = (sig[y] == sig[i]).mean(axis=1)
-            hit = y[(share >= SKETCH_SHARE) & (comp[y] != comp[i])]
-            hit = hit[node[hit] > node[i]] if chunk[x[0]] == chunk[y[0]] else hit
-            a += [int(node[i])] * len(hit)
-            b += node[hit].tolist()
+            near = ((np.minimum(size[y], size[i]) * DENOMINATOR >= np.maximum(size[y], size[i]) * NUMERATOR)
+                    & (comp[y] != comp[i]))
+            hit = y[near]
+            hit = hit[(sig[hit] == sig[i]).mean(axis=1) >= SKETCH_SHARE]
+            for k in hit:
+                if _linked(values[at[i]:at[i + 1]], values[at[k]:at[k + 1]]):
+                    a.append(int(node[i]))
+                    b.append(int(node[k]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return (rows.groupBy("key", "i", "j").applyInArrow(compare, "a bigint, b bigint")
+    return (asked.unionByName(every).groupBy("cluster", "i", "j").applyInArrow(compare, "a bigint, b bigint")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -292,10 +332,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = connected_components(links)
     members = found.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"))
     if not members.isEmpty():
-        more = stored(_rest_of_large(members, classes, label))
+        more = stored(_rest_of_large(members, classes, label, docs, id_col, text_col))
         if not more.isEmpty():
-            links = stored(links.union(_verified(more, classes, docs, id_col, text_col)))
-            label = connected_components(links)
+            label = connected_components(links.union(more))
     grouped = classes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = grouped.join(smallest, "component").select(*shape, "component_id")
