@@ -39,7 +39,7 @@ from quantspark.operators.ordered import POS, with_position
 CAPACITY = 1024
 N_GROUPS = 96
 SMALL_FRACTION = 8
-MEMO_ENTRIES = 1_500_000
+MEMO_ENTRIES = 800_000
 
 # ---------------------------------------------------------------- tokens
 
@@ -81,7 +81,7 @@ class _Memo:
     few vectorised probes.
     """
 
-    BITS = 22
+    BITS = 21
 
     def __init__(self, tokenizer_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -200,7 +200,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
         memo = _memo(tokenizer_path)
         for batch in batches:
             buf, offs = tv.arrow_text(batch.column(1))
-            for a, b in tv.slices(offs):
+            for a, b in tv.slices(offs, 2 << 20):
                 ids, counts = token_ids(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a], memo)
                 stop = np.cumsum(counts)
                 out = {k: [] for k in ("row", "piece", "start", "length", "crc", "ids")}

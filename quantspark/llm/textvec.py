@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
 U64 = np.uint64
 
@@ -40,7 +40,7 @@ def arrow_text(column) -> tuple[np.ndarray, np.ndarray]:
     return buf[offs[0]:offs[-1]], offs - offs[0]
 
 
-def slices(offs: np.ndarray, limit: int = 8 << 20):
+def slices(offs: np.ndarray, limit: int = 3 << 20):
     """Runs of rows [a, b) with about ``limit`` bytes each (one row at least)."""
     a, n = 0, len(offs) - 1
     while a < n:
@@ -68,7 +68,14 @@ def word_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(offs, starts, "right") - 1
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+class _Cache(dict):
+    """Per-process memo: it travels empty when a task's function is pickled."""
+
+    def __reduce__(self):
+        return _Cache, ()
+
+
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = _Cache()
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from quantspark.llm import textvec as tv
 
-MAX_PER_CLASS = 4000
-MAX_SAMPLE_BYTES = 64 << 20
+MAX_PER_CLASS = 2500
+MAX_SAMPLE_BYTES = 32 << 20
 PREFIXES = (3, 4, 5, 6, 7, 8)
 MIN_DOCUMENTS = 4          # a feature must occur in so many sample documents
 MIN_CHI2 = 15.0            # and be tied to the label: chi-squared of presence against label (p about 1e-4)
