@@ -28,9 +28,10 @@ MIN_DOCUMENTS = 2
 # Share of the lexicon in the subsets of each level, 2^-r; every level has PER_LEVEL subsets.
 LEVELS, PER_LEVEL = (2, 4, 6, 7, 8, 9, 10, 12), 8
 RATES = tuple(r for r in LEVELS for _ in range(PER_LEVEL))
-SUBSETS = len(RATES)                  # one bit each in a 64-bit mask
+SUBSETS = len(RATES)
 DENSE = 6                             # a level with more subsets in use is too dense to show overlap
 BLOCK_BYTES, MAX_BLOCKS = 4 << 20, 1 << 16
+GROUPS_IN_MEMORY = 20_000
 SPLIT = r"[\x20\x09-\x0D\p{Punct}]+"
 
 
@@ -40,51 +41,76 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(h, mask): hash of every term inside the band and the bit set of the subsets it belongs to."""
+    """(h, subsets): hash of every term inside the band and the subsets it belongs to."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     counts = stored(docs.select(F.explode(terms(text)).alias("w")).groupBy(F.xxhash64("w").alias("h"))
                     .agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= MIN_DOCUMENTS))
     n = docs.count()
-    bits = [F.when(F.pmod(F.xxhash64("h", F.lit(i)), F.lit(1 << r)) == 0, F.lit((1 << i) - (1 << 64) * (i == 63)).cast("bigint"))
-            .otherwise(F.lit(0).cast("bigint")) for i, r in enumerate(RATES)]
-    mask = bits[0]
-    for b in bits[1:]:
-        mask = mask.bitwiseOR(b)
+    subsets = F.array_compact(F.array(*[F.when(F.pmod(F.xxhash64("h", F.lit(i)), F.lit(1 << r)) == 0, F.lit(i))
+                                        for i, r in enumerate(RATES)]))
     # A corpus of a few documents has no term below HIGH: the band is then all repeated terms.
     return counts.filter((F.col("df") >= LOW * n) & (F.col("df") <= max(HIGH * n, MIN_DOCUMENTS))).select(
-        "h", mask.alias("mask"))
+        "h", subsets.alias("subsets"))
 
 
-def _signatures(found: Column) -> Column:
-    """One hash per subset of sorted (h, mask) terms; an empty string where the subset has none."""
-    def one(i: Column) -> Column:
-        own = F.transform(F.filter(found, lambda t: F.getbit(t["mask"], i) == 1), lambda t: t["h"])
-        return F.when(F.size(own) > 0, F.right(F.lpad(F.hex(F.xxhash64(own)), 16, "0"), F.lit(8))).otherwise(F.lit(""))
-    return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), one)
+def _subset_hashes(found: Column) -> Column:
+    """Map from subset to the hash of the sorted terms (h, subsets) in it, without the empty subsets.
 
+    The (subset, term) pairs are sorted once; a fold then hashes each subset's run of terms.
+    """
+    def member(t: Column) -> Column:
+        return F.transform(t["subsets"], lambda s: F.struct(s.alias("s"), t["h"].alias("h")))
+
+    none = F.lit(None).cast("array<struct<s:int,h:bigint>>")
+    start = F.struct(F.lit(-1).alias("s"), F.lit(0).cast("bigint").alias("h"), F.coalesce(none, F.slice(
+        F.array(F.struct(F.lit(0).alias("s"), F.lit(0).cast("bigint").alias("h"))), 1, 0)).alias("out"))
+
+    def closed(acc: Column) -> Column:
+        return F.concat(acc["out"], F.array(F.struct(acc["s"].alias("s"), acc["h"].alias("h"))))
+
+    def step(acc: Column, p: Column) -> Column:
+        return (F.when(acc["s"] == p["s"], F.struct(acc["s"].alias("s"), F.xxhash64(acc["h"], p["h"]).alias("h"),
+                                                    acc["out"].alias("out")))
+                .otherwise(F.struct(p["s"].alias("s"), F.xxhash64(p["h"]).alias("h"), closed(acc).alias("out"))))
+
+    runs = F.aggregate(F.sort_array(F.flatten(F.transform(found, member))), start, step, closed)
+    return F.map_from_entries(runs)                       # subset -1 opens the fold and is never asked for
 
-def likeness(a: Column, b: Column) -> Column:
-    """Share of equal signatures among the subsets that hold a term of either text, over the levels of
-    which at most ``DENSE`` subsets do (the sparsest level, where all are denser).  With few terms per
-    subset this follows the overlap of the term sets; equal fingerprints give 1.  Two texts without a
-    term in any subset are alike if the hashes of all their terms (the last element) are equal."""
-    x, y = F.split(a, ","), F.split(b, ",")
-    pairs = F.arrays_zip(x.alias("x"), y.alias("y"))
 
+def _signatures(by_subset: Column) -> Column:
+    """One signature per subset; an empty string where the text has no term of it."""
+    return F.transform(F.sequence(F.lit(0), F.lit(SUBSETS - 1)), lambda i: F.coalesce(
+        F.right(F.lpad(F.hex(F.element_at(by_subset, i)), 16, "0"), F.lit(8)), F.lit("")))
+
+
+def _levels(x: Column, y: Column) -> Column:
+    """Per level, how many of its subsets hold a term of either text and how many signatures are equal."""
     def level(i: Column) -> Column:
-        own = F.slice(pairs, i * PER_LEVEL + 1, F.lit(PER_LEVEL))
-        used = F.size(F.filter(own, lambda p: (p["x"] != "") | (p["y"] != "")))
-        same = F.size(F.filter(own, lambda p: (p["x"] != "") & (p["x"] == p["y"])))
-        return F.struct(used.alias("used"), same.alias("same"))
+        a, b = F.slice(x, i * PER_LEVEL + 1, F.lit(PER_LEVEL)), F.slice(y, i * PER_LEVEL + 1, F.lit(PER_LEVEL))
+        used = F.filter(F.zip_with(a, b, lambda p, q: (p != "") | (q != "")), lambda hit: hit)
+        same = F.filter(F.zip_with(a, b, lambda p, q: (p != "") & (p == q)), lambda hit: hit)
+        return F.struct(F.size(used).alias("used"), F.size(same).alias("same"))
+    return F.transform(F.sequence(F.lit(0), F.lit(len(LEVELS) - 1)), level)
+
 
-    levels = F.transform(F.sequence(F.lit(0), F.lit(len(LEVELS) - 1)), level)
+def _share(levels: Column, x: Column, y: Column) -> Column:
+    """Likeness of two fingerprints (as arrays) from their level counts."""
     some = F.filter(levels, lambda p: p["used"] > 0)
     sparse = F.filter(some, lambda p: p["used"] <= DENSE)
     chosen = F.when(F.size(sparse) > 0, sparse).otherwise(F.slice(some, -1, 1))
     used = F.aggregate(chosen, F.lit(0), lambda t, p: t + p["used"])
     same = F.aggregate(chosen, F.lit(0), lambda t, p: t + p["same"])
     whole = (F.element_at(x, -1) == F.element_at(y, -1)).cast("double")
-    return (F.when(a == b, F.lit(1.0)).when(F.size(some) > 0, same / used).otherwise(whole).cast("double"))
+    return F.when(x == y, F.lit(1.0)).when(F.size(some) > 0, same / used).otherwise(whole).cast("double")
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """Share of equal signatures among the subsets that hold a term of either text, over the levels of
+    which at most ``DENSE`` subsets do (the sparsest level, where all are denser).  With few terms per
+    subset this follows the overlap of the term sets; equal fingerprints give 1.  Two texts without a
+    term in any subset are alike if the hashes of all their terms (the last element) are equal."""
+    x, y = F.split(a, ","), F.split(b, ",")
+    return _share(_levels(x, y), x, y)
 
 
 def _block_of(key: Column, bounds: list) -> Column:
@@ -131,9 +157,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     without lexicon terms has the hash of all its terms alone.  One row is its
     own successor; an empty table gives an empty result.
     """
+    # The rows of a text follow each other; keep this many texts of a task in the aggregation's hash map
+    # before it sorts.
+    docs.sparkSession.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(GROUPS_IN_MEMORY))
     lex = F.broadcast(lexicon(docs, text_col)
                       .unionByName(docs.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("h"),
-                                                                     F.lit(0).cast("bigint").alias("mask"))))
+                                                                     F.array().cast("array<int>").alias("subsets"))))
     order = Window.partitionBy("blk").orderBy("ctx", F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"))
     n = F.length("text")
     rows = (_blocks(docs, id_col, text_col)
@@ -155,14 +184,21 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     prints = (marked.groupBy("blk", "pos", "side").agg(
         F.first("ctx").alias("ctx"), F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"),
         F.first("sha").alias("sha"), F.first("whole").alias("whole"),
-        F.sort_array(F.collect_list(F.struct("h", "mask"))).alias("found"))
-        .withColumn("fp", F.array_join(F.concat(_signatures(F.col("found")), F.array("whole")), ",")))
+        F.collect_list(F.struct("h", "subsets")).alias("found"))
+        # exploding one value keeps the map a column: it is not evaluated again for every subset
+        .withColumn("by_subset", F.explode(F.array(_subset_hashes(F.col("found")))))
+        .withColumn("fp", F.array_join(F.concat(_signatures(F.col("by_subset")), F.array("whole")), ",")))
     per_doc = prints.groupBy("blk", "pos").agg(
         F.first("ctx").alias("ctx"), F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"),
         F.first("sha").alias("edited_sha256"), F.max(F.when(F.col("side") == 0, F.col("fp"))).alias("fingerprint"),
         F.max(F.when(F.col("side") == 1, F.col("fp"))).alias("edited_fingerprint"))
     follow = F.lead("fingerprint").over(Window.partitionBy("blk").orderBy("pos"))
+    # As in ``likeness``, with the parts kept as columns (exploding one value), so that none is evaluated twice.
+    prints = F.struct(*[F.split(c, ",").alias(n) for c, n in (
+        ("fingerprint", "x"), ("edited_fingerprint", "y"), ("next_print", "z"))])
+    levels = F.struct(_levels(F.col("p.x"), F.col("p.y")).alias("xy"), _levels(F.col("p.x"), F.col("p.z")).alias("xz"))
     return (per_doc.withColumn("next_print", follow).filter("ctx = 0")
+            .withColumn("p", F.explode(F.array(prints))).withColumn("l", F.explode(F.array(levels)))
             .select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                    likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-                    likeness(F.col("fingerprint"), F.col("next_print")).alias("near_next")))
+                    _share(F.col("l.xy"), F.col("p.x"), F.col("p.y")).alias("near_edited"),
+                    _share(F.col("l.xz"), F.col("p.x"), F.col("p.z")).alias("near_next")))
