@@ -402,3 +402,54 @@ def test_tree_matching_counts_nodes():
     pairs = []
     assert tree_match(a, b, pairs) == 5 == len(pairs)     # root, div, p, ul, li
     assert tree_match(a, a) == a.size
+
+
+def test_rest_of_large_buckets_is_compared(spark, monkeypatch):
+    """With tiny buckets every group is large: the star alone would lose links."""
+    from quantspark.llm import neardup
+    monkeypatch.setattr(neardup, "SMALL_BUCKET", 2)
+    monkeypatch.setattr(neardup, "BLOCK", 5)
+    monkeypatch.setattr(neardup, "MINORS", 3)
+    rng = random.Random(4)
+    rows = []
+    for g in range(3):
+        base = [f"g{g}w{i}" for i in range(150)]
+        for k in range(25):
+            w = list(base)
+            for at in rng.sample(range(150), rng.randint(0, 9)):
+                w[at] = f"x{rng.randint(0, 10**6)}"
+            rows.append((100 * g + k, " ".join(w), "s"))
+    out = neardup.near_duplicates(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == brute_components(rows)
+
+
+# ------------------------------------------------------------------ pipeline
+
+def test_pipeline_stages_take_effect(spark, tokenizer, tmp_path):
+    import corpus_pipeline
+    from quantspark.llm.secret_scan import redact, scan_text
+    rng = random.Random(12)
+    vocab = ["w" + "".join(rng.choice("abcdef") for _ in range(5)) for _ in range(500)]
+    rows, labels = [], []
+    for i in range(300):
+        sents = [" ".join(rng.choice(vocab) for _ in range(9)) for _ in range(8)]
+        if i % 5 == 1:
+            sents[2] += " idiot scum"
+        rows.append((i, ". ".join(sents) + ".", "s"))
+        labels.append((i, 1, int(i % 5 == 1)))
+    rows += [(300 + i, rows[i][1] + " tail", "s") for i in (0, 2, 4)]
+    rows[3] = (3, rows[3][1] + " password=abcdef99", "s")
+    data = [(*r[:2], "en", r[2], len(r[1])) for r in rows]
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    want = {r[0]: r[1] for r in rows if not (r[0] < 300 and r[0] % 5 == 1) and r[0] < 300}
+    assert {r["doc_id"] for r in out} == set(want)
+    crc = {}
+    for i, t in want.items():
+        base, added = scan_text(t)
+        ids = [*tokenizer[1].encode(redact(t, base + added), add_special_tokens=False).ids, 2]
+        crc[i] = zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+    assert {r["doc_id"]: r["ids_crc32"] for r in out} == crc
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "secret_scan", "source_mix", "packing"]
