@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from quantspark.llm import textvec as tv
 
-MAX_PER_CLASS = 2500
-MAX_SAMPLE_BYTES = 32 << 20
+MAX_PER_CLASS = 1500
+MAX_SAMPLE_BYTES = 16 << 20
 PREFIXES = (3, 4, 5, 6, 7, 8)
 MIN_DOCUMENTS = 4          # a feature must occur in so many sample documents
 MIN_CHI2 = 15.0            # and be tied to the label: chi-squared of presence against label (p about 1e-4)
@@ -111,7 +111,7 @@ def fit_noisy_or(texts, labels: np.ndarray, class_weights=(1.0, 1.0)) -> NoisyOr
     if len(set(labels.tolist())) < 2:
         return empty
     buf, offs = tv.arrow_text(texts)
-    parts = list(tv.slices(offs, 2 << 20))
+    parts = list(tv.slices(offs, 1 << 20))
 
     def read(a, b):
         return sentence_features(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
