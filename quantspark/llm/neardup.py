@@ -10,7 +10,7 @@ meet when at least two half-bands agree (probability 0.9993 at similarity
 
 Keys are hash-partitioned and sorted; a bucket is a run of rows, read as a
 stream.  A bucket up to ``SMALL_BUCKET`` classes gives all its pairs.  A larger
-one gives each member's pairs with its first ``LEADS`` members, mostly the same
+one gives each member's pair with its first member (``LEADS``), mostly the same
 few classes in every table; links confirmed on the full sets merge classes into components, and only
 members of such a bucket that are still outside its main component are compared
 further, with all members, block against block.  So a group of thousands of
@@ -31,7 +31,7 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 HALVES, DEPTH = 18, 3
 SMALL_BUCKET = 32
-LEADS = 4
+LEADS = 1
 BLOCK, MINORS = 256, 64
 # Minhash agreement below which a pair inside a large bucket is not compared in full: at similarity
 # 0.75 the share of 54 minhashes is under 0.4 with probability 2e-8.
