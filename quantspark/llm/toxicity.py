@@ -7,9 +7,11 @@ the offending ones.  Features are the words of a sentence (lower case, outer
 punctuation off) and their first 3 to 8 bytes, which catch inflected stems;
 features tied to the label by a chi-squared test on the sample stay.
 
-The classifier is fitted on at most ``MAX_PER_CLASS`` labelled rows per class
-and ``MAX_SAMPLE_BYTES`` of text; the loss weighs them to the label counts of
-all training rows.  Scoring reads every text whole.
+The classifier is fitted on at most ``MAX_PER_CLASS`` labelled rows per class,
+whole texts of any length; the loss weighs them to the label counts of all
+training rows.  Executors count the features and reduce each text to the sets
+of tested features its sentences hold, so no text reaches the driver.  Scoring
+reads every text whole.
 """
 
 from __future__ import annotations
@@ -21,9 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantspark.llm import textvec as tv
+from quantspark.llm.common import stored
 
-MAX_PER_CLASS = 1500
-MAX_SAMPLE_BYTES = 16 << 20
+MAX_PER_CLASS = 4000
 PREFIXES = (3, 4, 5, 6, 7, 8)
 MIN_DOCUMENTS = 4          # a feature must occur in so many sample documents
 MIN_CHI2 = 15.0            # and be tied to the label: chi-squared of presence against label (p about 1e-4)
@@ -104,57 +106,96 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
 
 
-def fit_noisy_or(texts, labels: np.ndarray, class_weights=(1.0, 1.0)) -> NoisyOrModel:
-    """Full-batch Adam on the weighted negative log likelihood of the documents."""
-    labels = np.asarray(labels)
-    empty = NoisyOrModel(np.zeros(0, dtype=np.uint64), np.zeros(0), -6.0)
-    if len(set(labels.tolist())) < 2:
-        return empty
-    buf, offs = tv.arrow_text(texts)
-    parts = list(tv.slices(offs, 1 << 20))
-
-    def read(a, b):
-        return sentence_features(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
-
-    # First pass: in how many documents, and toxic documents, each feature occurs.
-    seen = np.zeros(0, dtype=np.uint64)
-    present = both = np.zeros(0)
-    for a, b in parts:
-        h, s, d, _, _ = read(a, b)
-        u, back = np.unique(h, return_inverse=True)
-        pair = np.unique(back * np.int64(b - a) + d[s])
-        word, toxic = pair // (b - a), labels[a + pair % (b - a)] > 0
-        all_, place = np.unique(np.concatenate([seen, u]), return_inverse=True)
-        present = np.bincount(place, np.concatenate([present, np.bincount(word, minlength=len(u))]))
-        both = np.bincount(place, np.concatenate([both, np.bincount(word, toxic, minlength=len(u))]))
-        seen = all_
-    n, n1 = len(labels), int((labels > 0).sum())
-    spread = present * (n - present) * n1 * (n - n1)
-    chi2 = n * (both * n - present * n1) ** 2 / np.maximum(spread, 1.0)
-    u = seen[(present >= MIN_DOCUMENTS) & (chi2 >= MIN_CHI2)]
-    if not len(u):
-        return empty
-    # Second pass: the sentences of the documents over the features that stay.
-    features, sents, docs, at = [], [], [], 0
-    for a, b in parts:
-        h, s, d, _, _ = read(a, b)
-        i = np.minimum(np.searchsorted(u, h), len(u) - 1)
-        hit = u[i] == h
-        features.append(i[hit].astype(np.int32))
-        sents.append((s[hit] + at).astype(np.int32))
-        docs.append((d + a).astype(np.int32))
-        at += len(d)
-    f, s, doc = np.concatenate(features), np.concatenate(sents), np.concatenate(docs)
-    y = labels[doc] > 0
+def _texts(batches):
+    """(sentence_features, batch, first row, end row) of slices of documents, ``text`` being the last column."""
+    for batch in batches:
+        buf, offs = tv.arrow_text(batch.column(batch.num_columns - 1))
+        for a, b in tv.slices(offs, 1 << 20):
+            yield sentence_features(buf[offs[a]:offs[b]], offs[a:b + 1] - offs[a]), batch, a, b
+
+
+def tested_features(sample: DataFrame) -> np.ndarray:
+    """Sorted hashes of the features of ``sample`` (doc_id, y, text) that the chi-squared test ties to y."""
+    import pyarrow as pa
+
+    def run(batches):
+        for (h, s, d, _, _), batch, a, b in _texts(batches):
+            toxic = batch.column(1).to_numpy(zero_copy_only=False)[a:b] > 0
+            u, back = np.unique(h, return_inverse=True)
+            pair = np.unique(back * np.int64(b - a) + d[s])      # a feature counts once a document
+            word, bad = pair // (b - a), toxic[pair % (b - a)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(u.view(np.int64)), pa.array(np.bincount(word, minlength=len(u)).astype(np.int64)),
+                 pa.array(np.bincount(word, bad, minlength=len(u)).astype(np.int64))],
+                names=["feature", "present", "toxic"])
+
+    sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 2:
+        return np.zeros(0, dtype=np.uint64)
+    n1, n = float(sizes[1]), float(sizes[0] + sizes[1])
+    present, toxic = F.col("present").cast("double"), F.col("toxic").cast("double")
+    spread = present * (F.lit(n) - present) * F.lit(n1 * (n - n1))
+    chi2 = F.lit(n) * F.pow(toxic * F.lit(n) - present * F.lit(n1), F.lit(2.0)) / F.greatest(spread, F.lit(1.0))
+    kept = (sample.mapInArrow(run, "feature bigint, present bigint, toxic bigint").groupBy("feature")
+            .agg(F.sum("present").alias("present"), F.sum("toxic").alias("toxic"))
+            .filter((F.col("present") >= MIN_DOCUMENTS) & (chi2 >= MIN_CHI2)).select("feature").toArrow())
+    return np.sort(kept["feature"].to_numpy().view(np.uint64))
+
+
+def sentence_sets(sample: DataFrame, features: np.ndarray) -> DataFrame:
+    """(doc_id, y, times, sizes, features) per document: how often each set of features makes a sentence, the
+    sizes of these sets, and their members one set after the other as places in ``features`` (int32 bytes)."""
+    import pyarrow as pa
+
+    def run(batches):
+        for (h, s, d, _, _), batch, a, b in _texts(batches):
+            i = np.minimum(np.searchsorted(features, h), len(features) - 1)
+            hit = features[i] == h
+            f, s = i[hit], s[hit]
+            order = np.argsort(s, kind="stable")
+            f, s = f[order], s[order]
+            key = np.zeros(len(d), dtype=np.uint64)
+            np.add.at(key, s, tv.mix(f) if len(f) else np.zeros(0, np.uint64))
+            order = np.lexsort((key, d))
+            new = np.ones(len(d), dtype=bool)
+            new[1:] = (d[order][1:] != d[order][:-1]) | (key[order][1:] != key[order][:-1])
+            at = np.flatnonzero(new)
+            first = order[at]                                      # one sentence of each set
+            times = np.diff(np.append(at, len(d)))
+            lo = np.searchsorted(s, first)
+            sizes = np.searchsorted(s, first, "right") - lo
+            ends = np.cumsum(sizes)
+            member = f[np.repeat(lo - (ends - sizes), sizes) + np.arange(sizes.sum())]
+            cut = np.searchsorted(d[first], np.arange(b - a + 1))
+            edge = np.append(0, ends)[cut]
+            out = [[x[lo:hi].astype(np.int32).tobytes() for lo, hi in zip(k[:-1], k[1:])]
+                   for x, k in ((times, cut), (sizes, cut), (member, edge))]
+            rows = batch.slice(a, b - a)
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), rows.column(1), *[pa.array(x, pa.binary()) for x in out]],
+                names=["doc_id", "y", "times", "sizes", "features"])
+
+    return sample.mapInArrow(run, f"doc_id {dict(sample.dtypes)['doc_id']}, y int, times binary, sizes binary, "
+                                  "features binary")
+
+
+def fit_noisy_or(u: np.ndarray, sets, labels: np.ndarray, class_weights=(1.0, 1.0)) -> NoisyOrModel:
+    """Full-batch Adam on the weighted negative log likelihood of the documents; ``sets`` holds the columns
+    times, sizes and features of ``sentence_sets``."""
+    times, sizes, f = (np.frombuffer(b"".join(sets[k].to_pylist()), dtype=np.int32)
+                       for k in ("times", "sizes", "features"))
+    at = len(sizes)
+    s = np.repeat(np.arange(at, dtype=np.int32), sizes)
+    doc = np.repeat(np.arange(len(labels)), [len(x) // 4 for x in sets["sizes"].to_pylist()])
     weight = np.where(labels > 0, class_weights[1], class_weights[0]).astype(float)
     weight /= weight.sum()
     w, bias = np.zeros(len(u)), -4.0
     m, v = np.zeros(len(u) + 1), np.zeros(len(u) + 1)
     for t in range(1, STEPS + 1):
         z = bias + np.bincount(s, weights=w[f], minlength=at)
-        total = np.bincount(doc, weights=_softplus(z), minlength=len(labels))
+        total = np.bincount(doc, weights=times * _softplus(z), minlength=len(labels))
         slope = np.where(labels > 0, -1.0 / np.expm1(np.clip(total, 1e-9, 50)), 1.0) * weight
-        g = _sigmoid(z) * slope[doc]
+        g = times * _sigmoid(z) * slope[doc]
         grad = np.append(np.bincount(f, weights=g[s], minlength=len(u)) + L2 * w, g.sum())
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
@@ -181,18 +222,15 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, trains: Column, id_col: s
         sample = part if sample is None else sample.unionByName(part)
     text = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     # At most 2 * MAX_PER_CLASS rows of ids and labels are broadcast.
-    rows = text.join(F.broadcast(sample), "doc_id").filter(F.col("text").isNotNull())
-    sizes = rows.select("doc_id", "y", F.octet_length("text").alias("bytes"), pick.alias("o")).toPandas()
-    sizes = sizes.sort_values(["o", "doc_id"]).drop_duplicates("doc_id")
-    sizes = sizes[sizes["bytes"].cumsum() <= MAX_SAMPLE_BYTES]
-    chosen = docs.sparkSession.createDataFrame([(x,) for x in sizes["doc_id"].tolist()],
-                                               f"doc_id {dict(docs.dtypes)[id_col]}")
-    got = (rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "y", "text")
-           .toArrow().sort_by("doc_id"))
-    y = got["y"].to_numpy()
+    rows = stored(text.join(F.broadcast(sample), "doc_id").filter(F.col("text").isNotNull())
+                  .dropDuplicates(["doc_id"]).select("doc_id", "y", "text"))
+    u = tested_features(rows)
+    if not len(u):
+        return NoisyOrModel(u, np.zeros(0), -6.0)
+    sets = sentence_sets(rows, u).toArrow().sort_by("doc_id")
+    y = sets["y"].to_numpy()
     weights = [counts.get(k, 0) / max(1, int((y == k).sum())) for k in (0, 1)]
-    text_column = got["text"].combine_chunks()
-    return fit_noisy_or(text_column, y, weights)
+    return fit_noisy_or(u, sets, y, weights)
 
 
 def score_documents(docs: DataFrame, model: NoisyOrModel, id_col: str = "doc_id", text_col: str = "text",

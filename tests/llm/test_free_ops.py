@@ -360,6 +360,25 @@ def test_toxicity_finds_documents_and_sentences(spark):
     assert [r["predicted"] for r in score_documents(docs, empty).limit(5).collect()] == [0] * 5
 
 
+def test_long_labelled_documents_do_not_end_the_sample(spark):
+    """One labelled text above 16 MB per class, wherever they stand in hash order."""
+    from quantspark.llm.toxicity import score_documents, train_toxicity
+    rng = random.Random(2)
+    vocab = [f"w{''.join(rng.choice('abcdef') for _ in range(5))}" for _ in range(300)]
+    plain = lambda: " ".join(rng.choice(vocab) for _ in range(40))
+    rows = [(i, plain() + (". idiot scum. " if i % 2 else ". ") + plain()) for i in range(200)]
+    first = spark.range(200).orderBy(F.xxhash64(F.lit("tox"), F.col("id").cast("string"))).limit(5).collect()
+    for r in first:                                  # the first of the sample, of both classes
+        i = r["id"]
+        rows[i] = (i, rows[i][1] + ". " + ("wlong words here. " * (1_000_000 if r == first[0] else 10)))
+    docs = frame(spark, rows)
+    model = train_toxicity(docs, spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int"),
+                           F.col("doc_id") % 5 != 9)
+    assert len(model.features)
+    new = frame(spark, [(300 + i, plain() + (" idiot scum" if i % 2 else "")) for i in range(40)])
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in score_documents(new, model).collect())
+
+
 # ------------------------------------------------------------------ pages
 
 def page(i, extra="", body=None):
