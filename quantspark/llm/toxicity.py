@@ -1,7 +1,9 @@
 """Toxicity by multiple-instance learning: sentences scored, combined by noisy-or, trained on document labels.
 
-A document is toxic if any of its sentences is: p = 1 - prod(1 - p_s), with a
-logistic score p_s per sentence.  Only documents carry labels; the gradient of
+A document is toxic if any of its sentences is: p = 1 - (1 - p_0) prod(1 - p_s),
+with a logistic score p_s per sentence that holds a feature and a p_0 per
+document; sentences without a feature add nothing, so neutral text of any
+length leaves the score where it is.  Only documents carry labels; the gradient of
 the noisy-or assigns them to sentences, so the trained model also points at
 the offending ones.  Features are the words of a sentence (lower case, outer
 punctuation off) and their first 3 to 8 bytes, which catch inflected stems;
@@ -79,22 +81,25 @@ def sentence_features(buf: np.ndarray, offs: np.ndarray):
 
 @dataclass
 class NoisyOrModel:
-    """Sorted feature hashes, their weights, and the bias of a sentence."""
+    """Sorted feature hashes, their weights, the bias of a sentence with a feature and the logit of a document."""
     features: np.ndarray
     weights: np.ndarray
     bias: float
+    base: float = -np.inf
 
     def sentence_scores(self, hashes: np.ndarray, sent: np.ndarray, n: int) -> np.ndarray:
-        """Logit of every sentence."""
-        z = np.full(n, self.bias)
+        """Logit of every sentence; -inf without a feature."""
+        z = np.full(n, -np.inf)
         if len(self.features):
             seen = np.zeros(1 << 18, dtype=bool)       # most words are no feature: one look rules them out
             mask = np.uint64((1 << 18) - 1)
             seen[self.features & mask] = True
             hit = np.flatnonzero(seen[hashes & mask])
             i = np.minimum(np.searchsorted(self.features, hashes[hit]), len(self.features) - 1)
-            w = np.where(self.features[i] == hashes[hit], self.weights[i], 0.0)
-            z += np.bincount(sent[hit], weights=w, minlength=n)
+            same = self.features[i] == hashes[hit]
+            own = sent[hit][same]
+            held = np.bincount(own, minlength=n) > 0
+            z[held] = self.bias + np.bincount(own, weights=self.weights[i[same]], minlength=n)[held]
         return z
 
 
@@ -143,8 +148,9 @@ def tested_features(sample: DataFrame) -> np.ndarray:
 
 
 def sentence_sets(sample: DataFrame, features: np.ndarray) -> DataFrame:
-    """(doc_id, y, times, sizes, features) per document: how often each set of features makes a sentence, the
-    sizes of these sets, and their members one set after the other as places in ``features`` (int32 bytes)."""
+    """(doc_id, y, times, sizes, features) per document: how often each set of features makes a sentence (not the
+    empty set), the sizes of these sets, and their members one set after the other as places in ``features``
+    (int32 bytes)."""
     import pyarrow as pa
 
     def run(batches):
@@ -164,6 +170,8 @@ def sentence_sets(sample: DataFrame, features: np.ndarray) -> DataFrame:
             times = np.diff(np.append(at, len(d)))
             lo = np.searchsorted(s, first)
             sizes = np.searchsorted(s, first, "right") - lo
+            some = sizes > 0
+            first, times, lo, sizes = first[some], times[some], lo[some], sizes[some]
             ends = np.cumsum(sizes)
             member = f[np.repeat(lo - (ends - sizes), sizes) + np.arange(sizes.sum())]
             cut = np.searchsorted(d[first], np.arange(b - a + 1))
@@ -189,20 +197,21 @@ def fit_noisy_or(u: np.ndarray, sets, labels: np.ndarray, class_weights=(1.0, 1.
     doc = np.repeat(np.arange(len(labels)), [len(x) // 4 for x in sets["sizes"].to_pylist()])
     weight = np.where(labels > 0, class_weights[1], class_weights[0]).astype(float)
     weight /= weight.sum()
-    w, bias = np.zeros(len(u)), -4.0
-    m, v = np.zeros(len(u) + 1), np.zeros(len(u) + 1)
+    w, bias, base = np.zeros(len(u)), -4.0, -4.0
+    m, v = np.zeros(len(u) + 2), np.zeros(len(u) + 2)
     for t in range(1, STEPS + 1):
         z = bias + np.bincount(s, weights=w[f], minlength=at)
-        total = np.bincount(doc, weights=times * _softplus(z), minlength=len(labels))
+        total = _softplus(base) + np.bincount(doc, weights=times * _softplus(z), minlength=len(labels))
         slope = np.where(labels > 0, -1.0 / np.expm1(np.clip(total, 1e-9, 50)), 1.0) * weight
         g = times * _sigmoid(z) * slope[doc]
-        grad = np.append(np.bincount(f, weights=g[s], minlength=len(u)) + L2 * w, g.sum())
+        grad = np.append(np.bincount(f, weights=g[s], minlength=len(u)) + L2 * w,
+                         [g.sum(), _sigmoid(base) * slope.sum()])
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
         move = RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-6)
-        w, bias = w - move[:-1], bias - move[-1]
+        w, bias, base = w - move[:-2], bias - move[-2], base - move[-1]
     kept = np.abs(w) >= WEIGHT_FLOOR
-    return NoisyOrModel(u[kept], w[kept], float(bias))
+    return NoisyOrModel(u[kept], w[kept], float(bias), float(base))
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id",
@@ -210,7 +219,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, trains: Column, id_col: s
     """Fit on a bounded sample of the labelled rows for which ``trains`` (a condition on the id) holds.
 
     Rows without a label, id or text do not train; an id with several labels counts as toxic if one of
-    them is.  Without both classes the model is a constant below the threshold.
+    them is.  Without both classes, or a feature that passes the test, the model scores every text 0.
     """
     marked = (labels.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{label_col}`").alias("y")).dropna()
               .groupBy("doc_id").agg(F.max((F.col("y") > 0).cast("int")).alias("y")).filter(trains))
@@ -226,7 +235,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, trains: Column, id_col: s
                   .dropDuplicates(["doc_id"]).select("doc_id", "y", "text"))
     u = tested_features(rows)
     if not len(u):
-        return NoisyOrModel(u, np.zeros(0), -6.0)
+        return NoisyOrModel(u, np.zeros(0), 0.0)
     sets = sentence_sets(rows, u).toArrow().sort_by("doc_id")
     y = sets["y"].to_numpy()
     weights = [counts.get(k, 0) / max(1, int((y == k).sum())) for k in (0, 1)]
@@ -238,7 +247,8 @@ def score_documents(docs: DataFrame, model: NoisyOrModel, id_col: str = "doc_id"
     """(doc_id, score, predicted, sentences) of every row, or all columns of ``docs`` and those three.
 
     ``sentences`` are the (start, end, score) of sentences at or above the threshold, in code points; a
-    document above it without such a sentence names its highest one.  Null and empty texts score 0.
+    document above it without such a sentence names its highest one that holds a feature.  Null and empty
+    texts score 0.
     """
     import pyarrow as pa
 
@@ -256,14 +266,16 @@ def score_documents(docs: DataFrame, model: NoisyOrModel, id_col: str = "doc_id"
                 part = buf[offs[a]:offs[b]]
                 h, s, d, lo, hi = sentence_features(part, offs[a:b + 1] - offs[a])
                 z = model.sentence_scores(h, s, len(d))
-                p = -np.expm1(-np.bincount(d, weights=_softplus(z), minlength=b - a))
+                total = np.bincount(d, weights=_softplus(z), minlength=b - a)
+                total[d] += _softplus(model.base)                  # once a document that has a sentence
+                p = -np.expm1(-total)
                 scores.append(np.clip(p, 0.0, 1.0))
                 rows = [[] for _ in range(b - a)]
                 ps = _sigmoid(z)
                 pick = np.flatnonzero(ps >= THRESHOLD)
                 for r in np.setdiff1d(np.flatnonzero(p >= THRESHOLD), d[pick]):
-                    own = np.flatnonzero(d == r)
-                    pick = np.append(pick, own[np.argmax(ps[own])])
+                    own = np.flatnonzero((d == r) & np.isfinite(z))
+                    pick = np.append(pick, own[np.argmax(ps[own])]) if len(own) else pick
                 starts = offs[a:b + 1] - offs[a]
                 for i in np.sort(pick):
                     base = starts[d[i]]

@@ -379,6 +379,25 @@ def test_long_labelled_documents_do_not_end_the_sample(spark):
     assert all(r["predicted"] == r["doc_id"] % 2 for r in score_documents(new, model).collect())
 
 
+def test_length_alone_is_not_toxic(spark):
+    """100,000 neutral sentences, for the model without classes and for a trained one."""
+    from quantspark.llm.toxicity import score_documents, train_toxicity
+    rng = random.Random(5)
+    vocab = [f"w{''.join(rng.choice('abcdef') for _ in range(5))}" for _ in range(300)]
+    sents = [" ".join(rng.choice(vocab) for _ in range(3)) + "." for _ in range(100_000)]
+    docs = frame(spark, [(i, " ".join(rng.sample(sents, 6) + ["idiot scum."] * (i % 2))) for i in range(200)])
+    clean = frame(spark, [(500, " ".join(sents)), (501, " ".join(sents[:400]))])
+    marks = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    for labels in (marks.limit(0), marks.filter("toxic = 0"), marks):
+        model = train_toxicity(docs, labels, F.lit(True))
+        out = score_documents(clean, model).collect()
+        assert [r["predicted"] for r in out] == [0, 0]
+        if labels is not marks:
+            assert [r["score"] for r in out] == [0.0, 0.0]
+    bad = score_documents(frame(spark, [(502, " ".join(sents) + " idiot scum.")]), model).first()
+    assert bad["predicted"] == 1 and len(bad["sentences"]) == 1
+
+
 # ------------------------------------------------------------------ pages
 
 def page(i, extra="", body=None):
