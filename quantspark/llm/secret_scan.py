@@ -1,9 +1,11 @@
 """Secret scanning with a recursive decoding worklist.
 
 Each whole text is scanned, then unwrapped: percent escapes, Unicode and
-character-reference escapes, and base64 runs (plain, URL-safe, or holding
-gzip, zlib, bzip2 or xz data) open new layers that are scanned and unwrapped
-in turn until nothing new appears.  A layer keeps, for each of its characters,
+character-reference escapes, and base64 runs (plain, URL-safe, wrapped over
+lines, after other letters, or holding gzip, zlib, bzip2 or xz data) open new
+layers that are scanned and unwrapped in turn until nothing new appears.  All
+patterns and encodings are ASCII, so decoded bytes are read one character a
+byte, and bytes that are no text do not hide the rest.  A layer keeps, for each of its characters,
 the span of the original text it came from, so a finding at any depth maps
 back to code point offsets of the document.  Layers already seen are skipped,
 which also breaks cycles.
@@ -11,7 +13,6 @@ which also breaks cycles.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import hashlib
@@ -36,8 +37,13 @@ _ESCAPE = re.compile(r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-
                      r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
 _ESCAPE_ONE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})"
                          r"|&#([0-9]+);|&#[xX]([0-9A-Fa-f]+);")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{12,}={0,2}")
+_BREAK = re.compile(r"[ \t]*(?:\r?\n|\\r\\n|\\n)[ \t]*")        # between the lines of a run, also as written in JSON
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{12,}+(?:B[A-Za-z0-9+/_-]++)*+"
+                     r"|[A-Za-z0-9+/_-]{2,}+(?:B[A-Za-z0-9+/_-]++)++)={0,2}".replace("B", _BREAK.pattern))
+SHORTEST = 12                  # characters of the shortest secret
 _WORDLIKE = re.compile(r"[A-Za-z]+|[0-9a-f]+|[0-9]+")
+_READABLE = re.compile(rb"[\t\n\r\x20-\x7e]{%d}" % SHORTEST)
+_ANY_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 _MAGIC = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"\x78\x01", lambda: zlib.decompressobj()),
           (b"\x78\x5e", lambda: zlib.decompressobj()), (b"\x78\x9c", lambda: zlib.decompressobj()),
           (b"\x78\xda", lambda: zlib.decompressobj()), (b"BZh", bz2.BZ2Decompressor),
@@ -57,36 +63,40 @@ def find_secrets(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _readable(data: bytes) -> str | None:
-    """The bytes as text if they are UTF-8 without control characters other than white space."""
-    try:
-        s = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return s if s and all(c.isprintable() or c in "\t\n\r" for c in s) else None
-
-
-def _inflate(data: bytes) -> bytes:
-    """Unfold nested compressed data; bytes that are no whole compressed stream stay as they are."""
+def _inflate(data) -> tuple[bytes, int] | None:
+    """(unfolded bytes, compressed bytes) of the whole compressed stream that ``data`` starts with, if it does."""
     for magic, opener in _MAGIC:
-        if data.startswith(magic):
+        if data[:len(magic)] == magic:
+            tool, out, at = opener(), [], 0
+            total = 0
             try:
-                tool = opener()
-                out = tool.decompress(data, MAX_LAYER_BYTES + 1)
+                while not tool.eof and total <= MAX_LAYER_BYTES:
+                    piece = getattr(tool, "unconsumed_tail", b"")
+                    if not piece and getattr(tool, "needs_input", True):
+                        piece = bytes(data[at:at + (1 << 16)])
+                        at += len(piece)
+                        if not piece:
+                            return None
+                    out.append(tool.decompress(piece, MAX_LAYER_BYTES + 1 - total))
+                    total += len(out[-1])
             except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-                return data
-            return _inflate(out) if tool.eof and len(out) <= MAX_LAYER_BYTES else data
-    return data
+                return None
+            return (b"".join(out), at - len(tool.unused_data)) if tool.eof and total <= MAX_LAYER_BYTES else None
+    return None
 
 
-def _utf8_chars(data: bytes) -> tuple[str, np.ndarray] | None:
-    """Text of percent-decoded bytes and the byte index at which each character starts."""
-    try:
-        s = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    raw = np.frombuffer(data, dtype=np.uint8)
-    return s, np.flatnonzero((raw & 0xC0) != 0x80)
+def _unfolded(data: bytes):
+    """(text, start and end in ``data``) of every compressed stream in ``data``, streams inside streams too."""
+    done, view = 0, memoryview(data)
+    for m in _ANY_MAGIC.finditer(data):
+        if m.start() < done or (got := _inflate(view[m.start():])) is None:
+            continue
+        out, used = got
+        done = m.start() + used
+        if _READABLE.search(out):
+            yield out.decode("latin-1"), m.start(), done
+        if out != data:                            # a stream may hold itself
+            yield from ((s, m.start(), done) for s, _, _ in _unfolded(out))
 
 
 def _rewritten(text: str, pattern: re.Pattern, decode) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | None:
@@ -119,11 +129,9 @@ def _rewritten(text: str, pattern: re.Pattern, decode) -> tuple[str, np.ndarray,
 
 
 def _url(run: str):
-    got = _utf8_chars(bytes.fromhex(run.replace("%", "")))
-    if got is None:
-        return None
-    s, at = got
-    return s, at * 3, np.append(at[1:], len(run) // 3) * 3
+    s = bytes.fromhex(run.replace("%", "")).decode("latin-1")
+    at = np.arange(len(s)) * 3
+    return s, at, at + 3
 
 
 def _escape(run: str):
@@ -135,41 +143,48 @@ def _escape(run: str):
             s[-1] = chr(0x10000 + ((ord(s[-1]) - 0xD800) << 10) + low)
             hi[-1] = m.end()
             continue
-        if code > 0x10FFFF:
-            return None
-        s.append(chr(code))
+        s.append(chr(code) if code <= 0x10FFFF else "\ufffd")
         lo.append(m.start())
         hi.append(m.end())
-    out = "".join(s)
-    if any(0xD800 <= ord(c) < 0xE000 for c in out):
-        return None
+    out = "".join("\ufffd" if 0xD800 <= ord(c) < 0xE000 else c for c in s)
     return out, np.array(lo, dtype=np.int64), np.array(hi, dtype=np.int64)
 
 
 def _base64_layers(text: str):
-    """(text, start, end) of every base64 run that decodes to text, directly or after decompression."""
+    """(text, start, end) of every base64 run that decodes to some text, directly or after decompression.
+
+    A run may start after other letters of its alphabet (a path, a name), so it is read at all four phases."""
     for m in _BASE64.finditer(text):
         run = m.group()
+        place = None
         body = run.rstrip("=")
-        if len(body) % 4 == 1 or _WORDLIKE.fullmatch(body):
-            if len(body) % 4 == 1 or len(body) < 16 or body.islower() or body.isdigit():
-                continue
-        try:
-            data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        plain = _inflate(data)
-        s = _readable(plain)
-        if s is None:
+        if breaks := [x.span() for x in _BREAK.finditer(run)]:
+            kept = np.ones(len(body), dtype=bool)
+            for a, b in breaks:
+                kept[a:b] = False
+            place = np.flatnonzero(kept)
+            body = _BREAK.sub("", body)
+        if _WORDLIKE.fullmatch(body) and (len(body) < 16 or body.islower() or body.isdigit()):
             continue
-        if plain is not data:                      # no place inside the run for a compressed character
-            n = len(s)
-            yield s, np.full(n, m.start()), np.full(n, m.end())
-        else:
-            raw = np.frombuffer(data, dtype=np.uint8)
-            lo = np.flatnonzero((raw & 0xC0) != 0x80)
-            hi = np.append(lo[1:], len(raw))
-            yield s, m.start() + lo * 8 // 6, m.start() + np.minimum(-(-hi * 8 // 6), len(body))
+        n = len(body)
+        body = body.replace("-", "+").replace("_", "/")
+        chars = m.start() + (np.arange(n) if place is None else place)
+
+        def spans(k, lo, hi):                      # of bytes lo to hi, read from character k on
+            return chars[k + lo * 8 // 6], chars[np.minimum(k - (-hi * 8 // 6), n) - 1] + 1
+
+        for k in range(4):
+            size = (n - k) * 6 // 8
+            if size < SHORTEST:
+                break
+            part = body[k:n - ((n - k) % 4 == 1)]
+            data = binascii.a2b_base64(part + "=" * (-len(part) % 4))
+            if _READABLE.search(data):
+                at = np.arange(len(data))
+                yield data.decode("latin-1"), *spans(k, at, at + 1)
+            for s, a, b in _unfolded(data):        # no place inside the run for a compressed character
+                lo, hi = spans(k, a, b)
+                yield s, np.broadcast_to(lo, len(s)), np.broadcast_to(m.end() if b == len(data) else hi, len(s))
 
 
 def scan_text(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, int, str]]]:

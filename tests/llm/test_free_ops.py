@@ -166,6 +166,37 @@ def test_decoding_leaves_clean_text_alone_and_ends():
     assert scan_text(bomb)[1] == []
 
 
+def test_layers_with_odd_characters_wrapped_or_after_letters():
+    from quantspark.llm.secret_scan import redact, scan_text
+    rng = random.Random(8)
+    secrets = [f"password=Tr0ub4dor.and.{i}" for i in range(10)]
+    lines = "\n".join(s + " " + "".join(rng.choice("ghijkl ") for _ in range(50)) for s in secrets)
+
+    def found(text):
+        base, added = scan_text(text)
+        assert base == []
+        return {x[4] for x in added}, redact(text, added)
+
+    for odd in ("\u00a0", "\u3000", "\u200d", "\u00ad", "\ufeff", "\f", "\x00"):
+        run = base64.b64encode((odd + lines).encode()).decode()
+        assert found("see " + run + " end")[0] == set(secrets), odd
+        packed = base64.b64encode(gzip.compress((odd + lines).encode())).decode()
+        assert found("see " + packed + " end")[0] == set(secrets), odd
+    bad = base64.b64encode(b"caf\xe9 " + lines.encode()).decode()
+    assert found(bad)[0] == set(secrets)
+    assert found("%E9" + "".join(f"%{b:02X}" for b in secrets[0].encode()))[0] == {secrets[0]}
+    for data in (lines.encode(), gzip.compress(lines.encode()), zlib.compress(lines.encode())):
+        one = base64.b64encode(data).decode()
+        for wide, glue in ((76, "\n"), (64, "\r\n"), (64, "\\n"), (8, "\n    ")):
+            wrapped = glue.join(one[i:i + wide] for i in range(0, len(one), wide))
+            for text in (f"data:\n{wrapped}\nand more", f"-----BEGIN CERTIFICATE-----\n{wrapped}\n-----END CERTIFICATE-----"):
+                assert found(text)[0] == set(secrets), (wide, glue)
+                assert "pass" not in found(text)[1] and found(found(text)[1])[0] == set()
+        for before in ("/", "_", "-", "a", "data_", "/path/to-", "xyz"):
+            got, clean = found(f"at {before}{one} end")
+            assert got == set(secrets) and clean.endswith(" end") and clean.startswith("at "), before
+
+
 def test_redaction(spark):
     from quantspark.llm.secret_scan import redacted_documents
     docs = frame(spark, [(1, "a password=abcdef9 b"), (2, "clean"), (3, None)])
