@@ -48,7 +48,8 @@ _MAGIC = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"\x78\x01", lambda: z
           (b"\x78\x5e", lambda: zlib.decompressobj()), (b"\x78\x9c", lambda: zlib.decompressobj()),
           (b"\x78\xda", lambda: zlib.decompressobj()), (b"BZh", bz2.BZ2Decompressor),
           (b"\xfd7zXZ", lzma.LZMADecompressor))
-MAX_LAYER_BYTES = 64 << 20     # a compressed layer that would unfold beyond this is not opened
+MAX_LAYER_BYTES = 64 << 20     # one compressed stream that would unfold beyond this is not opened
+OVERLAP = 1 << 20
 
 
 def find_secrets(text: str) -> list[tuple[int, int, int]]:
@@ -86,17 +87,33 @@ def _inflate(data) -> tuple[bytes, int] | None:
 
 
 def _unfolded(data: bytes):
-    """(text, start and end in ``data``) of every compressed stream in ``data``, streams inside streams too."""
-    done, view = 0, memoryview(data)
+    """(text, start and end in ``data``) of the compressed streams in ``data``, streams inside streams too.
+
+    Streams that follow each other are members of one text; it comes in windows of ``MAX_LAYER_BYTES`` that
+    overlap by ``OVERLAP`` bytes."""
+    view, start, done, parts, held = memoryview(data), 0, 0, [], 0
+
+    def layers(out):
+        if _READABLE.search(out):
+            yield out.decode("latin-1"), start, done
+        if out != data:                            # a stream may hold itself
+            yield from ((s, start, done) for s, _, _ in _unfolded(out))
+
     for m in _ANY_MAGIC.finditer(data):
         if m.start() < done or (got := _inflate(view[m.start():])) is None:
             continue
-        out, used = got
-        done = m.start() + used
-        if _READABLE.search(out):
-            yield out.decode("latin-1"), m.start(), done
-        if out != data:                            # a stream may hold itself
-            yield from ((s, m.start(), done) for s, _, _ in _unfolded(out))
+        follows = parts and not bytes(view[done:m.start()]).strip(b"\0")       # padding between members
+        if parts and (not follows or held + len(got[0]) > MAX_LAYER_BYTES):
+            out = b"".join(parts)
+            yield from layers(out)
+            parts = [out[-OVERLAP:]] if follows else []
+            held = sum(map(len, parts))
+        start = start if follows else m.start()
+        done = m.start() + got[1]
+        parts.append(got[0])
+        held += len(got[0])
+    if parts:
+        yield from layers(b"".join(parts))
 
 
 def _rewritten(text: str, pattern: re.Pattern, decode) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | None:

@@ -197,6 +197,24 @@ def test_layers_with_odd_characters_wrapped_or_after_letters():
             assert got == set(secrets) and clean.endswith(" end") and clean.startswith("at "), before
 
 
+def test_all_members_of_a_compressed_layer(monkeypatch):
+    import bz2
+    import lzma
+    from quantspark.llm import secret_scan
+    secrets = [f"password=Tr0ub4dor.and.{i}" for i in range(5)]
+    text = " some words, ".join(secrets).encode()
+    pieces = [text[i:i + 20] for i in range(0, len(text), 20)]         # secrets lie over member borders
+    for tool in (gzip, bz2, lzma):
+        run = base64.b64encode(b"".join(tool.compress(x) for x in pieces)).decode()
+        base, added = secret_scan.scan_text(f"see {run} end")
+        assert base == [] and set(secrets) <= {x[4] for x in added}, tool    # xz also shows pieces it stores raw
+        assert secret_scan.redact(f"see {run} end", added) == "see [REDACTED] end"
+    monkeypatch.setattr(secret_scan, "MAX_LAYER_BYTES", 90)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 40)
+    run = base64.b64encode(b"".join(gzip.compress(x) for x in pieces)).decode()
+    assert set(secrets) <= {x[4] for x in secret_scan.scan_text(run)[1]}
+
+
 def test_redaction(spark):
     from quantspark.llm.secret_scan import redacted_documents
     docs = frame(spark, [(1, "a password=abcdef9 b"), (2, "clean"), (3, None)])
