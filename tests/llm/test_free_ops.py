@@ -304,6 +304,33 @@ def test_plan_holds_every_piece_and_is_tight():
 
 # ------------------------------------------------------------------ exact top-k
 
+def test_top_k_of_large_components_and_repeated_rows(spark):
+    from quantspark.llm.topk import top_k
+    rng = random.Random(6)
+    rows = [(i, [rng.uniform(-2, 2) for _ in range(4)]) for i in range(60)]
+    rows += [(60, [40000.0, -1e6, 3.5e5, 20000.0]), (61, [-2e6, 1e6, 1.0, 0.1]),
+             (80, [1e6, -3e6, 70000.0, 2.0]),                      # its product with itself leaves 64 bits
+             (100, [0.0, 0.0, 0.0, 1.5]), (101, [0.0, 0.0, 1e7, -1.0])]
+    rows = [r for r in rows if r[0] % 20 or r[0] in (80, 100)] + [(0, [0.5, 0.25, 0.0, 1.0])]
+    rows += [rows[3]] * 2 + [(rows[4][0], [x + 1e-7 for x in rows[4][1]])]
+    scaled = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for bins in (16, 1024):
+        out = top_k(table, F.col("vec_id") % 20 == 0, k=50, bins=bins, query_block=3, row_block=20).collect()
+        got = {}
+        for r in sorted(out, key=lambda r: r["rank"]):
+            got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        want = {}
+        for q, v in scaled:
+            if q % 20 == 0:
+                every = [(c, sum(a * b for a, b in zip(v, w))) for c, w in scaled if c != q]
+                want[q] = sorted(every, key=lambda x: (-x[1], x[0]))[:50]
+        assert got == want
+    far = spark.createDataFrame([(0, [1e9, 1e9]), (1, [1e9, 1e9])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        top_k(far, F.col("vec_id") == 0).collect()
+
+
 def test_top_k(spark):
     from quantspark.llm.topk import top_k
     rng = np.random.default_rng(4)
