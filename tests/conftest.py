@@ -20,9 +20,3 @@ def spark():
     prepare_session(s)
     yield s
     s.stop()
-
-
-def ts(x: str):
-    import datetime as dt
-    fmt = "%Y-%m-%d %H:%M:%S.%f" if "." in x else "%Y-%m-%d %H:%M:%S"
-    return dt.datetime.strptime(x, fmt)

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import ts
+from timestamps import ts
 from quantspark.plans.cleaning import filter_accounts, quality_report, vwap_dedup
 from quantspark.schemas import TRADES
 
