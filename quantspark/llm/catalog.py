@@ -144,3 +144,59 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quantspark.llm.wrapper import main_texts
     return main_texts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quantspark.llm.common import ascii_lower
+    from quantspark.llm.merkle import merkle_manifest
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    lowered = F.when(hit, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    return merkle_manifest(table(spark, sf_dir, "documents"), {"text": lowered})
+
+
+def _merkle_sql(levels: int = 6, top_levels: int = 3) -> str:
+    """The manifest level by level, up to 8^levels rows a language and 8^top_levels languages."""
+    def item(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(item(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bit = "(CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)"
+    steps = "".join(f", c{i + 1} AS (SELECT b, {bit} AS v FROM c{i})" for i in range(8))
+    sql = f"""WITH c0 AS (SELECT b, b::BIGINT AS v FROM range(256) t(b)){steps},
+k AS (SELECT list(v ORDER BY b) AS tab FROM c8),
+x AS (SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], [ascii(y)::BIGINT FOR y IN string_split(doc_id::VARCHAR, '')]),
+        lambda c, y: xor(c // 256, tab[xor(c % 256, y) + 1])), 4294967295) % 3 = 0 AS hit FROM documents, k),
+l AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, {leaf('text')} AS leaf,
+        CASE WHEN hit THEN {leaf(lowered)} ELSE {leaf('text')} END AS cur FROM x),
+d0 AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, cur) - 1 AS pos, '' AS sib FROM l),
+n0 AS (SELECT tree, pos, leaf AS h, count(*) OVER (PARTITION BY tree) AS total FROM d0)"""
+
+    def climb(i: int, rows: str, nodes: str, place: str) -> str:
+        kids = "string_agg(h, '' ORDER BY pos)"
+        left, right = "substr(kids, 1, 64 * s)", "substr(kids, 64 * (s + 1) + 1)"
+        return f""",
+{nodes}{i + 1} AS (SELECT tree, pos // 8 AS pos, CASE WHEN max(total) = 1 THEN max(h) ELSE sha256({kids}) END AS h,
+        (max(total) + 7) // 8 AS total, max(total) AS below, {kids} AS kids FROM {nodes}{i} GROUP BY tree, pos // 8),
+{rows}{i + 1} AS (SELECT * EXCLUDE (s, kids, below, cur, sib),
+        CASE WHEN below = 1 THEN cur ELSE sha256({left} || cur || {right}) END AS cur,
+        CASE WHEN below = 1 THEN sib ELSE sib || {left} || {right} END AS sib
+      FROM (SELECT r.*, n.kids, n.below, (r.{place} // {8**i}) % 8 AS s FROM {rows}{i} r
+            JOIN {nodes}{i + 1} n ON n.tree = r.{'tree' if rows == 'd' else 'one'} AND n.pos = r.{place} // {8**(i + 1)}))"""
+
+    for i in range(levels):
+        sql += climb(i, "d", "n", "pos")
+    sql += f""",
+m0 AS (SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, h, count(*) OVER () AS total, tree AS name FROM n{levels}),
+e0 AS (SELECT d.*, m0.pos AS tpos, m0.h AS subroot, '' AS one FROM d{levels} d JOIN m0 ON m0.name = d.tree)"""
+    for i in range(top_levels):
+        sql += climb(i, "e", "m", "tpos")
+    return sql + f"""
+SELECT doc_id, leaf, subroot, m.h AS root, sha256(sib) AS proof_sha256, cur AS folded_root, cur = m.h AS verified
+FROM e{top_levels}, m{top_levels} m"""
+
+
+ORACLE["op13_merkle_manifest"] = _merkle_sql()
