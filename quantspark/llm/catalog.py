@@ -146,6 +146,12 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages"))
 
 
+@query
+def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quantspark.llm.whitening import whitened_rows
+    return whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quantspark.llm.common import ascii_lower
