@@ -146,6 +146,16 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from quantspark.llm.common import stored
+    from quantspark.llm.quality import score_quality, text_statistics, train_quality
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    stats = stored(text_statistics(table(spark, sf_dir, "documents")))
+    model = train_quality(stats, table(spark, sf_dir, "labels"), ~held_out)
+    return score_quality(stats, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op12_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
     from quantspark.llm.whitening import whitened_rows
