@@ -111,9 +111,11 @@ SELECT CAST(0 AS INTEGER) AS lag, 1.0::DOUBLE AS pacf UNION ALL SELECT CAST(k AS
 def _a1(spark, sf):
     path = scratch_folder(spark, "trades-csv")
     t = _trades(spark, sf)
-    (t.select(*reversed(t.columns)).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-     .write.option("header", True).csv(path))
-    return tb.read_trades_csv(spark, path)
+    t = t.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    # One folder, files of two column orders.
+    t.filter("id % 2 = 0").write.option("header", True).csv(path)
+    t.filter("id % 2 = 1").select(*reversed(t.columns)).write.mode("append").option("header", True).csv(path)
+    return tb.read_trades_csv(spark, path, mixed_headers=True)
 
 
 @register("a4_a7_store_round_trip", _with(fx.TRADES_EVENTS_SQL, fx.macro_sql()) + """
@@ -145,6 +147,24 @@ def _a4(spark, sf):
     return out
 
 
+@register("a5_refresh_from_itself", _with(fx.TRADES_EVENTS_SQL) + """
+SELECT 'refreshed' AS step, count(*) AS "rows", sum(pnl) AS total FROM trades WHERE pnl > 0
+UNION ALL SELECT 'updated', count(*), sum(CASE WHEN direction = 'BUY' THEN 0 ELSE pnl END) FROM trades WHERE pnl > 0
+UNION ALL SELECT 'deleted', count(*), sum(pnl) FROM trades WHERE pnl > 0 AND direction <> 'BUY'""")
+def _a5(spark, sf):
+    """A table refreshed from a filtered read of itself, then rows updated and deleted in place."""
+    root = scratch_folder(spark, "refresh")
+    tb.write_table(_trades(spark, sf), root, "trades", "overwrite")
+    tb.write_table(tb.read_table(spark, root, "trades").filter("pnl > 0"), root, "trades", "overwrite")
+    total = [F.count(F.lit(1)).alias("rows"), F.sum("pnl").alias("total")]
+    steps = [("refreshed", tb.read_table(spark, root, "trades").agg(*total).first())]
+    tb.rewrite_rows(spark, root, "trades", F.col("direction") == "BUY", {"pnl": F.lit(0.0)})
+    steps.append(("updated", tb.read_table(spark, root, "trades").agg(*total).first()))
+    tb.rewrite_rows(spark, root, "trades", F.col("direction") == "BUY")
+    steps.append(("deleted", tb.read_table(spark, root, "trades").agg(*total).first()))
+    return spark.createDataFrame([(n, r["rows"], r["total"]) for n, r in steps], "step string, rows long, total double")
+
+
 @register("a9_macro_csv_round_trip", _with(fx.macro_sql(daily=True)) + """
 SELECT series_id, date, avg(value) AS value, date + INTERVAL 30 DAY + INTERVAL 510 MINUTE AS release_date, 'monthly' AS frequency,
        'FRED' AS source FROM macro_series WHERE series_id = 'DGS2' GROUP BY series_id, date""")

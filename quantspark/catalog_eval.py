@@ -358,6 +358,32 @@ _BEST_TS = """
 best_ts AS (SELECT arg_max(trade_id, (predicted_pnl, -trade_id)) AS trade_id, "timestamp",
                    max(predicted_pnl) AS predicted_pnl
             FROM predictions WHERE predicted_pnl IS NOT NULL GROUP BY "timestamp")"""
+# Every 7th prediction is NaN: it counts as missing.
+_NAN = "nanp AS (SELECT * REPLACE (CASE WHEN trade_id % 7 = 0 THEN 'NaN'::DOUBLE ELSE predicted_pnl END AS predicted_pnl) FROM predictions)"
+
+
+def _nan_preds(spark, sf):
+    return _preds(spark, sf).withColumn("predicted_pnl", F.when(F.col("trade_id") % 7 == 0, F.lit(float("nan")))
+                                        .otherwise(F.col("predicted_pnl")))
+
+
+register("l12_slot_heatmap_nan", _with(T, PRED, _NAN, """
+g AS (SELECT CAST(isodow("timestamp") - 1 AS INTEGER) AS day_of_week, CAST(hour("timestamp") AS INTEGER) AS hour_of_day,
+             permutation_id, avg(CASE WHEN NOT isnan(predicted_pnl) THEN predicted_pnl END) AS predicted_pnl
+      FROM nanp GROUP BY ALL)""", """
+best AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY day_of_week, hour_of_day
+                                                    ORDER BY predicted_pnl DESC NULLS LAST, permutation_id) = 1)""",
+                                       """
+codes AS (SELECT permutation_id, 'P' || CAST(dense_rank() OVER (ORDER BY permutation_id) AS VARCHAR) AS code
+          FROM (SELECT DISTINCT permutation_id FROM best))""") + """
+SELECT day_of_week, hour_of_day, permutation_id, predicted_pnl, code FROM best JOIN codes USING (permutation_id)""")(
+    lambda spark, sf: ev.slot_heatmap(_nan_preds(spark, sf)))
+
+register("l13_best_prediction_nan", _with(T, PRED, _NAN) + """
+SELECT arg_max(trade_id, (predicted_pnl, -trade_id)) AS trade_id, "timestamp", max(predicted_pnl) AS predicted_pnl
+FROM nanp WHERE predicted_pnl IS NOT NULL AND NOT isnan(predicted_pnl) GROUP BY nanp."timestamp" """)(
+    lambda spark, sf: ev.best_prediction_per_timestamp(_nan_preds(spark, sf)))
+
 _PORT = """
 port AS (SELECT b.trade_id, b."timestamp", b.predicted_pnl, t.pnl AS realized_pnl, t.permutation_id
          FROM best_ts b JOIN trades t ON b.trade_id = t.id)"""

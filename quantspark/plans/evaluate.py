@@ -404,14 +404,15 @@ def _best_by_slot(g: DataFrame) -> DataFrame:
 
 
 def slot_heatmap(predictions: DataFrame) -> DataFrame:
-    """Best permutation per (day_of_week, hour_of_day) by mean predicted pnl.
+    """Best permutation per (day_of_week, hour_of_day) by mean predicted pnl (NaN counts as missing).
 
     Ties go to the smallest permutation id; codes P1..Pn number the sorted
     distinct winners.  The per-slot window runs on the grouped table (at most
     7 x 24 x permutations rows).
     """
     p = predictions.withColumns({"day_of_week": F.weekday("timestamp"), "hour_of_day": F.hour("timestamp")})
-    g = p.groupBy("day_of_week", "hour_of_day", "permutation_id").agg(F.avg("predicted_pnl").alias("predicted_pnl"))
+    value = F.when(~F.isnan("predicted_pnl"), F.col("predicted_pnl"))
+    g = p.groupBy("day_of_week", "hour_of_day", "permutation_id").agg(F.avg(value).alias("predicted_pnl"))
     best = _best_by_slot(g)
     codes = (best.select("permutation_id").distinct()
                  .withColumn("code", F.concat(F.lit("P"), F.dense_rank().over(Window.orderBy("permutation_id"))
@@ -430,8 +431,10 @@ def slot_pivots(heat: DataFrame) -> DataFrame:
 
 
 def best_prediction_per_timestamp(predictions: DataFrame) -> DataFrame:
-    """Per timestamp the prediction with the highest predicted_pnl (first = smallest trade_id)."""
-    return predictions.filter(F.col("predicted_pnl").isNotNull()).groupBy("timestamp").agg(
+    """Per timestamp the prediction with the highest predicted_pnl (first = smallest trade_id);
+    NULL and NaN predictions do not compete."""
+    valid = F.col("predicted_pnl").isNotNull() & ~F.isnan("predicted_pnl")
+    return predictions.filter(valid).groupBy("timestamp").agg(
         F.max_by(F.struct("trade_id", "predicted_pnl"),
                  F.struct(F.col("predicted_pnl"), -F.col("trade_id"))).alias("_b")).select(
         "_b.trade_id", "timestamp", "_b.predicted_pnl")
