@@ -9,18 +9,18 @@ meet when at least two half-bands agree (probability 0.9993 at similarity
 0.75, 0.99999 at 0.8).
 
 Keys are hash-partitioned and sorted; a bucket is a run of rows, read as a
-stream.  A bucket up to ``SMALL_BUCKET`` classes gives all its pairs.  A larger
-one gives each member's pair with its first member (``LEADS``), mostly the same
-few classes in every table; links confirmed on the full sets merge classes into components, and only
-members of such a bucket that are still outside its main component are compared
-further, with all members, block against block.  So a group of thousands of
-near copies costs a row or two per member and table, and no candidate is dropped.
+stream.  First every member of a bucket meets the bucket's lead, mostly the
+same few classes in every table; links confirmed on the full sets merge
+classes into components.  Then only classes of one bucket whose components
+still differ are compared, block against block inside tasks.  So a group of
+thousands of near copies costs a row per member and table, no pair is a row
+unless it is linked or has a bucket's lead, and no candidate is dropped.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantspark.llm import textvec as tv
@@ -30,12 +30,8 @@ from quantspark.llm.components import connected_components
 SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 HALVES, DEPTH = 18, 3
-SMALL_BUCKET = 32
-LEADS = 1
-BLOCK, MINORS = 256, 64
-# Minhash agreement below which a pair inside a large bucket is not compared in full: at similarity
-# 0.75 the share of 54 minhashes is under 0.4 with probability 2e-8.
-SKETCH_SHARE = 0.4
+BLOCK, MINORS = 512, 256
+SALTS = 16
 
 _PLACE = tv.mix(np.arange(64, dtype=np.uint64), 11) | np.uint64(1)
 
@@ -110,8 +106,14 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .mapInArrow(run, f"doc_id {kind}, n_shingles bigint, h1 bigint, h2 bigint, sig binary"))
 
 
+def _half_bands(sig) -> np.ndarray:
+    """One hash per half-band (rows x HALVES) of a column of signatures."""
+    rows = np.frombuffer(b"".join(sig.to_pylist()), dtype=np.uint32).reshape(len(sig), HALVES, DEPTH)
+    return tv.mix((rows.astype(np.uint64) * _PLACE[:DEPTH]).sum(axis=2, dtype=np.uint64), 31)
+
+
 def _table_keys(classes: DataFrame) -> DataFrame:
-    """(key, node): one row per class and pair of half-bands."""
+    """(key, node, size): one row per class and pair of half-bands."""
     import pyarrow as pa
     left, right = np.triu_indices(HALVES, 1)
 
@@ -119,79 +121,57 @@ def _table_keys(classes: DataFrame) -> DataFrame:
         for whole in batches:
             for lo in range(0, whole.num_rows, 2048):
                 batch = whole.slice(lo, 2048)
-                sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint32)
-                sig = sig.reshape(batch.num_rows, HALVES, DEPTH).astype(np.uint64)
-                half = tv.mix((sig * _PLACE[:DEPTH]).sum(axis=2, dtype=np.uint64), 31)
+                half = _half_bands(batch.column(2))
                 key = tv.mix(half[:, left] * _PLACE[8] + half[:, right] * _PLACE[9]
                              + np.arange(len(left), dtype=np.uint64), 32)
-                node = np.repeat(batch.column(0).to_numpy(), len(left))
-                yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(node)],
-                                                 names=["key", "node"])
+                node, size = (np.repeat(batch.column(i).to_numpy(), len(left)) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(node), pa.array(size)],
+                                                 names=["key", "node", "size"])
 
-    return classes.select("node", "sig").mapInArrow(run, "key bigint, node bigint")
+    return classes.select("node", "n_shingles", "sig").mapInArrow(run, "key bigint, node bigint, size bigint")
 
 
-def _bucket_pairs(keys: DataFrame) -> DataFrame:
-    """(kind, a, b): candidate pairs (kind 0), and (key, member) of large buckets (kind 1).
+def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes can be linked at all."""
+    return np.minimum(x, y) * DENOMINATOR >= np.maximum(x, y) * NUMERATOR
 
-    Reads each sorted partition as a stream of runs; what a batch leaves open
-    (at most the run's first members and its last SMALL_BUCKET ones) is carried on.
-    """
-    import pyarrow as pa
 
-    leads = min(LEADS, SMALL_BUCKET)
+def _shared_buckets(keys: DataFrame) -> DataFrame:
+    """(key, node, size): the members of buckets of two classes or more.  Sorted partitions are read as a
+    stream; the last row of a batch waits for the next one."""
+    import pyarrow as pa
 
     def run(batches):
-        tail_key, tail_node, tail_place = (np.zeros(0, dtype=np.int64) for _ in range(3))
-        lead_open = np.zeros(0, dtype=np.int64)           # the first members of the run that is still open
+        held, known = None, False                         # last row, whether its bucket is shared already
         for batch in batches:
-            key = np.concatenate([tail_key, batch.column(0).to_numpy()])
-            node = np.concatenate([tail_node, batch.column(1).to_numpy()])
-            old = len(tail_key)
-            if not len(key):
+            if not batch.num_rows:
                 continue
-            head = np.ones(len(key), dtype=bool)
-            head[1:] = key[1:] != key[:-1]
-            begin = np.flatnonzero(head)
-            group = np.cumsum(head) - 1
-            place = np.arange(len(key)) - begin[group]
-            if old:                                  # the carried rows know their place in their run
-                place[group == 0] += tail_place[0]
-            a, b, kind = [], [], []
-
-            def put(k, x, y):
-                a.append(x)
-                b.append(y)
-                kind.append(np.full(len(x), k, dtype=np.int32))
-
-            new = np.arange(len(key)) >= old
-            for d in range(1, min(SMALL_BUCKET, len(key))):
-                hit = np.flatnonzero((key[d:] == key[:-d]) & new[d:] & (place[d:] < SMALL_BUCKET))
-                if not len(hit):
-                    break
-                put(0, node[hit], node[hit + d])
-            # A run has more rows than leads wherever its place reaches SMALL_BUCKET.
-            lead = node[np.minimum(begin[:, None] + np.arange(leads), len(node) - 1)]
-            if old:
-                fresh = node[old:][group[old:] == 0]
-                lead_open = np.concatenate([lead_open, fresh])[:leads]
-                lead[0, :len(lead_open)] = lead_open
-            far = np.flatnonzero(new & (place >= SMALL_BUCKET))
-            for j in range(leads):
-                put(0, lead[group[far], j], node[far])
-            put(1, key[far], node[far])
-            for i in far[place[far] == SMALL_BUCKET]:  # a bucket becomes large: so do its earlier members
-                put(1, np.full(SMALL_BUCKET, key[i]), node[i - SMALL_BUCKET:i])
-            if sum(map(len, a)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in (kind, a, b)],
-                                                 names=["kind", "a", "b"])
-            if not old or len(begin) > 1:
-                lead_open = node[begin[-1]:][:leads]
-            keep = np.flatnonzero(group == group[-1])[-SMALL_BUCKET:]
-            tail_key, tail_node, tail_place = key[keep], node[keep], place[keep]
-
-    return (keys.repartition("key").sortWithinPartitions("key", "node")
-            .mapInArrow(run, "kind int, a bigint, b bigint"))
+            cols = [batch.column(i).to_numpy() for i in range(3)]
+            if held is not None:
+                cols = [np.append(h, c) for h, c in zip(held, cols)]
+            same = cols[0][1:] == cols[0][:-1]
+            keep = np.append(False, same) | np.append(same, False)
+            keep[0] |= known
+            known = bool(keep[-1])
+            held = [c[-1:] for c in cols]
+            at = np.flatnonzero(keep[:-1])
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at]) for c in cols], names=["key", "node", "size"])
+        if known:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=["key", "node", "size"])
+
+    return (keys.repartition("key").sortWithinPartitions("key")
+            .mapInArrow(run, "key bigint, node bigint, size bigint"))
+
+
+def _with_leads(shared: DataFrame) -> DataFrame:
+    """Each row with its bucket's lead and the lead's size: the member that is in the most buckets, so that a
+    group of near copies has the same few leads everywhere."""
+    degree = shared.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    rows = shared.join(degree, "node")
+    lead = rows.groupBy("key").agg(F.max_by(F.struct("node", "size"), F.struct("degree", -F.col("node"))).alias("l"))
+    return (rows.join(lead, "key")
+            .select("key", "node", "size", F.col("l.node").alias("lead"), F.col("l.size").alias("lead_size")))
 
 
 def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -221,16 +201,10 @@ def _linked(x: np.ndarray, y: np.ndarray) -> bool:
     return both * DENOMINATOR >= (len(x) + len(y) - both) * NUMERATOR
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets have enough in common."""
+def _verified(pairs: DataFrame, own: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets (``own``: node, s) have enough in common."""
     import pyarrow as pa
 
-    size = classes.select("node", "n_shingles")
-    pairs = (pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
-             .filter(F.least("na", "nb") * DENOMINATOR >= F.greatest("na", "nb") * NUMERATOR).select("a", "b"))
-    pairs = stored(pairs.distinct())
-    own = _sets_of(pairs.select(F.col("a").alias("node")).union(pairs.select("b")), classes, docs, id_col, text_col)
-
     def check(batches):
         for batch in batches:
             left, right = batch.column(2), batch.column(3)
@@ -250,58 +224,49 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int((z[1:] == z[:-1]).sum())
 
 
-def _rest_of_large(members: DataFrame, classes: DataFrame, label: DataFrame, docs: DataFrame, id_col: str,
-                   text_col: str) -> DataFrame:
-    """Links (a, b) inside large buckets between classes that are still in different components.
+def _open_links(shared: DataFrame, component: DataFrame, classes: DataFrame, own: DataFrame) -> DataFrame:
+    """Links (a, b) between classes of one bucket whose components differ.
 
-    A bucket that one component fills is done.  The others are gathered by
-    their most frequent component: the few classes outside it (minors) meet
-    every class of these buckets, ``MINORS`` against ``BLOCK`` at a time, and
-    only confirmed links leave a task.
+    A bucket's lead has met the others already, so only buckets whose
+    other members belong to several components matter.  They are gathered by
+    their most frequent component: the classes outside it (minors) meet every
+    class of these buckets, blocks of about ``MINORS`` against blocks of about
+    ``BLOCK``, dealt by a hash.  Inside a task, pairs that share a bucket are
+    compared on their full sets; only confirmed links leave it.
     """
     import pyarrow as pa
 
-    rows = members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = shared.filter("node != lead").select("key", "node").join(component, "node", "left").select(
+        "key", "node", F.coalesce("component", "node").alias("component"))
     share = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = (share.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("cluster"),
+    main = (share.groupBy("key").agg(F.max_by("component", F.struct("n", -F.col("component"))).alias("cluster"),
                                      F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", "cluster"))
     rows = stored(rows.join(main, "key").select("cluster", "node", "component").distinct())
-    if rows.isEmpty():
-        return rows.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    rows = (rows.withColumn("minor", F.col("component") != F.col("cluster"))
-            .join(classes.select("node", "sig"), "node")
-            .join(_sets_of(rows.select("node"), classes, docs, id_col, text_col), "node"))
-    place = F.row_number().over(Window.partitionBy("cluster", "minor").orderBy("node")) - 1
-    slim = rows.select("cluster", "node", "minor").withColumn("place", place)
-    counts = slim.groupBy("cluster").agg(
-        F.max(F.when(F.col("minor"), F.floor(F.col("place") / MINORS))).cast("int").alias("last_minor"),
-        F.max(F.floor(F.col("place") / BLOCK)).cast("int").alias("last_block"))
-    rows = (rows.join(slim.select("cluster", "node", "place"), ["cluster", "node"]).join(counts, "cluster")
-            .withColumn("block", F.floor(F.col("place") / BLOCK).cast("int")))
-    # Blocks of main and of minor classes are numbered apart: 2 * block + (1 if minor).
-    block = F.col("block") * 2 + F.col("minor").cast("int")
+    minor = F.col("component") != F.col("cluster")
+    counts = stored(rows.groupBy("cluster").agg(
+        F.ceil(F.count(F.when(minor, 1)) / MINORS).cast("int").alias("minors"),
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
+    rows = rows.join(own, "node").join(classes.select("node", "sig"), "node").join(counts, "cluster")
+    deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     columns = ["cluster", "node", "component", "sig", "s"]
-    asked = rows.filter("minor").select(*columns, F.floor(F.col("place") / MINORS).cast("int").alias("i"), F.explode(
-        F.sequence(F.lit(0), 2 * F.col("last_block") + 1)).alias("j"), F.lit(True).alias("asks"))
-    every = rows.select(*columns, F.explode(F.sequence(F.lit(0), F.col("last_minor"))).alias("i"), block.alias("j"),
-                        F.lit(False).alias("asks"))
+    asked = rows.filter(minor).select(*columns, deal("minors").alias("i"), F.explode(
+        F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), F.lit(True).alias("asks"))
+    every = rows.select(*columns, F.explode(F.sequence(F.lit(0), F.col("minors") - 1)).alias("i"),
+                        deal("blocks").alias("j"), F.lit(False).alias("asks"))
 
     def compare(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
-        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), dtype=np.uint32).reshape(t.num_rows, -1)
         node, comp = t["node"].to_numpy(), t["component"].to_numpy()
-        asks = t["asks"].to_numpy(zero_copy_only=False)
+        half = _half_bands(t["sig"].combine_chunks())
         sets = t["s"].combine_chunks()
         at, values = sets.offsets.to_numpy(), sets.values.to_numpy()
         size = np.diff(at)
-        x, y = np.flatnonzero(asks), np.flatnonzero(~asks)
+        asks = t["asks"].to_numpy(zero_copy_only=False)
+        y = np.flatnonzero(~asks)
         a, b = [], []
-        for i in x:
-            near = ((np.minimum(size[y], size[i]) * DENOMINATOR >= np.maximum(size[y], size[i]) * NUMERATOR)
-                    & (comp[y] != comp[i]))
-            hit = y[near]
-            hit = hit[(sig[hit] == sig[i]).mean(axis=1) >= SKETCH_SHARE]
-            for k in hit:
+        for i in np.flatnonzero(asks):
+            z = y[_alike(size[y], size[i]) & (comp[y] != comp[i])]
+            for k in z[(half[z] == half[i]).sum(axis=1) >= 2]:
                 if _linked(values[at[i]:at[i + 1]], values[at[k]:at[k + 1]]):
                     a.append(int(node[i]))
                     b.append(int(node[k]))
@@ -311,6 +276,19 @@ def _rest_of_large(members: DataFrame, classes: DataFrame, label: DataFrame, doc
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
+def _components(classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, component) of the classes that have a link; the component is its smallest node."""
+    shared = stored(_with_leads(stored(_shared_buckets(_table_keys(classes)))))
+    alike = (F.least("size", "lead_size") * DENOMINATOR >= F.greatest("size", "lead_size") * NUMERATOR)
+    own = _sets_of(shared.select("node"), classes, docs, id_col, text_col)
+    pairs = shared.filter((F.col("node") != F.col("lead")) & alike).select(F.col("lead").alias("a"),
+                                                                           F.col("node").alias("b"))
+    links = stored(_verified(stored(pairs.distinct()), own))
+    label = connected_components(links)
+    more = stored(_open_links(shared, label, classes, own))
+    return label if more.isEmpty() else connected_components(links.union(more))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row.
 
@@ -323,21 +301,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints = stored(fingerprints(docs, id_col, text_col))
     shape = ["h1", "h2", "n_shingles"]
+    # Nodes are numbered by id, so a component's smallest node has its smallest id.
     classes = stored(prints.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy(*shape)
                      .agg(F.min("doc_id").alias("doc_id"), F.first("sig").alias("sig"))
-                     .withColumn("node", F.monotonically_increasing_id()))
-    found = stored(_bucket_pairs(_table_keys(classes)).distinct())
-    pairs = found.filter("kind = 0").select("a", "b").filter("a != b")
-    links = stored(_verified(pairs, classes, docs, id_col, text_col))
-    label = connected_components(links)
-    members = found.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"))
-    if not members.isEmpty():
-        more = stored(_rest_of_large(members, classes, label, docs, id_col, text_col))
-        if not more.isEmpty():
-            label = connected_components(links.union(more))
-    grouped = classes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = grouped.join(smallest, "component").select(*shape, "component_id")
+                     .orderBy("doc_id", "h1", "h2").withColumn("node", F.monotonically_increasing_id()))
+    label = _components(classes, docs, id_col, text_col)
+    # A component may hold many classes: its name is spread over SALTS keys.
+    roots = stored(label.filter("node = component").join(classes.select("node", "doc_id"), "node")
+                   .select("component", F.col("doc_id").alias("component_id"),
+                           F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    named = (label.withColumn("salt", F.pmod("node", F.lit(SALTS)).cast("int")).join(roots, ["component", "salt"])
+             .select("node", "component_id"))
+    named = classes.join(named, "node", "left").select(*shape, F.coalesce("component_id", "doc_id").alias("component_id"))
     out = prints.drop("sig").join(named, shape, "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),

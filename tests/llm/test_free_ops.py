@@ -519,9 +519,8 @@ def test_tree_matching_counts_nodes():
 
 
 def test_rest_of_large_buckets_is_compared(spark, monkeypatch):
-    """With tiny buckets every group is large: the star alone would lose links."""
+    """Edits of every kind, small blocks: the buckets' leads alone would lose links."""
     from quantspark.llm import neardup
-    monkeypatch.setattr(neardup, "SMALL_BUCKET", 2)
     monkeypatch.setattr(neardup, "BLOCK", 5)
     monkeypatch.setattr(neardup, "MINORS", 3)
     rng = random.Random(4)
