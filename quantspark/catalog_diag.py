@@ -138,7 +138,38 @@ def _m13(spark, sf):
 
 
 register("m12_adf")(_m12)
-register("m13_kpss")(_m13)
+
+# One lag by Frisch-Waugh: both sides freed of the constant and the lagged difference, then one slope.
+register("m12_adf_one_lag", _with(T, """
+x AS (SELECT pnl AS y0, lag(pnl, 1) OVER w AS y1, lag(pnl, 2) OVER w AS y2 FROM trades WHERE pnl IS NOT NULL
+      WINDOW w AS (ORDER BY "timestamp", id))""", """
+d AS (SELECT y0 - y1 AS dy, y1, y1 - y2 AS dl FROM x WHERE y2 IS NOT NULL)""", """
+f AS (SELECT regr_slope(dy, dl) AS b, regr_intercept(dy, dl) AS a, regr_slope(y1, dl) AS q, regr_intercept(y1, dl) AS p FROM d)""",
+                                 """
+r AS (SELECT dy - a - b * dl AS ry, y1 - p - q * dl AS rx FROM d, f)""", """
+s AS (SELECT sum(rx * ry) / sum(rx * rx) AS slope, sum(rx * rx) AS xx, count(*) AS n FROM r)""") + """
+SELECT (SELECT slope FROM s) / sqrt(sum(power(ry - slope * rx, 2)) / (max(n) - 3) / max(xx)) AS adf_statistic,
+       1 AS used_lag, max(n) AS nobs FROM r, s""")(
+    lambda spark, sf: spark.createDataFrame(
+        [(r["adf_statistic"], r["used_lag"], r["nobs"]) for r in [dg.adf(_trades(spark, sf), "pnl", ("timestamp", "id"), lag=1)]],
+        "adf_statistic double, used_lag int, nobs long"))
+
+register("m13_kpss", _with(T, """
+x AS (SELECT pnl - (SELECT avg(pnl) FROM trades) AS e, row_number() OVER (ORDER BY "timestamp", id) - 1 AS t FROM trades
+      WHERE pnl IS NOT NULL)""", """
+n AS (SELECT count(*) AS n, floor(power(count(*), 2.0 / 9.0)) AS c FROM x)""", """
+g AS (SELECT k, sum(a.e * b.e) / max(n) AS g FROM range(0, 400) r(k) JOIN x a ON true JOIN x b ON b.t = a.t - k, n GROUP BY k)""",
+                           """
+h AS (SELECT sum(CASE WHEN k = 0 THEN g ELSE 2 * g END) AS s0, sum(2 * k * g) AS s1 FROM g, n WHERE k <= c)""", """
+l AS (SELECT floor(1.1447 * power(power(s1 / s0, 2), 1.0 / 3) * power(n, 1.0 / 3)) AS lag FROM h, n)""", """
+v AS (SELECT sum(CASE WHEN k = 0 THEN g ELSE 2 * (1 - k / (lag + 1)) * g END) AS lrv FROM g, l WHERE k <= lag)""", """
+p AS (SELECT sum(power(s, 2)) / power(max(n), 2) AS eta FROM (SELECT sum(e) OVER (ORDER BY t) AS s FROM x), n)""", """
+k AS (SELECT eta / lrv AS stat FROM p, v)""") + """
+SELECT stat AS kpss_statistic, CAST(lag AS INTEGER) AS lags,
+       CASE WHEN stat <= 0.347 THEN 0.1 WHEN stat <= 0.463 THEN 0.1 - 0.05 * (stat - 0.347) / 0.116
+            WHEN stat <= 0.574 THEN 0.05 - 0.025 * (stat - 0.463) / 0.111
+            WHEN stat <= 0.739 THEN 0.025 - 0.015 * (stat - 0.574) / 0.165 ELSE 0.01 END AS kpss_p_value
+FROM k, l""")(_m13)
 
 
 def _m16(spark, sf):

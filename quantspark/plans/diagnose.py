@@ -3,14 +3,16 @@
 Per-feature statistics run as one long-format aggregation (feature x value
 rows, partially aggregated before the shuffle).  Collinearity uses one
 distributed Gramian of the complete-case rows; the p x p eigen/inverse work
-is done on the driver.  Time-series tests (ACF, PACF, ADF, KPSS) build
-their lagged columns with the halo window and reduce them to a few dozen
-moment sums.
+is done on the driver.  ACF and PACF reduce lagged columns of a halo window to
+41 sums; ADF multiplies blocks of the series lag by lag in one Arrow pass and
+KPSS works on prefix sums, so their plans do not widen with the number of lags.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from quantspark.functions.linalg import block_moments
 from quantspark.functions.stats import corrected_kurt, corrected_skew
-from quantspark.operators.ordered import halo_window, running_sums
+from quantspark.operators.ordered import halo_window, materialize, ranged, running_aggs, with_position
 
 DIAG_EXCLUDE = {"trade_id", "timestamp", "pnl", "target", "strategy", "account_id", "trade_timestamp"}
 
@@ -254,85 +256,174 @@ def adf_pvalue(tau: float) -> float:
     return _norm_cdf(1.7339 + 0.93202 * tau - 0.12745 * tau ** 2 - 0.010368 * tau ** 3)
 
 
+@dataclass
+class LagProducts:
+    """Sums over a series y_0..y_{n-1} (shifted) with d_t = y_t - y_{t-1}: ``dd[k]`` = sum d_t d_{t-k},
+    ``yd[j]`` = sum y_{t-1} d_{t-j}, ``y``, ``yy`` = sums of y_{t-1} and its square, ``d`` = sum d_t, all over
+    t up to n - 1; and the values at both ends of the series."""
+    n: int
+    dd: np.ndarray
+    yd: np.ndarray
+    y: float
+    yy: float
+    d: float
+    head: np.ndarray
+    tail: np.ndarray
+
+    def gramian(self, lag: int, start: int) -> tuple[np.ndarray, np.ndarray, float, int]:
+        """(X'X, X'y, y'y, rows) of d_t on 1, y_{t-1}, d_{t-1}..d_{t-lag} over t = start..n-1.
+
+        The products of the whole series lose the rows before ``start`` and, where
+        both factors are lagged, those that the shift moves past the end.
+        """
+        n, m = self.n, lag + 1
+        base = n - len(self.tail)                          # tail holds y_base..y_{n-1}
+        dh = np.append(0.0, np.diff(self.head))            # dh[u] = d_u
+        dt = np.append(0.0, np.diff(self.tail))            # dt[u - base] = d_u
+        out = np.zeros((m, m))
+        for k in range(m):
+            early = np.append(np.zeros(k + 1), dh[k + 1:] * dh[1:len(dh) - k]).cumsum()
+            late = np.append(dt[k:] * dt[:len(dt) - k], 0.0)[::-1].cumsum()   # late[i]: the last i products
+            for i in range(m - k):
+                out[i, i + k] = out[i + k, i] = self.dd[k] - early[start - i - 1] - late[i]
+        t = np.arange(1, start)
+        yd = np.array([self.yd[j] - (self.head[t[j:] - 1] * dh[t[j:] - j]).sum() for j in range(m)])
+        ds = np.array([self.d - dh[1:start - j].sum() - dt[n - j - base:].sum() for j in range(m)])
+        y, yy = self.y - self.head[:start - 1].sum(), self.yy - (self.head[:start - 1]**2).sum()
+        x = np.zeros((m + 1, m + 1))
+        x[0, :2] = x[:2, 0] = n - start, y
+        x[1, 1] = yy
+        x[0, 2:] = x[2:, 0] = ds[1:]
+        x[1, 2:] = x[2:, 1] = yd[1:]
+        x[2:, 2:] = out[1:, 1:]
+        return x, np.concatenate([[ds[0], yd[0]], out[0, 1:]]), float(out[0, 0]), n - start
+
+
+def lag_products(df: DataFrame, value: str, order, lags: int, shift: float, n: int,
+                 block_rows: int = 1 << 16) -> LagProducts:
+    """One Arrow pass over blocks of consecutive positions, each with the ``lags`` + 1 rows before it.
+
+    Every block multiplies its own rows with itself lag by lag; the plan has the
+    same width for any number of lags, and Spark adds up two numbers a lag and block.
+    """
+    import pyarrow as pa
+    size = max(block_rows, 2 * lags + 4)
+    halo = lags + 1
+    rows = with_position(df.select(*order, (F.col(value) - F.lit(shift)).alias("y")), list(order)).select("_pos", "y")
+    block = F.floor(F.col("_pos") / size)
+    copies = rows.withColumn("block", F.explode(
+        F.when(F.col("_pos") % size >= size - halo, F.array(block, block + 1)).otherwise(F.array(block))))
+
+    def products(key, table):
+        table = table.sort_by("_pos")
+        pos, y = table["_pos"].to_numpy(), table["y"].to_numpy()
+        own = int(np.searchsorted(pos, key[0].as_py() * size))      # rows before it are the halo
+        d = np.append(0.0, np.diff(y))                     # 0 where the row before is missing or out of reach
+        own_d, before = d[own:], np.append(0.0, y[:-1])[own:]
+        if own == 0 and len(before):
+            before[0] = 0.0                                # t = 0 has no row before it
+        dd, yd = np.zeros(lags + 1), np.zeros(lags + 1)
+        for k in range(lags + 1):
+            at = max(own, k)
+            past = d[at - k:len(d) - k]
+            dd[k] = own_d[at - own:] @ past
+            yd[k] = before[at - own:] @ past
+        ends = [before.sum(), before @ before, own_d.sum()]
+        n_out = lags + 1
+        return pa.table({"kind": pa.array([0] * n_out + [1] * n_out + [2] * 3, pa.int32()),
+                         "k": pa.array([*range(n_out), *range(n_out), 0, 1, 2], pa.int32()),
+                         "x": pa.array(np.concatenate([dd, yd, ends]))})
+
+    got = (copies.groupBy("block").applyInArrow(products, "kind int, k int, x double")
+           .groupBy("kind", "k").agg(F.sum("x").alias("x")).collect())     # 2 * lags + 5 numbers
+    parts = {(r["kind"], r["k"]): r["x"] for r in got}
+    near = rows.filter((F.col("_pos") <= lags + 2) | (F.col("_pos") >= n - 2 * lags - 4)).collect()
+    ends = {r["_pos"]: r["y"] for r in near}               # at most 3 * lags + 8 rows
+    head = np.array([ends[p] for p in sorted(ends) if p <= lags + 2])
+    tail = np.array([ends[p] for p in sorted(ends) if p >= n - 2 * lags - 4])
+    return LagProducts(n, *(np.array([parts[(kind, k)] for k in range(lags + 1)]) for kind in (0, 1)),
+                       *(parts[(2, k)] for k in range(3)), head, tail)
+
+
 def adf(df: DataFrame, value: str = "pnl", order=("timestamp", "trade_id"), max_lag: int | None = None,
-        block_rows: int = 1 << 16) -> dict:
-    """Augmented Dickey-Fuller with a constant, lag chosen by AIC.
+        lag: int | None = None, block_rows: int = 1 << 16) -> dict:
+    """Augmented Dickey-Fuller with a constant; the lag is fixed or chosen by AIC up to ``max_lag``
+    (NaN for fewer than 4 rows).
 
-    One halo pass builds dy_t, y_{t-1}, dy_{t-1..L}; one Gramian per
-    'usable from row L+1' block gives every candidate regression as a
-    sub-block solved on the driver; the chosen lag is refitted on its full
-    sample the same way.
+    One pass gives the lag products of the series; the Gramian of every
+    candidate regression follows from them and the rows at both ends.
     """
     d = df.filter(F.col(value).isNotNull())
-    n = d.count()
-    L = max_lag if max_lag is not None else int(math.ceil(12.0 * (n / 100.0) ** 0.25))
+    r = d.agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("m")).first()
+    n = r["n"]
+    if n < 4:
+        return {"adf_statistic": float("nan"), "adf_p_value": float("nan"), "used_lag": 0, "nobs": 0}
+    L = lag if lag is not None else max_lag if max_lag is not None else int(math.ceil(12.0 * (n / 100.0) ** 0.25))
     L = max(0, min(L, n // 2 - 2))
+    p = lag_products(d, value, order, L, r["m"], n, block_rows)
 
-    def build(w):
-        cols = {"_y1": F.lag(value, 1).over(w)}
-        for k in range(0, L + 2):
-            cols[f"_yl{k}"] = F.lag(value, k).over(w) if k else F.col(value)
-        return cols
-
-    h = halo_window(d.select(*order, value), L + 1, build, order=list(order), block_rows=block_rows)
-    h = h.withColumns({f"_dy{k}": F.col(f"_yl{k}") - F.col(f"_yl{k + 1}") for k in range(0, L + 1)})
-    h = h.withColumn("_row", F.lit(1.0))
-
-    all_cols = ["_row", "_y1"] + [f"_dy{k}" for k in range(1, L + 1)]
-
-    def fit(sub: DataFrame, lag: int, m=None):
-        # Candidate lag = leading sub-block of the Gramian of all regressors.
-        m = m or block_moments(sub, all_cols[:2 + lag], "_dy0", None, {}).get(None)
-        k = 2 + lag
-        X, Xy, yy, nn = m.sxx[:k, :k], m.sxy[:k], m.syy, m.n
+    def fit(use: int, start: int):
+        X, Xy, yy, nn = p.gramian(use, start)
+        k = 2 + use
         beta = np.linalg.lstsq(X, Xy, rcond=None)[0]
         ssr = float(yy - 2 * beta @ Xy + beta @ X @ beta)
-        sigma2 = ssr / (nn - k)
-        cov = sigma2 * np.linalg.pinv(X)
+        cov = ssr / (nn - k) * np.linalg.pinv(X)
         tstat = beta[1] / math.sqrt(cov[1, 1]) if cov[1, 1] > 0 else float("nan")
         llf = -nn / 2.0 * (math.log(2 * math.pi) + math.log(ssr / nn) + 1)
         return tstat, -2 * llf + 2 * k, nn
 
-    full = h.filter(F.col(f"_yl{L + 1}").isNotNull())
-    m_full = block_moments(full, all_cols, "_dy0", None, {}).get(None)  # one pass for every candidate
-    best_lag, best_aic = 0, float("inf")
-    for lag in range(L + 1):
-        _, aic, _ = fit(full, lag, m_full)
-        if aic < best_aic:
-            best_lag, best_aic = lag, aic
-    sub = h.filter(F.col(f"_yl{best_lag + 1}").isNotNull())
-    tstat, _, nobs = fit(sub, best_lag)
-    return {"adf_statistic": float(tstat), "adf_p_value": adf_pvalue(tstat), "used_lag": best_lag,
-            "nobs": int(nobs)}
+    best = L if lag is not None else min(range(L + 1), key=lambda use: (fit(use, L + 1)[1], use))
+    tstat, _, nobs = fit(best, best + 1)
+    return {"adf_statistic": float(tstat), "adf_p_value": adf_pvalue(tstat), "used_lag": best, "nobs": int(nobs)}
 
 
 KPSS_CRITICAL = {0.10: 0.347, 0.05: 0.463, 0.025: 0.574, 0.01: 0.739}  # level stationarity
 
 
-def kpss(df: DataFrame, value: str = "pnl", order=("timestamp", "trade_id"), block_rows: int = 1 << 16) -> dict:
-    """KPSS level test, automatic (Hobijn et al. 1998) lag, Bartlett long-run variance.
+def _bartlett(sums: DataFrame, n: int, total: float, lags: Sequence[int]) -> list[float]:
+    """Bartlett long-run variances from prefix sums (_pos, _S), one per truncation lag.
+
+    With weights 1 - k / (l + 1) the variance is the mean square of the moving
+    sums of l + 1 values (zeros beyond both ends), S_t - S_{t-l-1}: one join of
+    the prefix sums with themselves at that distance, whatever the lag.
+    """
+    out = []
+    for lag in lags:
+        back = sums.select((F.col("_pos") + lag + 1).alias("_pos"), F.col("_S").alias("_B"))
+        moved = sums.join(back, "_pos", "full").select(
+            (F.coalesce("_S", F.lit(total)) - F.coalesce("_B", F.lit(0.0))).alias("m"))
+        out.append(moved.agg(F.sum(F.col("m") * F.col("m"))).first()[0] / (n * (lag + 1)))
+    return out
+
+
+def kpss(df: DataFrame, value: str = "pnl", order=("timestamp", "trade_id"),
+         block_rows: int | None = None) -> dict:
+    """KPSS level test, automatic (Hobijn et al. 1998) lag, Bartlett long-run variance (NaN without rows).
 
-    Residuals e = y - mean; partial sums S_t by a block prefix; the
-    autocovariances come from the same lag-sum pass as the ACF.
+    Everything follows from one prefix sum of the residuals.  The lag rule needs
+    the plain and the lag-weighted sum of c autocovariances; both are
+    differences of two Bartlett variances with neighbouring lags.
     """
     d = df.filter(F.col(value).isNotNull())
-    m = d.agg(F.avg(value)).first()[0] or 0.0
-    n = d.count()
-    c = int(n ** (2.0 / 9.0))
-    ls = _lag_sums(d, value, order, max(c, 1), m, block_rows)
-    g = [2.0 * ls[i] / n for i in range(c + 1)]
-    s0 = ls[0] / n + sum(g[1:c + 1])
-    s1 = sum(i * g[i] for i in range(1, c + 1))
+    r = d.agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("m")).first()
+    n, c = r["n"], int(r["n"] ** (2.0 / 9.0))
+    if n == 0:
+        return {"kpss_statistic": float("nan"), "kpss_p_value": float("nan"), "lags": 0}
+    rng = ranged(d.select(*order, (F.col(value) - F.lit(r["m"])).alias("_e")), list(order),
+                 math.ceil(n / block_rows) if block_rows else None)
+    sums = with_position(running_aggs(rng, {"_S": ("sum", F.col("_e"))}, keep_blocks=True)).select("_pos", "_S")
+    sums = materialize(sums)
+    e = sums.agg(F.sum(F.col("_S") * F.col("_S")).alias("ss"), F.max_by("_S", "_pos").alias("total")).first()
+    total = e["total"] or 0.0
+    wide, narrow = _bartlett(sums, n, total, (c, c - 1)) if c > 0 else (_bartlett(sums, n, total, (0,)) * 2)
+    s0 = (c + 1) * wide - c * narrow                       # g_0 + 2 (g_1 + .. + g_c)
+    s1 = (c + 1) * (s0 - wide)                             # 2 (1 g_1 + .. + c g_c)
     lag = int(1.1447 * ((s1 / s0) ** 2) ** (1.0 / 3.0) * n ** (1.0 / 3.0)) if s0 else 0
     lag = min(lag, n - 1)
-    ls2 = _lag_sums(d, value, order, max(lag, 1), m, block_rows) if lag > c else ls
-    lrv = ls2[0] / n + 2.0 * sum((1 - k / (lag + 1.0)) * ls2[k] / n for k in range(1, lag + 1))
-    ps = running_sums(d.select(*order, (F.col(value) - F.lit(m)).alias("_e")), list(order), {"_S": F.col("_e")})
-    eta = ps.agg(F.sum(F.col("_S") * F.col("_S"))).first()[0] / (n * n)
-    stat = eta / lrv if lrv else float("nan")
+    lrv = _bartlett(sums, n, total, (lag,))[0]
+    stat = e["ss"] / (n * n) / lrv if lrv else float("nan")
     crit = sorted(KPSS_CRITICAL.items(), key=lambda kv: kv[1])
-    xs, ps_ = [v for _, v in crit], [p for p, _ in crit]
-    p = float(np.interp(stat, xs, ps_))
+    p = float(np.interp(stat, [v for _, v in crit], [p for p, _ in crit]))
     return {"kpss_statistic": float(stat), "kpss_p_value": min(max(p, 0.01), 0.10), "lags": lag}
 
 
