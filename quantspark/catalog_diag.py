@@ -215,6 +215,21 @@ def _j17(spark, sf):
 
 register("j17_permutation_importance")(_j17)
 
+# One feature, whose least-squares line SQL fits itself; the partner rows follow from the same arithmetic.
+register("j17_permutation_importance_one_feature", _with(*feature_store_ctes(), MATRIX_SQL, """
+x AS (SELECT row_number() OVER (ORDER BY trade_timestamp, trade_id) - 1 AS p, hour_of_day::DOUBLE AS f, pnl AS y FROM m)""",
+                                                         """
+o AS (SELECT regr_slope(y, f) AS w, regr_intercept(y, f) AS c, avg(y) AS ybar, count(*) AS n FROM x)""", """
+s AS (SELECT r, n // 5 + ((42 + r) * 2654435761) % greatest(1, 3 * n // 5) AS st, ((42 + r) * 2654435761 * 40503) % n AS b
+      FROM range(5) t(r), o)""", """
+ab AS (SELECT r, min(b) AS b, min(st + v) AS a FROM s, o, range(1000) t(v) WHERE gcd(st + v, n) = 1 GROUP BY r)""", """
+e AS (SELECT r, sum(power(x.y - c - w * z.f, 2)) AS sse, sum(power(x.y - c - w * x.f, 2)) AS base,
+             sum(power(x.y - ybar, 2)) AS sst
+      FROM ab, o, x JOIN x z ON z.p = (a * x.p + b) % n GROUP BY r)""") + """
+SELECT 'hour_of_day' AS feature, avg((sse - base) / sst) AS importance FROM e""")(
+    lambda spark, sf: (lambda m: mdl.permutation_importance(
+        mdl.fit_linear("linear_regression", {}, m, ["hour_of_day"]), m, "pnl", repeats=5, seed=42))(_matrix(spark, sf)))
+
 
 _CC = " AND ".join(f"{c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE)) AND NOT isinf(CAST({c} AS DOUBLE))"
                    for c in _DRIFT_COLS)

@@ -258,7 +258,12 @@ long AS (SELECT y, 'predict_mean' AS baseline, predict_mean AS pred FROM b
     "long", "y", "pred", "baseline").replace("SELECT baseline, count(*) AS n, ", "SELECT baseline, "))(
     lambda spark, sf: ev.baseline_report(_preds(spark, sf)))
 
-register("l5_random_baseline")(
+_UNIFORM = "(('0x' || substr(md5('42-{0}-' || trade_id::VARCHAR), 1, 12))::BIGINT + 0.5) / 281474976710656.0"
+register("l5_random_baseline", _with(T, PRED, f"""
+rnd AS (SELECT actual_pnl AS y, 'random' AS baseline, avg(actual_pnl) OVER () + stddev_pop(actual_pnl) OVER ()
+               * sqrt(-2 * ln({_UNIFORM.format("r")})) * cos(2 * pi() * {_UNIFORM.format("a")}) AS pred
+        FROM predictions)""") + regression_sql("rnd", "y", "pred", "baseline").replace(
+    "SELECT baseline, count(*) AS n, ", "SELECT baseline, "))(
     lambda spark, sf: ev.baseline_report(_preds(spark, sf), include_random=True)
     .filter(F.col("baseline") == "random"))
 

@@ -166,13 +166,22 @@ def raise_if_failed(report: DataFrame, what: str) -> None:
 # L5 baselines
 # ---------------------------------------------------------------------------
 
+def hashed_normal(key: Column, seed: int) -> Column:
+    """A standard normal draw that depends on ``key`` and ``seed`` alone: Box-Muller on two 48-bit md5 uniforms."""
+    def uniform(part: str) -> Column:
+        digest = F.md5(F.concat(F.lit(f"{seed}-{part}-"), key.cast("string")).cast("binary"))
+        return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
+    return F.sqrt(-2.0 * F.log(uniform("r"))) * F.cos(2.0 * math.pi * uniform("a"))
+
+
 def baseline_predictions(predictions: DataFrame, order=("timestamp", "trade_id"), seed: int = 42,
                          include_random: bool = False, block_rows: int = 1 << 16) -> DataFrame:
     """Per row the baseline predictions of actual_pnl (ordered by time).
 
     mean / median use the whole series (a look-ahead kept on purpose: they
     are benchmarks); previous trade and rolling mean of the 10 previous
-    rows are causal, and the first row predicts itself.
+    rows are causal, and the first row predicts itself.  The noise baseline
+    draws from the last order column, so it does not depend on the partitioning.
     """
     y = "actual_pnl"
     stats = (predictions.agg(F.avg(y).alias("_m"), F.stddev_pop(y).alias("_sd"))
@@ -186,7 +195,7 @@ def baseline_predictions(predictions: DataFrame, order=("timestamp", "trade_id")
     x = x.join(F.broadcast(stats), how="inner", on=F.lit(True))  # one-row frame
     x = x.withColumns({"predict_mean": F.col("_m"), "predict_median": F.col("_med")})
     if include_random:
-        x = x.withColumn("random", F.col("_m") + F.col("_sd") * F.randn(seed))
+        x = x.withColumn("random", F.col("_m") + F.col("_sd") * hashed_normal(F.col(order[-1]), seed))
     return x.drop("_m", "_med", "_sd")
 
 

@@ -13,6 +13,7 @@ import json
 import math
 import random
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -405,6 +406,30 @@ class TrainResult:
     models: list
 
 
+COEFFICIENT_BYTES = 64 << 20       # coefficient table broadcast up to this size, joined above it
+
+
+def score_linear_folds(data: DataFrame, winners: list, fb: dict, feats: list[str]) -> DataFrame:
+    """``predicted_pnl`` and ``walk_forward_fold`` of the test rows of all folds that a linear model won,
+    in one scan.
+
+    Test windows of neighbouring folds follow one another, so a row's fold is
+    arithmetic on its time; ``winners`` (window number, fold, model) become a
+    table of coefficient arrays joined on the window number.
+    """
+    spark = data.sparkSession
+    rows = [(int(n), int(k), float(m.model.intercept), [float(x) for x in m.model.w]) for n, k, m in winners]
+    table = spark.createDataFrame(rows, "_window bigint, walk_forward_fold int, _b double, _w array<double>")
+    if 8 * len(rows) * (len(feats) + 3) <= COEFFICIENT_BYTES:
+        table = F.broadcast(table)
+    window = F.floor((F.unix_micros("trade_timestamp") - F.lit(fb["t0"] + fb["train"])) / F.lit(fb["test"]))
+    score = F.col("_b")
+    for j, c in enumerate(feats):
+        score = score + F.col("_w")[j] * F.col(c).cast("double")
+    return (data.withColumn("_window", window).join(table, "_window")
+            .withColumn("predicted_pnl", score).drop("_window", "_b", "_w"))
+
+
 def train_walk_forward(data: DataFrame, params: Params = Params(), models=("linear_regression", "ridge", "lasso"),
                        grids: dict | None = None, experiment_id: str = "exp", label: str = "pnl",
                        strict: bool = False) -> TrainResult:
@@ -427,7 +452,7 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
     fb = fold_bounds(data, "trade_timestamp", params)
     folds = fold_table(data, "trade_timestamp", POS, params, fb)
     ts = F.col("trade_timestamp")
-    preds, score_rows, imp_rows, fitted, windows = [], [], [], [], []
+    preds, linear, score_rows, imp_rows, fitted, windows = [], [], [], [], [], []
     for k, f in enumerate(folds):
         s0 = fb["t0"] + f["k"] * fb["test"]
         tr0, tr1, te1 = (F.timestamp_micros(F.lit(x)) for x in (
@@ -460,20 +485,22 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
         else:
             model = fit_any(best_name, best_cfg, train, feats, label, params.seed)
         fitted.append((k, model))
-        p = model.transform(test, "predicted_pnl").select(
-            "trade_id", F.col("trade_timestamp").alias("timestamp"), "permutation_id", "predicted_pnl",
-            F.col(label).alias("actual_pnl"), F.lit(k).cast("int").alias("walk_forward_fold"),
-            F.lit(experiment_id).alias("experiment_id"))
-        preds.append(p)
+        if isinstance(model, LinearFitted):
+            linear.append((f["k"], k, model))
+        else:
+            preds.append(model.transform(test, "predicted_pnl").withColumn("walk_forward_fold", F.lit(k).cast("int")))
         for feat, v in model.native_importance().items():
             imp_rows.append((k, best_name, feat, float(v)))
         cv.unpersist()
     schema = "walk_forward_fold int, trade_id long, timestamp timestamp, permutation_id string, " \
              "predicted_pnl double, actual_pnl double, experiment_id string"
+    if linear:
+        preds.insert(0, score_linear_folds(data, linear, fb, feats))
     if preds:
-        predictions = preds[0]
-        for p in preds[1:]:
-            predictions = predictions.unionByName(p)
+        predictions = reduce(DataFrame.unionByName, [p.select(
+            "trade_id", F.col("trade_timestamp").alias("timestamp"), "permutation_id", "predicted_pnl",
+            F.col(label).alias("actual_pnl"), "walk_forward_fold", F.lit(experiment_id).alias("experiment_id"))
+            for p in preds])
     else:
         predictions = spark.createDataFrame([], schema)
     scores = spark.createDataFrame(score_rows, "walk_forward_fold int, model string, model_order int, "
@@ -507,30 +534,43 @@ def experiment_record(spark, experiment_id: str, models, feature_cols, params: P
     return spark.createDataFrame([row], EXPERIMENTS)
 
 
+def _partner(n: int, seed: int):
+    """A bijection of the positions 0..n-1 as an expression: p -> (a p + b) mod n with a prime to n.
+
+    Neighbours land at least n / 5 apart; seed and n alone decide, so reruns
+    and other partitionings agree."""
+    start = n // 5 + seed * 2654435761 % max(1, 3 * n // 5)
+    a = next(v for v in itertools.count(start) if math.gcd(v, n) == 1)
+    b = seed * 2654435761 * 40503 % n
+    kind = "bigint" if a * n + b < 1 << 63 else "decimal(38,0)"
+    p = F.col(POS) if kind == "bigint" else F.col(POS).cast("decimal(19,0)")
+    return F.pmod(p * F.lit(a) + F.lit(b), F.lit(n)).cast("bigint")
+
+
 def permutation_importance(model: FittedModel, test: DataFrame, label: str = "pnl", repeats: int = 5,
-                           seed: int = 42) -> DataFrame:
+                           seed: int = 42, order=None) -> DataFrame:
     """Mean drop of R^2 when one feature's values are permuted across rows.
 
-    Each repeat draws one seeded random permutation of the rows (position by
-    ``rand(seed)`` joined to position in the original order), so every row
-    receives the feature values of its partner row.  A linear model scores all
-    p permuted features in one aggregation (its prediction changes by
-    w_j * (x'_j - x_j)); other models are re-scored once per feature.
+    Rows are numbered once in ``order`` (time and id if the frame has them,
+    else its values); each repeat maps positions by a computed bijection, so
+    it costs one join and no sort.  A linear model scores all p permuted
+    features in one aggregation (its prediction changes by w_j * (x'_j - x_j));
+    other models are re-scored once per feature.  Without rows all drops are 0.
     """
     cols = model.feature_cols
     base_pred = model.transform(test, "_pred")
     r2_base = regression_metrics(base_pred, label, "_pred").first()["r2"]
-    keyed = base_pred.withColumn("_k", F.monotonically_increasing_id())
-    orig = with_position(keyed, ["_k"])
+    if order is None:
+        order = [c for c in ("trade_timestamp", "trade_id") if c in test.columns] or [*cols, label]
+    orig = with_position(base_pred, list(order))
+    whole = orig.agg(F.count(F.lit(1)).alias("n"), F.avg(label).alias("ybar")).first()
     drops = {c: [] for c in cols}
-    for r in range(repeats):
-        perm = with_position(keyed.select(*[F.col(c).alias(f"_p_{c}") for c in cols])
-                             .withColumn("_r", F.rand(seed + r)), ["_r"]).drop("_r")
-        pair = orig.join(perm, POS)
-        ybar = pair.agg(F.avg(label)).first()[0]
+    for r in range(repeats if whole["n"] else 0):
+        perm = orig.select(F.col(POS).alias("_at"), *[F.col(c).alias(f"_p_{c}") for c in cols])
+        pair = orig.withColumn("_at", _partner(whole["n"], seed + r)).join(perm, "_at")
         if isinstance(model, LinearFitted):
             w = dict(zip(cols, model.model.w))
-            sst = F.sum((F.col(label) - F.lit(ybar)) ** 2).alias("sst")
+            sst = F.sum((F.col(label) - F.lit(whole["ybar"])) ** 2).alias("sst")
             aggs = [sst]
             for i, c in enumerate(cols):
                 pred = F.col("_pred") + F.lit(float(w[c])) * (F.col(f"_p_{c}") - F.col(c).cast("double"))
@@ -544,7 +584,7 @@ def permutation_importance(model: FittedModel, test: DataFrame, label: str = "pn
                 shuffled = pair.drop(c).withColumnRenamed(f"_p_{c}", c)
                 r2 = regression_metrics(model.transform(shuffled), label, "prediction").first()["r2"]
                 drops[c].append(r2_base - r2)
-    rows = [(c, float(sum(v) / len(v))) for c, v in drops.items()]
+    rows = [(c, float(sum(v) / len(v)) if v else 0.0) for c, v in drops.items()]
     return test.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 

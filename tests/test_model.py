@@ -78,3 +78,63 @@ def test_fold_winners_saved_and_reloaded(spark):
     a = [r["prediction"] for r in last.transform(df).orderBy("trade_id").limit(5).collect()]
     b = [r["prediction"] for r in m.transform(df).orderBy("trade_id").limit(5).collect()]
     assert np.allclose(a, b)
+
+
+def test_partner_is_a_bijection(spark):
+    for n, seed in ((1, 42), (2, 43), (7, 44), (100, 45), (997, 46)):
+        got = [r[0] for r in spark.range(n).withColumnRenamed("id", mdl.POS).select(mdl._partner(n, seed)).collect()]
+        assert sorted(got) == list(range(n))
+    n = 5_000_000_011                                    # products beyond 64 bits
+    far = spark.createDataFrame([(p,) for p in (0, 1, 2, n - 1)], f"{mdl.POS} bigint")
+    got = [r[0] for r in far.select(mdl._partner(n, 42)).collect()]
+    step = (got[1] - got[0]) % n
+    assert (got[2] - got[1]) % n == step and (got[0] - got[3]) % n == step and all(0 <= x < n for x in got)
+
+
+def test_permutation_importance_by_hand_and_on_any_partitioning(spark):
+    df, X, y = _data(spark, n=120)
+    model = mdl.fit_linear("linear_regression", {}, df, ["a", "b", "c"])
+    got = {r["feature"]: r["importance"] for r in mdl.permutation_importance(model, df, repeats=3).collect()}
+    again = {r["feature"]: r["importance"]
+             for r in mdl.permutation_importance(model, df.repartition(7), repeats=3).collect()}
+    w, b, n = model.model.w, model.model.intercept, len(y)
+    base, sst = X @ w + b, ((y - y.mean())**2).sum()
+    for j, c in enumerate("abc"):
+        drops = []
+        for r in range(3):
+            at = [x[0] for x in spark.range(n).withColumnRenamed("id", mdl.POS).orderBy(mdl.POS)
+                  .select(mdl._partner(n, 42 + r)).collect()]
+            moved = base + w[j] * (X[at, j] - X[:, j])
+            drops.append((((y - moved)**2).sum() - ((y - base)**2).sum()) / sst)
+        assert np.isclose(got[c], np.mean(drops)) and np.isclose(got[c], again[c])
+    assert got["a"] > got["b"] > abs(got["c"])
+    none = mdl.permutation_importance(model, df.limit(0), repeats=2)
+    assert [r["importance"] for r in none.collect()] == [0.0, 0.0, 0.0]
+
+
+def test_linear_folds_are_scored_in_one_scan(spark, monkeypatch):
+    df, X, y = _data(spark, n=600)
+    p = Params(train_days=10, test_days=2)
+    for limit in (mdl.COEFFICIENT_BYTES, 0):             # broadcast, and joined
+        monkeypatch.setattr(mdl, "COEFFICIENT_BYTES", limit)
+        res = mdl.train_walk_forward(df, p, models=("linear_regression", "ridge"), grids={"ridge": {"alpha": [1.0]}})
+        assert len(res.models) > 2
+        plan = res.predictions._jdf.queryExecution().optimizedPlan().toString()
+        assert "Union" not in plan
+        rows = {r["trade_id"]: r for r in res.predictions.collect()}
+        folds = {r["fold"]: r for r in res.fold_results.collect()}
+        assert len(rows) == sum(f["test_size"] for f in folds.values())
+        for k, model in res.models:
+            own = [r for r in rows.values() if r["walk_forward_fold"] == k]
+            for r in own:
+                assert folds[k]["test_start"] <= r["timestamp"] <= folds[k]["test_end"]
+                assert np.isclose(r["predicted_pnl"], X[r["trade_id"]] @ model.model.w + model.model.intercept)
+
+
+def test_noise_baseline_depends_on_ids_only(spark):
+    from quantspark.plans.evaluate import hashed_normal
+    df = spark.range(4000)
+    a = {r["id"]: r["z"] for r in df.withColumn("z", hashed_normal(F.col("id"), 42)).collect()}
+    b = {r["id"]: r["z"] for r in df.repartition(13).withColumn("z", hashed_normal(F.col("id"), 42)).collect()}
+    z = np.array(list(a.values()))
+    assert a == b and abs(z.mean()) < 0.06 and abs(z.std() - 1) < 0.05 and abs((z**3).mean()) < 0.2
