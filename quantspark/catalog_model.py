@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quantspark.catalog import _feature_store, _trades, _with, feature_store_ctes, register
 from quantspark.catalog_eval import _DRIFT_COLS
 from quantspark.plans import model as mdl
+from quantspark.plans.evaluate import regression_metrics
 from quantspark.plans import recommend as rec
 from quantspark.sources import fixtures as fx
 
@@ -74,7 +78,7 @@ register("j_walk_forward_predictions")(_walk_forward)
 def _recommend(spark, sf):
     m = _matrix(spark, sf)
     feats = mdl.feature_columns(m)
-    model = mdl.fit("linear_regression", {}, m, feats)
+    model = mdl.fit_linear("linear_regression", {}, m, feats)
     prof = rec.profiles(m, feats)
     best = rec.best_per_slot(rec.score_grid(prof, model.transform))
     return rec.recommendation_matrix(best)
@@ -86,7 +90,7 @@ register("k4_k7_recommendation_matrix")(_recommend)
 def _best_slots(spark, sf):
     m = _matrix(spark, sf)
     feats = mdl.feature_columns(m)
-    model = mdl.fit("linear_regression", {}, m, feats)
+    model = mdl.fit_linear("linear_regression", {}, m, feats)
     return rec.best_per_slot(rec.score_grid(rec.profiles(m, feats), model.transform))
 
 
@@ -118,3 +122,45 @@ SELECT d.day, CAST(d.day_of_week AS INTEGER) AS day_of_week,
        {", ".join(f'max(CASE WHEN b.hour_of_day = {h} THEN b.best_permutation END) AS "{h:02d}:00"' for h in range(24))}
 FROM days d LEFT JOIN best b ON b.day_of_week = d.day_of_week GROUP BY d.day, d.day_of_week""")(
     lambda spark, sf: rec.recommendation_matrix(_k6_transparent(spark, sf)))
+
+
+# J2-J5 on all features: a solution has no violated optimality condition, whatever its coefficients.
+_LINEAR = {"linear_regression": {}, "ridge": {"alpha": 1.0}, "lasso": {"alpha": 0.1},
+           "elasticnet": {"alpha": 0.1, "l1_ratio": 0.5}}
+
+
+def _optimality(spark, sf):
+    m = _matrix(spark, sf).persist()
+    parts = [mdl.optimality(mdl.fit_linear(name, cfg, m, MATRIX_FEATURES), m) for name, cfg in _LINEAR.items()]
+    m.unpersist()
+    return reduce(DataFrame.unionByName, parts).withColumn("violation", F.round("violation", 5))
+
+
+register("j1_j5_optimality_all_features", "SELECT model, feature, 0.0::DOUBLE AS violation FROM (VALUES "
+         + ", ".join(f"('{n}')" for n in _LINEAR) + ") a(model), (VALUES "
+         + ", ".join(f"('{c}')" for c in MATRIX_FEATURES) + ") b(feature)")(_optimality)
+
+# Fitted trees have no closed form; rows only.
+_TREES = {"random_forest": {"n_estimators": 10, "max_depth": 5}, "xgboost": {"n_estimators": 8, "max_depth": 3},
+          "lightgbm": {"n_estimators": 8, "max_depth": 3}, "catboost": {"iterations": 8, "depth": 3}}
+
+
+def _tree_models(spark, sf):
+    """Every tree model on the whole matrix, with its regression metrics on the same rows."""
+    m = _matrix(spark, sf).persist()
+    parts = [regression_metrics(mdl.fit(name, cfg, m, MATRIX_FEATURES).transform(m), "pnl", "prediction")
+             .withColumn("model", F.lit(name)) for name, cfg in _TREES.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+register("j6_j7_tree_models")(_tree_models)
+
+
+def _stacked(spark, sf):
+    """Walk-forward with the stack of the linear models; the validation scores of all, fold by fold."""
+    import dataclasses
+    return mdl.train_walk_forward(_matrix(spark, sf), dataclasses.replace(FP, enable_stacking=True),
+                                  models=("linear_regression", "ridge"), grids={"ridge": {"alpha": [1.0]}}).scores
+
+
+register("j10_stacking_scores")(_stacked)

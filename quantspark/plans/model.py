@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -158,24 +158,8 @@ def _tree_depth(depth) -> int:
 
 
 def make_estimator(name: str, cfg: dict, n: int, s_y: float, seed: int, label: str):
-    """J2-J7 with the sklearn-equivalent penalty mappings."""
+    """The tree models as MLlib estimators (linear models: :func:`fit_linear`)."""
     common = dict(featuresCol="_features", labelCol=label)
-    if name == "linear_regression":
-        return LinearRegression(regParam=0.0, solver="normal", **common)
-    if name == "ridge":
-        a = float(cfg.get("alpha", 1.0))
-        return LinearRegression(regParam=a * s_y / max(n, 1), elasticNetParam=0.0, standardization=False,
-                                solver="l-bfgs", maxIter=500, tol=1e-10, **common)
-    if name == "lasso":
-        a = float(cfg.get("alpha", 1.0))
-        return LinearRegression(regParam=a, elasticNetParam=1.0, standardization=False, maxIter=500, tol=1e-10,
-                                **common)
-    if name == "elasticnet":
-        a, r = float(cfg.get("alpha", 1.0)), float(cfg.get("l1_ratio", 0.5))
-        l1, l2 = a * r, a * (1 - r) * s_y
-        reg = l1 + l2
-        return LinearRegression(regParam=reg, elasticNetParam=(l1 / reg if reg > 0 else 0.0), standardization=False,
-                                solver="l-bfgs", maxIter=500, tol=1e-10, **common)
     if name == "random_forest":
         return RandomForestRegressor(numTrees=int(cfg.get("n_estimators", 100)),
                                      maxDepth=_tree_depth(cfg.get("max_depth", 10)),
@@ -193,6 +177,9 @@ def make_estimator(name: str, cfg: dict, n: int, s_y: float, seed: int, label: s
 
 def fit(name: str, cfg: dict, df: DataFrame, feature_cols: list[str], label: str = "pnl",
         seed: int = 42) -> FittedModel:
+    """Any model on the rows of ``df``; linear ones have one solver, on moment sums."""
+    if name in LINEAR_MODELS:
+        return fit_linear(name, cfg, df, feature_cols, label)
     means = stds = None
     if name in SCALED_MODELS:
         means, stds = _scaling(df, feature_cols)
@@ -256,6 +243,38 @@ def fit_linear(name: str, cfg: dict, df: DataFrame, feature_cols: list[str], lab
     return LinearFitted(name, dict(cfg), list(feature_cols), None, None, sol, label)
 
 
+def optimality(model: LinearFitted, df: DataFrame) -> DataFrame:
+    """How far each feature is from the optimality conditions of its model, in units of the label's spread.
+
+    With z the standardised feature, r the residual and n the rows, a minimum of
+    the model's objective has mean(z r) equal to 0 (least squares), alpha b / n
+    (ridge), or alpha l1 sign(b) + alpha (1 - l1) b (lasso, elastic net; at most
+    alpha l1 in size where b is 0).  The residuals come from the model's
+    predictions, so nothing of the solver is taken on trust; one aggregation.
+    """
+    cols, beta = model.feature_cols, model.model.beta
+    r = F.col(model.label).cast("double") - F.col("_pred")
+    got = model.transform(df, "_pred").agg(
+        F.count(F.lit(1)).alias("n"), F.stddev_pop(F.col(model.label).cast("double")).alias("sy"),
+        *[(F.sum((F.col(c).cast("double") - F.lit(float(m))) * r) / F.lit(float(s))).alias(f"g{j}")
+          for j, (c, m, s) in enumerate(zip(cols, model.model.mean, model.model.std))]).first()
+    alpha, n = float(model.config.get("alpha", 1.0)), max(got["n"], 1)
+    l1 = 1.0 if model.name == "lasso" else float(model.config.get("l1_ratio", 0.5))
+    rows = []
+    for j, (c, b) in enumerate(zip(cols, beta)):
+        g = (got[f"g{j}"] or 0.0) / n
+        if model.name == "linear_regression":
+            off = abs(g)
+        elif model.name == "ridge":
+            off = abs(g - alpha * b / n)
+        elif b != 0.0:
+            off = abs(g - alpha * l1 * math.copysign(1.0, b) - alpha * (1 - l1) * b)
+        else:
+            off = max(0.0, abs(g) - alpha * l1)
+        rows.append((model.name, c, float(off / (got["sy"] or 1.0))))
+    return df.sparkSession.createDataFrame(rows, "model string, feature string, violation double")
+
+
 def search(models, grids: dict, train: DataFrame, feature_cols: list[str], label: str, params: Params,
            n_splits: int = 3, threads: int = 4, shift: dict | None = None,
            ctx: dict | None = None) -> list[tuple[str, dict, float]]:
@@ -340,13 +359,6 @@ def search(models, grids: dict, train: DataFrame, feature_cols: list[str], label
     return [(name, best[name][0], best[name][1]) for name in models if name in best]
 
 
-def fit_any(name: str, cfg: dict, df: DataFrame, feature_cols: list[str], label: str = "pnl",
-            seed: int = 42) -> FittedModel:
-    if name in LINEAR_MODELS:
-        return fit_linear(name, cfg, df, feature_cols, label)
-    return fit(name, cfg, df, feature_cols, label, seed)
-
-
 def stack_linear(cv: DataFrame, feature_cols: list[str], label: str, base: list[tuple[str, dict]],
                  alpha: float = 1.0, n_splits: int = 3) -> tuple[float, "LinearFitted"]:
     """Ridge (unscaled, ``alpha``) on out-of-fold predictions of linear base models.
@@ -483,7 +495,7 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
             sol = solve(total(ctx["blocks"], range(4)), best_name, best_cfg, ctx["sx"], ctx["shift"][label])
             model = LinearFitted(best_name, dict(best_cfg), list(feats), None, None, sol, label)
         else:
-            model = fit_any(best_name, best_cfg, train, feats, label, params.seed)
+            model = fit(best_name, best_cfg, train, feats, label, params.seed)
         fitted.append((k, model))
         if isinstance(model, LinearFitted):
             linear.append((f["k"], k, model))

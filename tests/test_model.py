@@ -138,3 +138,14 @@ def test_noise_baseline_depends_on_ids_only(spark):
     b = {r["id"]: r["z"] for r in df.repartition(13).withColumn("z", hashed_normal(F.col("id"), 42)).collect()}
     z = np.array(list(a.values()))
     assert a == b and abs(z.mean()) < 0.06 and abs(z.std() - 1) < 0.05 and abs((z**3).mean()) < 0.2
+
+
+def test_optimality_tells_solutions_from_others(spark):
+    df, _, _ = _data(spark)
+    for name, cfg in (("linear_regression", {}), ("ridge", {"alpha": 20.0}), ("lasso", {"alpha": 0.3}),
+                      ("elasticnet", {"alpha": 0.3, "l1_ratio": 0.4})):
+        m = mdl.fit_linear(name, cfg, df, ["a", "b", "c"])
+        assert all(r["violation"] < 1e-7 for r in mdl.optimality(m, df).collect()), name
+        m.model.w = m.model.w * 1.01
+        m.model.beta = m.model.beta * 1.01
+        assert max(r["violation"] for r in mdl.optimality(m, df).collect()) > 1e-3, name
