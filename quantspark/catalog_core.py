@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from quantspark.catalog import _macro, _trades, _with, feature_store_ctes, register
+from quantspark.catalog import ORACLE, _macro, _trades, _with, feature_store_ctes, register
 from quantspark.catalog_diag import _ACF_SQL, _LAGS
 from quantspark.catalog_model import MATRIX_SQL, _matrix
 from quantspark.functions.linalg import block_moments, solve
@@ -102,6 +102,8 @@ d AS (
 SELECT CAST(0 AS INTEGER) AS lag, 1.0::DOUBLE AS pacf UNION ALL SELECT CAST(k AS INTEGER), phi[k] FROM d""")(
     lambda spark, sf: dg.pacf(_trades(spark, sf), "pnl", ("timestamp", "id"), _LAGS))
 
+ORACLE["m15_pacf"] = ORACLE["m15_pacf_recursion"]          # the same figures, registered under both names
+
 # ---------------------------------------------------------------------------
 # A: stores, written below the shared folder and read back
 # ---------------------------------------------------------------------------
