@@ -1,14 +1,17 @@
 """Secret scanning with a recursive decoding worklist.
 
-Each whole text is scanned, then unwrapped: percent escapes, Unicode and
-character-reference escapes, and base64 runs (plain, URL-safe, wrapped over
-lines, after other letters, or holding gzip, zlib, bzip2 or xz data) open new
-layers that are scanned and unwrapped in turn until nothing new appears.  All
-patterns and encodings are ASCII, so decoded bytes are read one character a
-byte, and bytes that are no text do not hide the rest.  A layer keeps, for each of its characters,
-the span of the original text it came from, so a finding at any depth maps
-back to code point offsets of the document.  Layers already seen are skipped,
-which also breaks cycles.
+Each whole text is scanned, then unwrapped: percent escapes, Unicode, string
+and character-reference escapes, UTF-16 text, base64 runs (plain, URL-safe,
+wrapped over lines, after other letters) and compressed data (gzip, zlib, bzip2,
+xz, written in base64 or in escapes; raw deflate at the start of a base64 run)
+open new layers that are scanned and unwrapped in turn until nothing new
+appears.  All patterns and encodings are ASCII, so decoded bytes are read one
+character a byte, and bytes that are no text do not hide the rest.  A layer
+keeps, for each of its characters, the span of the original text it came from,
+so a finding at any depth maps back to code point offsets of the document.
+Layers already seen are skipped, which also breaks cycles.  Layers are opened
+depth first, and compressed data of any size is read in windows, so memory
+holds one window a level.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ import hashlib
 import lzma
 import re
 import zlib
+from html import unescape
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -34,22 +38,28 @@ HEX = re.compile(r"[0-9a-f]{24,}")                 # a whole run of 24 or more c
 
 _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u\{[0-9A-Fa-f]{1,6}\}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}"
-                     r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};)+")
+                     r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|\\[abfnrtv0'\"\\]|&[A-Za-z][A-Za-z0-9]{1,31};)+")
 _ESCAPE_ONE = re.compile(r"\\u\{([0-9A-Fa-f]+)\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})"
-                         r"|&#([0-9]+);|&#[xX]([0-9A-Fa-f]+);")
+                         r"|&#([0-9]+);|&#[xX]([0-9A-Fa-f]+);|\\([abfnrtv0'\"\\])|(&[A-Za-z][A-Za-z0-9]+;)")
+_CONTROL = dict(zip("abfnrtv0", "\a\b\f\n\r\t\v\0"))
+_WIDE = re.compile("(?:[\t\n\r\x20-\x7e]\0){6,}|(?:\0[\t\n\r\x20-\x7e]){6,}")      # ASCII in UTF-16
 _BREAK = re.compile(r"[ \t]*(?:\r?\n|\\r\\n|\\n)[ \t]*")        # between the lines of a run, also as written in JSON
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{12,}+(?:B[A-Za-z0-9+/_-]++)*+"
                      r"|[A-Za-z0-9+/_-]{2,}+(?:B[A-Za-z0-9+/_-]++)++)={0,2}".replace("B", _BREAK.pattern))
 SHORTEST = 12                  # characters of the shortest secret
 _WORDLIKE = re.compile(r"[A-Za-z]+|[0-9a-f]+|[0-9]+")
-_READABLE = re.compile(rb"[\t\n\r\x20-\x7e]{%d}" % SHORTEST)
-_ANY_MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
-_MAGIC = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"\x78\x01", lambda: zlib.decompressobj()),
-          (b"\x78\x5e", lambda: zlib.decompressobj()), (b"\x78\x9c", lambda: zlib.decompressobj()),
-          (b"\x78\xda", lambda: zlib.decompressobj()), (b"BZh", bz2.BZ2Decompressor),
-          (b"\xfd7zXZ", lzma.LZMADecompressor))
-MAX_LAYER_BYTES = 64 << 20     # one compressed stream that would unfold beyond this is not opened
-OVERLAP = 1 << 20
+_READABLE = re.compile(rb"[\t\n\r\x20-\x7e]{%d}|(?:[\t\n\r\x20-\x7e]\0){%d}|(?:\0[\t\n\r\x20-\x7e]){%d}" % (
+    (SHORTEST,) * 3))
+_MAGIC_PATTERN = r"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00"
+_ANY_MAGIC = re.compile(_MAGIC_PATTERN.encode())
+_ANY_MAGIC_TEXT = re.compile(_MAGIC_PATTERN)
+_BYTES = re.compile("[\0-\xff]+")
+# First byte of a compressed format and its reader.
+_OPENERS = {0x1f: lambda: zlib.decompressobj(31), 0x78: zlib.decompressobj, 0x42: bz2.BZ2Decompressor,
+            0xfd: lzma.LZMADecompressor}
+MAX_LAYER_BYTES = 64 << 20     # unfolded bytes held at a time; longer data comes in windows of this size
+OVERLAP = 1 << 20              # bytes that a window shares with the next
+PIECE = 1 << 20
 
 
 def find_secrets(text: str) -> list[tuple[int, int, int]]:
@@ -64,56 +74,94 @@ def find_secrets(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _inflate(data) -> tuple[bytes, int] | None:
-    """(unfolded bytes, compressed bytes) of the whole compressed stream that ``data`` starts with, if it does."""
-    for magic, opener in _MAGIC:
-        if data[:len(magic)] == magic:
-            tool, out, at = opener(), [], 0
-            total = 0
-            try:
-                while not tool.eof and total <= MAX_LAYER_BYTES:
-                    piece = getattr(tool, "unconsumed_tail", b"")
-                    if not piece and getattr(tool, "needs_input", True):
-                        piece = bytes(data[at:at + (1 << 16)])
-                        at += len(piece)
-                        if not piece:
-                            return None
-                    out.append(tool.decompress(piece, MAX_LAYER_BYTES + 1 - total))
-                    total += len(out[-1])
-            except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
-                return None
-            return (b"".join(out), at - len(tool.unused_data)) if tool.eof and total <= MAX_LAYER_BYTES else None
-    return None
-
-
-def _unfolded(data: bytes):
-    """(text, start and end in ``data``) of the compressed streams in ``data``, streams inside streams too.
-
-    Streams that follow each other are members of one text; it comes in windows of ``MAX_LAYER_BYTES`` that
-    overlap by ``OVERLAP`` bytes."""
-    view, start, done, parts, held = memoryview(data), 0, 0, [], 0
-
-    def layers(out):
-        if _READABLE.search(out):
-            yield out.decode("latin-1"), start, done
-        if out != data:                            # a stream may hold itself
-            yield from ((s, start, done) for s, _, _ in _unfolded(out))
-
+class _Stream:
+    """The unfolded pieces of the compressed stream that ``data`` starts with.
+
+    Read to the end, ``length`` tells its compressed bytes and ``whole`` whether it ended as its format says; of a
+    cut or damaged stream, what unfolds comes out."""
+
+    def __init__(self, data, opener):
+        self.data, self.opener, self.length, self.whole = data, opener, 0, False
+
+    def __iter__(self):
+        tool, at, out = self.opener(), 0, b""
+        try:
+            while not tool.eof:
+                piece = getattr(tool, "unconsumed_tail", b"")
+                if not piece and len(out) < PIECE and getattr(tool, "needs_input", True):
+                    piece = bytes(self.data[at:at + (1 << 16)])
+                    at += len(piece)
+                    if not piece:
+                        break
+                out = tool.decompress(piece, PIECE)
+                if out:
+                    yield out
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, ValueError):
+            pass
+        self.whole = tool.eof
+        self.length = at - len(tool.unused_data) if tool.eof else at
+
+
+def _members(data: bytes) -> list[list]:
+    """[start, end, streams, whole] of the compressed texts in ``data``; streams that follow each other are one."""
+    view, found, done = memoryview(data), [], 0
     for m in _ANY_MAGIC.finditer(data):
-        if m.start() < done or (got := _inflate(view[m.start():])) is None:
+        if m.start() < done:
+            continue
+        opener = _OPENERS[data[m.start()]]
+        stream = _Stream(view[m.start():], opener)
+        size = sum(map(len, stream))
+        if not (size or stream.whole):
             continue
-        follows = parts and not bytes(view[done:m.start()]).strip(b"\0")       # padding between members
-        if parts and (not follows or held + len(got[0]) > MAX_LAYER_BYTES):
-            out = b"".join(parts)
-            yield from layers(out)
-            parts = [out[-OVERLAP:]] if follows else []
-            held = sum(map(len, parts))
-        start = start if follows else m.start()
-        done = m.start() + got[1]
-        parts.append(got[0])
-        held += len(got[0])
-    if parts:
-        yield from layers(b"".join(parts))
+        end = m.start() + stream.length
+        if stream.whole:
+            done = end
+        if found and found[-1][3] and not bytes(view[found[-1][1]:m.start()]).strip(b"\0"):   # padding between members
+            found[-1][1:] = end, [*found[-1][2], (m.start(), opener)], stream.whole
+        else:
+            found.append([m.start(), end, [(m.start(), opener)], stream.whole])
+    return found
+
+
+def _windows(data: bytes, streams):
+    """The unfolded bytes of streams as windows of about ``MAX_LAYER_BYTES`` that overlap by ``OVERLAP``."""
+    held, size, fresh = [], 0, False
+    for start, opener in streams:
+        for piece in _Stream(memoryview(data)[start:], opener):
+            held.append(piece)
+            size += len(piece)
+            fresh = True
+            if size >= MAX_LAYER_BYTES:
+                out = b"".join(held)
+                yield out
+                held, fresh = [out[-OVERLAP:]], False
+                size = len(held[0])
+    if fresh:
+        yield b"".join(held)
+
+
+def _unfolded(data: bytes, raw: bool = False):
+    """(text, start and end in ``data``) of the compressed streams in ``data``; with ``raw``, also as one raw
+    deflate stream.  Streams inside streams are found when their layer is opened in turn."""
+    found = _members(data) if _ANY_MAGIC.search(data) else []
+    if raw and not (found and found[0][0] == 0) and data[0] & 6 != 6:
+        def opener():
+            return zlib.decompressobj(-15)
+        stream = _Stream(memoryview(data), opener)
+        if any([_READABLE.search(piece) is not None for piece in stream]):
+            found = [*found, [0, stream.length, [(0, opener)], stream.whole]]
+    for start, end, streams, _ in found:
+        for out in _windows(data, streams):
+            if _READABLE.search(out) or _ANY_MAGIC.search(out):
+                yield out.decode("latin-1"), start, end
+
+
+def _compressed_layers(text: str):
+    """(text, start, end) of compressed data that stands in ``text`` as characters of one byte each."""
+    if _ANY_MAGIC_TEXT.search(text):
+        for m in _BYTES.finditer(text):
+            for s, a, b in _unfolded(m.group().encode("latin-1")):
+                yield (s, *(np.broadcast_to(np.int64(m.start() + at), len(s)) for at in (a, b)))
 
 
 def _rewritten(text: str, pattern: re.Pattern, decode) -> tuple[str, np.ndarray, np.ndarray, np.ndarray] | None:
@@ -151,9 +199,21 @@ def _url(run: str):
     return s, at, at + 3
 
 
+def _wide(run: str):
+    s = run[1::2] if run[0] == "\0" else run[::2]
+    at = np.arange(len(s)) * 2
+    return s, at, at + 2
+
+
 def _escape(run: str):
     s, lo, hi = [], [], []
     for m in _ESCAPE_ONE.finditer(run):
+        if m.group(7) or m.group(8):
+            for c in _CONTROL.get(m.group(7), m.group(7)) if m.group(7) else unescape(m.group(8)):
+                s.append(c)
+                lo.append(m.start())
+                hi.append(m.end())
+            continue
         code = next(int(g, 10 if i == 4 else 16) for i, g in enumerate(m.groups()) if g is not None)
         low = code - 0xDC00
         if s and 0 <= low < 0x400 and 0xD800 <= ord(s[-1]) < 0xDC00:       # second half of a surrogate pair
@@ -199,7 +259,7 @@ def _base64_layers(text: str):
             if _READABLE.search(data):
                 at = np.arange(len(data))
                 yield data.decode("latin-1"), *spans(k, at, at + 1)
-            for s, a, b in _unfolded(data):        # no place inside the run for a compressed character
+            for s, a, b in _unfolded(data, raw=True):      # no place inside the run for a compressed character
                 lo, hi = spans(k, a, b)
                 yield s, np.broadcast_to(lo, len(s)), np.broadcast_to(m.end() if b == len(data) else hi, len(s))
 
@@ -211,34 +271,51 @@ def scan_text(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, in
     a text that was not seen before.
     """
     base = find_secrets(text)
-    if not any(c in text for c in "%\\&") and not _BASE64.search(text):
+    if not any(c in text for c in "%\\&\0") and not _BASE64.search(text):
         return base, []
     added, seen = [], {hashlib.sha256(text.encode()).digest()}
-    work = [(text, None, None, 0)]
+    work = [(_opened(text, False), None, None)]      # layers being opened, each inside the one before it
     while work:
-        layer, lo, hi, depth = work.pop()
-        opened = []
-        for pattern, decode, mark in ((_URL, _url, "%"), (_ESCAPE, _escape, "\\&")):
-            if any(c in layer for c in mark):
-                got = _rewritten(layer, pattern, decode)
-                if got is not None:
-                    opened.append(got)
-        opened += [(s, a, b, np.ones(len(s), dtype=bool)) for s, a, b in _base64_layers(layer)]
-        for s, a, b, new in opened:
-            if lo is not None:
-                a, b = lo[a], hi[b - 1]
-            # Only what a decoding touched is new: the rest was scanned in the layer above.
-            mark = hashlib.sha256(s.encode() + a[:1].tobytes() + b[-1:].tobytes()).digest()
-            if mark in seen or not len(s):
-                continue
-            seen.add(mark)
-            for x, kind, y in find_secrets(s):
-                if new[x:y].any():
-                    added.append((int(a[x]), kind, int(b[y - 1]), depth + 1, s[x:y]))
-            work.append((s, a, b, depth + 1))
+        layers, lo, hi = work[-1]
+        s, a, b, new, squeezed = next(layers, (None,) * 5)
+        if s is None:
+            work.pop()
+            continue
+        if not s:
+            continue
+        if lo is not None:
+            a, b = _taken(lo, a), _taken(hi, b, 1)
+        # Only what a decoding touched is new: the rest was scanned in the layer above.
+        mark = hashlib.sha256(s.encode() + a[:1].tobytes() + b[-1:].tobytes()).digest()
+        if mark in seen:
+            continue
+        seen.add(mark)
+        for x, kind, y in find_secrets(s):
+            if new is None or new[x:y].any():
+                added.append((int(a[x]), kind, int(b[y - 1]), len(work), s[x:y]))
+        work.append((_opened(s, squeezed), a, b))
     return base, added
 
 
+def _taken(values: np.ndarray, at: np.ndarray, back: int = 0) -> np.ndarray:
+    """``values[at - back]``; one place for all characters, as compressed data has it, stays one number."""
+    return np.broadcast_to(values[at[0] - back], len(at)) if at.strides == (0,) else values[at - back]
+
+
+def _opened(layer: str, squeezed: bool):
+    """(text, start, end, new characters or None for all, may hold compressed data) of the layers right below."""
+    for pattern, decode, marks in ((_URL, _url, "%"), (_ESCAPE, _escape, "\\&"), (_WIDE, _wide, "\0")):
+        if any(c in layer for c in marks):
+            got = _rewritten(layer, pattern, decode)
+            if got is not None:
+                yield *got, True
+    for got in _base64_layers(layer):
+        yield *got, None, got[1].strides == (0,)     # a run's compressed data is opened here, with the run's own ends
+    if squeezed:
+        for got in _compressed_layers(layer):
+            yield *got, None, True
+
+
 def joined(spans) -> str:
     """kind:start:end, by start, then kind as listed, then end; each once."""
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted({s[:3] for s in spans}))

@@ -162,10 +162,43 @@ def test_decoding_leaves_clean_text_alone_and_ends():
     for text in (clean, "100% of %zz and %2", "\\u00 \\x4 &#99999999;", "%" * 50, "%25" * 40 + "41",
                  base64.b64encode(bytes(range(256))).decode(), base64.b64encode(b"just words here").decode()):
         assert scan_text(text)[1] == []
-    bomb = base64.b64encode(zlib.compress(b"a" * (70 << 20))).decode()
+    bomb = base64.b64encode(zlib.compress(b"x" * (70 << 20))).decode()
     assert scan_text(bomb)[1] == []
 
 
+def test_secret_behind_70_mb_of_one_stream():
+    from quantspark.llm.secret_scan import redact, scan_text
+    secret = "password=Tr0ub4dor.and.3"
+    packed = gzip.compress(b"x " * (35 << 20) + secret.encode())
+    for run in (base64.b64encode(packed).decode(), "".join(f"%{b:02x}" for b in packed)):
+        base, added = scan_text(f"see {run} end")
+        assert base == [] and {x[4] for x in added} == {secret}
+        assert redact(f"see {run} end", added) == "see [REDACTED] end"
+
+
+def test_layers_nest_in_any_order():
+    from quantspark.llm.secret_scan import redact, scan_text
+    secret = "password=Tr0ub4dor.and.3"
+    plain = ("x " * 30 + secret + " y" * 30).encode()
+    deflate = zlib.compressobj(9, zlib.DEFLATED, -15)
+    raw = deflate.compress(plain) + deflate.flush()
+    b64 = lambda x: base64.b64encode(x).decode()
+    percent = lambda x: "".join(f"%{b:02x}" for b in x)
+    wide, big = plain.decode().encode("utf-16-le"), plain.decode().encode("utf-16-be")
+    for run in (percent(gzip.compress(plain)), "".join(f"\\x{b:02x}" for b in zlib.compress(plain)),
+                repr(gzip.compress(plain))[2:-1], b64(wide), b64(big), percent(wide),
+                b64(raw), b64(gzip.compress(plain)[:-5]), b64(gzip.compress(gzip.compress(plain))),
+                b64(percent(gzip.compress(wide)).encode()), percent(b64(raw).encode()),
+                b64(zlib.compress(b64(wide).encode()))):
+        base, added = scan_text(f"see {run} end")
+        assert base == [] and secret in {x[4] for x in added}, run
+        clean = redact(f"see {run} end", added)
+        assert clean.startswith("see ") and clean.endswith(" end") and not any(
+            secret == x[4] for x in scan_text(clean)[1]), run
+    for text in ("password&equals;Tr0ub4dor.and.3", r'{\"password\": \"Tr0ub4dor.and.3\"}'):
+        assert {x[4][-15:] for x in scan_text(text)[1]} == {"Tr0ub4dor.and.3"}, text
+
+
 def test_layers_with_odd_characters_wrapped_or_after_letters():
     from quantspark.llm.secret_scan import redact, scan_text
     rng = random.Random(8)
