@@ -2,7 +2,8 @@
 
 Pages are dealt to groups of one host; a host with very many pages is split
 over several groups.  A group is read as a stream of chunks of up to
-``CHUNK_PAGES`` pages.  In a chunk, each page's DOM tree is aligned with a
+``CHUNK_PAGES`` pages; its last two chunks are evened out, so no chunk is left
+with a few pages.  In a chunk, each page's DOM tree is aligned with a
 reference page of the same layout by simple tree matching (an order-preserving
 matching of children that maximises matched nodes).  Text that stays constant
 at an aligned place over most differing pages is template; what varies there,
@@ -46,19 +47,30 @@ SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
             "td": ("td", "th", "tr"), "th": ("td", "th", "tr"), "option": ("option", "optgroup"),
             "tbody": ("tbody", "tfoot"), "thead": ("tbody", "tfoot")}
 SCOPE = frozenset("table td th div article section main aside nav header footer form body html ul ol dl".split())
-# Words in class, id or role that mark a place outside the main text.
-OUTSIDE = frozenset("""nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar banner footer
-bottom sidebar sidenav aside rail widget widgets complementary contentinfo ad ads advert adverts advertisement
-advertising adsense adslot sponsor sponsored promo promotion notice notices notification cookie cookies consent gdpr
-popup modal overlay alert disclaimer newsletter subscribe subscription signup login paywall share sharing social
-comment comments reply replies respond disqus related recommended recommendations pagination pager search skip
-toolbar copyright legal tracking""".split())
+# Words that mark a place outside the main text, as the head of a name in class, id or role
+# (``acme-sidebar``, ``comment-list``, but not ``sidebar-price``).
+HEADS = frozenset("""nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar banner footer
+sidebar sidenav aside widget widgets complementary contentinfo ad ads advert adverts advertisement advertising adsense
+adslot sponsor sponsored promo cookie cookies consent gdpr popup modal overlay disclaimer newsletter subscribe signup
+login paywall comment comments disqus pagination pager toolbar copyright""".split())
+# Words that also name subjects of articles: they count only in names made of such words and words of layout.
+AMBIGUOUS = frozenset("""rail bottom promotion notice notices notification alert subscription share sharing social reply
+replies respond related recommended recommendations search skip legal tracking""".split())
+LAYOUT = frozenset("""site page main global top left right primary secondary inner outer wrapper wrap container content
+section block box bar area list item items link links button buttons icon icons panel group row col column text title
+form post posts article articles entry story user reader your more us this to the of js is has no""".split())
 ARTICLE_ROLES = frozenset(("main", "article"))
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?"
-                    r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.DOTALL)
-_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+# A tag by the states of HTML's tokenizer: tag name, then attributes (name, and a double-quoted, single-quoted or
+# unquoted value, in which quotes are ordinary characters).  A quote that never closes ends at the next ">".
+_VALUE = r"""(?>"([^"]*+)"|'([^']*+)'|["'][^>]*+|([^\s>"'][^\s>]*+))"""
+_ATTRIBUTE = rf"(=[^\s/>=]*+|[^\s/>=]++)(?>\s*+=\s*+{_VALUE}?+)?+"
+_ATTR = re.compile(_ATTRIBUTE)
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</(?![A-Za-z]|\Z)[^>]*>?"
+                    r"|<(/?)([A-Za-z][^\s/>]*+)((?>[\s/]++|ATTRIBUTE)*+)(?:>|\Z)|[^<]+|<".replace(
+                        "ATTRIBUTE", _ATTRIBUTE.replace("(=[", "(?:=[", 1).replace("([^", "(?:[^")), re.DOTALL)
 _NAME = re.compile(r"[a-z0-9]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
@@ -70,16 +82,27 @@ class Node:
         self.children, self.size = [], 1
 
 
+def _names_outside(value: str) -> bool:
+    """Whether one of the names in a class, id or role marks a place outside the main text: its last word besides
+    layout words is a head, or all its words are heads, ambiguous words and layout words."""
+    for name in value.split():
+        words = [w for w in _NAME.findall(_CAMEL.sub("-", name).lower()) if w not in LAYOUT and not w.isdigit()]
+        if words and (words[-1] in HEADS or all(w in HEADS or w in AMBIGUOUS for w in words)):
+            return True
+    return False
+
+
 def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
     """(outside the main text, marks the article) by element and by class, id, role, hidden and itemprop."""
     outside, article = tag in HIDDEN or tag == "header", tag in ("article", "main")
     if attrs and not attrs.isspace():
         for m in _ATTR.finditer(attrs):
             name = m.group(1).lower()
-            value = (m.group(2) or m.group(3) or m.group(4) or "").lower()
+            named = unescape(m.group(2) or m.group(3) or m.group(4) or "")
+            value = named.lower()
             if name in ("class", "id", "role"):
                 words = _NAME.findall(value)
-                hit = any(w in OUTSIDE for w in words)
+                hit = _names_outside(named)
                 if name == "role" and value.strip() in ARTICLE_ROLES:
                     article = True
                 elif hit and tag not in ("html", "body", "main", "article"):
@@ -138,7 +161,7 @@ def parse(page: str) -> Node:
         node = Node(tag, *_marks(tag, m.group(3)), at)
         at.children.append(node)
         if tag in RAW:
-            end = re.compile(r"</" + tag + r"\b[^>]*>", re.IGNORECASE).search(page, pos)
+            end = re.compile(r"</" + tag + r"(?=[\s/>])[^>]*>?", re.IGNORECASE).search(page, pos)
             pos = end.end() if end else n
         elif tag not in VOID and not m.group(3).endswith("/"):
             at = node
@@ -347,28 +370,33 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     dealt = dealt.repartition("host", "salt").sortWithinPartitions("host", "salt", "page_id", F.xxhash64("html"))
 
     def run(batches):
-        ids, urls, held, chars, group = [], [], [], 0, None
-
-        def done():
-            texts = induce([parse(x) for x in held])
+        def done(chunk):
+            texts = induce([parse(x) for _, _, x in chunk])
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, id_type), pa.array(urls, pa.string()), pa.array(texts, pa.string()),
-                 pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
+                [pa.array([c[0] for c in chunk], id_type), pa.array([c[1] for c in chunk], pa.string()),
+                 pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                names=["page_id", "url", "text", "n_chars"])
+
+        def ended():
+            """The last chunks of a group: a short remainder is shared with the full chunk before it."""
+            pages = before + held
+            cut = len(pages) if not before else (len(pages) + 1) // 2 if 2 * len(held) < len(before) else len(before)
+            return [done(c) for c in (pages[:cut], pages[cut:]) if c]
 
-        id_type = None
+        id_type, before, held, chars, group = None, [], [], 0, None
         for batch in batches:
             id_type = batch.schema.field("page_id").type
             names = ("page_id", "url", "html", "host", "salt")
             for i, u, x, h, s in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names)):
-                if held and (group != (h, s) or len(held) >= CHUNK_PAGES or chars + len(x) > CHUNK_CHARS):
-                    yield done()
-                    ids, urls, held, chars = [], [], [], 0
-                group = (h, s)
-                ids.append(i)
-                urls.append(u)
-                held.append(x)
+                if group != (h, s):
+                    yield from ended()
+                    before, held, chars, group = [], [], 0, (h, s)
+                elif len(held) >= CHUNK_PAGES or chars + len(x) > CHUNK_CHARS and held:
+                    if before:
+                        yield done(before)
+                    before, held, chars = held, [], 0
+                held.append((i, u, x))
                 chars += len(x)
-        if held:
-            yield done()
+        yield from ended()
 
     return dealt.mapInArrow(run, f"page_id {kind[id_col]}, url string, text string, n_chars bigint")

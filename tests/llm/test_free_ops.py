@@ -537,6 +537,38 @@ def test_wrapper_on_one_host(spark):
     assert main_texts(table.limit(0)).count() == 0
 
 
+def test_tags_by_the_states_of_html():
+    from quantspark.llm.wrapper import induce, parse
+    for page_, want in (
+            ("<p>say <b title=don't>this</b> and that</p><p>it's more</p>", "say this and that it's more"),
+            ('<p>hi <a title="x>link</a> there', "hi link there"),
+            ("<p>a <i x='1>2' y=\"3>4\"z=5>b</i> c", "a b c"), ("<p>a<!--> b<!-- x --!> c<!-- <p>d", "a b c"),
+            ("<p>I </3 x> you", "I you"), ("<p>1 < 2 <b c", "1 < 2"), ("<p>a <b =x= y = >b</b>", "a b"),
+            ("<p>a</p><script>'</scripty>'</script>b", "a b"), ("<p>a <img alt='it\"s' src=a/>b", "a b"),
+            ("<p>x<a href=" + "'" * 50001 + ">y", "xy")):
+        assert induce([parse(want and page_)]) == [want], page_
+
+
+def test_names_of_subjects_stay_and_names_of_furniture_go():
+    from quantspark.llm.wrapper import induce, parse
+    article = "<article><p>The text of this page.</p><div class='{}'><p>More of it.</p></div></article>"
+    for name in ("share-price", "social-sciences", "search-theory", "legal-history", "cookie-recipe", "ad-hoc", "x"):
+        assert induce([parse(article.format(name))]) == ["The text of this page. More of it."], name
+    for name in ("share", "share-buttons", "SocialLinks", "acme-sidebar", "comment-list", "user-comments", "cookie-banner",
+                 "x related-posts", "ad", "ads-2", "site-notice", "article__share"):
+        assert induce([parse(article.format(name))]) == ["The text of this page."], name
+
+
+def test_short_remainders_get_a_template(spark, monkeypatch):
+    from quantspark.llm import wrapper
+    monkeypatch.setattr(wrapper, "CHUNK_PAGES", 10)
+    body = "<h1>Story {0}</h1><p>Words of {0}.</p><p>Printed by the usual press.</p>"
+    for n in (11, 13, 21, 30):
+        rows = [(i, "http://h.example.org/", "<body>" + body.format(i) + "</body>") for i in range(n)]
+        out = wrapper.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        assert sorted((r["page_id"], r["text"]) for r in out) == [(i, f"Story {i} Words of {i}.") for i in range(n)]
+
+
 def test_copies_are_no_template():
     from quantspark.llm.wrapper import induce, parse
     out = induce([parse(page(7)) for _ in range(20)] + [parse(page(i)) for i in range(3)])
