@@ -1,8 +1,9 @@
-"""Model matrix (H), walk-forward training and selection on MLlib (J).
+"""Model matrix (H), walk-forward training and selection (J).
 
 Folds are time ranges (``plans.folds``); the driver loops over folds and
-model configurations, and every fit / score is a distributed MLlib job on a
-cached, time-filtered DataFrame.  Only small values reach the driver:
+model configurations, and every fit / score is a distributed job on a
+time-filtered DataFrame: moment sums for linear models, MLlib for the random
+forest, ``plans.boosting`` for boosted trees.  Only small values reach the driver:
 per-feature means/stds (p numbers), coefficients, validation MAEs.
 """
 
@@ -16,12 +17,13 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantspark.config import Params
+from quantspark.plans import boosting
 from quantspark.plans.evaluate import regression_metrics
 from quantspark.operators.ordered import POS, with_position
 from quantspark.plans.folds import cv_block_column, fold_bounds, fold_table
@@ -34,6 +36,12 @@ SESSION_CODES = {"asia": 0, "europe": 1, "us": 2, "off_hours": 3}
 IMPORTANCE_CODES = {"low": 0, "medium": 1, "high": 2}
 SCALED_MODELS = ("linear_regression", "ridge", "lasso", "elasticnet", "random_forest")
 LINEAR_MODELS = ("linear_regression", "ridge", "lasso", "elasticnet")
+# What the boosting presets take for parameters that a configuration leaves out.
+BOOSTING_PRESETS = {"xgboost": {"max_depth": 6, "l2": 1.0}, "catboost": {"max_depth": 6, "l2": 3.0},
+                    "lightgbm": {"max_depth": 12, "l2": 0.0, "num_leaves": 31, "min_rows": 20}}
+BOOSTING_NAMES = {"n_estimators": "trees", "iterations": "trees", "max_depth": "max_depth", "depth": "max_depth",
+                  "learning_rate": "learning_rate", "num_leaves": "num_leaves", "l2_leaf_reg": "l2",
+                  "subsample": "subsample", "colsample_bytree": "colsample"}
 
 # Hyper-parameter grids (fixed values of the configuration).
 DEFAULT_GRIDS = {
@@ -48,8 +56,6 @@ DEFAULT_GRIDS = {
     "catboost": {"iterations": [50, 100, 200], "depth": [4, 6, 8], "learning_rate": [0.01, 0.05, 0.1],
                  "l2_leaf_reg": [1, 3, 5]},
 }
-# Parameters of the boosters' presets that MLlib's trees do not have.
-UNUSED_PARAMETERS = frozenset({"num_leaves", "l2_leaf_reg"})
 DEFAULT_MODELS = ("linear_regression", "ridge", "lasso", "elasticnet", "random_forest", "xgboost",
                   "lightgbm", "catboost")
 
@@ -156,28 +162,23 @@ def _tree_depth(depth) -> int:
 
 
 def make_estimator(name: str, cfg: dict, n: int, s_y: float, seed: int, label: str):
-    """The tree models as MLlib estimators (linear models: :func:`fit_linear`)."""
-    common = dict(featuresCol="_features", labelCol=label)
+    """The random forest as an MLlib estimator (linear models: :func:`fit_linear`, boosting:
+    :func:`fit_boosting`)."""
     if name == "random_forest":
         return RandomForestRegressor(numTrees=int(cfg.get("n_estimators", 100)),
                                      maxDepth=_tree_depth(cfg.get("max_depth", 10)),
                                      minInstancesPerNode=max(1, int(cfg.get("min_samples_split", 2)) // 2),
-                                     seed=seed, **common)
-    if name in ("xgboost", "lightgbm", "catboost"):
-        it = int(cfg.get("n_estimators", cfg.get("iterations", 100)))
-        depth = int(cfg.get("max_depth", cfg.get("depth", 6)))
-        col = cfg.get("colsample_bytree")
-        return GBTRegressor(maxIter=it, maxDepth=_tree_depth(depth), stepSize=float(cfg.get("learning_rate", 0.1)),
-                            subsamplingRate=float(cfg.get("subsample", 1.0)),
-                            featureSubsetStrategy=str(col) if col else "all", seed=seed, **common)
+                                     seed=seed, featuresCol="_features", labelCol=label)
     raise ValueError(f"unknown model {name}")
 
 
 def fit(name: str, cfg: dict, df: DataFrame, feature_cols: list[str], label: str = "pnl",
         seed: int = 42) -> FittedModel:
-    """Any model on the rows of ``df``; linear ones have one solver, on moment sums."""
+    """Any model on the rows of ``df``."""
     if name in LINEAR_MODELS:
         return fit_linear(name, cfg, df, feature_cols, label)
+    if name in BOOSTING_PRESETS:
+        return fit_boosting(name, cfg, df, feature_cols, label, seed)
     means = stds = None
     if name in SCALED_MODELS:
         means, stds = _scaling(df, feature_cols)
@@ -194,7 +195,7 @@ def grid(name: str, grids: dict, tuner: str = "gridsearch", trials: int = 20, se
     g = grids.get(name, {})
     if name == "linear_regression" or not g:
         return [{}]
-    keys = sorted(k for k in g if k not in UNUSED_PARAMETERS)   # else equal fits are repeated
+    keys = sorted(g)
     configs = [dict(zip(keys, vals)) for vals in itertools.product(*[g[k] for k in keys])]
     if tuner == "sampled" and name not in LINEAR_MODELS and len(configs) > trials:
         configs = random.Random(seed).sample(configs, trials)
@@ -205,6 +206,24 @@ def _mae(pred: DataFrame, label: str) -> float:
     return pred.agg(F.avg(F.abs(F.col("prediction") - F.col(label)))).first()[0]
 
 
+class BoostedFitted(FittedModel):
+    """Boosted trees; scoring reads the feature columns in Arrow batches."""
+
+    def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+        return df.withColumn(out, self.model.expr(self.feature_cols))
+
+    def native_importance(self) -> dict:
+        return dict(zip(self.feature_cols, [float(v) for v in self.model.importance()]))
+
+
+def fit_boosting(name: str, cfg: dict, df: DataFrame, feature_cols: list[str], label: str = "pnl",
+                 seed: int = 42) -> BoostedFitted:
+    """A preset of the boosted trees; a parameter it does not know is an error."""
+    own = {"trees": 100, **BOOSTING_PRESETS[name], **{BOOSTING_NAMES[k]: v for k, v in cfg.items()}}
+    model = boosting.fit(df, list(feature_cols), label, seed=seed, **own)
+    return BoostedFitted(name, dict(cfg), list(feature_cols), None, None, model, label)
+
+
 class LinearFitted(FittedModel):
     """A linear model solved from moment sums; scoring is one native expression."""
 
@@ -281,8 +300,8 @@ def search(models, grids: dict, train: DataFrame, feature_cols: list[str], label
 
     Linear models: one grouped moment aggregation (per cv block), every split
     and configuration solved on the driver, and all validation MAEs in one
-    more aggregation.  Tree models: MLlib fits on cached assembled splits,
-    overlapped from a small driver thread pool.
+    more aggregation.  The random forest fits on cached assembled splits, boosting on
+    the rows of each split, overlapped from a small driver thread pool.
     """
     import numpy as np
     from concurrent.futures import ThreadPoolExecutor
@@ -328,12 +347,16 @@ def search(models, grids: dict, train: DataFrame, feature_cols: list[str], label
             fit_rows = train.filter(F.col("cv_block") <= s)
             val_rows = train.filter(F.col("cv_block") == s + 1)
             st = fit_rows.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(label).alias("sy")).first()
-            for scaled in {m in SCALED_MODELS for m in trees}:
+            for scaled in {m in SCALED_MODELS for m in trees if m not in BOOSTING_PRESETS}:
                 means, stds = _scaling(fit_rows, feature_cols) if scaled else (None, None)
                 tmpl = FittedModel("", {}, list(feature_cols), means, stds, None, label)
                 inputs[(s, scaled)] = (tmpl._assemble(fit_rows).select("_features", label).cache(),
                                        tmpl._assemble(val_rows).select("_features", label).cache(),
                                        int(st["n"]), float(st["sy"] or 1.0))
+        def boosted(name, cfg, s):
+            m = fit_boosting(name, cfg, train.filter(F.col("cv_block") <= s), feature_cols, label, params.seed)
+            return _mae(m.transform(train.filter(F.col("cv_block") == s + 1)), label)
+
         jobs = [(name, cfg) for name in trees
                 for cfg in grid(name, grids, params.tuner, params.sampled_trials, params.seed)]
 
@@ -341,10 +364,14 @@ def search(models, grids: dict, train: DataFrame, feature_cols: list[str], label
             name, cfg = job
             maes = []
             for s in range(n_splits):
+                if name in BOOSTING_PRESETS:
+                    maes.append(boosted(name, cfg, s))
+                    continue
                 fdf, vdf, n, s_y = inputs[(s, name in SCALED_MODELS)]
                 m = make_estimator(name, cfg, n, s_y, params.seed, label).fit(fdf)
                 maes.append(_mae(m.transform(vdf), label))
-            return sum(maes) / len(maes)
+            maes = [v for v in maes if v is not None]        # an empty block has none
+            return sum(maes) / len(maes) if maes else math.inf
 
         with ThreadPoolExecutor(max_workers=threads) as pool:
             results = list(pool.map(run, jobs))
@@ -407,6 +434,68 @@ def stack_linear(cv: DataFrame, feature_cols: list[str], label: str, base: list[
                                  list(feature_cols), None, None, combined, label)
 
 
+class StackedFitted(FittedModel):
+    """``model`` holds (base models, weight of each, intercept)."""
+
+    def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+        bases, weights, intercept = self.model
+        names = [f"_base_{i}" for i in range(len(bases))]
+        for b, c in zip(bases, names):
+            df = b.transform(df, c)
+        total = reduce(lambda x, y: x + y, [F.lit(float(w)) * F.col(c) for w, c in zip(weights, names)])
+        return df.withColumn(out, total + F.lit(float(intercept))).drop(*names)
+
+    def native_importance(self) -> dict:
+        """The bases' importances by the size of their weights, sum 1."""
+        bases, weights, _ = self.model
+        size = sum(abs(w) for w in weights) or 1.0
+        parts = [(abs(w) / size, b.native_importance()) for b, w in zip(bases, weights)]
+        return {c: sum(w * imp[c] for w, imp in parts) for c in self.feature_cols}
+
+
+def stack(cv: DataFrame, feature_cols: list[str], label: str, base: list[tuple[str, dict]], alpha: float = 1.0,
+          n_splits: int = 3, seed: int = 42) -> tuple[float, StackedFitted]:
+    """J10 over any base models: ridge (unscaled, ``alpha``) on their out-of-fold predictions.
+
+    A row of validation block b gets the predictions of models fitted on the
+    blocks before b.  A row is in one block, so the out-of-fold table is the
+    union of the blocks, each scored by its own models: no join.  Validation
+    and the final refit are those of :func:`stack_linear`.
+    """
+    import numpy as np
+    from quantspark.functions.linalg import block_moments, solve, total
+    names = [f"_oof_{i}" for i in range(len(base))]
+    parts = []
+    for s in range(n_splits):
+        seen = cv.filter(F.col("cv_block") <= s)
+        rows = cv.filter(F.col("cv_block") == s + 1)
+        if not seen.take(1) or not rows.take(1):
+            continue
+        for (name, cfg), c in zip(base, names):
+            rows = fit(name, cfg, seen, feature_cols, label, seed).transform(rows, c)
+        parts.append(rows.select("cv_block", F.col(label).cast("double").alias(label), *names))
+    bases = [fit(name, cfg, cv, feature_cols, label, seed) for name, cfg in base]
+    config = {"base": [name for name, _ in base], "alpha": alpha}
+    if not parts:
+        even = [1.0 / len(base)] * len(base)
+        return math.inf, StackedFitted("stacking", config, list(feature_cols), None, None, (bases, even, 0.0), label)
+    oof = reduce(DataFrame.unionByName, parts).persist()
+    blocks = block_moments(oof, names, label, "cv_block", {})
+    zero = np.zeros(len(names))
+
+    def weights(upto):
+        return solve(total(blocks, range(1, upto + 1)), "ridge", {"alpha": alpha}, zero, 0.0, standardize=False)
+
+    exprs = [F.avg(F.when(F.col("cv_block") == s + 1, F.abs(F.col(label) - weights(s).expr(names))))
+             for s in range(1, n_splits) if total(blocks, range(1, s + 1)) is not None and s + 1 in blocks]
+    maes = list(oof.agg(*exprs).first()) if exprs else []
+    last = weights(n_splits)
+    oof.unpersist()
+    return (float(sum(maes) / len(maes)) if maes else math.inf,
+            StackedFitted("stacking", config, list(feature_cols), None, None,
+                          (bases, [float(w) for w in last.w], float(last.intercept)), label))
+
+
 @dataclass
 class TrainResult:
     predictions: DataFrame
@@ -480,9 +569,12 @@ def train_walk_forward(data: DataFrame, params: Params = Params(), models=("line
             if mae < best_mae:  # J11: first model wins ties
                 best_name, best_cfg, best_mae = name, cfg, mae
         stacked = None
-        lin = [(n, c) for n, c, _ in searched if n in LINEAR_MODELS]
-        if params.enable_stacking and len(lin) > 1:
-            s_mae, stacked = stack_linear(cv, feats, label, lin)
+        base = [(n, c) for n, c, _ in searched]
+        if params.enable_stacking and len(base) > 1:
+            if all(n in LINEAR_MODELS for n, _ in base):
+                s_mae, stacked = stack_linear(cv, feats, label, base)
+            else:
+                s_mae, stacked = stack(cv, feats, label, base, seed=params.seed)
             score_rows.append((k, "stacking", len(searched), float(s_mae), json.dumps(stacked.config)))
             if s_mae < best_mae:
                 best_name, best_cfg, best_mae = "stacking", stacked.config, s_mae
@@ -613,26 +705,48 @@ def linear_attribution(model: FittedModel, df: DataFrame) -> DataFrame:
 
 
 def save_model(model: FittedModel, path: str) -> None:
-    """MLlib model plus scaling metadata under ``path``."""
-    model.model.write().overwrite().save(f"{path}/mllib")
+    """A model of any kind under ``path``: its description, MLlib models beside it, the bases of a stack in
+    folders of their own."""
+    from pyspark.sql import SparkSession
     meta = {"name": model.name, "config": model.config, "feature_cols": model.feature_cols,
             "means": model.means, "stds": model.stds, "label": model.label,
             "cls": type(model.model).__name__}
-    from pyspark.sql import SparkSession
+    if isinstance(model, StackedFitted):
+        bases, weights, intercept = model.model
+        meta.update(cls="Stacked", weights=weights, intercept=intercept)
+        for i, b in enumerate(bases):
+            save_model(b, f"{path}/base_{i}")
+    elif isinstance(model, BoostedFitted):
+        meta["boosted"] = model.model.to_json()
+    elif isinstance(model, LinearFitted):
+        meta["solution"] = [float(model.model.intercept), *([float(x) for x in v] for v in (
+            model.model.w, model.model.beta, model.model.mean, model.model.std))]
+    else:
+        model.model.write().overwrite().save(f"{path}/mllib")
     ss = SparkSession.getActiveSession()
     ss.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
 
 def load_model(path: str) -> FittedModel:
-    from pyspark.ml.regression import (GBTRegressionModel, LinearRegressionModel,
-                                       RandomForestRegressionModel)
+    import numpy as np
+    from pyspark.ml.regression import RandomForestRegressionModel
     from pyspark.sql import SparkSession
+
+    from quantspark.functions.linalg import LinearSolution
     ss = SparkSession.getActiveSession()
     meta = json.loads(ss.read.text(f"{path}/meta").first()[0])
-    cls = {"LinearRegressionModel": LinearRegressionModel, "RandomForestRegressionModel": RandomForestRegressionModel,
-           "GBTRegressionModel": GBTRegressionModel}[meta["cls"]]
-    return FittedModel(meta["name"], meta["config"], meta["feature_cols"], meta["means"], meta["stds"],
-                       cls.load(f"{path}/mllib"), meta["label"])
+
+    def made(cls, model):
+        return cls(meta["name"], meta["config"], meta["feature_cols"], meta["means"], meta["stds"], model, meta["label"])
+
+    if meta["cls"] == "Stacked":
+        bases = [load_model(f"{path}/base_{i}") for i in range(len(meta["weights"]))]
+        return made(StackedFitted, (bases, meta["weights"], meta["intercept"]))
+    if "boosted" in meta:
+        return made(BoostedFitted, boosting.Boosted.from_json(meta["boosted"]))
+    if "solution" in meta:
+        return made(LinearFitted, LinearSolution(meta["solution"][0], *map(np.array, meta["solution"][1:])))
+    return made(FittedModel, RandomForestRegressionModel.load(f"{path}/mllib"))
 
 
 def save_fold_models(result: TrainResult, root: str, experiment_id: str) -> list[str]:

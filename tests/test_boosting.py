@@ -93,3 +93,51 @@ def test_empty_null_and_constant(spark):
     m = boosting.fit(odd, cols, "pnl", trees=1, num_leaves=2, l2=0.0, learning_rate=1.0)
     assert m.trees[0].feature[0] == 0
     assert boosting.Boosted.from_json(m.to_json()).to_json() == m.to_json()
+
+
+def _matrix(spark, n=500, seed=1):
+    rng = np.random.default_rng(seed)
+    X = rng.integers(0, 10, size=(n, 2)).astype(float)
+    y = np.where(X[:, 0] <= 4, 3.0, -2.0) + 0.5 * X[:, 1] + 0.1 * rng.normal(size=n)
+    rows = [(i, min(4 * i // n, 3), float(a), float(b), float(v)) for i, ((a, b), v) in enumerate(zip(X, y))]
+    return spark.createDataFrame(rows, "trade_id long, cv_block int, x0 double, x1 double, pnl double"), y
+
+
+def test_presets_take_their_own_parameters(spark):
+    from quantspark.plans import model as mdl
+    df, _ = _matrix(spark, 200)
+
+    def run(name, **cfg):
+        m = mdl.fit(name, {"n_estimators" if name != "catboost" else "iterations": 2, **cfg}, df, ["x0", "x1"])
+        return np.array([r["prediction"] for r in m.transform(df).orderBy("trade_id").collect()])
+
+    assert not np.allclose(run("lightgbm"), run("lightgbm", num_leaves=3))
+    assert not np.allclose(run("catboost", l2_leaf_reg=1), run("catboost", l2_leaf_reg=50))
+    assert not np.allclose(run("xgboost"), run("xgboost", colsample_bytree=0.5))
+    with pytest.raises(KeyError):
+        run("xgboost", no_such_parameter=1)
+
+
+def test_stacking_over_trees_and_linear_models(spark, tmp_path):
+    from quantspark.plans import model as mdl
+    df, y = _matrix(spark)
+    base = [("ridge", {"alpha": 1.0}), ("xgboost", {"n_estimators": 6, "max_depth": 2, "learning_rate": 0.6}),
+            ("random_forest", {"n_estimators": 3, "max_depth": 3})]
+    mae, m = mdl.stack(df, ["x0", "x1"], "pnl", base)
+    pred = lambda x: np.array([r["prediction"] for r in x.transform(df).orderBy("trade_id").collect()])
+    alone = pred(mdl.fit(*base[0], df, ["x0", "x1"]))
+    got = pred(m)
+    assert mae < 0.5 * np.abs(alone - y).mean() and np.abs(got - y).mean() < 0.5 * np.abs(alone - y).mean()
+    assert np.isclose(sum(m.native_importance().values()), 1.0)
+    mdl.save_model(m, str(tmp_path / "stack"))
+    assert np.allclose(pred(mdl.load_model(str(tmp_path / "stack"))), got)
+
+
+def test_stack_of_linear_models_equals_the_closed_form(spark):
+    from quantspark.plans import model as mdl
+    df, _ = _matrix(spark)
+    base = [("ridge", {"alpha": 5.0}), ("lasso", {"alpha": 0.1})]
+    a, m = mdl.stack(df, ["x0", "x1"], "pnl", base)
+    b, n = mdl.stack_linear(df, ["x0", "x1"], "pnl", base)
+    rows = n.transform(m.transform(df, "one"), "two").collect()
+    assert np.isclose(a, b) and np.allclose([r["one"] for r in rows], [r["two"] for r in rows])

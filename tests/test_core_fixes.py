@@ -130,7 +130,7 @@ def test_training_refuses_unusable_data(spark):
 
 
 def test_grid_has_distinct_configurations_only():
-    for name, n in (("lightgbm", 108), ("catboost", 27), ("xgboost", 108)):
+    for name, n in (("lightgbm", 324), ("catboost", 81), ("xgboost", 108)):
         assert len(mdl.grid(name, mdl.DEFAULT_GRIDS)) == n
 
 
