@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from quantspark.catalog import _feature_store, _trades, _with, feature_store_ctes, register
 from quantspark.catalog_eval import _DRIFT_COLS
+from quantspark.operators.ordered import POS, with_position
 from quantspark.plans import model as mdl
 from quantspark.plans.evaluate import regression_metrics
 from quantspark.plans import recommend as rec
+from quantspark.plans.folds import cv_block_column
 from quantspark.sources import fixtures as fx
 
 FP = fx.fixture_params()
@@ -164,3 +166,37 @@ def _stacked(spark, sf):
 
 
 register("j10_stacking_scores")(_stacked)
+
+
+def _stacked_trees(spark, sf):
+    """J10 over trees and linear models: the stack of ridge, boosting and a forest on the whole matrix with the
+    trainer's validation blocks; out-of-fold error, weights and intercept."""
+    m = with_position(_matrix(spark, sf), ["trade_timestamp", "trade_id"]).persist()
+    n = m.count()
+    cv = m.withColumn("cv_block", cv_block_column(POS, 0, n))
+    mae, model = mdl.stack(cv, MATRIX_FEATURES, "pnl", [
+        ("ridge", {"alpha": 1.0}), ("lightgbm", {"n_estimators": 2, "num_leaves": 5, "max_depth": 3}),
+        ("random_forest", {"n_estimators": 3, "max_depth": 3})])
+    bases, weights, intercept = model.model
+    return spark.createDataFrame([(b.name, float(w), float(mae), float(intercept)) for b, w in zip(bases, weights)],
+                                 "model string, weight double, validation_mae double, intercept double")
+
+
+register("j10_stack_over_trees")(_stacked_trees)
+
+
+def _cv_blocks(spark, sf):
+    """I4 as training uses it: rows and positions of every validation block of the whole matrix."""
+    t = with_position(_trades(spark, sf).select("id", "timestamp"), ["timestamp", "id"])
+    n = t.count()
+    return t.withColumn("cv_block", cv_block_column(POS, 0, n)).groupBy("cv_block").agg(
+        F.count(F.lit(1)).alias("n"), F.min(POS).alias("first_position"), F.max(POS).alias("last_position"),
+        F.sum("id").alias("id_sum"))
+
+
+register("i4_cv_block_column", _with(fx.TRADES_EVENTS_SQL) + """,
+p AS (SELECT id, row_number() OVER (ORDER BY "timestamp", id) - 1 AS p, count(*) OVER () AS n FROM trades),
+b AS (SELECT id, p, CASE WHEN n // 4 = 0 OR p < n - 3 * (n // 4) THEN 0
+                         ELSE least((p - n + 3 * (n // 4)) // (n // 4) + 1, 3) END AS cv_block FROM p)
+SELECT CAST(cv_block AS INTEGER) AS cv_block, count(*) AS n, min(p) AS first_position, max(p) AS last_position,
+       CAST(sum(id) AS BIGINT) AS id_sum FROM b GROUP BY 1""")(_cv_blocks)
