@@ -31,6 +31,7 @@ MAX_PER_CLASS = 4000
 PREFIXES = (3, 4, 5, 6, 7, 8)
 MIN_DOCUMENTS = 4          # a feature must occur in so many sample documents
 MIN_CHI2 = 15.0            # and be tied to the label: chi-squared of presence against label (p about 1e-4)
+SLICE_BYTES = 1 << 20       # text whose features are held at a time (one document at least)
 STEPS, RATE, L2 = 150, 0.1, 3e-5
 THRESHOLD = 0.5
 WEIGHT_FLOOR = 0.05        # smaller weights are not kept in the model
@@ -262,7 +263,7 @@ def score_documents(docs: DataFrame, model: NoisyOrModel, id_col: str = "doc_id"
         for batch in batches:
             buf, offs = tv.arrow_text(batch.column(at))
             scores, found = [], []
-            for a, b in tv.slices(offs):
+            for a, b in tv.slices(offs, SLICE_BYTES):
                 part = buf[offs[a]:offs[b]]
                 h, s, d, lo, hi = sentence_features(part, offs[a:b + 1] - offs[a])
                 z = model.sentence_scores(h, s, len(d))
