@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quantspark.catalog import ORACLE, _feature_store, _trades, _with, feature_store_ctes, register
 from quantspark.catalog_eval import PRED, T, _DRIFT_COLS, _preds
-from quantspark.catalog_model import MATRIX_SQL, _matrix
+from quantspark.catalog_model import MATRIX_SQL, _fit_matrix
 from quantspark.plans import diagnose as dg
 from quantspark.plans import evaluate as ev
 from quantspark.plans import model as mdl
@@ -188,7 +188,7 @@ UNION ALL SELECT 'predictions', 7, count(*), '', count(*) = 0 FROM predictions""
 
 
 def _ols(spark, sf):
-    m = _matrix(spark, sf)
+    m = _fit_matrix(spark, sf)
     feats = mdl.feature_columns(m)
     return m, mdl.fit_linear("linear_regression", {}, m, feats)
 
@@ -228,7 +228,7 @@ e AS (SELECT r, sum(power(x.y - c - w * z.f, 2)) AS sse, sum(power(x.y - c - w *
       FROM ab, o, x JOIN x z ON z.p = (a * x.p + b) % n GROUP BY r)""") + """
 SELECT 'hour_of_day' AS feature, avg((sse - base) / sst) AS importance FROM e""")(
     lambda spark, sf: (lambda m: mdl.permutation_importance(
-        mdl.fit_linear("linear_regression", {}, m, ["hour_of_day"]), m, "pnl", repeats=5, seed=42))(_matrix(spark, sf)))
+        mdl.fit_linear("linear_regression", {}, m, ["hour_of_day"]), m, "pnl", repeats=5, seed=42))(_fit_matrix(spark, sf)))
 
 
 _CC = " AND ".join(f"{c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE)) AND NOT isinf(CAST({c} AS DOUBLE))"

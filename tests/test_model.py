@@ -149,3 +149,20 @@ def test_optimality_tells_solutions_from_others(spark):
         m.model.w = m.model.w * 1.01
         m.model.beta = m.model.beta * 1.01
         assert max(r["violation"] for r in mdl.optimality(m, df).collect()) > 1e-3, name
+
+
+def test_permutation_importance_joins_once_on_the_columns_it_reads(spark, monkeypatch):
+    df, _, _ = _data(spark, n=60)
+    model = mdl.fit_linear("linear_regression", {}, df, ["a", "b", "c"])
+    numbered, real, joins, join = [], mdl.with_position, [], type(df).join
+    monkeypatch.setattr(mdl, "with_position", lambda x, order: (numbered.append(x.columns), real(x, order))[1])
+    monkeypatch.setattr(type(df), "join", lambda x, other, on=None, how=None: (joins.append(on), join(x, other, on, how))[1])
+    mdl.permutation_importance(model, df.withColumn("wide", F.lit("not read")), repeats=4)
+    assert "wide" not in numbered[0] and joins.count(mdl.POS) == 1 and "_at" not in joins
+
+
+def test_inverse_partner_undoes_the_partner(spark):
+    for n, seed in ((1, 42), (7, 44), (997, 46), (5_000_000_011, 42)):
+        rows = spark.createDataFrame([(p,) for p in {0, 1 % n, n // 2, n - 1}], f"{mdl.POS} bigint")
+        there = rows.select(F.col(mdl.POS).alias("p"), mdl._partner(n, seed).alias(mdl.POS))
+        assert all(r["p"] == r["q"] for r in there.select("p", mdl._partner(n, seed, inverse=True).alias("q")).collect())
