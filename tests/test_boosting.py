@@ -141,3 +141,40 @@ def test_stack_of_linear_models_equals_the_closed_form(spark):
     b, n = mdl.stack_linear(df, ["x0", "x1"], "pnl", base)
     rows = n.transform(m.transform(df, "one"), "two").collect()
     assert np.isclose(a, b) and np.allclose([r["one"] for r in rows], [r["two"] for r in rows])
+
+
+def test_rows_are_stored_in_blocks(spark, data):
+    df, X, y = data
+    cuts = [np.unique(c)[:-1] for c in X.T]
+    blocks = boosting._binned(df.coalesce(1), ["x0", "x1", "x2"], "pnl", cuts, 0.5).toArrow()
+    assert blocks.num_rows == 1 < len(X)                 # one cell for 400 rows; a pass handles no row of its own
+    (x, label, pred, _), = boosting._blocks(blocks.to_batches()[0], 3)
+    at, own = np.lexsort([*x.T, label]), np.lexsort([*X.T, y])
+    assert np.array_equal(x[at], X[own]) and np.array_equal(label[at], y[own]) and (pred == 0.5).all()
+
+
+@pytest.mark.parametrize("query", ["j6_j7_tree_models", "j10_stack_over_trees"])
+def test_models_are_fitted_on_the_stored_matrix(spark, monkeypatch, query):
+    from quantspark import catalog
+    from quantspark.plans import model as mdl
+
+    class Seen(Exception):
+        pass
+
+    def seen(name, cfg, df, cols, *rest, **more):
+        raise Seen(df._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(mdl, "fit", seen)
+    with pytest.raises(Seen) as plan:
+        catalog.QUERIES[query](spark, "/root/testdata/sf0.001")
+    assert not any(w in str(plan.value) for w in ("Window", "Join", "InMemoryRelation")), str(plan.value)[:500]
+
+
+def test_models_on_the_same_rows_share_their_bins(data, monkeypatch):
+    df, X, y = data
+    cols, calls, real = ["x0", "x1", "x2"], [], boosting.binned
+    alone = [_predicted(boosting.fit(df, cols, "pnl", trees=2, max_depth=d), df) for d in (2, 3)]
+    ready = boosting.binned(df, cols, "pnl")
+    monkeypatch.setattr(boosting, "binned", lambda *a: (calls.append(a), real(*a))[1])
+    shared = [_predicted(boosting.fit(df, cols, "pnl", trees=2, max_depth=d, ready=ready), df) for d in (2, 3)]
+    assert np.allclose(alone, shared) and not calls
