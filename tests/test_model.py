@@ -166,3 +166,19 @@ def test_inverse_partner_undoes_the_partner(spark):
         rows = spark.createDataFrame([(p,) for p in {0, 1 % n, n // 2, n - 1}], f"{mdl.POS} bigint")
         there = rows.select(F.col(mdl.POS).alias("p"), mdl._partner(n, seed).alias(mdl.POS))
         assert all(r["p"] == r["q"] for r in there.select("p", mdl._partner(n, seed, inverse=True).alias("q")).collect())
+
+
+def test_importance_is_fitted_on_the_stored_matrix(spark, monkeypatch):
+    from quantspark import catalog
+    plans = []
+
+    def seen(name, cfg, df, cols, *rest):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(mdl, "fit_linear", seen)
+    try:
+        catalog.QUERIES["j17_permutation_importance"](spark, "/root/testdata/sf0.001")
+    except KeyboardInterrupt:
+        pass
+    assert plans and not any(w in plans[0] for w in ("Window", "Join", "InMemoryRelation"))
