@@ -3,17 +3,20 @@
 P(text) = prod P(class_i | class_i-1) * P(word_i | class_i), both learned from
 the training documents.
 
-* Word counts cover every training token.  Texts are dealt into blocks of
-  about ``BLOCK_BYTES``; each block has a dictionary of its distinct words, and
-  one join with the global counts gives every block the counts it needs.  No
-  vocabulary is ever broadcast, whatever its size.
-* Items to cluster: each word with at least ``FREQUENT`` of all tokens (1 /
-  FREQUENT words at most, whatever the corpus) and, for all other words, known
-  or unknown, the group of their last three bytes.  Every word has an item.
-* Exchange clustering works on the item bigrams of the whole training corpus.
-  A sweep is one aggregation (item x neighbour class, at most items x classes
-  cells) and one pass over the items, each moved to the class that raises the
-  corpus likelihood most; a sweep that does not raise it ends the search.
+* Texts are cut into blocks of about ``BLOCK_BYTES`` where they are read.  A
+  block keeps its tokens as numbers of its own distinct words, and these words
+  (hashes) in parts of the hash range, so that one group of a part sees the
+  same words of all blocks.  No vocabulary is ever broadcast or collected.
+* Exchange clustering covers every training word.  A sweep counts, block by
+  block, the classes before and after each word, adds these counts up part by
+  part, and moves each word to the class that raises the corpus likelihood
+  most, given the class bigram counts (classes x classes, in every task).  A
+  sweep that does not raise the likelihood ends the search and is dropped.
+* Words with at least ``FREQUENT`` of all tokens (1 / FREQUENT words at most)
+  move one after the other, each seeing the moves before it; words below move
+  at the same time, from the counts at the sweep's start.
+* A word that never occurs in training has no neighbours to be exchanged by:
+  it takes the class that most training words with its last three bytes have.
 * Emissions use absolute discounting per class; what it frees is the
   probability of an unknown word of that class.
 """
@@ -21,8 +24,10 @@ the training documents.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +39,9 @@ FREQUENT = 2.0 ** -12
 SUFFIX_GROUPS = 1024
 SWEEPS = 8
 BLOCK_BYTES = 6 << 20
+PART_BYTES = 16 << 20
 TRANSITION_PRIOR = 10.0
-MERGE_ROWS = 1_500_000
+SMALL = 16
 
 _LOWER_BYTE = np.arange(256, dtype=np.int64)
 _LOWER_BYTE[65:91] += 32
@@ -61,36 +67,6 @@ def _words(column):
     return np.concatenate(hashes), np.concatenate(groups), np.searchsorted(row, np.arange(len(column) + 1))
 
 
-def _dictionaries(blocks: DataFrame) -> DataFrame:
-    """(block, h, g, n): each block's distinct words, their suffix group and count in its training rows."""
-    import pyarrow as pa
-
-    def run(t: pa.Table) -> pa.Table:
-        h, g, at = _words(t["text"].combine_chunks())
-        train = np.repeat(~t["held_out"].to_numpy(zero_copy_only=False), np.diff(at))
-        u, first, back = np.unique(h, return_index=True, return_inverse=True)
-        n = np.bincount(back, weights=train, minlength=len(u)).astype(np.int64)
-        return pa.table({"block": pa.array(np.full(len(u), t["block"][0].as_py(), dtype=np.int32)),
-                         "h": pa.array(u), "g": pa.array(g[first]), "n": pa.array(n)})
-
-    return blocks.groupBy("block").applyInArrow(run, "block int, h bigint, g int, n bigint")
-
-
-class _Items:
-    """Word hash and suffix group -> item number: 0 ends a text, then the frequent words, then the groups."""
-
-    def __init__(self, frequent: list[int]):
-        self.hashes = np.sort(np.array(frequent, dtype=np.int64))
-        self.count = 1 + len(self.hashes) + SUFFIX_GROUPS
-
-    def of(self, h: np.ndarray, g: np.ndarray) -> np.ndarray:
-        rare = 1 + len(self.hashes) + g.astype(np.int64)
-        if not len(self.hashes):
-            return rare
-        i = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[i] == h, 1 + i, rare)
-
-
 def _with_ends(values: np.ndarray, at: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Every row's values followed by ``end``, and the new row borders."""
     rows = len(at) - 1
@@ -100,67 +76,230 @@ def _with_ends(values: np.ndarray, at: np.ndarray, end: int) -> tuple[np.ndarray
     return out, to
 
 
-def _item_bigrams(docs: DataFrame, items: _Items) -> DataFrame:
-    """(pair, n): counts of neighbouring items, pair = left * items + right; a text starts after an end."""
-    import pyarrow as pa
-    m = items.count
+def _pack(x: np.ndarray) -> bytes:
+    """Non-negative integers as compressed byte planes; the first byte is their width."""
+    x = np.ascontiguousarray(x)
+    width = 1 << int(np.searchsorted([8, 16, 32], int(x.max(initial=0)).bit_length(), "left"))
+    planes = x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + zlib.compress(planes.tobytes(), 1)
 
-    def run(batches):
-        codes, counts, held = [], [], 0
 
-        def merged():
-            c, back = np.unique(np.concatenate(codes), return_inverse=True)
-            return c, np.bincount(back, weights=np.concatenate(counts)).astype(np.int64)
+def _unpack(b: bytes) -> np.ndarray:
+    width = b[0]
+    planes = np.frombuffer(zlib.decompress(memoryview(b)[1:]), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64)
 
-        for batch in batches:
-            _, offs = tv.arrow_text(batch.column(0))
-            for a, b in tv.slices(offs, 4 << 20):
-                h, g, at = _words(batch.column(0).slice(a, b - a))
-                seq, _ = _with_ends(items.of(h, g), at, 0)
-                left = np.zeros(len(seq), dtype=np.int64)
-                left[1:] = seq[:-1]
-                c, n = np.unique(left * m + seq, return_counts=True)
-                codes.append(c)
-                counts.append(n)
-                held += len(c)
-                if held > MERGE_ROWS:
-                    c, n = merged()
-                    codes, counts, held = [c], [n], len(c)
-                    if held > MERGE_ROWS // 2:
-                        yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(n)], names=["pair", "n"])
-                        codes, counts, held = [], [], 0
-        if held:
-            c, n = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(c), pa.array(n)], names=["pair", "n"])
-
-    return (docs.select("text").mapInArrow(run, "pair bigint, n bigint")
-            .groupBy("pair").agg(F.sum("n").alias("n")))
-
-
-def _contexts(bigrams: DataFrame, cls: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """(items x classes) counts of the classes that follow and that precede each item."""
+
+def _all(column) -> list[np.ndarray]:
+    return [_unpack(x) for x in column.to_pylist()]
+
+
+def _joined(arrays: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.zeros(0, np.int64)
+
+
+def _text_blocks(docs: DataFrame, kind: str, part_bits: int) -> DataFrame:
+    """Rows of two sorts.  part -1: a block's tokens (0: end of text, i: its i-th word), ids and held-out marks of
+    its texts and number of training tokens.  part >= 0: hashes, suffix groups and training counts of the
+    block's words in that part of the hash range, ascending."""
     import pyarrow as pa
-    m = len(cls)
+
+    def block_rows(number: int, pieces: list):
+        t = pa.Table.from_batches(pieces).combine_chunks()
+        h, g, at = _words(t["text"].combine_chunks())
+        u, first, back = np.unique(h.view(np.uint64), return_index=True, return_inverse=True)
+        held = t["held_out"].to_numpy(zero_copy_only=False).astype(bool)
+        n = np.bincount(back, weights=np.repeat(~held, np.diff(at)), minlength=len(u)).astype(np.int64)
+        seq, _ = _with_ends(back + 1, at, 0)
+        part = (u >> np.uint64(64 - part_bits)).astype(np.int64) if part_bits else np.zeros(len(u), np.int64)
+        rows = [{"block": number, "part": -1, "doc_id": t["doc_id"].to_pylist(), "held_out": held.tolist(),
+                 "tokens": int(n.sum()) + int((~held).sum()), "ids": _pack(seq)}]
+        parts, start = np.unique(part, return_index=True)
+        for p, a, b in zip(parts, start, [*start[1:], len(u)]):
+            rows.append({"block": number, "part": int(p), "h": u[a:b].tobytes(), "g": _pack(g[first[a:b]]),
+                         "n": _pack(n[a:b])})
+        return pa.RecordBatch.from_pylist(rows, schema=pa.schema([
+            ("block", pa.int64()), ("part", pa.int32()), ("doc_id", pa.list_(t.schema.field("doc_id").type)),
+            ("held_out", pa.list_(pa.bool_())), ("tokens", pa.int64()), ("ids", pa.binary()), ("h", pa.binary()),
+            ("g", pa.binary()), ("n", pa.binary())]))
 
     def run(batches):
-        total = {}
+        number, pieces, held = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            pair, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            left, right = pair // m, pair % m
-            cells = np.concatenate([left * classes + cls[right], (m + right) * classes + cls[left]])
-            got = np.bincount(cells, weights=np.concatenate([n, n]), minlength=2 * m * classes)
-            total["x"] = got if not total else total["x"] + got
-        if total:
-            cell = np.flatnonzero(total["x"])
-            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total["x"][cell].astype(np.int64))],
-                                             names=["cell", "n"])
-
-    # At most 2 * items * classes cells, and items is bounded by 1 / FREQUENT + SUFFIX_GROUPS + 1.
-    rows = (bigrams.mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))).toPandas()
-    x = np.zeros(2 * m * classes)
-    x[rows["cell"].to_numpy()] = rows["n"].to_numpy()
-    x = x.reshape(2, m, classes)
-    return x[0], x[1]
+            _, offs = tv.arrow_text(batch.column(1))
+            for a, b in tv.slices(offs, BLOCK_BYTES):
+                size = int(offs[b] - offs[a])
+                if pieces and held + size > BLOCK_BYTES:
+                    yield block_rows(number, pieces)
+                    number, pieces, held = number + 1, [], 0
+                pieces.append(batch.slice(a, b - a))
+                held += size
+        if pieces:
+            yield block_rows(number, pieces)
+
+    return docs.select("doc_id", "text", "held_out").mapInArrow(
+        run, f"block bigint, part int, doc_id array<{kind}>, held_out array<boolean>, tokens bigint, "
+             "ids binary, h binary, g binary, n binary")
+
+
+def _vocabulary(words: DataFrame, least: int, classes: int) -> DataFrame:
+    """Per block and part: each word's number among the part's words (as steps), corpus count, suffix group and first
+    class.  Per part, in a row of block -1: how many training words, and the numbers and counts of
+    those with ``least`` tokens."""
+    import pyarrow as pa
+
+    def run(t: pa.Table) -> pa.Table:
+        hs = [np.frombuffer(x, np.uint64) for x in t["h"].to_pylist()]
+        u, first, back = np.unique(np.concatenate(hs), return_index=True, return_inverse=True)
+        c = np.bincount(back, weights=_joined(_all(t["n"])), minlength=len(u)).astype(np.int64)
+        g = _joined(_all(t["g"]))[first]
+        k = 1 + g % (classes - 1)
+        at = np.concatenate([[0], np.cumsum([len(x) for x in hs])])
+        part = t["part"][0].as_py()
+        rows = [{"block": -1, "part": part, "types": int((c > 0).sum()),
+                 "frequent": np.flatnonzero(c >= least).tolist(), "counts": c[c >= least].tolist()}]
+        for block, a, b in zip(t["block"].to_pylist(), at[:-1], at[1:]):
+            i = back[a:b]
+            rows.append({"block": block, "part": part, "i": _pack(np.diff(i, prepend=0)), "c": _pack(c[i]),
+                         "g": _pack(g[i]), "k": _pack(k[i])})
+        return pa.Table.from_pylist(rows, schema=pa.schema([
+            ("block", pa.int64()), ("part", pa.int32()), ("types", pa.int64()), ("frequent", pa.list_(pa.int64())),
+            ("counts", pa.list_(pa.int64())), ("i", pa.binary()), ("c", pa.binary()), ("g", pa.binary()), ("k", pa.binary())]))
+
+    return words.select("block", "part", "h", "g", "n").groupBy("part").applyInArrow(
+        run, "block bigint, part int, types bigint, frequent array<bigint>, counts array<bigint>, "
+             "i binary, c binary, g binary, k binary")
+
+
+def _neighbours(tokens: DataFrame, state: DataFrame, frequent: dict[int, tuple[np.ndarray, np.ndarray]],
+                items: np.ndarray, classes: int) -> DataFrame:
+    """One pass over the training tokens with the classes of ``state`` (block, part, i, k) and, for the frequent
+    words, of ``items``.
+
+    Per block and part: how many cells each word has, their numbers (class that
+    follows, or classes + class that precedes) and counts.  Per block, in a row
+    of part -1, keys and counts of the class bigrams, then of the cells of the
+    ``frequent`` words (part -> numbers in the part, item numbers)."""
+    import pyarrow as pa
+    schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("i", pa.binary()), ("k", pa.binary()),
+                        ("cells", pa.binary()), ("cell", pa.binary()), ("x", pa.binary()),
+                        ("key", pa.list_(pa.int64())), ("n", pa.list_(pa.int64()))])
+    width = 2 * classes
+
+    def run(text: pa.Table, words: pa.Table) -> pa.Table:
+        if not text.num_rows:
+            return schema.empty_table()
+        words = words.sort_by("part")
+        ks = _all(words["k"])
+        cls = np.concatenate([[0], *ks]).astype(np.int64)
+        item = np.zeros(len(cls), dtype=np.int64)
+        at = 1 + np.concatenate([[0], np.cumsum([len(k) for k in ks])]).astype(np.int64)
+        for p, a, i in zip(words["part"].to_pylist(), at, words["i"].to_pylist()):
+            if p in frequent:
+                number, own = frequent[p]
+                i = np.cumsum(_unpack(i))
+                j = np.minimum(np.searchsorted(i, number), len(i) - 1)
+                found = i[j] == number
+                item[a + j[found]] = own[found]
+        cls = np.where(item > 0, items[item], cls)
+        seq = _unpack(text["ids"][0].as_py())
+        ends = np.flatnonzero(seq == 0)
+        train = ~np.array(text["held_out"][0].as_py(), dtype=bool)
+        seq = seq[np.repeat(train, np.diff(ends, prepend=-1))]
+        left = np.concatenate([[0], seq[:-1]]) if len(seq) else seq
+        lk, rk = cls[left], cls[seq]
+        table = np.bincount(lk * classes + rk, minlength=classes * classes)
+        key, x = np.unique(np.concatenate([left * width + rk, seq * width + classes + lk]), return_counts=True)
+        word, cell = key // width, key % width
+        f = item[word]
+        t = np.flatnonzero(table)
+        block = text["block"][0].as_py()
+        rows = [{"block": block, "part": -1,
+                 "key": np.concatenate([t, classes * classes + f[f > 0] * width + cell[f > 0]]).tolist(),
+                 "n": np.concatenate([table[t], x[f > 0]]).tolist()}]
+        cells = np.bincount(word, minlength=len(cls))
+        to = np.searchsorted(word, at)
+        for r, (p, a, b) in enumerate(zip(words["part"].to_pylist(), to[:-1], to[1:])):
+            rows.append({"block": block, "part": p, "i": words["i"][r].as_py(), "k": _pack(cls[at[r]:at[r + 1]]),
+                         "cells": _pack(cells[at[r]:at[r + 1]]), "cell": _pack(cell[a:b]), "x": _pack(x[a:b])})
+        return pa.Table.from_pylist(rows, schema=schema)
+
+    return tokens.select("block", "ids", "held_out").groupBy("block").cogroup(
+        state.select("block", "part", "i", "k").groupBy("block")).applyInArrow(
+        run, "block bigint, part int, i binary, k binary, cells binary, cell binary, x binary, "
+             "key array<bigint>, n array<bigint>")
+
+
+def _best_classes(word: np.ndarray, cell: np.ndarray, x: np.ndarray, cls: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The class of the largest likelihood for every word, each taken out of its class and all others kept.
+    Cells ascend by word; words without cells stay."""
+    classes = len(table)
+    out = cls.copy()
+    sides = np.concatenate([table.T, table])                  # cell -> count with each class
+    base = _xlogx(sides)
+    small = np.stack([_xlogx(sides + v) - base for v in range(1, SMALL + 1)])
+    totals = (table.sum(axis=1), table.sum(axis=0))
+    start = np.flatnonzero(np.diff(word, prepend=-1))
+    bound = np.append(start, len(word))
+    a, n = 0, len(start)
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(bound, bound[a] + 100_000, "right")) - 1)
+        lo, hi = bound[a], bound[b]
+        j, v, r = cell[lo:hi], x[lo:hi], np.arange(hi - lo)
+        gain = small[np.minimum(v, SMALL) - 1, j]
+        big = np.flatnonzero(v > SMALL)
+        gain[big] = _xlogx(sides[j[big]] + v[big, None]) - base[j[big]]
+        own = cls[word[lo:hi]]
+        gain[r, own] = base[j, own] - _xlogx(np.maximum(sides[j, own] - v, 0))
+        gain = np.add.reduceat(gain, bound[a:b] - lo, axis=0)
+        w = word[bound[a:b]]
+        size = np.add.reduceat(np.where(j < classes, v, 0), bound[a:b] - lo).astype(float)
+        sizes, back = np.unique(size, return_inverse=True)
+        r, own = np.arange(b - a), cls[w]
+        for total in totals:
+            cost = (_xlogx(total + sizes[:, None]) - _xlogx(total))[back]
+            cost[r, own] = _xlogx(total[own]) - _xlogx(np.maximum(total[own] - size, 0))
+            gain -= cost
+        gain[:, 0] = -np.inf                                  # class 0 holds the end alone
+        out[w] = np.argmax(gain, axis=1)
+        a = b
+    return out
+
+
+def _moved(counted: DataFrame, table: np.ndarray) -> DataFrame:
+    """(block, part, i, k): every word in its best class."""
+    import pyarrow as pa
+    width = 2 * len(table)
+
+    def run(t: pa.Table) -> pa.Table:
+        numbers = [np.cumsum(i) for i in _all(t["i"])]
+        i, k = _joined(numbers), _joined(_all(t["k"]))
+        cls = np.zeros(int(i.max(initial=-1)) + 1, dtype=np.int64)
+        cls[i] = k
+        key = np.repeat(i, _joined(_all(t["cells"]))) * width + _joined(_all(t["cell"]))
+        x = _joined(_all(t["x"]))
+        order = np.argsort(key, kind="stable")
+        key, x = key[order], x[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        x = np.add.reduceat(x, first) if len(first) else x
+        key = key[first]
+        cls = _best_classes(key // width, key % width, x, cls, table)
+        return pa.table({"block": t["block"], "part": t["part"], "i": t["i"],
+                         "k": pa.array([_pack(cls[n]) for n in numbers], pa.binary())})
+
+    return counted.filter("part >= 0").select("block", "part", "i", "k", "cells", "cell", "x").groupBy(
+        "part").applyInArrow(run, "block bigint, part int, i binary, k binary")
+
+
+def _sums(counted: DataFrame, items: int, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class bigram counts and the frequent items' counts of the classes that follow and precede them."""
+    # At most classes^2 + 2 * items * classes rows, and items is bounded by 1 / FREQUENT + 1.
+    rows = (counted.filter("part < 0").select(F.explode(F.arrays_zip("key", "n")).alias("z"))
+            .groupBy("z.key").agg(F.sum("z.n").alias("n"))).toPandas()
+    x = np.zeros(classes * classes + 2 * items * classes)
+    x[rows["key"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=float)
+    side = x[classes * classes:].reshape(items, 2, classes)
+    return x[:classes * classes].reshape(classes, classes), side[:, 0], side[:, 1]
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -177,10 +316,11 @@ def _class_table(follow: np.ndarray, cls: np.ndarray, classes: int) -> np.ndarra
     return table
 
 
-def _exchange(follow: np.ndarray, precede: np.ndarray, cls: np.ndarray, classes: int) -> np.ndarray:
+def _exchange(follow: np.ndarray, precede: np.ndarray, cls: np.ndarray, classes: int,
+              table: np.ndarray | None = None) -> np.ndarray:
     """One sweep: every item in turn, frequent ones first, goes to the class of the largest likelihood.
-    Class 0 holds the text end alone."""
-    table = _class_table(follow, cls, classes)
+    Class 0 holds the text end alone.  ``table``: class bigram counts, if the items are not all words."""
+    table = _class_table(follow, cls, classes) if table is None else table.copy()
     rows, cols = table.sum(axis=1), table.sum(axis=0)
     cls = cls.copy()
     n = follow.sum(axis=1)
@@ -208,28 +348,56 @@ def _exchange(follow: np.ndarray, precede: np.ndarray, cls: np.ndarray, classes:
     return cls
 
 
-def cluster_items(bigrams: DataFrame, items: int, classes: int = CLASSES,
-                  sweeps: int = SWEEPS) -> tuple[np.ndarray, np.ndarray]:
-    """(class of every item, class bigram counts) by exchange clustering."""
-    cls = 1 + (np.arange(items) % (classes - 1))
-    cls[0] = 0
-    follow, precede = _contexts(bigrams, cls, classes)
-    table = _class_table(follow, cls, classes)
-    best = _likelihood(table)
-    for _ in range(sweeps):
-        moved = _exchange(follow, precede, cls, classes)
-        if (moved == cls).all():
-            break
-        f, p = _contexts(bigrams, moved, classes)
-        t = _class_table(f, moved, classes)
+def cluster_words(tokens: DataFrame, state: DataFrame, frequent: dict[int, tuple[np.ndarray, np.ndarray]],
+                  first: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> tuple[DataFrame, np.ndarray, list]:
+    """(rows of ``_neighbours`` with the classes found, class bigram counts, likelihoods) by exchange clustering.
+
+    ``first``: the first classes of the frequent items, item 0 being the end.  They differ, as far as there are
+    classes, and stay for the first sweep: the other words are spread evenly then, so they tell frequent words
+    apart only after it.  The frame returned is kept on the executors' disks; the caller releases it."""
+    cls = first
+    best = _neighbours(tokens, state, frequent, cls, classes).persist(StorageLevel.DISK_ONLY)
+    table, follow, precede = _sums(best, len(cls), classes)
+    likelihoods = [_likelihood(table)]
+    for sweep in range(sweeps):
+        if sweep:
+            cls = _exchange(follow, precede, cls, classes, table)
+        counted = _neighbours(tokens, _moved(best, table), frequent, cls, classes).persist(StorageLevel.DISK_ONLY)
+        t, f, p = _sums(counted, len(cls), classes)
         got = _likelihood(t)
-        if got <= best:
-            break
-        done = got - best < 1e-4 * abs(got)
-        cls, follow, precede, table, best = moved, f, p, t, got
-        if done:
+        gain = got - likelihoods[-1]
+        if gain <= 0:
+            counted.unpersist()
+            if sweep:
+                break
+            continue
+        best.unpersist()
+        best, table, follow, precede = counted, t, f, p
+        likelihoods.append(got)
+        if sweep and gain < 1e-4 * abs(got):
             break
-    return cls, table
+    return best, table, likelihoods
+
+
+def _shape(coded: DataFrame, classes: int) -> np.ndarray:
+    """Per class: tokens, words, words met once, words met twice; then, per suffix group and class, words."""
+    import pyarrow as pa
+
+    def run(t: pa.Table) -> pa.Table:
+        i, first = np.unique(_joined([np.cumsum(x) for x in _all(t["i"])]), return_index=True)
+        c, g, k = (_joined(_all(t[name]))[first] for name in "cgk")
+        c, g, k = c[c > 0], g[c > 0], k[c > 0]
+        key = np.concatenate([k, classes + k, 2 * classes + k[c == 1], 3 * classes + k[c == 2], (4 + g) * classes + k])
+        n = np.concatenate([c, np.ones(len(key) - len(c), dtype=np.int64)])
+        key, back = np.unique(key, return_inverse=True)
+        return pa.table({"key": key, "n": np.bincount(back, weights=n, minlength=len(key)).astype(np.int64)})
+
+    # At most (4 + SUFFIX_GROUPS) * classes rows.
+    rows = coded.groupBy("part").applyInArrow(run, "key bigint, n bigint").groupBy("key").agg(
+        F.sum("n").alias("n")).toPandas()
+    x = np.zeros((4 + SUFFIX_GROUPS) * classes)
+    x[rows["key"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=float)
+    return x.reshape(-1, classes)
 
 
 def class_lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -249,76 +417,65 @@ def class_lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
-    n_blocks = max(1, -(-input_bytes(slim, "text") // BLOCK_BYTES))
-    blocks = slim.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text"), F.substring("text", 1, 64)),
-                                             F.lit(n_blocks)).cast("int"))
-    train = slim.filter(~F.col("held_out"))
-    n_train = train.count()
-
-    words = stored(_dictionaries(blocks))
-    counts = stored(words.groupBy("h").agg(F.sum("n").alias("c"), F.min("g").alias("g")).filter("c > 0"))
-    size = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n_tokens = int(size["n"] or 0) + n_train
-    n_types = int(size["v"]) + (n_train > 0)
-
-    least = max(1, math.ceil(n_tokens * FREQUENT))
-    frequent = counts.filter(F.col("c") >= least).select("h").collect()       # at most 1 / FREQUENT rows
-    items = _Items([r["h"] for r in frequent])
-    bigrams = stored(_item_bigrams(train, items))
-    cls, table = cluster_items(bigrams, items.count, classes)
-
-    groups = cls[1 + len(items.hashes):]
-    spark = docs.sparkSession
-    known = spark.createDataFrame([(int(h), int(cls[1 + i])) for i, h in enumerate(items.hashes)], "h bigint, k int")
-    by_group = F.element_at(F.array(*[F.lit(int(k)) for k in groups]), F.col("g") + 1)
-    shape = {r["k"]: r for r in counts.join(F.broadcast(known), "h", "left")    # at most 1 / FREQUENT rows
-             .groupBy(F.coalesce("k", by_group).alias("k"))
-             .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"),
-                  F.sum((F.col("c") == 1).cast("int")).alias("n1"),
-                  F.sum((F.col("c") == 2).cast("int")).alias("n2")).collect()}
+    part_bits = max(0, math.ceil(math.log2(max(1, input_bytes(slim, "text") / PART_BYTES))))
+    blocks = stored(_text_blocks(slim, kind, part_bits))
+    tokens = blocks.filter("part < 0")
+    size = tokens.agg(F.sum("tokens").alias("n"),
+                      F.sum(F.size(F.filter("held_out", lambda x: ~x))).alias("texts")).first()
+    n_tokens, n_train = int(size["n"] or 0), int(size["texts"] or 0)
+
+    vocabulary = stored(_vocabulary(blocks.filter("part >= 0"), max(1, math.ceil(n_tokens * FREQUENT)), classes))
+    parts = vocabulary.filter("block < 0").select("part", "types", "frequent", "counts").orderBy("part").collect()
+    n_types = sum(r["types"] for r in parts) + (n_train > 0)
+    frequent, counts = {}, []                             # at most 1 / FREQUENT words
+    for r in parts:
+        if r["frequent"]:
+            frequent[r["part"]] = np.array(r["frequent"]), 1 + len(counts) + np.arange(len(r["frequent"]))
+            counts += r["counts"]
+    first = np.zeros(1 + len(counts), dtype=np.int64)
+    first[1 + np.argsort(-np.array(counts, dtype=np.int64), kind="stable")] = 1 + np.arange(len(counts)) % (classes - 1)
+    words = vocabulary.filter("block >= 0")
+    best, table, _ = cluster_words(tokens, words, frequent, first, classes)
+    coded = stored(words.select("block", "part", "i", "c", "g").join(
+        best.filter("part >= 0").select("block", "part", "k"), ["block", "part"]))
+    best.unpersist()
+
+    shape = _shape(coded, classes)
+    groups = np.where(shape[4:].any(axis=1), shape[4:].argmax(axis=1), max(1, int(shape[1].argmax())))
     total, discount, unknown = np.ones(classes), np.full(classes, 0.5), np.ones(classes)
-    for k, r in shape.items():
-        total[k] = r["n"]
-        if r["n1"] and r["n2"]:
-            discount[k] = min(0.9, max(0.1, r["n1"] / (r["n1"] + 2.0 * r["n2"])))
-        unknown[k] = discount[k] * r["v"] / r["n"]
+    for k in np.flatnonzero(shape[0]):
+        n, v, n1, n2 = shape[:4, k]
+        total[k] = n
+        if n1 and n2:
+            discount[k] = min(0.9, max(0.1, n1 / (n1 + 2.0 * n2)))
+        unknown[k] = discount[k] * v / n
     share = (table.sum(axis=0) + 1.0) / (table.sum() + classes)
     step = np.log10((table + TRANSITION_PRIOR * share) / (table.sum(axis=1, keepdims=True) + TRANSITION_PRIOR))
     log_total, log_unknown = np.log10(total), np.log10(unknown)
     base_total = math.log10(n_tokens + n_types + 1)
 
-    lookup = words.select("block", "h").join(counts.select("h", "c"), "h").select("block", "h", "c")
-
-    def score(text: pa.Table, known: pa.Table) -> pa.Table:
-        text = text.combine_chunks()
-        h, g, at = _words(text["text"].combine_chunks() if text.num_rows else pa.array([], pa.string()))
-        order = np.argsort(known["h"].to_numpy(), kind="stable")
-        keys, values = known["h"].to_numpy()[order], known["c"].to_numpy()[order]
-        c = np.zeros(len(h), dtype=np.int64)
-        if len(keys):
-            i = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            c = np.where(keys[i] == h, values[i], 0)
-        k, to = _with_ends(cls[items.of(h, g)], at, 0)
-        c, _ = _with_ends(c, at, n_train)
-        prev = np.zeros(len(k), dtype=np.int64)
-        prev[1:] = k[:-1]
+    def score(text: pa.Table, words: pa.Table) -> pa.Table:
+        words = words.sort_by("part")
+        c, g, k = (_joined(_all(words[name])) for name in "cgk")
+        k = np.where(c > 0, k, groups[g])
+        seq = _joined(_all(text["ids"]))
+        c, k = np.append(n_train, c)[seq], np.append(0, k)[seq]
+        end = np.flatnonzero(seq == 0) + 1
+        start = np.concatenate([[0], end[:-1]]).astype(np.int64) if len(end) else end
+        prev = np.concatenate([[0], k[:-1]]) if len(k) else k
         word = np.where(c > 0, np.log10(np.maximum(c - discount[k], 1e-9)) - log_total[k], log_unknown[k])
         word[k == 0] = 0.0                            # class 0 holds the end alone
-        trans = step[prev, k]
-
-        def sums(x):
-            total = np.concatenate([[0], np.cumsum(x)])
-            return total[to[1:]] - total[to[:-1]]
-
-        n = np.diff(to)
-        s = np.add.reduceat(trans + word, to[:-1]) if len(n) else np.zeros(0)
-        b = np.add.reduceat(np.log10(c + 1.0) - base_total, to[:-1]) if len(n) else np.zeros(0)
+        s, b, known = (np.add.reduceat(x, start) if len(start) else x for x in (
+            step[prev, k] + word, np.log10(c + 1.0) - base_total, (c > 0).astype(np.int64)))
+        n = end - start
         return pa.table({
-            "doc_id": text["doc_id"], "held_out": text["held_out"], "n_tokens": pa.array(n.astype(np.int64)),
-            "n_known": pa.array(sums((c > 0).astype(np.int64)).astype(np.int64)),
-            "train_tokens": pa.array(np.full(len(n), n_tokens, dtype=np.int64)), "base_score": pa.array(b),
-            "score": pa.array(s), "perplexity": pa.array(10.0 ** np.minimum(-s / np.maximum(n, 1), 300.0))})
-
-    return blocks.groupBy("block").cogroup(lookup.groupBy("block")).applyInArrow(
+            "doc_id": text["doc_id"].combine_chunks().flatten(),
+            "held_out": text["held_out"].combine_chunks().flatten(), "n_tokens": pa.array(n.astype(np.int64)),
+            "n_known": pa.array(known), "train_tokens": pa.array(np.full(len(n), n_tokens, dtype=np.int64)),
+            "base_score": pa.array(b), "score": pa.array(s),
+            "perplexity": pa.array(10.0 ** np.minimum(-s / np.maximum(n, 1), 300.0))})
+
+    return tokens.select("block", "doc_id", "held_out", "ids").groupBy("block").cogroup(
+        coded.select("block", "part", "c", "g", "k").groupBy("block")).applyInArrow(
         score, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                "base_score double, score double, perplexity double")

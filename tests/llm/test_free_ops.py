@@ -434,6 +434,55 @@ def test_exchange_finds_the_classes():
     assert len(set(cls[1:21])) == 1 and len(set(cls[21:])) == 1 and cls[1] != cls[21]
 
 
+def test_class_lm_exchanges_rare_words(spark, monkeypatch):
+    """3000 words of 5 tokens each among 30000, met only after a or only after b, their endings telling nothing."""
+    from quantspark.llm import class_lm
+    rng = random.Random(8)
+    after = {x: [f"{c}{i}" + "".join(rng.choices("uvwxyz", k=3)) for i in range(1500)] for x, c in ("ap", "bq")}
+    bags = {x: rng.sample(5 * w, 5 * len(w)) for x, w in after.items()}
+    rows = [(i, " ".join(f"a {bags['a'].pop()} b {bags['b'].pop()}" for _ in range(50))) for i in range(150)]
+    rows += [(1000 + i, " ".join(f"a {rng.choice(after['a'])} b {rng.choice(after['b'])}" for _ in range(50)))
+             for i in range(5)]
+    docs = frame(spark, rows)
+    got = {r["doc_id"]: r for r in class_lm.class_lm_scores(docs, F.col("doc_id") >= 1000).collect()}
+    for i in range(1000, 1005):
+        assert got[i]["n_known"] == 201
+        # one word of 1500 instead of 3000 at every second token: 0.30 more, of which smoothing takes a part
+        assert got[i]["score"] / 100 > -math.log10(3000) + 0.15
+    monkeypatch.setattr(class_lm, "PART_BYTES", 1 << 15)
+    parts = class_lm.class_lm_scores(docs.repartition(3), F.col("doc_id") >= 1000).collect()
+    assert len(parts) == len(got)
+    for r in parts:
+        assert r["score"] == pytest.approx(got[r["doc_id"]]["score"], rel=1e-9)
+
+
+def test_best_classes_raise_the_likelihood_most():
+    from quantspark.llm.class_lm import _best_classes, _likelihood
+    rng = np.random.default_rng(5)
+    n, classes = 61, 4
+    cls = np.concatenate([[0], 1 + np.arange(n - 1) % 3])
+    pair = rng.poisson(2.0, (n, n)) * rng.integers(0, 2, (n, n))
+    pair[1:5], pair[:, 1:5] = 0, 0                            # met only beside words of other classes
+    for w in range(1, 5):
+        others = np.flatnonzero((cls != cls[w]) & (np.arange(n) > 4))
+        pair[w, others] = rng.poisson(3.0, len(others)) * 9
+        pair[rng.choice(others, 6), w] = 2
+
+    def table(c):
+        hot = np.eye(classes)[c]
+        return hot.T @ pair @ hot
+
+    hot = np.eye(classes, dtype=np.int64)[cls]
+    cells = np.concatenate([pair @ hot, pair.T @ hot], axis=1)
+    cells[0] = 0                                              # the end is no word of a part
+    word, cell = np.nonzero(cells)
+    best = _best_classes(word, cell, cells[word, cell], cls, table(cls))
+    assert best[0] == 0 and (best[1:] > 0).all()
+    for w in range(1, 5):
+        moved = {k: _likelihood(table(np.where(np.arange(n) == w, k, cls))) for k in range(1, classes)}
+        assert moved[best[w]] >= moved[cls[w]] - 1e-6
+
+
 # ------------------------------------------------------------------ toxicity
 
 def test_toxicity_finds_documents_and_sentences(spark):
