@@ -224,7 +224,7 @@ def _neighbours(tokens: DataFrame, state: DataFrame, frequent: dict[int, tuple[n
                          "cells": _pack(cells[at[r]:at[r + 1]]), "cell": _pack(cell[a:b]), "x": _pack(x[a:b])})
         return pa.Table.from_pylist(rows, schema=schema)
 
-    return tokens.select("block", "ids", "held_out").groupBy("block").cogroup(
+    return tokens.groupBy("block").cogroup(
         state.select("block", "part", "i", "k").groupBy("block")).applyInArrow(
         run, "block bigint, part int, i binary, k binary, cells binary, cell binary, x binary, "
              "key array<bigint>, n array<bigint>")
@@ -356,6 +356,9 @@ def cluster_words(tokens: DataFrame, state: DataFrame, frequent: dict[int, tuple
     classes, and stay for the first sweep: the other words are spread evenly then, so they tell frequent words
     apart only after it.  The frame returned is kept on the executors' disks; the caller releases it."""
     cls = first
+    # Dealt by block once: the sweeps then shuffle only classes and counts.
+    tokens = tokens.select("block", "ids", "held_out").repartition(
+        int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")), "block").persist(StorageLevel.DISK_ONLY)
     best = _neighbours(tokens, state, frequent, cls, classes).persist(StorageLevel.DISK_ONLY)
     table, follow, precede = _sums(best, len(cls), classes)
     likelihoods = [_likelihood(table)]
@@ -376,6 +379,7 @@ def cluster_words(tokens: DataFrame, state: DataFrame, frequent: dict[int, tuple
         likelihoods.append(got)
         if sweep and gain < 1e-4 * abs(got):
             break
+    tokens.unpersist()
     return best, table, likelihoods
 
 
