@@ -365,7 +365,8 @@ def cluster_words(tokens: DataFrame, state: DataFrame, frequent: dict[int, tuple
     for sweep in range(sweeps):
         if sweep:
             cls = _exchange(follow, precede, cls, classes, table)
-        counted = _neighbours(tokens, _moved(best, table), frequent, cls, classes).persist(StorageLevel.DISK_ONLY)
+        # Stored, so that no sweep hangs on the shuffles of the sweeps before it.
+        counted = _neighbours(tokens, stored(_moved(best, table)), frequent, cls, classes).persist(StorageLevel.DISK_ONLY)
         t, f, p = _sums(counted, len(cls), classes)
         got = _likelihood(t)
         gain = got - likelihoods[-1]
