@@ -103,7 +103,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     kind = dict(docs.dtypes)[id_col]
     return (docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-            .mapInArrow(run, f"doc_id {kind}, n_shingles bigint, h1 bigint, h2 bigint, sig binary"))
+            .mapInArrow(tv.released(run), f"doc_id {kind}, n_shingles bigint, h1 bigint, h2 bigint, sig binary"))
 
 
 def _half_bands(sig) -> np.ndarray:
@@ -128,7 +128,7 @@ def _table_keys(classes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(node), pa.array(size)],
                                                  names=["key", "node", "size"])
 
-    return classes.select("node", "n_shingles", "sig").mapInArrow(run, "key bigint, node bigint, size bigint")
+    return classes.select("node", "n_shingles", "sig").mapInArrow(tv.released(run), "key bigint, node bigint, size bigint")
 
 
 def _alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -161,7 +161,7 @@ def _shared_buckets(keys: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=["key", "node", "size"])
 
     return (keys.repartition("key").sortWithinPartitions("key")
-            .mapInArrow(run, "key bigint, node bigint, size bigint"))
+            .mapInArrow(tv.released(run), "key bigint, node bigint, size bigint"))
 
 
 def _with_leads(shared: DataFrame) -> DataFrame:
@@ -193,7 +193,7 @@ def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
     wanted = nodes.distinct().join(classes.select("node", "doc_id", "h1", "h2"), "node")
     text = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return stored(wanted.join(text, "doc_id").select("node", "h1", "h2", "text")
-                  .mapInArrow(sets, "node bigint, s array<bigint>"))
+                  .mapInArrow(tv.released(sets), "node bigint, s array<bigint>"))
 
 
 def _linked(x: np.ndarray, y: np.ndarray) -> bool:
@@ -214,7 +214,7 @@ def _verified(pairs: DataFrame, own: DataFrame) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     return (pairs.join(own.toDF("a", "sa"), "a").join(own.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
-            .mapInArrow(check, "a bigint, b bigint").distinct())
+            .mapInArrow(tv.released(check), "a bigint, b bigint").distinct())
 
 
 def _common(x: np.ndarray, y: np.ndarray) -> int:

@@ -228,7 +228,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id
     kind = dict(docs.dtypes)[id_col]
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, schema + (", ids array<bigint>" if with_ids else "")))
+            .mapInArrow(tv.released(run), schema + (", ids array<bigint>" if with_ids else "")))
 
 # ---------------------------------------------------------------- plan
 
@@ -430,7 +430,7 @@ def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY, n_groups: int
     schema = ", ".join(f"`{c}` {t}" for c, t in pieces.dtypes) + ", sequence_id bigint, offset bigint"
     order = ["length", "doc_id", "piece", "ids_crc32"]
     placed_rows = with_position(pieces, order)
-    return placed_rows.select(*pieces.columns, POS).mapInArrow(run, schema)
+    return placed_rows.select(*pieces.columns, POS).mapInArrow(tv.released(run), schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",

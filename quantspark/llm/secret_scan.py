@@ -28,6 +28,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quantspark.llm import textvec as tv
+
 # The kinds in their listed order and their patterns.
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -356,7 +358,7 @@ def scan_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = (f"doc_id {kind}, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, "
               "findings array<struct<kind:string,start:bigint,end:bigint,depth:int,value:string>>")
     return (docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-            .mapInArrow(run, schema))
+            .mapInArrow(tv.released(run), schema))
 
 
 def redact(text: str, spans, mask: str = "[REDACTED]") -> str:
@@ -391,4 +393,4 @@ def redacted_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 new.append(text)
             yield batch.set_column(at, batch.schema.field(at), pa.array(new, batch.schema.field(at).type))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tv.released(run), schema)

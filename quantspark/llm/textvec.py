@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 BASE = 0x9E3779B97F4A7C15 | 1
 U64 = np.uint64
 
@@ -40,7 +40,7 @@ def arrow_text(column) -> tuple[np.ndarray, np.ndarray]:
     return buf[offs[0]:offs[-1]], offs - offs[0]
 
 
-def slices(offs: np.ndarray, limit: int = 3 << 20):
+def slices(offs: np.ndarray, limit: int = 1 << 20):
     """Runs of rows [a, b) with about ``limit`` bytes each (one row at least)."""
     a, n = 0, len(offs) - 1
     while a < n:
@@ -75,22 +75,45 @@ class _Cache(dict):
         return _Cache, ()
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = _Cache()
+_POWERS: dict[str, tuple[np.ndarray, np.ndarray]] = _Cache()
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the base and of its inverse.  A worker keeps one table, the longest so far."""
+    kept = _POWERS.get("longest")
+    if kept is not None and len(kept[0]) >= n:
+        return kept
     size = 1 << max(16, (n - 1).bit_length())
-    if size not in _POWERS:
-        inverse = pow(BASE, -1, 1 << 64)
-        made = []
-        for b in (BASE, inverse):
-            p = np.full(size, b, dtype=U64)
-            p[0] = 1
-            made.append(np.cumprod(p, dtype=U64))
-        if size > 8 * CHUNK_BYTES:  # a giant word: not kept
-            return made[0], made[1]
-        _POWERS[size] = (made[0], made[1])
-    return _POWERS[size]
+    inverse = pow(BASE, -1, 1 << 64)
+    made = []
+    for b in (BASE, inverse):
+        p = np.full(size, b, dtype=U64)
+        p[0] = 1
+        made.append(np.cumprod(p, dtype=U64))
+    if size <= 8 * CHUNK_BYTES:  # a giant word's is not kept
+        _POWERS["longest"] = (made[0], made[1])
+    return made[0], made[1]
+
+
+def released(run):
+    """``run`` (batches -> batches), after which the worker gives the memory it has freed back to the system:
+    Spark hands the process on to the tasks of later stages, each of which would add its own peak."""
+    def task(batches):
+        yield from run(batches)
+        release()
+
+    return task
+
+
+def release() -> None:
+    """Freed memory that the Arrow pool and the C library hold goes back to the system."""
+    import ctypes
+
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = True) -> np.ndarray:

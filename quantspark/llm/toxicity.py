@@ -33,6 +33,7 @@ MIN_DOCUMENTS = 4          # a feature must occur in so many sample documents
 MIN_CHI2 = 15.0            # and be tied to the label: chi-squared of presence against label (p about 1e-4)
 STEPS, RATE, L2 = 150, 0.1, 3e-5
 THRESHOLD = 0.5
+SCORE_BYTES = 1 << 19      # text scored at a time: its features take some 60 times as much
 WEIGHT_FLOOR = 0.05        # smaller weights are not kept in the model
 
 _WORD_BYTE = np.zeros(256, dtype=bool)
@@ -141,7 +142,7 @@ def tested_features(sample: DataFrame) -> np.ndarray:
     present, toxic = F.col("present").cast("double"), F.col("toxic").cast("double")
     spread = present * (F.lit(n) - present) * F.lit(n1 * (n - n1))
     chi2 = F.lit(n) * F.pow(toxic * F.lit(n) - present * F.lit(n1), F.lit(2.0)) / F.greatest(spread, F.lit(1.0))
-    kept = (sample.mapInArrow(run, "feature bigint, present bigint, toxic bigint").groupBy("feature")
+    kept = (sample.mapInArrow(tv.released(run), "feature bigint, present bigint, toxic bigint").groupBy("feature")
             .agg(F.sum("present").alias("present"), F.sum("toxic").alias("toxic"))
             .filter((F.col("present") >= MIN_DOCUMENTS) & (chi2 >= MIN_CHI2)).select("feature").toArrow())
     return np.sort(kept["feature"].to_numpy().view(np.uint64))
@@ -183,7 +184,7 @@ def sentence_sets(sample: DataFrame, features: np.ndarray) -> DataFrame:
                 [rows.column(0), rows.column(1), *[pa.array(x, pa.binary()) for x in out]],
                 names=["doc_id", "y", "times", "sizes", "features"])
 
-    return sample.mapInArrow(run, f"doc_id {dict(sample.dtypes)['doc_id']}, y int, times binary, sizes binary, "
+    return sample.mapInArrow(tv.released(run), f"doc_id {dict(sample.dtypes)['doc_id']}, y int, times binary, sizes binary, "
                                   "features binary")
 
 
@@ -262,7 +263,7 @@ def score_documents(docs: DataFrame, model: NoisyOrModel, id_col: str = "doc_id"
         for batch in batches:
             buf, offs = tv.arrow_text(batch.column(at))
             scores, found = [], []
-            for a, b in tv.slices(offs):
+            for a, b in tv.slices(offs, SCORE_BYTES):
                 part = buf[offs[a]:offs[b]]
                 h, s, d, lo, hi = sentence_features(part, offs[a:b + 1] - offs[a])
                 z = model.sentence_scores(h, s, len(d))
@@ -293,5 +294,5 @@ def score_documents(docs: DataFrame, model: NoisyOrModel, id_col: str = "doc_id"
 
     base = kept if keep_columns else kept.select("doc_id")
     schema = ", ".join(f"`{c}` {t}" for c, t in base.dtypes)
-    return kept.mapInArrow(run, schema + ", score double, predicted int, "
+    return kept.mapInArrow(tv.released(run), schema + ", score double, predicted int, "
                                          "sentences array<struct<start:bigint,end:bigint,score:double>>")
