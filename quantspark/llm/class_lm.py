@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantspark.llm import textvec as tv
-from quantspark.llm.common import input_bytes, stored
+from quantspark.llm.common import input_bytes, shuffles_freed, stored
 
 CLASSES = 48
 FREQUENT = 2.0 ** -12
@@ -138,7 +138,7 @@ def _text_blocks(docs: DataFrame, kind: str, part_bits: int) -> DataFrame:
             yield block_rows(number, pieces)
 
     return docs.select("doc_id", "text", "held_out").mapInArrow(
-        run, f"block bigint, part int, doc_id array<{kind}>, held_out array<boolean>, tokens bigint, "
+        tv.released(run), f"block bigint, part int, doc_id array<{kind}>, held_out array<boolean>, tokens bigint, "
              "ids binary, h binary, g binary, n binary")
 
 
@@ -429,7 +429,8 @@ def class_lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
                       F.sum(F.size(F.filter("held_out", lambda x: ~x))).alias("texts")).first()
     n_tokens, n_train = int(size["n"] or 0), int(size["texts"] or 0)
 
-    vocabulary = stored(_vocabulary(blocks.filter("part >= 0"), max(1, math.ceil(n_tokens * FREQUENT)), classes))
+    with shuffles_freed(docs.sparkSession):
+        vocabulary = stored(_vocabulary(blocks.filter("part >= 0"), max(1, math.ceil(n_tokens * FREQUENT)), classes))
     parts = vocabulary.filter("block < 0").select("part", "types", "frequent", "counts").orderBy("part").collect()
     n_types = sum(r["types"] for r in parts) + (n_train > 0)
     frequent, counts = {}, []                             # at most 1 / FREQUENT words
@@ -440,12 +441,12 @@ def class_lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     first = np.zeros(1 + len(counts), dtype=np.int64)
     first[1 + np.argsort(-np.array(counts, dtype=np.int64), kind="stable")] = 1 + np.arange(len(counts)) % (classes - 1)
     words = vocabulary.filter("block >= 0")
-    best, table, _ = cluster_words(tokens, words, frequent, first, classes)
-    coded = stored(words.select("block", "part", "i", "c", "g").join(
-        best.filter("part >= 0").select("block", "part", "k"), ["block", "part"]))
-    best.unpersist()
-
-    shape = _shape(coded, classes)
+    with shuffles_freed(docs.sparkSession):
+        best, table, _ = cluster_words(tokens, words, frequent, first, classes)
+        coded = stored(words.select("block", "part", "i", "c", "g").join(
+            best.filter("part >= 0").select("block", "part", "k"), ["block", "part"]))
+        best.unpersist()
+        shape = _shape(coded, classes)
     groups = np.where(shape[4:].any(axis=1), shape[4:].argmax(axis=1), max(1, int(shape[1].argmax())))
     total, discount, unknown = np.ones(classes), np.full(classes, 0.5), np.ones(classes)
     for k in np.flatnonzero(shape[0]):

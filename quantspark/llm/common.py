@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +50,22 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Inside, every action and write deletes its own shuffle files when it ends.  Spark otherwise keeps them
+    until the driver happens to collect garbage, so that an iteration piles up the shuffles of all its rounds."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def input_bytes(df: DataFrame, text: str) -> int:
     """UTF-8 bytes of a text column, by one aggregation (0 for an empty table)."""
     return int(df.agg(F.sum(F.octet_length(text))).first()[0] or 0)
