@@ -24,7 +24,6 @@ the training documents.
 from __future__ import annotations
 
 import math
-import zlib
 
 import numpy as np
 from pyspark import StorageLevel, TaskContext
@@ -32,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantspark.llm import textvec as tv
-from quantspark.llm.common import input_bytes, shuffles_freed, stored
+from quantspark.llm.common import dropped, input_bytes, shuffles_freed, stored_at
 
 CLASSES = 48
 FREQUENT = 2.0 ** -12
@@ -42,6 +41,8 @@ BLOCK_BYTES = 6 << 20
 PART_BYTES = 16 << 20
 TRANSITION_PRIOR = 10.0
 SMALL = 16
+FEW = 8
+CELLS = 8192
 
 _LOWER_BYTE = np.arange(256, dtype=np.int64)
 _LOWER_BYTE[65:91] += 32
@@ -77,16 +78,20 @@ def _with_ends(values: np.ndarray, at: np.ndarray, end: int) -> tuple[np.ndarray
 
 
 def _pack(x: np.ndarray) -> bytes:
-    """Non-negative integers as compressed byte planes; the first byte is their width."""
+    """Non-negative integers as compressed byte planes, after their width (one byte) and number (eight)."""
+    import pyarrow as pa
     x = np.ascontiguousarray(x)
     width = 1 << int(np.searchsorted([8, 16, 32], int(x.max(initial=0)).bit_length(), "left"))
     planes = x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
-    return bytes([width]) + zlib.compress(planes.tobytes(), 1)
+    return bytes([width]) + len(x).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)
 
 
 def _unpack(b: bytes) -> np.ndarray:
-    width = b[0]
-    planes = np.frombuffer(zlib.decompress(memoryview(b)[1:]), np.uint8).reshape(width, -1)
+    import pyarrow as pa
+    width, n = b[0], int.from_bytes(b[1:9], "little")
+    if not n:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(pa.Codec("zstd").decompress(memoryview(b)[9:], width * n), np.uint8).reshape(width, -1)
     return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64)
 
 
@@ -230,39 +235,69 @@ def _neighbours(tokens: DataFrame, state: DataFrame, frequent: dict[int, tuple[n
              "key array<bigint>, n array<bigint>")
 
 
+def _batches(size: np.ndarray):
+    """Words (places in ``size``, their numbers of cells) in runs of about ``CELLS`` cells, and how many cells each
+    word of the run has: those of 1 to ``FEW`` by that number, then the others (0)."""
+    for length in range(1, FEW + 1):
+        w = np.flatnonzero(size == length)
+        for a in range(0, len(w), CELLS // length):
+            yield w[a:a + CELLS // length], length
+    w = np.flatnonzero(size > FEW)
+    end = np.cumsum(size[w])
+    a = 0
+    while a < len(w):
+        b = max(a + 1, int(np.searchsorted(end, end[a] - size[w[a]] + CELLS, "right")))
+        yield w[a:b], 0
+        a = b
+
+
+def _run_sums(x: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
+    """Sums of the rows of every run, as ``np.add.reduceat`` adds them up; ``length``: of all runs if not 0."""
+    if not length:
+        return np.add.reduceat(x, first, axis=0)
+    x = x.reshape(-1, length, x.shape[1])
+    if length == 1:
+        return x[:, 0]
+    rest = x[:, 1]
+    for i in range(2, length):
+        rest = rest + x[:, i]
+    return x[:, 0] + rest
+
+
 def _best_classes(word: np.ndarray, cell: np.ndarray, x: np.ndarray, cls: np.ndarray, table: np.ndarray) -> np.ndarray:
     """The class of the largest likelihood for every word, each taken out of its class and all others kept.
     Cells ascend by word; words without cells stay."""
     classes = len(table)
     out = cls.copy()
+    if not len(word):
+        return out
     sides = np.concatenate([table.T, table])                  # cell -> count with each class
     base = _xlogx(sides)
-    small = np.stack([_xlogx(sides + v) - base for v in range(1, SMALL + 1)])
+    small = np.concatenate([_xlogx(sides + v) - base for v in range(1, SMALL + 1)])
     totals = (table.sum(axis=1), table.sum(axis=0))
     start = np.flatnonzero(np.diff(word, prepend=-1))
-    bound = np.append(start, len(word))
-    a, n = 0, len(start)
-    while a < n:
-        b = max(a + 1, int(np.searchsorted(bound, bound[a] + 100_000, "right")) - 1)
-        lo, hi = bound[a], bound[b]
-        j, v, r = cell[lo:hi], x[lo:hi], np.arange(hi - lo)
-        gain = small[np.minimum(v, SMALL) - 1, j]
+    cells = np.diff(start, append=len(word))
+    tokens, kind = np.unique(np.add.reduceat(np.where(cell < classes, x, 0), start).astype(float), return_inverse=True)
+    costs = [_xlogx(total + tokens[:, None]) - _xlogx(total) for total in totals]
+    for run, length in _batches(cells):
+        n = cells[run]
+        first = np.cumsum(n) - n
+        r = np.arange(int(n.sum()))
+        at = np.repeat(start[run] - first, n) + r
+        j, v, w = cell[at], x[at], word[start[run]]
+        gain = small[(np.minimum(v, SMALL) - 1) * (2 * classes) + j]
         big = np.flatnonzero(v > SMALL)
         gain[big] = _xlogx(sides[j[big]] + v[big, None]) - base[j[big]]
-        own = cls[word[lo:hi]]
+        own = np.repeat(cls[w], n)
         gain[r, own] = base[j, own] - _xlogx(np.maximum(sides[j, own] - v, 0))
-        gain = np.add.reduceat(gain, bound[a:b] - lo, axis=0)
-        w = word[bound[a:b]]
-        size = np.add.reduceat(np.where(j < classes, v, 0), bound[a:b] - lo).astype(float)
-        sizes, back = np.unique(size, return_inverse=True)
-        r, own = np.arange(b - a), cls[w]
-        for total in totals:
-            cost = (_xlogx(total + sizes[:, None]) - _xlogx(total))[back]
+        gain = _run_sums(gain, first, length)
+        r, own, size = np.arange(len(w)), cls[w], tokens[kind[run]]
+        for total, costly in zip(totals, costs):
+            cost = costly[kind[run]]
             cost[r, own] = _xlogx(total[own]) - _xlogx(np.maximum(total[own] - size, 0))
             gain -= cost
         gain[:, 0] = -np.inf                                  # class 0 holds the end alone
         out[w] = np.argmax(gain, axis=1)
-        a = b
     return out
 
 
@@ -349,39 +384,42 @@ def _exchange(follow: np.ndarray, precede: np.ndarray, cls: np.ndarray, classes:
 
 
 def cluster_words(tokens: DataFrame, state: DataFrame, frequent: dict[int, tuple[np.ndarray, np.ndarray]],
-                  first: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) -> tuple[DataFrame, np.ndarray, list]:
-    """(rows of ``_neighbours`` with the classes found, class bigram counts, likelihoods) by exchange clustering.
+                  first: np.ndarray, classes: int = CLASSES,
+                  sweeps: int = SWEEPS) -> tuple[DataFrame, str, np.ndarray, list]:
+    """(rows of ``_neighbours`` with the classes found, their folder, class bigram counts, likelihoods) by exchange
+    clustering.
 
     ``first``: the first classes of the frequent items, item 0 being the end.  They differ, as far as there are
     classes, and stay for the first sweep: the other words are spread evenly then, so they tell frequent words
-    apart only after it.  The frame returned is kept on the executors' disks; the caller releases it."""
-    cls = first
+    apart only after it.  The shared folder holds the counts of two sweeps at most; the caller drops the folder
+    returned."""
+    spark, cls = tokens.sparkSession, first
     # Dealt by block once: the sweeps then shuffle only classes and counts.
     tokens = tokens.select("block", "ids", "held_out").repartition(
-        int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions")), "block").persist(StorageLevel.DISK_ONLY)
-    best = _neighbours(tokens, state, frequent, cls, classes).persist(StorageLevel.DISK_ONLY)
+        int(spark.conf.get("spark.sql.shuffle.partitions")), "block").persist(StorageLevel.DISK_ONLY)
+    best, at = stored_at(_neighbours(tokens, state, frequent, cls, classes))
     table, follow, precede = _sums(best, len(cls), classes)
     likelihoods = [_likelihood(table)]
     for sweep in range(sweeps):
         if sweep:
             cls = _exchange(follow, precede, cls, classes, table)
-        # Stored, so that no sweep hangs on the shuffles of the sweeps before it.
-        counted = _neighbours(tokens, stored(_moved(best, table)), frequent, cls, classes).persist(StorageLevel.DISK_ONLY)
+        # Stored, so that no sweep hangs on the sweeps before it: their shuffles end with the write.
+        counted, to = stored_at(_neighbours(tokens, _moved(best, table), frequent, cls, classes))
         t, f, p = _sums(counted, len(cls), classes)
         got = _likelihood(t)
         gain = got - likelihoods[-1]
         if gain <= 0:
-            counted.unpersist()
+            dropped(spark, to)
             if sweep:
                 break
             continue
-        best.unpersist()
-        best, table, follow, precede = counted, t, f, p
+        dropped(spark, at)
+        best, at, table, follow, precede = counted, to, t, f, p
         likelihoods.append(got)
         if sweep and gain < 1e-4 * abs(got):
             break
     tokens.unpersist()
-    return best, table, likelihoods
+    return best, at, table, likelihoods
 
 
 def _shape(coded: DataFrame, classes: int) -> np.ndarray:
@@ -418,19 +456,22 @@ def class_lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     """
     import pyarrow as pa
 
-    kind = dict(docs.dtypes)[id_col]
+    spark, kind = docs.sparkSession, dict(docs.dtypes)[id_col]
     slim = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
                        F.coalesce(held_out, F.lit(False)).alias("held_out"))
     part_bits = max(0, math.ceil(math.log2(max(1, input_bytes(slim, "text") / PART_BYTES))))
-    blocks = stored(_text_blocks(slim, kind, part_bits))
-    tokens = blocks.filter("part < 0")
+    blocks, blocks_at = stored_at(_text_blocks(slim, kind, part_bits))
+    # Copied, so that the blocks' words, which only the vocabulary reads, can be dropped before the search.
+    tokens, _ = stored_at(blocks.filter("part < 0").select("block", "doc_id", "held_out", "tokens", "ids"))
     size = tokens.agg(F.sum("tokens").alias("n"),
                       F.sum(F.size(F.filter("held_out", lambda x: ~x))).alias("texts")).first()
     n_tokens, n_train = int(size["n"] or 0), int(size["texts"] or 0)
 
-    with shuffles_freed(docs.sparkSession):
-        vocabulary = stored(_vocabulary(blocks.filter("part >= 0"), max(1, math.ceil(n_tokens * FREQUENT)), classes))
+    with shuffles_freed(spark):
+        vocabulary, vocabulary_at = stored_at(
+            _vocabulary(blocks.filter("part >= 0"), max(1, math.ceil(n_tokens * FREQUENT)), classes))
+    dropped(spark, blocks_at)
     parts = vocabulary.filter("block < 0").select("part", "types", "frequent", "counts").orderBy("part").collect()
     n_types = sum(r["types"] for r in parts) + (n_train > 0)
     frequent, counts = {}, []                             # at most 1 / FREQUENT words
@@ -441,11 +482,12 @@ def class_lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     first = np.zeros(1 + len(counts), dtype=np.int64)
     first[1 + np.argsort(-np.array(counts, dtype=np.int64), kind="stable")] = 1 + np.arange(len(counts)) % (classes - 1)
     words = vocabulary.filter("block >= 0")
-    with shuffles_freed(docs.sparkSession):
-        best, table, _ = cluster_words(tokens, words, frequent, first, classes)
-        coded = stored(words.select("block", "part", "i", "c", "g").join(
+    with shuffles_freed(spark):
+        best, best_at, table, _ = cluster_words(tokens, words, frequent, first, classes)
+        coded, _ = stored_at(words.select("block", "part", "i", "c", "g").join(
             best.filter("part >= 0").select("block", "part", "k"), ["block", "part"]))
-        best.unpersist()
+        dropped(spark, best_at)
+        dropped(spark, vocabulary_at)
         shape = _shape(coded, classes)
     groups = np.where(shape[4:].any(axis=1), shape[4:].argmax(axis=1), max(1, int(shape[1].argmax())))
     total, discount, unknown = np.ones(classes), np.full(classes, 0.5), np.ones(classes)

@@ -38,16 +38,27 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or spark.sparkContext.getCheckpointDir()
 
 
+def stored_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """``stored`` and the folder of its files, for ``dropped``."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as a Parquet table in the shared folder and read it back.
 
     Unlike a cached frame it survives lost executors, and unlike an RDD
     checkpoint it is compressed and column-pruned on later reads.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stored_at(df)[0]
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Delete the files of a frame of ``stored_at``, once nothing reads it or a frame derived from it any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 @contextmanager
