@@ -41,40 +41,33 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(h, subsets): hash of every term inside the band and the subsets it belongs to."""
+    """(h, pairs): hash of every term inside the band; (subset, hash) for every subset it belongs to."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     counts = stored(docs.select(F.explode(terms(text)).alias("w")).groupBy(F.xxhash64("w").alias("h"))
                     .agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= MIN_DOCUMENTS))
     n = docs.count()
-    subsets = F.array_compact(F.array(*[F.when(F.pmod(F.xxhash64("h", F.lit(i)), F.lit(1 << r)) == 0, F.lit(i))
-                                        for i, r in enumerate(RATES)]))
+    pairs = F.array_compact(F.array(*[F.when(F.pmod(F.xxhash64("h", F.lit(i)), F.lit(1 << r)) == 0,
+                                             F.struct(F.lit(i).alias("s"), F.col("h").alias("h")))
+                                      for i, r in enumerate(RATES)]))
     # A corpus of a few documents has no term below HIGH: the band is then all repeated terms.
     return counts.filter((F.col("df") >= LOW * n) & (F.col("df") <= max(HIGH * n, MIN_DOCUMENTS))).select(
-        "h", subsets.alias("subsets"))
+        "h", pairs.alias("pairs"))
 
 
-def _subset_hashes(found: Column) -> Column:
-    """Map from subset to the hash of the sorted terms (h, subsets) in it, without the empty subsets.
+def _starts(pairs: Column) -> Column:
+    """Places (from 1) in sorted (subset, term) pairs at which a subset's run begins."""
+    return F.when(F.size(pairs) > 0, F.filter(
+        F.sequence(F.lit(1), F.size(pairs)),
+        lambda i: (i == 1) | (F.get(pairs, i - 1)["s"] != F.get(pairs, i - 2)["s"]))).otherwise(F.array().cast("array<int>"))
 
-    The (subset, term) pairs are sorted once; a fold then hashes each subset's run of terms.
-    """
-    def member(t: Column) -> Column:
-        return F.transform(t["subsets"], lambda s: F.struct(s.alias("s"), t["h"].alias("h")))
-
-    none = F.lit(None).cast("array<struct<s:int,h:bigint>>")
-    start = F.struct(F.lit(-1).alias("s"), F.lit(0).cast("bigint").alias("h"), F.coalesce(none, F.slice(
-        F.array(F.struct(F.lit(0).alias("s"), F.lit(0).cast("bigint").alias("h"))), 1, 0)).alias("out"))
 
-    def closed(acc: Column) -> Column:
-        return F.concat(acc["out"], F.array(F.struct(acc["s"].alias("s"), acc["h"].alias("h"))))
+def _subset_hashes(pairs: Column, starts: Column) -> Column:
+    """Map from subset to the hash of its run of sorted (subset, term) pairs, without the empty subsets."""
+    def run(at: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(starts, k + 1), F.size(pairs) + 1)
+        return F.aggregate(F.slice(pairs, at, end - at), F.lit(None).cast("bigint"), lambda h, p: F.xxhash64(h, p["h"]))
 
-    def step(acc: Column, p: Column) -> Column:
-        return (F.when(acc["s"] == p["s"], F.struct(acc["s"].alias("s"), F.xxhash64(acc["h"], p["h"]).alias("h"),
-                                                    acc["out"].alias("out")))
-                .otherwise(F.struct(p["s"].alias("s"), F.xxhash64(p["h"]).alias("h"), closed(acc).alias("out"))))
-
-    runs = F.aggregate(F.sort_array(F.flatten(F.transform(found, member))), start, step, closed)
-    return F.map_from_entries(runs)                       # subset -1 opens the fold and is never asked for
+    return F.map_from_arrays(F.transform(starts, lambda at: F.get(pairs, at - 1)["s"]), F.transform(starts, run))
 
 
 def _signatures(by_subset: Column) -> Column:
@@ -162,7 +155,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs.sparkSession.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(GROUPS_IN_MEMORY))
     lex = F.broadcast(lexicon(docs, text_col)
                       .unionByName(docs.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("h"),
-                                                                     F.array().cast("array<int>").alias("subsets"))))
+                                                                     F.array().cast("array<struct<s:int,h:bigint>>").alias("pairs"))))
     order = Window.partitionBy("blk").orderBy("ctx", F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"))
     n = F.length("text")
     rows = (_blocks(docs, id_col, text_col)
@@ -180,13 +173,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     words = sides.select("blk", "pos", "ctx", "doc_id", "n_chars", "sha", "side", "whole",
                          F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("w"))).alias("w"))
     h = F.when(F.col("w").isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64("w"))
-    marked = words.withColumn("h", h).join(lex, "h")
+    # What describes a text stands in its row without a term alone: the aggregation does not copy it for every term.
+    own = F.when(F.col("w").isNull(), F.struct("ctx", "doc_id", "n_chars", "sha", "whole"))
+    marked = words.select("blk", "pos", "side", own.alias("own"), h.alias("h")).join(lex, "h")
     prints = (marked.groupBy("blk", "pos", "side").agg(
-        F.first("ctx").alias("ctx"), F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"),
-        F.first("sha").alias("sha"), F.first("whole").alias("whole"),
-        F.collect_list(F.struct("h", "subsets")).alias("found"))
-        # exploding one value keeps the map a column: it is not evaluated again for every subset
-        .withColumn("by_subset", F.explode(F.array(_subset_hashes(F.col("found")))))
+        F.collect_list("own").alias("own"), F.collect_list("pairs").alias("found"))
+        .select("blk", "pos", "side", F.col("own")[0].alias("own"), "found").select("blk", "pos", "side", "own.*", "found")
+        # exploding one value keeps it a column: it is not evaluated again by what reads it, and sorted by compiled code
+        .withColumn("pairs", F.explode(F.array(F.flatten("found")))).drop("found")
+        .withColumn("pairs", F.explode(F.array(F.sort_array("pairs"))))
+        .withColumn("starts", F.explode(F.array(_starts(F.col("pairs")))))
+        .withColumn("by_subset", F.explode(F.array(_subset_hashes(F.col("pairs"), F.col("starts")))))
         .withColumn("fp", F.array_join(F.concat(_signatures(F.col("by_subset")), F.array("whole")), ",")))
     per_doc = prints.groupBy("blk", "pos").agg(
         F.first("ctx").alias("ctx"), F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"),

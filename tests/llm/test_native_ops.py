@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 
 import pytest
@@ -119,3 +120,21 @@ def test_imatch_edges(spark):
     assert one["edited_sha256"] == hashlib.sha256(b"alonealone").hexdigest()
     nulls = fingerprints(frame(spark, [(None, None), (None, "a b")])).collect()
     assert len(nulls) == 2
+
+
+def test_imatch_runs_of_sorted_pairs(spark):
+    """Every subset's run is hashed by itself: the first term's hash, then each further one chained to it."""
+    from quantspark.llm.imatch import _starts, _subset_hashes
+    rng = random.Random(4)
+    data = [(i, sorted((rng.randrange(6), rng.randrange(-9, 9)) for _ in range(i))) for i in (0, 1, 2, 7, 40)]
+    df = spark.createDataFrame(data, "id int, pairs array<struct<s:int,h:bigint>>")
+    pairs = F.col("pairs")
+    got = {r["id"]: r["m"] for r in df.select("id", _subset_hashes(pairs, _starts(pairs)).alias("m")).collect()}
+    for i, run in data:
+        assert set(got[i]) == {s for s, _ in run}
+        for s in got[i]:
+            terms = [h for t, h in run if t == s]
+            want = F.xxhash64(F.lit(terms[0]).cast("bigint"))
+            for h in terms[1:]:
+                want = F.xxhash64(want, F.lit(h).cast("bigint"))
+            assert spark.range(1).select(want.alias("w")).first()["w"] == got[i][s]
